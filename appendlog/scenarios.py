@@ -1,0 +1,229 @@
+"""The registered checks: each reads ``events`` of a scale folder, writes the
+log corpus from it with Spark, and runs one part of appendlog over the files.
+
+Settings are the fixed ones of the corpus: checksum sample 64 bytes, cap 200
+bytes for planning, 4,096 bytes (65,536 from sf0.1 up) for the streams.
+"""
+
+from __future__ import annotations
+
+import os
+import re
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from appendlog.operators.ranges import read_ranges
+from appendlog.operators.state import (
+    bytes_behind as _bytes_behind,
+    carry_forward as _carry_forward,
+    from_offset_json,
+    state_from_plan,
+    to_offset_json,
+)
+from appendlog.plans import rules as R
+from appendlog.plans.planner import align, plan
+from appendlog.session import scratch_dir, ship_package
+from appendlog.sources.catalog import list_files, list_nodes, snapshot
+from appendlog.sources.corpus import write_snapshot
+from appendlog.sources.pathspec import parse_path
+from appendlog.streaming.backup import TableBackup, latest_backup
+from appendlog.streaming.job import start_stream
+
+# Fixed values of the checks.
+PATTERN = r"service\.log\.[a-z]+"
+SAMPLE = 64
+CAP = 200
+STREAM_CAP_SMALL = 4096
+STREAM_CAP_LARGE = 65536
+UNLISTED_NODE = "node3"
+
+_CORPORA: dict[tuple[str, str], tuple[str, int]] = {}
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
+
+
+def corpus(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """Both snapshots on disk, as ``<root>/s0`` and ``<root>/s1`` (once per app)."""
+    ship_package(spark)
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _CORPORA:
+        events = _events(spark, sf_dir)
+        n = events.count()
+        root = scratch_dir(spark, "corpus")
+        for v in (0, 1):
+            write_snapshot(spark, events, f"{root}/s{v}", v, n_events=n)
+        _CORPORA[key] = (root, n)
+    return _CORPORA[key]
+
+
+def _spec(root: str, v: int):
+    return parse_path(f"{root}/s{v}/{{node}}/{PATTERN}")
+
+
+def _state(snap: DataFrame) -> DataFrame:
+    return snap.select("node", "name", F.col("size").alias("offset"), "md5")
+
+
+def _planned(spark, sf_dir, *, unlisted: str | None = None, aligned: bool = True) -> DataFrame:
+    root, _ = corpus(spark, sf_dir)
+    listing = snapshot(spark, _spec(root, 1), SAMPLE)
+    state = _state(snapshot(spark, _spec(root, 0), SAMPLE))
+    nodes = list_nodes(spark, _spec(root, 1))
+    if unlisted is not None:
+        listing = listing.where(F.col("node") != unlisted)
+        nodes = nodes.where(F.col("node") != unlisted)
+    p = plan(listing, state, nodes, policy="earliest", cap=CAP, check=True, first_run=False)
+    return align(p) if aligned else p
+
+
+def file_select(spark, sf_dir):
+    root, _ = corpus(spark, sf_dir)
+    names = list_files(spark, _spec(root, 0)).select("name").unionByName(
+        list_files(spark, _spec(root, 1)).select("name"))
+    return names.distinct()
+
+
+def file_meta(spark, sf_dir):
+    root, _ = corpus(spark, sf_dir)
+    parts = [snapshot(spark, _spec(root, v), SAMPLE).select(
+        F.lit(v).alias("v"), "node", "name", "size", "md5") for v in (0, 1)]
+    return parts[0].unionByName(parts[1])
+
+
+def file_status(spark, sf_dir):
+    return _planned(spark, sf_dir, aligned=False).select("node", "name", "status")
+
+
+def range_plan(spark, sf_dir):
+    return _planned(spark, sf_dir).where(F.col("status") != R.DELETED).select(
+        "node", "name", "status", "start_offset", "end_offset", "md5")
+
+
+def range_plan_first(spark, sf_dir):
+    root, _ = corpus(spark, sf_dir)
+    spec = _spec(root, 1)
+    listing = snapshot(spark, spec, SAMPLE)
+    empty = spark.createDataFrame([], "node string, name string, offset bigint, md5 string")
+    nodes = list_nodes(spark, spec)
+    out = []
+    for policy in ("earliest", "latest"):
+        p = align(plan(listing, empty, nodes, policy=policy, cap=CAP, check=True, first_run=True))
+        out.append(p.select(F.lit(policy).alias("policy"), "node", "name", "start_offset", "end_offset"))
+    return out[0].unionByName(out[1])
+
+
+def range_lines(spark, sf_dir):
+    return read_ranges(_planned(spark, sf_dir), verify_sample=SAMPLE)
+
+
+def bytes_behind(spark, sf_dir):
+    return _bytes_behind(_planned(spark, sf_dir, aligned=False)).where(
+        F.col("status") == R.APPENDED).select("node", "name", "bytes_behind")
+
+
+def carry_forward(spark, sf_dir):
+    return _carry_forward(_planned(spark, sf_dir, unlisted=UNLISTED_NODE))
+
+
+def offset_roundtrip(spark, sf_dir):
+    root, _ = corpus(spark, sf_dir)
+    spec = _spec(root, 0)
+    docs = to_offset_json(_state(snapshot(spark, spec, SAMPLE)), spec.directory)
+    return from_offset_json(docs).select("node", "name", "offset", "md5")
+
+
+def offset_backup(spark, sf_dir):
+    """Each node of each snapshot backs up its offsets (directory = node, ts = v);
+    the newest backup per directory is read back and its offsets summed."""
+    root, _ = corpus(spark, sf_dir)
+    table = TableBackup(scratch_dir(spark, "offset-backup"))
+    for v in (0, 1):
+        state = _state(snapshot(spark, _spec(root, v), SAMPLE)).withColumn("directory", F.col("node"))
+        table.append(to_offset_json(state).withColumn("ts", F.lit(v).cast("bigint")))
+    newest = latest_backup(table.rows(spark))
+    rows = from_offset_json(newest, keep=["ts"])
+    return rows.groupBy("directory", "ts").agg(F.sum("offset").cast("bigint").alias("total_offset"))
+
+
+def _stream_cap(sf_dir: str, n_events: int | None = None) -> int:
+    m = re.search(r"sf([0-9.]+)", os.path.basename(os.path.normpath(sf_dir)))
+    if m:
+        return STREAM_CAP_LARGE if float(m.group(1)) >= 0.1 else STREAM_CAP_SMALL
+    return STREAM_CAP_LARGE if (n_events or 0) >= 100_000 else STREAM_CAP_SMALL
+
+
+def _run_stream(spark, path, out, ck, **options) -> None:
+    q = start_stream(spark, path, output=out, checkpoint=ck, backup=False,
+                     **{"md5.sample.length": SAMPLE, **options})
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    if q.exception() is not None:
+        raise q.exception()
+
+
+def _stream_dirs(spark, tag):
+    base = scratch_dir(spark, tag)
+    return f"{base}/logs", f"{base}/out", f"{base}/ck"
+
+
+def stream_drain(spark, sf_dir):
+    events = _events(spark, sf_dir)
+    n = events.count()
+    logs, out, ck = _stream_dirs(spark, "stream-drain")
+    write_snapshot(spark, events, logs, 1, n_events=n)
+    _run_stream(spark, f"{logs}/{{node}}/{PATTERN}", out, ck, **{"bytes.max": _stream_cap(sf_dir, n)})
+    return spark.read.parquet(out)
+
+
+def stream_increment(spark, sf_dir):
+    events = _events(spark, sf_dir)
+    n = events.count()
+    logs, out, ck = _stream_dirs(spark, "stream-increment")
+    opts = {"bytes.max": _stream_cap(sf_dir, n)}
+    for v in (0, 1):  # snapshot 1 extends the click files in place; restart from the checkpoint
+        write_snapshot(spark, events, logs, v, names=["click"], n_events=n)
+        _run_stream(spark, f"{logs}/{{node}}/{PATTERN}", out, ck, **opts)
+    return spark.read.parquet(out)
+
+
+def stream_latest(spark, sf_dir):
+    events = _events(spark, sf_dir)
+    n = events.count()
+    logs, out, ck = _stream_dirs(spark, "stream-latest")
+    opts = {"bytes.max": _stream_cap(sf_dir, n), "starting.offsets": "latest"}
+    for v in (0, 1):
+        write_snapshot(spark, events, logs, v, names=["click"], n_events=n)
+        _run_stream(spark, f"{logs}/{{node}}/{PATTERN}", out, ck, **opts)
+    return spark.read.parquet(out)
+
+
+def line_counts(spark, sf_dir):
+    """Flagship: every line of snapshot 1 read in one batch, counted per file."""
+    root, _ = corpus(spark, sf_dir)
+    spec = _spec(root, 1)
+    empty = spark.createDataFrame([], "node string, name string, offset bigint, md5 string")
+    p = align(plan(snapshot(spark, spec, SAMPLE), empty, list_nodes(spark, spec),
+                   policy="earliest", first_run=True))
+    return read_ranges(p).groupBy("node", "name").agg(F.count("*").alias("lines"))
+
+
+CHECKS = {
+    "file_select": file_select,
+    "file_meta": file_meta,
+    "file_status": file_status,
+    "range_plan": range_plan,
+    "range_plan_first": range_plan_first,
+    "range_lines": range_lines,
+    "bytes_behind": bytes_behind,
+    "carry_forward": carry_forward,
+    "offset_roundtrip": offset_roundtrip,
+    "offset_backup": offset_backup,
+    "stream_drain": stream_drain,
+    "stream_increment": stream_increment,
+    "stream_latest": stream_latest,
+}

@@ -1,0 +1,173 @@
+"""Log corpus derived from the ``events`` table, written to shared storage.
+
+Layout ``<root>/<node>/<name>``: node ``node<user_id % 4>``, name
+``service.log.<event_type>``, one line ``event_id|user_id|event_type|props``
+per event in ``event_id`` order, every line newline-terminated.  Two
+snapshots (``v = 0`` earlier, ``v = 1`` later) exercise every file status.
+
+The write is a distributed positional write, so that no file (one of them may
+hold a third of all rows) goes through a single task or the driver:
+
+1. lines are bucketed into fixed ``event_id`` chunks; a partial aggregate gives
+   the byte size of each (file, chunk);
+2. a running sum over the (small) chunk table gives each chunk's base offset;
+3. the lines shuffle by (file, chunk), sort inside the partition, and each task
+   ``pwrite``s its chunks at their offsets.  Retries rewrite the same bytes.
+"""
+
+from __future__ import annotations
+
+import os
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from appendlog.session import ship_package
+
+# Fixed values of the corpus definition.
+N_NODES = 4
+NAME_PREFIX = "service.log."
+DECOY_SUFFIX = ".gz"
+DECOY_PREFIX = "x"
+DECOY_DIR = "service.log.dir"
+
+CHUNK_ROWS = 1 << 16
+
+
+def corpus_lines(events: DataFrame, snapshot: int, n_events: int) -> DataFrame:
+    """Lines of one snapshot: ``node, name, event_type, event_id, line``."""
+    e = events.select(
+        F.concat(F.lit("node"), (F.col("user_id") % N_NODES).cast("string")).alias("node"),
+        F.concat(F.lit(NAME_PREFIX), F.col("event_type")).alias("name"),
+        "event_type",
+        "event_id",
+        F.concat(
+            F.col("event_id").cast("string"), F.lit("|"),
+            F.col("user_id").cast("string"), F.lit("|"),
+            F.col("event_type"), F.lit("|"),
+            F.col("props"),
+        ).alias("line"),
+    ).where(F.col("line").isNotNull())
+    early = F.col("event_id") * 10 < F.lit(n_events) * 6
+    if snapshot == 0:
+        cond = early & (F.col("event_type") != "signup")
+    elif snapshot == 1:
+        et = F.col("event_type")
+        cond = (
+            et.isin("click", "signup")
+            | ((et == "error") & ~early)
+            | ((et == "view") & (F.col("event_id") * 10 < F.lit(n_events) * 2))
+        )
+    else:
+        raise ValueError(f"snapshot must be 0 or 1, got {snapshot}")
+    return e.where(cond)
+
+
+def _prepare_files(root: str, decoys: bool):
+    def fn(it):
+        for pdf in it:
+            out = []
+            for node, name, size in zip(pdf["node"], pdf["name"], pdf["size"]):
+                d = os.path.join(root, node)
+                os.makedirs(d, exist_ok=True)
+                p = os.path.join(d, name)
+                if pd.isna(size):
+                    if os.path.lexists(p):
+                        os.remove(p)
+                    out.append(0)
+                    continue
+                fd = os.open(p, os.O_WRONLY | os.O_CREAT, 0o644)
+                try:
+                    if os.fstat(fd).st_size > int(size):
+                        os.ftruncate(fd, int(size))
+                finally:
+                    os.close(fd)
+                if decoys:
+                    for decoy in (DECOY_PREFIX + name, name + DECOY_SUFFIX):
+                        with open(os.path.join(d, decoy), "wb") as f:
+                            f.write(b"not a log\n")
+                    os.makedirs(os.path.join(d, DECOY_DIR), exist_ok=True)
+                out.append(1)
+            yield pd.DataFrame({"done": out}, dtype="int64")
+
+    return fn
+
+
+def _write_chunks(root: str):
+    def fn(it):
+        fds: dict[str, int] = {}
+        nxt: dict[tuple, int] = {}
+        try:
+            for pdf in it:
+                written = 0
+                if len(pdf):
+                    keys = ["node", "name", "chunk"]
+                    for key, g in pdf.groupby(keys, sort=False):
+                        path = os.path.join(root, key[0], key[1])
+                        fd = fds.get(path)
+                        if fd is None:
+                            if len(fds) > 64:
+                                for v in fds.values():
+                                    os.close(v)
+                                fds.clear()
+                            fd = fds[path] = os.open(path, os.O_WRONLY)
+                        at = nxt.pop(key, int(g["base"].iloc[0]))
+                        data = ("\n".join(g["line"]) + "\n").encode("utf-8")
+                        os.pwrite(fd, data, at)
+                        nxt[key] = at + len(data)
+                        written += len(data)
+                yield pd.DataFrame({"bytes": [written]}, dtype="int64")
+        finally:
+            for v in fds.values():
+                os.close(v)
+
+    return fn
+
+
+def write_snapshot(
+    spark: SparkSession,
+    events: DataFrame,
+    root: str,
+    snapshot: int,
+    *,
+    names: list[str] | None = None,
+    decoys: bool = True,
+    n_events: int | None = None,
+) -> None:
+    """Make ``root`` hold exactly the files of ``snapshot`` (replacing, extending,
+    shrinking or deleting earlier ones in place)."""
+    ship_package(spark)
+    if n_events is None:
+        n_events = events.count()
+    lines = corpus_lines(events, snapshot, n_events)
+    others = corpus_lines(events, 1 - snapshot, n_events)
+    if names is not None:
+        full = [NAME_PREFIX + n for n in names]
+        lines = lines.where(F.col("name").isin(full))
+        others = others.where(F.col("name").isin(full))
+    lines = lines.select(
+        "node", "name", "event_id", "line",
+        (F.octet_length("line") + 1).alias("nbytes"),
+        F.floor(F.col("event_id") / CHUNK_ROWS).alias("chunk"),
+    )
+    chunks = lines.groupBy("node", "name", "chunk").agg(F.sum("nbytes").alias("chunk_bytes"))
+    w = Window.partitionBy("node", "name").orderBy("chunk")
+    chunks = chunks.withColumn("base", F.sum("chunk_bytes").over(w) - F.col("chunk_bytes")).cache()
+
+    sizes = chunks.groupBy("node", "name").agg(F.sum("chunk_bytes").alias("size"))
+    gone = others.select("node", "name").distinct().join(sizes, ["node", "name"], "left_anti")
+    targets = sizes.unionByName(gone.withColumn("size", F.lit(None).cast("bigint")))
+    (
+        targets.mapInPandas(_prepare_files(root, decoys), "done long")
+        .write.format("noop").mode("overwrite").save()
+    )
+    (
+        lines.join(chunks.select("node", "name", "chunk", "base"), ["node", "name", "chunk"])
+        .repartition("node", "name", "chunk")
+        .sortWithinPartitions("node", "name", "chunk", "event_id")
+        .select("node", "name", "chunk", "base", "line")
+        .mapInPandas(_write_chunks(root), "bytes long")
+        .write.format("noop").mode("overwrite").save()
+    )
+    chunks.unpersist()
