@@ -13,8 +13,23 @@ from appendlog.streaming.backup import BackupListener, get_backup
 from appendlog.streaming.source import FORMAT, AppendLogDataSource
 
 
+def _pickle_by_value() -> None:
+    """Ship appendlog's code inside the pickled source.
+
+    The source's planner runs in a Python process on the driver that does not
+    see files added with ``addPyFile``; pickling the package by value makes the
+    source independent of how the package was installed.
+    """
+    from pyspark import cloudpickle
+
+    for name, mod in list(sys.modules.items()):
+        if mod is not None and (name == "appendlog" or name.startswith("appendlog.")):
+            cloudpickle.register_pickle_by_value(mod)
+
+
 def register(spark: SparkSession) -> None:
     ship_package(spark)
+    _pickle_by_value()
     spark.dataSource.register(AppendLogDataSource)
 
 
