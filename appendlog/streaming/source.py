@@ -159,7 +159,33 @@ class Planner:
         return normalize({"directory": spec.directory, "offsets": new})
 
 
-def partitions_between(cfg: ReadConfig, start: dict, end: dict) -> list[FileRange]:
+class RangeBin(InputPartition):
+    """Several ranges read by one task (many small appends share a task)."""
+
+    def __init__(self, pieces: list[FileRange]):
+        self.pieces = pieces
+        self.value = None
+
+    def __repr__(self) -> str:
+        return f"RangeBin({len(self.pieces)} ranges)"
+
+
+def pack(pieces: list[FileRange], target: int) -> list[RangeBin]:
+    """First-fit decreasing into bins of at most ``target`` bytes (a piece is <= target)."""
+    bins: list[tuple[int, list[FileRange]]] = []
+    for p in sorted(pieces, key=lambda p: p.hi - p.lo, reverse=True):
+        size = p.hi - p.lo
+        for i, (used, items) in enumerate(bins):
+            if used + size <= target:
+                items.append(p)
+                bins[i] = (used + size, items)
+                break
+        else:
+            bins.append((size, [p]))
+    return [RangeBin(items) for _, items in bins]
+
+
+def partitions_between(cfg: ReadConfig, start: dict, end: dict) -> list[RangeBin]:
     first_run = not start["offsets"]
     out = []
     for node, files in sorted(end["offsets"].items()):
@@ -180,7 +206,7 @@ def partitions_between(cfg: ReadConfig, start: dict, end: dict) -> list[FileRang
                 hi = min(e, lo + cfg.split_bytes)
                 out.append(FileRange(node, path, s, e, lo, hi, fo.get("md5", ""), check))
                 lo = hi
-    return out
+    return pack(out, cfg.split_bytes)
 
 
 def read_range(p: FileRange):
@@ -234,8 +260,9 @@ class AppendLogStreamReader(DataSourceStreamReader):
         self.pos = end
         return partitions_between(self.cfg, start, end)
 
-    def read(self, partition: FileRange):
-        return read_range(partition)
+    def read(self, partition: RangeBin):
+        for piece in partition.pieces:
+            yield from read_range(piece)
 
     def commit(self, end: dict) -> None:
         # offsets are backed up from completed batches by the query listener

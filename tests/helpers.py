@@ -23,9 +23,10 @@ class Tail:
     def batch(self) -> list[str]:
         end = self.planner.plan(self.pos)
         rows = []
-        for p in partitions_between(self.cfg, self.pos, end):
-            for b in read_range(p):
-                rows += b.column(0).to_pylist()
+        for part in partitions_between(self.cfg, self.pos, end):
+            for p in part.pieces:
+                for b in read_range(p):
+                    rows += b.column(0).to_pylist()
         self.pos = end
         return rows
 
