@@ -35,10 +35,10 @@ DECOY_DIR = "service.log.dir"
 CHUNK_ROWS = 1 << 16
 
 
-def corpus_lines(events: DataFrame, snapshot: int, n_events: int) -> DataFrame:
+def corpus_lines(events: DataFrame, snapshot: int, n_events: int, n_nodes: int = N_NODES) -> DataFrame:
     """Lines of one snapshot: ``node, name, event_type, event_id, line``."""
     e = events.select(
-        F.concat(F.lit("node"), (F.col("user_id") % N_NODES).cast("string")).alias("node"),
+        F.concat(F.lit("node"), (F.col("user_id") % n_nodes).cast("string")).alias("node"),
         F.concat(F.lit(NAME_PREFIX), F.col("event_type")).alias("name"),
         "event_type",
         "event_id",
@@ -134,14 +134,15 @@ def write_snapshot(
     names: list[str] | None = None,
     decoys: bool = True,
     n_events: int | None = None,
+    n_nodes: int = N_NODES,
 ) -> None:
     """Make ``root`` hold exactly the files of ``snapshot`` (replacing, extending,
     shrinking or deleting earlier ones in place)."""
     ship_package(spark)
     if n_events is None:
         n_events = events.count()
-    lines = corpus_lines(events, snapshot, n_events)
-    others = corpus_lines(events, 1 - snapshot, n_events)
+    lines = corpus_lines(events, snapshot, n_events, n_nodes)
+    others = corpus_lines(events, 1 - snapshot, n_events, n_nodes)
     if names is not None:
         full = [NAME_PREFIX + n for n in names]
         lines = lines.where(F.col("name").isin(full))

@@ -178,3 +178,21 @@ class BackupListener(StreamingQueryListener):
     def onQueryTerminated(self, event):
         if str(event.id) == self.query_id:
             self.provider.close()
+
+
+def recover(spark: SparkSession, local: OffsetBackup, shared: OffsetBackup, directory: str) -> str | None:
+    """The newer offset of two stores for ``directory`` (ties keep the local one).
+
+    Pass it as ``initial.offset.json`` to a query with a **new** checkpoint.
+    """
+    from appendlog.operators.state import newer_of
+
+    def rows(store):
+        if isinstance(store, TableBackup):
+            return store.rows(spark).where(F.col("directory") == directory)
+        doc = store.fetch(spark, directory)
+        data = [] if doc is None else [(directory, 0, doc)]
+        return spark.createDataFrame(data, BACKUP_SCHEMA)
+
+    row = newer_of(rows(local), rows(shared)).select("offset_json").first()
+    return None if row is None else row[0]

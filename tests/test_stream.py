@@ -169,3 +169,15 @@ def test_failed_batch_is_replayed_with_same_ranges(spark, tmp):
         q.stop()
     got = sorted(r.value for r in spark.read.parquet(out).collect())
     assert got == ["r%02d" % i for i in range(30)]
+
+
+def test_recover_picks_newer_store(spark, tmp):
+    from appendlog.streaming.backup import recover
+
+    a, b = TableBackup(f"{tmp}/a"), TableBackup(f"{tmp}/b")
+    a.store("/d", 10, '{"directory": "/d", "offsets": {"x": {}}}')
+    b.store("/d", 20, '{"directory": "/d", "offsets": {"y": {}}}')
+    b.store("/e", 99, '{"directory": "/e", "offsets": {}}')
+    assert json.loads(recover(spark, a, b, "/d"))["offsets"] == {"y": {}}
+    a.store("/d", 20, '{"directory": "/d", "offsets": {"z": {}}}')
+    assert json.loads(recover(spark, a, b, "/d"))["offsets"] == {"z": {}}
