@@ -108,3 +108,28 @@ if __name__ == "__main__":
     if len(sys.argv) != 3:
         sys.exit("usage: python -m appendlog.streaming.job <path> <checkpoint>")
     console_job(sys.argv[1], sys.argv[2])
+
+
+def stream_lag(spark: SparkSession, offset_json: str, path: str, **options) -> DataFrame:
+    """Bytes each file is behind a stream's position (T13): ``node, name, status, bytes_behind``.
+
+    ``offset_json`` is a stream offset, e.g. ``query.lastProgress["sources"][0]["endOffset"]``
+    or a backed-up one; the files are listed now, with the stream's own options.
+    """
+    import json
+
+    from pyspark.sql import functions as F
+
+    from appendlog.operators.state import bytes_behind, from_offset_json
+    from appendlog.plans.planner import plan
+    from appendlog.sources.catalog import list_nodes, snapshot
+
+    if isinstance(offset_json, dict):
+        offset_json = json.dumps(offset_json)
+    cfg = ReadConfig.from_options(resolve(spark, path=path, **options))
+    doc = spark.createDataFrame([(offset_json,)], "offset_json string")
+    state = from_offset_json(doc).select("node", "name", "offset", "md5")
+    listing = snapshot(spark, cfg.spec, cfg.md5_sample, cfg.md5_check)
+    planned = plan(listing, state, list_nodes(spark, cfg.spec), policy=cfg.starting_offsets,
+                   cap=cfg.max_bytes, check=cfg.md5_check)
+    return bytes_behind(planned).where(F.col("bytes_behind") > 0)

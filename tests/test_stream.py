@@ -181,3 +181,25 @@ def test_recover_picks_newer_store(spark, tmp):
     assert json.loads(recover(spark, a, b, "/d"))["offsets"] == {"y": {}}
     a.store("/d", 20, '{"directory": "/d", "offsets": {"z": {}}}')
     assert json.loads(recover(spark, a, b, "/d"))["offsets"] == {"z": {}}
+
+
+def test_stream_lag_and_snapshot_reuse(spark, tmp):
+    from appendlog.sources.catalog import snapshot
+    from appendlog.sources.pathspec import parse_path
+    from appendlog.streaming.job import stream_lag
+
+    write(f"{tmp}/logs/a.log", b"x" * 99 + b"\n")
+    write(f"{tmp}/logs/b.log", b"y\n")
+    path = f"{tmp}/logs/[ab]\\.log"
+    offset = {"directory": f"{tmp}/logs", "offsets": {"local": {"a.log": {"offset": 40, "md5": ""}}}}
+    lag = {r.name: (r.status, r.bytes_behind) for r in stream_lag(spark, offset, path).collect()}
+    assert lag == {"a.log": ("appended", 60), "b.log": ("new", 2)}
+
+    spec = parse_path(path)
+    first = snapshot(spark, spec, 16).cache()
+    assert first.count() == 2
+    write(f"{tmp}/logs/b.log", b"z" * 30 + b"\n", "ab")
+    again = {r.name: r for r in snapshot(spark, spec, 16, previous=first).collect()}
+    old = {r.name: r for r in first.collect()}
+    assert again["a.log"].md5 == old["a.log"].md5 != ""
+    assert again["b.log"].size == 33 and again["b.log"].md5 != ""
