@@ -19,8 +19,6 @@ from appendlog.functions.bytescan import aligned_end, tail_start
 from appendlog.plans import rules as R
 from appendlog.session import default_parallelism, ship_package
 
-MAX_BROADCAST_NODES = 100_000
-
 PLAN_SCHEMA = (
     "node string, name string, path string, status string, size bigint, "
     "known bigint, start_offset bigint, end_offset bigint, md5 string, align int"
@@ -60,10 +58,9 @@ def plan(
     l = listing.select("node", "name", "path", "size", F.col("md5").alias("cur_md5"))
     s = state.where(F.col("name").isNotNull()).select(
         "node", "name", F.col("offset").alias("known"), F.col("md5").alias("kmd5"))
+    # one row per host folder: Spark (and AQE, on exact runtime sizes) turns
+    # this join into a broadcast only while it is under the broadcast threshold
     listed = nodes.select("node").distinct().withColumn("listed", F.lit(True))
-    # one row per host folder; broadcast only under a checked bound
-    if nodes.limit(MAX_BROADCAST_NODES + 1).count() <= MAX_BROADCAST_NODES:
-        listed = F.broadcast(listed)
     j = l.join(s, ["node", "name"], "full_outer").join(listed, "node", "left")
 
     known, size, kmd5, md5 = F.col("known"), F.col("size"), F.col("kmd5"), F.col("cur_md5")

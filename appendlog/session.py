@@ -99,3 +99,19 @@ def ship_package(spark: SparkSession) -> None:
         os.replace(tmp, out)
     sc.addPyFile(out)
     _SHIPPED.add(app)
+
+
+def materialize(df):
+    """Pin a small, point-in-time table (a listing, a plan) with a reliable
+    checkpoint in ``spark.checkpoint.dir``, and return it with its row count.
+
+    A listing or plan must not be recomputed after files moved on: a lost
+    executor would otherwise re-list or re-align and give other ranges.  The
+    cache only avoids computing it twice while the checkpoint is written.
+    """
+    shared_root(df.sparkSession)  # makes sure a checkpoint dir is set
+    cached = df.cache()
+    n = cached.count()
+    pinned = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return pinned, n

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from appendlog.functions.bytescan import head_md5
-from appendlog.session import default_parallelism, ship_package
+from appendlog.session import ship_package
 from appendlog.sources.pathspec import LOCAL_NODE, PathSpec
 
 LISTING_SCHEMA = "node string, name string, path string, size bigint, mtime timestamp"
@@ -118,9 +118,10 @@ def snapshot(
         files = files.where(F.col("old_md5").isNull()).drop("old_md5")
     else:
         known = None
-    # spread the head reads over the cluster; the listing's own partitioning
-    # follows file bytes, not file count
-    fresh = files.repartition(default_parallelism(spark)).mapInPandas(
+    # head reads run on the listing's own partitions: binaryFile is not
+    # splittable, so a scan partition holds one large file or a few dozen small
+    # ones (openCostInBytes), i.e. the task count follows the file count
+    fresh = files.mapInPandas(
         _head_md5_fn(sample, check), SNAPSHOT_SCHEMA
     )
     return fresh if known is None else fresh.unionByName(known)

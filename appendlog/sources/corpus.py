@@ -125,40 +125,34 @@ def _write_chunks(root: str):
     return fn
 
 
-def write_snapshot(
+def write_lines(
     spark: SparkSession,
-    events: DataFrame,
+    lines: DataFrame,
     root: str,
-    snapshot: int,
     *,
-    names: list[str] | None = None,
-    decoys: bool = True,
-    n_events: int | None = None,
-    n_nodes: int = N_NODES,
+    key: str,
+    remove: DataFrame | None = None,
+    decoys: bool = False,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> None:
-    """Make ``root`` hold exactly the files of ``snapshot`` (replacing, extending,
-    shrinking or deleting earlier ones in place)."""
+    """Write ``lines`` (``node, name, <key>, line``) as ``<root>/<node>/<name>``,
+    one newline-terminated line per row in ``key`` order; files listed in
+    ``remove`` (``node, name``) are deleted.  Existing files are shrunk, extended
+    or overwritten in place."""
     ship_package(spark)
-    if n_events is None:
-        n_events = events.count()
-    lines = corpus_lines(events, snapshot, n_events, n_nodes)
-    others = corpus_lines(events, 1 - snapshot, n_events, n_nodes)
-    if names is not None:
-        full = [NAME_PREFIX + n for n in names]
-        lines = lines.where(F.col("name").isin(full))
-        others = others.where(F.col("name").isin(full))
     lines = lines.select(
-        "node", "name", "event_id", "line",
+        "node", "name", F.col(key).alias("_k"), "line",
         (F.octet_length("line") + 1).alias("nbytes"),
-        F.floor(F.col("event_id") / CHUNK_ROWS).alias("chunk"),
+        F.floor(F.col(key) / chunk_rows).alias("chunk"),
     )
     chunks = lines.groupBy("node", "name", "chunk").agg(F.sum("nbytes").alias("chunk_bytes"))
     w = Window.partitionBy("node", "name").orderBy("chunk")
     chunks = chunks.withColumn("base", F.sum("chunk_bytes").over(w) - F.col("chunk_bytes")).cache()
 
-    sizes = chunks.groupBy("node", "name").agg(F.sum("chunk_bytes").alias("size"))
-    gone = others.select("node", "name").distinct().join(sizes, ["node", "name"], "left_anti")
-    targets = sizes.unionByName(gone.withColumn("size", F.lit(None).cast("bigint")))
+    targets = chunks.groupBy("node", "name").agg(F.sum("chunk_bytes").alias("size"))
+    if remove is not None:
+        gone = remove.select("node", "name").distinct().join(targets, ["node", "name"], "left_anti")
+        targets = targets.unionByName(gone.withColumn("size", F.lit(None).cast("bigint")))
     (
         targets.mapInPandas(_prepare_files(root, decoys), "done long")
         .write.format("noop").mode("overwrite").save()
@@ -166,9 +160,33 @@ def write_snapshot(
     (
         lines.join(chunks.select("node", "name", "chunk", "base"), ["node", "name", "chunk"])
         .repartition("node", "name", "chunk")
-        .sortWithinPartitions("node", "name", "chunk", "event_id")
+        .sortWithinPartitions("node", "name", "chunk", "_k")
         .select("node", "name", "chunk", "base", "line")
         .mapInPandas(_write_chunks(root), "bytes long")
         .write.format("noop").mode("overwrite").save()
     )
     chunks.unpersist()
+
+
+def write_snapshot(
+    spark: SparkSession,
+    events: DataFrame,
+    root: str,
+    snapshot: int,
+    *,
+    names: list[str] | None = None,
+    decoys: bool = True,
+    n_events: int | None = None,
+    n_nodes: int = N_NODES,
+) -> None:
+    """Make ``root`` hold exactly the files of ``snapshot`` (replacing, extending,
+    shrinking or deleting earlier ones in place)."""
+    if n_events is None:
+        n_events = events.count()
+    lines = corpus_lines(events, snapshot, n_events, n_nodes)
+    others = corpus_lines(events, 1 - snapshot, n_events, n_nodes)
+    if names is not None:
+        full = [NAME_PREFIX + n for n in names]
+        lines = lines.where(F.col("name").isin(full))
+        others = others.where(F.col("name").isin(full))
+    write_lines(spark, lines, root, key="event_id", remove=others, decoys=decoys)
