@@ -10,7 +10,7 @@ hold a third of all rows) goes through a single task or the driver:
 
 1. lines are bucketed into fixed ``event_id`` chunks; a partial aggregate gives
    the byte size of each (file, chunk);
-2. a running sum over the (small) chunk table gives each chunk's base offset;
+2. a two-level running sum over the chunk table gives each chunk's base offset;
 3. the lines shuffle by (file, chunk), sort inside the partition, and each task
    ``pwrite``s its chunks at their offsets.  Retries rewrite the same bytes.
 """
@@ -33,6 +33,7 @@ DECOY_PREFIX = "x"
 DECOY_DIR = "service.log.dir"
 
 CHUNK_ROWS = 1 << 16
+FANOUT = 1 << 10
 
 
 def corpus_lines(events: DataFrame, snapshot: int, n_events: int, n_nodes: int = N_NODES) -> DataFrame:
@@ -125,6 +126,25 @@ def _write_chunks(root: str):
     return fn
 
 
+def chunk_offsets(chunks: DataFrame, fanout: int = FANOUT) -> DataFrame:
+    """Base offset of each (file, chunk): a two-level running sum.
+
+    Chunks are grouped by ``chunk // fanout``; the running sum inside a group
+    and the running sum over group totals each see at most ``fanout`` rows,
+    respectively one row per ``fanout * CHUNK_ROWS`` lines of a file, so even a
+    file holding a third of all lines never puts a long list in one task.
+    """
+    chunks = chunks.withColumn("grp", F.floor(F.col("chunk") / fanout))
+    inner = Window.partitionBy("node", "name", "grp").orderBy("chunk")
+    chunks = chunks.withColumn("in_grp", F.sum("chunk_bytes").over(inner) - F.col("chunk_bytes"))
+    groups = chunks.groupBy("node", "name", "grp").agg(F.sum("chunk_bytes").alias("grp_bytes"))
+    outer = Window.partitionBy("node", "name").orderBy("grp")
+    groups = groups.select("node", "name", "grp",
+                           (F.sum("grp_bytes").over(outer) - F.col("grp_bytes")).alias("grp_base"))
+    return chunks.join(groups, ["node", "name", "grp"]).select(
+        "node", "name", "chunk", "chunk_bytes", (F.col("grp_base") + F.col("in_grp")).alias("base"))
+
+
 def write_lines(
     spark: SparkSession,
     lines: DataFrame,
@@ -145,9 +165,8 @@ def write_lines(
         (F.octet_length("line") + 1).alias("nbytes"),
         F.floor(F.col(key) / chunk_rows).alias("chunk"),
     )
-    chunks = lines.groupBy("node", "name", "chunk").agg(F.sum("nbytes").alias("chunk_bytes"))
-    w = Window.partitionBy("node", "name").orderBy("chunk")
-    chunks = chunks.withColumn("base", F.sum("chunk_bytes").over(w) - F.col("chunk_bytes")).cache()
+    chunks = chunk_offsets(
+        lines.groupBy("node", "name", "chunk").agg(F.sum("nbytes").alias("chunk_bytes"))).cache()
 
     targets = chunks.groupBy("node", "name").agg(F.sum("chunk_bytes").alias("size"))
     if remove is not None:

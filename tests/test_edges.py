@@ -221,3 +221,16 @@ def test_hidden_and_directories_not_selected(tmp):
     write(f"{tmp}/a.log", b"v\n")
     t = Tail(cfg(f"{tmp}/.*\\.log"))
     assert t.drain() == ["v"]
+
+
+def test_chunk_offsets_two_levels(spark):
+    from appendlog.sources.corpus import chunk_offsets
+
+    rows = [("n", "f", c, (c * 7) % 13 + 1) for c in range(50)] + [("n", "g", c, 5) for c in range(3)]
+    df = spark.createDataFrame(rows, "node string, name string, chunk long, chunk_bytes long")
+    got = {(r.name, r.chunk): r.base for r in chunk_offsets(df, fanout=4).collect()}
+    for f in ("f", "g"):
+        acc = 0
+        for n, name, c, b in [r for r in rows if r[1] == f]:
+            assert got[(f, c)] == acc
+            acc += b
