@@ -34,7 +34,8 @@ def _first_owned_start(fd: int, lo: int, range_start: int, range_end: int, path:
 
 
 def _lines_array(buf: bytes) -> pa.Array:
-    """``buf`` holds whole newline-terminated lines; return them without the newlines."""
+    """``buf`` holds whole newline-terminated lines; return them without the
+    newlines, as a ``large_string`` array over one compacted copy of ``buf``."""
     data = np.frombuffer(buf, dtype=np.uint8)
     nl = np.flatnonzero(data == 0x0A)
     n = len(nl)
@@ -49,7 +50,7 @@ def _lines_array(buf: bytes) -> pa.Array:
         # invalid UTF-8: decode with the replacement character, line by line
         text = buf.decode("utf-8", errors="replace")
         arr = pa.array(text.split("\n")[:-1], type=pa.large_string())
-    return arr.cast(pa.string())
+    return arr
 
 
 def iter_line_arrays(

@@ -32,7 +32,8 @@ def split_ranges(ranges: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame
 
 
 def _read_fn(sample: int | None):
-    out_schema = pa.schema([("node", pa.string()), ("name", pa.string()), ("value", pa.string())])
+    out_schema = pa.schema([("node", pa.large_string()), ("name", pa.large_string()),
+                            ("value", pa.large_string())])
 
     def fn(batches):
         for batch in batches:
@@ -52,8 +53,8 @@ def _read_fn(sample: int | None):
                         n = len(arr)
                         if n:
                             yield pa.RecordBatch.from_arrays(
-                                [pa.repeat(node, n).cast(pa.string()),
-                                 pa.repeat(name, n).cast(pa.string()), arr],
+                                [pa.repeat(node, n).cast(pa.large_string()),
+                                 pa.repeat(name, n).cast(pa.large_string()), arr],
                                 schema=out_schema,
                             )
                 finally:

@@ -210,7 +210,7 @@ def partitions_between(cfg: ReadConfig, start: dict, end: dict) -> list[RangeBin
 
 
 def read_range(p: FileRange):
-    schema = pa.schema([pa.field("value", pa.string(), nullable=False)])
+    schema = pa.schema([pa.field("value", pa.large_string(), nullable=False)])
     fd = os.open(p.path, os.O_RDONLY)
     try:
         if p.sample and p.md5:
