@@ -89,19 +89,26 @@ def drain(query: StreamingQuery) -> None:
     query.processAllAvailable()
 
 
-def console_job(path: str, checkpoint: str) -> None:
-    """Print every new line to the console every 3 seconds (the sample job)."""
-    spark = SparkSession.builder.appName("appendlog-console").getOrCreate()
-    (
-        read_stream(spark, path)
+def console_query(spark: SparkSession, path: str, checkpoint: str,
+                  trigger: str = "3 seconds", **options) -> StreamingQuery:
+    """The sample job's query: new lines to the console, untruncated, 100 rows."""
+    query = (
+        read_stream(spark, path, **options)
         .writeStream.format("console")
         .option("truncate", False)
         .option("numRows", 100)
         .option("checkpointLocation", checkpoint)
-        .trigger(processingTime="3 seconds")
+        .trigger(processingTime=trigger)
         .start()
-        .awaitTermination()
     )
+    attach_backup(spark, query, path=path, **options)
+    return query
+
+
+def console_job(path: str, checkpoint: str) -> None:
+    """Print every new line to the console every 3 seconds (the sample job)."""
+    spark = SparkSession.builder.appName("appendlog-console").getOrCreate()
+    console_query(spark, path, checkpoint).awaitTermination()
 
 
 if __name__ == "__main__":

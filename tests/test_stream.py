@@ -203,3 +203,17 @@ def test_stream_lag_and_snapshot_reuse(spark, tmp):
     old = {r.name: r for r in first.collect()}
     assert again["a.log"].md5 == old["a.log"].md5 != ""
     assert again["b.log"].size == 33 and again["b.log"].md5 != ""
+
+
+def test_console_query(spark, tmp):
+    from appendlog.streaming.job import console_query
+
+    write(f"{tmp}/logs/app.log", b"hello console\n")
+    q = console_query(spark, f"{tmp}/logs/app\\.log", f"{tmp}/ck", trigger="0 seconds",
+                      **{"offset.backup.path": f"{tmp}/bk"})
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert q.exception() is None
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 1
