@@ -25,7 +25,7 @@ from appendlog.plans import rules as R
 from appendlog.plans.planner import align, plan
 from appendlog.session import scratch_dir, ship_package
 from appendlog.sources.catalog import list_files, list_nodes, snapshot
-from appendlog.sources.corpus import write_snapshot
+from appendlog.sources.corpus import write_lines, write_snapshot
 from appendlog.sources.pathspec import parse_path
 from appendlog.streaming.backup import TableBackup, latest_backup
 from appendlog.streaming.job import start_stream
@@ -202,6 +202,42 @@ def stream_latest(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+DOC_NAME = "documents.log"
+DOC_SPLIT = 1 << 18  # small sub-ranges so that every file is read by several tasks
+DOC_STREAM_CAP_SMALL = 1 << 18
+DOC_STREAM_CAP_LARGE = 1 << 21
+
+
+def _write_documents(spark, sf_dir, root):
+    """Every document text as lines of ``<root>/<lang>/documents.log``, in doc_id order."""
+    docs = spark.read.parquet(os.path.join(sf_dir, "documents.parquet"))
+    lines = docs.where(F.col("text").isNotNull()).select(
+        F.col("lang").alias("node"), F.lit(DOC_NAME).alias("name"), "doc_id", F.col("text").alias("line"))
+    write_lines(spark, lines, root, key="doc_id")
+
+
+def document_lines(spark, sf_dir):
+    """Whole document texts (multi-byte, long lines) read in one batch, split into sub-ranges."""
+    root = scratch_dir(spark, "documents")
+    _write_documents(spark, sf_dir, root)
+    spec = parse_path(f"{root}/{{node}}/documents\\.log")
+    empty = spark.createDataFrame([], "node string, name string, offset bigint, md5 string")
+    p = align(plan(snapshot(spark, spec, SAMPLE), empty, list_nodes(spark, spec),
+                   policy="earliest", first_run=True))
+    return read_ranges(p, split_bytes=DOC_SPLIT, verify_sample=SAMPLE)
+
+
+def document_stream(spark, sf_dir):
+    """The same texts through the stream under a cap smaller than some lines."""
+    base = scratch_dir(spark, "documents-stream")
+    _write_documents(spark, sf_dir, f"{base}/logs")
+    m = re.search(r"sf([0-9.]+)", os.path.basename(os.path.normpath(sf_dir)))
+    cap = DOC_STREAM_CAP_LARGE if m and float(m.group(1)) >= 0.1 else DOC_STREAM_CAP_SMALL
+    _run_stream(spark, f"{base}/logs/{{node}}/documents\\.log", f"{base}/out", f"{base}/ck",
+                **{"bytes.max": cap, "split.bytes": DOC_SPLIT})
+    return spark.read.parquet(f"{base}/out")
+
+
 def line_counts(spark, sf_dir):
     """Flagship: every line of snapshot 1 read in one batch, counted per file."""
     root, _ = corpus(spark, sf_dir)
@@ -226,4 +262,6 @@ CHECKS = {
     "stream_drain": stream_drain,
     "stream_increment": stream_increment,
     "stream_latest": stream_latest,
+    "document_lines": document_lines,
+    "document_stream": document_stream,
 }
