@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from appendlog.functions.bytescan import head_md5
-from appendlog.session import ship_package
+from appendlog.session import default_parallelism, ship_package
 from appendlog.sources.pathspec import LOCAL_NODE, PathSpec
 
 LISTING_SCHEMA = "node string, name string, path string, size bigint, mtime timestamp"
@@ -56,12 +56,22 @@ def list_files(spark: SparkSession, spec: PathSpec) -> DataFrame:
     Non-recursive; names starting with ``.`` or ``_`` are never selected; a
     missing directory gives an empty frame.
     """
+    # Spark lists many folders with a listing job of one task per folder; cap it
+    # at one wave of the cluster while this index is built
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(default_parallelism(spark)))
     try:
         raw = spark.read.format("binaryFile").load(spec.glob)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return spark.createDataFrame([], LISTING_SCHEMA)
         raise
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
     path = F.regexp_replace(F.col("path"), "^file:(//)?", "")
     parts = F.split(path, "/")
     node = F.element_at(parts, spec.node_depth) if spec.has_node else F.lit(LOCAL_NODE)
@@ -118,10 +128,10 @@ def snapshot(
         files = files.where(F.col("old_md5").isNull()).drop("old_md5")
     else:
         known = None
-    # head reads run on the listing's own partitions: binaryFile is not
-    # splittable, so a scan partition holds one large file or a few dozen small
-    # ones (openCostInBytes), i.e. the task count follows the file count
-    fresh = files.mapInPandas(
-        _head_md5_fn(sample, check), SNAPSHOT_SCHEMA
-    )
+    # head reads run on the listing's own partitions, merged (no shuffle) into
+    # at most one wave of tasks: binaryFile is not splittable, so a scan
+    # partition holds one large file or a few dozen small ones, and the task
+    # count follows the file count
+    n = max(1, min(default_parallelism(spark), files.rdd.getNumPartitions()))
+    fresh = files.coalesce(n).mapInPandas(_head_md5_fn(sample, check), SNAPSHOT_SCHEMA)
     return fresh if known is None else fresh.unionByName(known)
