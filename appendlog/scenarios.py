@@ -156,7 +156,7 @@ def _stream_cap(sf_dir: str, n_events: int | None = None) -> int:
 
 
 def _run_stream(spark, path, out, ck, **options) -> None:
-    q = start_stream(spark, path, output=out, checkpoint=ck, backup=False,
+    q = start_stream(spark, path, output=out, checkpoint=ck, backup=False, trigger="0 seconds",
                      **{"md5.sample.length": SAMPLE, "offset.backup.provider": "none", **options})
     try:
         q.processAllAvailable()

@@ -67,11 +67,15 @@ def start_stream(
     sink: str = "parquet",
     output: str | None = None,
     checkpoint: str,
-    trigger: str = "0 seconds",
+    trigger: str = "1 second",
     backup: bool = True,
     **options,
 ) -> StreamingQuery:
-    """Read ``path`` with the appendlog source into ``sink``; offsets backed up."""
+    """Read ``path`` with the appendlog source into ``sink``; offsets backed up.
+
+    Every trigger lists the folders, so an idle stream with a zero trigger
+    would poll shared storage continuously; the default waits a second.
+    """
     df = read_stream(spark, path, **options)
     writer = (
         df.writeStream.format(sink)

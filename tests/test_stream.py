@@ -20,7 +20,7 @@ def values(spark, out):
 
 
 def run(spark, path, out, ck, **opts):
-    q = start_stream(spark, path, output=out, checkpoint=ck, **opts)
+    q = start_stream(spark, path, output=out, checkpoint=ck, trigger="0 seconds", **opts)
     try:
         q.processAllAvailable()
     finally:
@@ -33,7 +33,7 @@ def test_live_append_half_line_and_cap(spark, tmp):
     log = f"{tmp}/logs/n1/app.log"
     write(log, b"a1\na2\npart")
     q = start_stream(spark, f"{tmp}/logs/{{node}}/app\\.log", output=f"{tmp}/out", checkpoint=f"{tmp}/ck",
-                     backup=False, **{"bytes.max": 4})
+                     backup=False, trigger="0 seconds", **{"bytes.max": 4})
     try:
         q.processAllAvailable()
         assert sorted(values(spark, f"{tmp}/out")) == ["a1", "a2"]
