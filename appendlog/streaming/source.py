@@ -93,6 +93,7 @@ class Planner:
     def __init__(self, cfg: ReadConfig):
         self.cfg = cfg
         self._md5_cache: dict[str, tuple[int, int, int, str]] = {}
+        self._held: dict[str, tuple] = {}
 
     def _md5(self, path: str, size: int, mtime: int, ino: int) -> str:
         cfg = self.cfg
@@ -109,16 +110,25 @@ class Planner:
         self._md5_cache[path] = (size, mtime, ino, m)
         return m
 
-    def _align(self, path: str, d: R.Decision, size: int) -> int:
+    def _align(self, path: str, d: R.Decision, size: int, stamp: tuple) -> int:
         if d.align == R.ALIGN_NONE:
             return d.end
+        # a held tail (no newline yet) is not scanned again until the file changes
+        key = (d.start, d.end, size) + stamp
+        if self._held.get(path) == key:
+            return d.start
         fd = os.open(path, os.O_RDONLY)
         try:
             if d.align == R.ALIGN_TAIL:
                 return tail_start(fd, size, path)
-            return aligned_end(fd, d.start, d.end, size, path)
+            e = aligned_end(fd, d.start, d.end, size, path)
         finally:
             os.close(fd)
+        if e == d.start:
+            self._held[path] = key
+        else:
+            self._held.pop(path, None)
+        return e
 
     def plan(self, start: dict) -> dict:
         cfg, spec = self.cfg, self.cfg.spec
@@ -144,9 +154,14 @@ class Planner:
                     size, md5, node_listed=True, first_run=first_run,
                     policy=cfg.starting_offsets, cap=cfg.max_bytes, check=cfg.md5_check,
                 )
-                return node, name, {"offset": int(self._align(path, d, size)), "md5": d.md5 or ""}
+                end = self._align(path, d, size, (mtime, ino))
+                return node, name, {"offset": int(end), "md5": d.md5 or ""}
 
             results = list(pool.map(one, jobs))
+        seen = {spec.file_path(j[0], j[1]) for j in jobs}
+        for cache in (self._md5_cache, self._held):
+            for stale in [p for p in cache if p not in seen]:
+                del cache[stale]
         new: dict[str, dict] = {}
         for node, files in listings.items():
             if files is None:  # not listed now: carry forward (T7)
