@@ -41,7 +41,6 @@ def plan(
     cap: int = 2147483647,
     check: bool = True,
     first_run: bool | None = None,
-    node_dir=None,
 ) -> DataFrame:
     """Unaligned plan, one row per (node, file) of listing or state.
 

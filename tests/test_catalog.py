@@ -39,3 +39,22 @@ def test_snapshot_checksums(spark, tmp):
     assert got == {"a.log": (101, hashlib.md5(body[:64]).hexdigest()), "b.log": (6, "")}
     off = {r.name: r.md5 for r in snapshot(spark, spec, 64, check=False).collect()}
     assert off == {"a.log": "", "b.log": ""}
+
+
+def test_positional_writer_many_chunks_one_file(spark, tmp):
+    """One hot file written by many tasks at their offsets equals the sequential body."""
+    from pyspark.sql import functions as F
+
+    from appendlog.sources.corpus import write_lines
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    lines = ev.select(F.lit("n0").alias("node"), F.lit("hot.log").alias("name"), "event_id",
+                      F.concat_ws("|", F.col("event_id").cast("string"), "event_type", "props").alias("line"))
+    write_lines(spark, lines.repartition(7), tmp, key="event_id", chunk_rows=13)
+    rows = sorted((r.event_id, r.line) for r in lines.collect())
+    with open(f"{tmp}/n0/hot.log", "rb") as f:
+        assert f.read() == "".join(l + "\n" for _, l in rows).encode()
+    # shrink in place: a smaller body replaces the file exactly
+    write_lines(spark, lines.where("event_id < 100"), tmp, key="event_id", chunk_rows=13)
+    with open(f"{tmp}/n0/hot.log", "rb") as f:
+        assert f.read() == "".join(l + "\n" for i, l in rows if i < 100).encode()
