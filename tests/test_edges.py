@@ -234,3 +234,24 @@ def test_chunk_offsets_two_levels(spark):
         for n, name, c, b in [r for r in rows if r[1] == f]:
             assert got[(f, c)] == acc
             acc += b
+
+
+def test_replaced_after_planning_fails_clearly(tmp):
+    from appendlog.sources.pathspec import AppendLogError
+    from appendlog.streaming.source import FileRange, read_range
+
+    write(f"{tmp}/a.log", b"A" * 20 + b"\n")
+    t = Tail(cfg(f"{tmp}/a\\.log", **{"md5.sample.length": 8}))
+    end = t.planner.plan(t.pos)
+    md5 = end["offsets"]["local"]["a.log"]["md5"]
+    write(f"{tmp}/a.log", b"B" * 20 + b"\n")  # replaced between planning and reading
+    with pytest.raises(AppendLogError, match="replaced after range"):
+        list(read_range(FileRange("local", f"{tmp}/a.log", 0, 21, 0, 21, md5, 8)))
+
+
+def test_short_read_names_the_file(tmp):
+    from appendlog.streaming.source import FileRange, read_range
+
+    write(f"{tmp}/a.log", b"abc\n")
+    with pytest.raises(IOError, match="short read in .*a.log"):
+        list(read_range(FileRange("local", f"{tmp}/a.log", 0, 40, 0, 40, "", 0)))
