@@ -64,18 +64,23 @@ def iter_line_arrays(
 ):
     """Yield Arrow string arrays of the lines starting in ``[lo, hi)``."""
     pos = _first_owned_start(fd, lo, range_start, range_end, path)
-    carry = b""
-    while pos < range_end and (pos < hi or carry):
+    carry: list[bytes] = []  # pieces of a line longer than one chunk
+    carried = 0
+    while pos < range_end and (pos < hi or carried):
         stop = min(range_end, pos + chunk)
         block = read_exact(fd, pos, stop - pos, path)
-        buf = carry + block if carry else block
-        base = pos - len(carry)  # file offset of buf[0]
-        pos = stop
-        cut = buf.rfind(b"\n") + 1
-        if cut == 0:
-            carry = buf
+        cut_in_block = block.rfind(b"\n") + 1
+        if cut_in_block == 0:
+            carry.append(block)
+            carried += len(block)
+            pos = stop
             continue
-        whole, carry = buf[:cut], buf[cut:]
+        buf = b"".join(carry) + block if carry else block
+        base = pos - carried  # file offset of buf[0]
+        cut = carried + cut_in_block
+        pos = stop
+        whole, rest = buf[:cut], buf[cut:]
+        carry, carried = ([rest], len(rest)) if rest else ([], 0)
         if base + cut >= hi:
             # the next line starts at or after hi: keep the lines starting before hi
             limit = hi - base
@@ -84,7 +89,7 @@ def iter_line_arrays(
             yield _lines_array(whole)
             return
         yield _lines_array(whole)
-    if carry:
+    if carried:
         raise IOError(f"range of {path} does not end on a line boundary at {range_end}")
 
 

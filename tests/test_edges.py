@@ -255,3 +255,20 @@ def test_short_read_names_the_file(tmp):
     write(f"{tmp}/a.log", b"abc\n")
     with pytest.raises(IOError, match="short read in .*a.log"):
         list(read_range(FileRange("local", f"{tmp}/a.log", 0, 40, 0, 40, "", 0)))
+
+
+def test_line_longer_than_chunk(tmp):
+    body = b"a\n" + b"x" * 50 + b"\n" + b"y" * 7 + b"\nlast\n"
+    write(f"{tmp}/a.log", body)
+    fd = os.open(f"{tmp}/a.log", os.O_RDONLY)
+    try:
+        for chunk in (1, 3, 8, 64):
+            for hi in range(1, len(body) + 1):
+                got = []
+                for a in iter_line_arrays(fd, 0, hi, 0, len(body), chunk=chunk):
+                    got += a.to_pylist()
+                for a in iter_line_arrays(fd, hi, len(body), 0, len(body), chunk=chunk):
+                    got += a.to_pylist()
+                assert got == ["a", "x" * 50, "y" * 7, "last"], (chunk, hi)
+    finally:
+        os.close(fd)
