@@ -238,16 +238,21 @@ def document_stream(spark, sf_dir):
     return spark.read.parquet(f"{base}/out")
 
 
-def line_counts(spark, sf_dir):
-    """Flagship: every line of snapshot 1 read in one batch, counted per file."""
-    root, _ = corpus(spark, sf_dir)
-    spec = _spec(root, 1)
+def line_counts_at(spark, folder):
+    """Every line under ``folder`` (``<node>/<name>``) read in one batch, counted per file."""
+    spec = parse_path(f"{folder}/{{node}}/{PATTERN}")
     empty = spark.createDataFrame([], "node string, name string, offset bigint, md5 string")
     p = align(plan(snapshot(spark, spec, SAMPLE), empty, list_nodes(spark, spec),
                    policy="earliest", first_run=True))
     return read_ranges(p).groupBy("node", "name").agg(F.count("*").alias("lines"))
 
 
+def line_counts(spark, sf_dir):
+    """Flagship: every line of snapshot 1 read in one batch, counted per file."""
+    root, _ = corpus(spark, sf_dir)
+    return line_counts_at(spark, f"{root}/s1")
+
+
 CHECKS = {
     "file_select": file_select,
     "file_meta": file_meta,

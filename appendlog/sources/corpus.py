@@ -203,9 +203,12 @@ def write_snapshot(
     if n_events is None:
         n_events = events.count()
     lines = corpus_lines(events, snapshot, n_events, n_nodes)
-    others = corpus_lines(events, 1 - snapshot, n_events, n_nodes)
+    # files of the other snapshot may be on disk and must go; a new folder has none
+    fresh = not os.path.isdir(root) or not os.listdir(root)
+    others = None if fresh else corpus_lines(events, 1 - snapshot, n_events, n_nodes)
     if names is not None:
         full = [NAME_PREFIX + n for n in names]
         lines = lines.where(F.col("name").isin(full))
-        others = others.where(F.col("name").isin(full))
+        if others is not None:
+            others = others.where(F.col("name").isin(full))
     write_lines(spark, lines, root, key="event_id", remove=others, decoys=decoys)
