@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from appendlog.functions.bytescan import aligned_end, tail_start
 from appendlog.plans import rules as R
 from appendlog.session import default_parallelism, ship_package
+from appendlog.sources.catalog import KNOWN_ROWS
+
+MAX_BROADCAST_NODES = 100_000  # ~ a few MB of node names
 
 PLAN_SCHEMA = (
     "node string, name string, path string, status string, size bigint, "
@@ -57,9 +60,15 @@ def plan(
     l = listing.select("node", "name", "path", "size", F.col("md5").alias("cur_md5"))
     s = state.where(F.col("name").isNotNull()).select(
         "node", "name", F.col("offset").alias("known"), F.col("md5").alias("kmd5"))
-    # one row per host folder: Spark (and AQE, on exact runtime sizes) turns
-    # this join into a broadcast only while it is under the broadcast threshold
+    # One row per host folder.  Broadcast it under a proven bound (the count
+    # recorded when the frame was made, else a counted check): a join keyed on
+    # the node alone would put a node holding a third of all files in one task.
     listed = nodes.select("node").distinct().withColumn("listed", F.lit(True))
+    n_nodes = KNOWN_ROWS.get(nodes)
+    if n_nodes is None:
+        n_nodes = nodes.limit(MAX_BROADCAST_NODES + 1).count()
+    if n_nodes <= MAX_BROADCAST_NODES:
+        listed = F.broadcast(listed)
     j = l.join(s, ["node", "name"], "full_outer").join(listed, "node", "left")
 
     known, size, kmd5, md5 = F.col("known"), F.col("size"), F.col("kmd5"), F.col("cur_md5")

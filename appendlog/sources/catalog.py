@@ -9,6 +9,7 @@ reading only the first ``md5.sample.length`` bytes of each file.
 from __future__ import annotations
 
 import os
+import weakref
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -47,7 +48,19 @@ def list_nodes(spark: SparkSession, spec: PathSpec) -> DataFrame:
                         continue
         except FileNotFoundError:
             pass
-    return spark.createDataFrame([(n,) for n in sorted(nodes)], NODES_SCHEMA)
+    return node_frame(spark, nodes)
+
+
+# Row counts of node frames made here, known without running a job.
+KNOWN_ROWS: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
+
+
+def node_frame(spark: SparkSession, nodes) -> DataFrame:
+    """A ``node`` frame from names, with its row count recorded (a proven size bound)."""
+    names = sorted(set(nodes))
+    df = spark.createDataFrame([(n,) for n in names], NODES_SCHEMA)
+    KNOWN_ROWS[df] = len(names)
+    return df
 
 
 def list_files(spark: SparkSession, spec: PathSpec) -> DataFrame:

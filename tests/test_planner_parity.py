@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from appendlog.plans import rules as R
 from appendlog.plans.planner import plan
+from appendlog.sources.catalog import node_frame
 
 CAP = 10
 
@@ -40,7 +41,7 @@ def test_parity(spark):
     state = spark.createDataFrame(
         [(n, f, k, km) for n, f, k, km, s, m, l in rows if k is not None],
         "node string, name string, offset bigint, md5 string")
-    nodes = spark.createDataFrame([(n,) for n, f, k, km, s, m, l in rows if l], "node string")
+    nodes = node_frame(spark, [n for n, f, k, km, s, m, l in rows if l])
     for first_run, policy, check in itertools.product([True, False], ["earliest", "latest"], [True, False]):
         got = {
             (r.node, r.name): (r.status, r.start_offset, r.end_offset, r.md5, r.align)
