@@ -29,6 +29,7 @@ from appendlog.sources.pathspec import LOCAL_NODE, AppendLogError, PathSpec
 FORMAT = "appendlog"
 SCHEMA = StructType([StructField("value", StringType(), False)])
 IO_THREADS = 16
+MAX_RANGES_PER_TASK = 256  # file opens per task stay bounded when many files grow a little
 
 
 class FileRange(InputPartition):
@@ -185,19 +186,22 @@ class RangeBin(InputPartition):
         return f"RangeBin({len(self.pieces)} ranges)"
 
 
-def pack(pieces: list[FileRange], target: int) -> list[RangeBin]:
-    """First-fit decreasing into bins of at most ``target`` bytes (a piece is <= target)."""
-    bins: list[tuple[int, list[FileRange]]] = []
+def pack(pieces: list[FileRange], target: int, max_files: int = MAX_RANGES_PER_TASK) -> list[RangeBin]:
+    """Bins of at most ``target`` bytes and ``max_files`` ranges (a piece is <= target).
+
+    Next-fit over pieces sorted by size, largest first: linear time, and bins
+    are full except the last of each size class.
+    """
+    bins: list[list[FileRange]] = []
+    used = 0
     for p in sorted(pieces, key=lambda p: p.hi - p.lo, reverse=True):
         size = p.hi - p.lo
-        for i, (used, items) in enumerate(bins):
-            if used + size <= target:
-                items.append(p)
-                bins[i] = (used + size, items)
-                break
-        else:
-            bins.append((size, [p]))
-    return [RangeBin(items) for _, items in bins]
+        if not bins or used + size > target or len(bins[-1]) >= max_files:
+            bins.append([])
+            used = 0
+        bins[-1].append(p)
+        used += size
+    return [RangeBin(items) for items in bins]
 
 
 def partitions_between(cfg: ReadConfig, start: dict, end: dict) -> list[RangeBin]:

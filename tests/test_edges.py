@@ -272,3 +272,13 @@ def test_line_longer_than_chunk(tmp):
                 assert got == ["a", "x" * 50, "y" * 7, "last"], (chunk, hi)
     finally:
         os.close(fd)
+
+
+def test_pack_bounds_bytes_and_files():
+    from appendlog.streaming.source import FileRange, pack
+
+    pieces = [FileRange("n", f"/p{i}", 0, s, 0, s, "", 0) for i, s in enumerate([100, 60, 50, 40] + [1] * 600)]
+    bins = pack(pieces, target=100, max_files=256)
+    assert all(sum(p.hi - p.lo for p in b.pieces) <= 100 for b in bins)
+    assert all(len(b.pieces) <= 256 for b in bins)
+    assert sorted(p.path for b in bins for p in b.pieces) == sorted(p.path for p in pieces)
