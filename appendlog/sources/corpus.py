@@ -165,8 +165,10 @@ def write_lines(
         (F.octet_length("line") + 1).alias("nbytes"),
         F.floor(F.col(key) / chunk_rows).alias("chunk"),
     )
-    chunks = chunk_offsets(
-        lines.groupBy("node", "name", "chunk").agg(F.sum("nbytes").alias("chunk_bytes"))).cache()
+    # one row per (file, chunk); kept so that the two-level running sum does
+    # not scan the lines twice
+    sizes = lines.groupBy("node", "name", "chunk").agg(F.sum("nbytes").alias("chunk_bytes")).cache()
+    chunks = chunk_offsets(sizes).cache()
 
     targets = chunks.groupBy("node", "name").agg(F.sum("chunk_bytes").alias("size"))
     if remove is not None:
@@ -185,6 +187,7 @@ def write_lines(
         .write.format("noop").mode("overwrite").save()
     )
     chunks.unpersist()
+    sizes.unpersist()
 
 
 def write_snapshot(
