@@ -18,7 +18,16 @@ from appendlog.operators.state import (
     state_from_plan,
     to_offset_json,
 )
-from appendlog.streaming.job import read_stream, start_stream, drain
+from appendlog.streaming.backup import OffsetBackup, TableBackup, recover, register_backup
+from appendlog.streaming.job import (
+    attach_backup,
+    console_query,
+    drain,
+    read_stream,
+    register,
+    start_stream,
+    stream_lag,
+)
 
 __all__ = [
     "PathSpec", "parse_path", "ReadConfig", "resolve",
@@ -26,5 +35,6 @@ __all__ = [
     "plan", "align", "read_ranges",
     "bytes_behind", "carry_forward", "from_offset_json", "newer_of",
     "state_from_plan", "to_offset_json",
-    "read_stream", "start_stream", "drain",
+    "read_stream", "start_stream", "drain", "register", "attach_backup", "console_query", "stream_lag",
+    "OffsetBackup", "TableBackup", "recover", "register_backup",
 ]
