@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from appendlog.plans import rules as R
+from appendlog.session import local_frame
 
 STATE_SCHEMA = "node string, name string, offset bigint, md5 string"
 OFFSET_DDL = (
@@ -23,6 +24,11 @@ OFFSET_DDL = (
 )
 
 
+def empty_state(spark) -> DataFrame:
+    """State of a stream that has read nothing yet (first run)."""
+    return local_frame(spark, [], STATE_SCHEMA)
+
+
 def state_from_plan(planned: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """New state after a plan: every row but deleted ones, at its planned end.
 

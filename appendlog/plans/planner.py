@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from appendlog.functions.bytescan import aligned_end, tail_start
 from appendlog.plans import rules as R
 from appendlog.session import default_parallelism, ship_package
-from appendlog.sources.catalog import KNOWN_ROWS
+from appendlog.session import KNOWN_ROWS
 
 MAX_BROADCAST_NODES = 100_000  # ~ a few MB of node names
 
@@ -53,13 +53,12 @@ def plan(
     """
     if cap < 1:
         raise ValueError("bytes.max must be at least 1")
+    state_rows = KNOWN_ROWS.get(state)
     if first_run is None:
-        first_run = state.limit(1).count() == 0
+        first_run = state_rows == 0 if state_rows is not None else state.limit(1).count() == 0
     if "path" not in listing.columns:
         listing = listing.withColumn("path", F.lit(None).cast("string"))
     l = listing.select("node", "name", "path", "size", F.col("md5").alias("cur_md5"))
-    s = state.where(F.col("name").isNotNull()).select(
-        "node", "name", F.col("offset").alias("known"), F.col("md5").alias("kmd5"))
     # One row per host folder.  Broadcast it under a proven bound (the count
     # recorded when the frame was made, else a counted check): a join keyed on
     # the node alone would put a node holding a third of all files in one task.
@@ -69,7 +68,14 @@ def plan(
         n_nodes = nodes.limit(MAX_BROADCAST_NODES + 1).count()
     if n_nodes <= MAX_BROADCAST_NODES:
         listed = F.broadcast(listed)
-    j = l.join(s, ["node", "name"], "full_outer").join(listed, "node", "left")
+    if state_rows == 0:
+        # nothing saved yet: no join, every listed file is new
+        j = l.select("*", F.lit(None).cast("bigint").alias("known"), F.lit(None).cast("string").alias("kmd5"))
+    else:
+        s = state.where(F.col("name").isNotNull()).select(
+            "node", "name", F.col("offset").alias("known"), F.col("md5").alias("kmd5"))
+        j = l.join(s, ["node", "name"], "full_outer")
+    j = j.join(listed, "node", "left")
 
     known, size, kmd5, md5 = F.col("known"), F.col("size"), F.col("kmd5"), F.col("cur_md5")
     not_listed = F.col("listed").isNull()

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from appendlog.operators.ranges import read_ranges
 from appendlog.operators.state import (
+    empty_state,
     bytes_behind as _bytes_behind,
     carry_forward as _carry_forward,
     from_offset_json,
@@ -106,7 +107,7 @@ def range_plan_first(spark, sf_dir):
     root, _ = corpus(spark, sf_dir)
     spec = _spec(root, 1)
     listing = snapshot(spark, spec, SAMPLE)
-    empty = spark.createDataFrame([], "node string, name string, offset bigint, md5 string")
+    empty = empty_state(spark)
     nodes = list_nodes(spark, spec)
     out = []
     for policy in ("earliest", "latest"):
@@ -221,7 +222,7 @@ def document_lines(spark, sf_dir):
     root = scratch_dir(spark, "documents")
     _write_documents(spark, sf_dir, root)
     spec = parse_path(f"{root}/{{node}}/documents\\.log")
-    empty = spark.createDataFrame([], "node string, name string, offset bigint, md5 string")
+    empty = empty_state(spark)
     p = align(plan(snapshot(spark, spec, SAMPLE), empty, list_nodes(spark, spec),
                    policy="earliest", first_run=True))
     return read_ranges(p, split_bytes=DOC_SPLIT, verify_sample=SAMPLE)
@@ -241,7 +242,7 @@ def document_stream(spark, sf_dir):
 def line_counts_at(spark, folder):
     """Every line under ``folder`` (``<node>/<name>``) read in one batch, counted per file."""
     spec = parse_path(f"{folder}/{{node}}/{PATTERN}")
-    empty = spark.createDataFrame([], "node string, name string, offset bigint, md5 string")
+    empty = empty_state(spark)
     p = align(plan(snapshot(spark, spec, SAMPLE), empty, list_nodes(spark, spec),
                    policy="earliest", first_run=True))
     return read_ranges(p).groupBy("node", "name").agg(F.count("*").alias("lines"))

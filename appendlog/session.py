@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import SparkSession
 
@@ -115,3 +116,14 @@ def materialize(df):
     pinned = cached.checkpoint(eager=True)
     cached.unpersist()
     return pinned, n
+
+
+# Row counts of small frames built on the driver, known without running a job.
+KNOWN_ROWS: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
+
+
+def local_frame(spark: SparkSession, rows: list, schema: str):
+    """A small frame from driver-side rows, with its row count recorded."""
+    df = spark.createDataFrame(rows, schema)
+    KNOWN_ROWS[df] = len(rows)
+    return df

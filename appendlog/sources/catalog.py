@@ -9,7 +9,6 @@ reading only the first ``md5.sample.length`` bytes of each file.
 from __future__ import annotations
 
 import os
-import weakref
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -17,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from appendlog.functions.bytescan import head_md5
-from appendlog.session import default_parallelism, ship_package
+from appendlog.session import default_parallelism, local_frame, ship_package
 from appendlog.sources.pathspec import LOCAL_NODE, PathSpec
 
 LISTING_SCHEMA = "node string, name string, path string, size bigint, mtime timestamp"
@@ -51,16 +50,9 @@ def list_nodes(spark: SparkSession, spec: PathSpec) -> DataFrame:
     return node_frame(spark, nodes)
 
 
-# Row counts of node frames made here, known without running a job.
-KNOWN_ROWS: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
-
-
 def node_frame(spark: SparkSession, nodes) -> DataFrame:
     """A ``node`` frame from names, with its row count recorded (a proven size bound)."""
-    names = sorted(set(nodes))
-    df = spark.createDataFrame([(n,) for n in names], NODES_SCHEMA)
-    KNOWN_ROWS[df] = len(names)
-    return df
+    return local_frame(spark, [(n,) for n in sorted(set(nodes))], NODES_SCHEMA)
 
 
 def list_files(spark: SparkSession, spec: PathSpec) -> DataFrame:

@@ -71,3 +71,18 @@ def test_decision_table_rows():
     assert R.decide(30, "A", 30, "A", node_listed=True, **kw)[:3] == (R.UNCHANGED, 30, 30)
     assert R.decide(25, "A", 30, "A", node_listed=True, **kw)[:3] == (R.APPENDED, 25, 30)
     assert R.decide(5, "", 30, "A", node_listed=True, **kw)[:3] == (R.APPENDED, 5, 15)
+
+
+def test_empty_state_skips_the_join_with_same_result(spark):
+    from appendlog.operators.state import empty_state
+
+    listing = spark.createDataFrame(
+        [("a", "f1", 30, "x", None), ("b", "f2", 0, "", None)],
+        "node string, name string, size bigint, md5 string, path string")
+    nodes = node_frame(spark, ["a", "b", "c"])
+    unregistered = spark.createDataFrame([], "node string, name string, offset bigint, md5 string")
+    for policy in ("earliest", "latest"):
+        fast = plan(listing, empty_state(spark), nodes, policy=policy, cap=CAP)
+        assert "SortMergeJoin" not in fast._jdf.queryExecution().executedPlan().toString()
+        slow = plan(listing, unregistered, nodes, policy=policy, cap=CAP)
+        assert sorted(fast.collect()) == sorted(slow.collect())
