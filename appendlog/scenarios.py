@@ -149,10 +149,15 @@ def offset_backup(spark, sf_dir):
     return rows.groupBy("directory", "ts").agg(F.sum("offset").cast("bigint").alias("total_offset"))
 
 
-def _stream_cap(sf_dir: str, n_events: int | None = None) -> int:
+def _scale(sf_dir: str) -> float | None:
     m = re.search(r"sf([0-9.]+)", os.path.basename(os.path.normpath(sf_dir)))
-    if m:
-        return STREAM_CAP_LARGE if float(m.group(1)) >= 0.1 else STREAM_CAP_SMALL
+    return float(m.group(1)) if m else None
+
+
+def _stream_cap(sf_dir: str, n_events: int | None = None) -> int:
+    sf = _scale(sf_dir)
+    if sf is not None:
+        return STREAM_CAP_LARGE if sf >= 0.1 else STREAM_CAP_SMALL
     return STREAM_CAP_LARGE if (n_events or 0) >= 100_000 else STREAM_CAP_SMALL
 
 
@@ -232,8 +237,8 @@ def document_stream(spark, sf_dir):
     """The same texts through the stream under a cap smaller than some lines."""
     base = scratch_dir(spark, "documents-stream")
     _write_documents(spark, sf_dir, f"{base}/logs")
-    m = re.search(r"sf([0-9.]+)", os.path.basename(os.path.normpath(sf_dir)))
-    cap = DOC_STREAM_CAP_LARGE if m and float(m.group(1)) >= 0.1 else DOC_STREAM_CAP_SMALL
+    sf = _scale(sf_dir)
+    cap = DOC_STREAM_CAP_LARGE if sf is not None and sf >= 0.1 else DOC_STREAM_CAP_SMALL
     _run_stream(spark, f"{base}/logs/{{node}}/documents\\.log", f"{base}/out", f"{base}/ck",
                 **{"bytes.max": cap, "split.bytes": DOC_SPLIT})
     return spark.read.parquet(f"{base}/out")
