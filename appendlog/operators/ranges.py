@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from appendlog.functions.bytescan import head_md5
 from appendlog.functions.linescan import iter_line_arrays
-from appendlog.session import default_parallelism, materialize, ship_package
+from appendlog.session import KNOWN_ROWS, default_parallelism, materialize, ship_package
 
 LINES_SCHEMA = "node string, name string, value string"
 SPLIT_BYTES = 128 << 20
@@ -78,13 +78,18 @@ def read_ranges(
     """
     spark = ranges.sparkSession
     ship_package(spark)
+    pinned = ranges in KNOWN_ROWS
     if "md5" not in ranges.columns:
         ranges = ranges.withColumn("md5", F.lit(""))
     subs = split_ranges(ranges, split_bytes).select(
         "node", "name", "path", "start_offset", "end_offset", "lo", "hi", "md5")
-    # the sub-range table is catalog-sized; pin it so that every task reads
-    # the ranges of one plan, even if an executor is lost and files grew
-    subs, k = materialize(subs)
+    if pinned:
+        # already pinned (or built on the driver): sub-ranges follow from it deterministically
+        k = subs.count()
+    else:
+        # the sub-range table is catalog-sized; pin it so that every task reads
+        # the ranges of one plan, even if an executor is lost and files grew
+        subs, k = materialize(subs)
     n = max(1, min(k, parallelism or default_parallelism(spark) * 2))
     # an explicit partition count: the sub-range rows are tiny, so AQE would
     # otherwise coalesce all reads into one task

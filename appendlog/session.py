@@ -115,6 +115,7 @@ def materialize(df):
     n = cached.count()
     pinned = cached.checkpoint(eager=True)
     cached.unpersist()
+    KNOWN_ROWS[pinned] = n
     return pinned, n
 
 
