@@ -217,3 +217,21 @@ def test_console_query(spark, tmp):
         q.stop()
     assert q.exception() is None
     assert sum(p["numInputRows"] for p in q.recentProgress) == 1
+
+
+def test_offset_json_keeps_empty_nodes_and_parses_stream_offsets(spark):
+    from appendlog.operators.state import from_offset_json, to_offset_json
+    from appendlog.streaming.source import normalize
+
+    rows = [("n1", "a.log", 10, "m1"), ("n1", "b.log", 0, ""), ("n2", None, None, None)]
+    state = spark.createDataFrame(rows, "node string, name string, offset bigint, md5 string")
+    docs = to_offset_json(state, "/d")
+    doc = json.loads(docs.first().offset_json)
+    assert doc == {"directory": "/d", "offsets": {"n1": {"a.log": {"offset": 10, "md5": "m1"},
+                                                          "b.log": {"offset": 0, "md5": ""}}, "n2": {}}}
+    back = sorted(tuple(r) for r in from_offset_json(docs).select("node", "name", "offset", "md5").collect())
+    assert back == sorted(rows, key=lambda r: (r[0], r[1] or ""))
+    # the stream's own offset dict reads the same way
+    stream_doc = json.dumps(normalize(doc))
+    again = from_offset_json(spark.createDataFrame([(stream_doc,)], "offset_json string"))
+    assert sorted(tuple(r) for r in again.select("node", "name", "offset", "md5").collect()) == back
