@@ -13,6 +13,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from appendlog.operators.increment import read_output, settle
 from appendlog.operators.ranges import read_ranges
 from appendlog.operators.state import (
     empty_state,
@@ -208,6 +209,21 @@ def stream_latest(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+def batch_increment(spark, sf_dir):
+    """The stream_increment scenario with DataFrame batches instead of a stream:
+    snapshot 0 of the click files, batches until nothing is new, snapshot 1 in
+    place, batches again; every line of snapshot 1 once."""
+    events = _events(spark, sf_dir)
+    n = events.count()
+    base = scratch_dir(spark, "batch-increment")
+    logs, state, out = f"{base}/logs", f"{base}/state", f"{base}/out"
+    opts = {"bytes.max": _stream_cap(sf_dir, n), "md5.sample.length": SAMPLE}
+    for v in (0, 1):
+        write_snapshot(spark, events, logs, v, names=["click"], n_events=n)
+        settle(spark, f"{logs}/{{node}}/{PATTERN}", state, out, **opts)
+    return read_output(spark, out)
+
+
 DOC_NAME = "documents.log"
 DOC_SPLIT = 1 << 18  # small sub-ranges so that every file is read by several tasks
 DOC_STREAM_CAP_SMALL = 1 << 18
@@ -273,6 +289,7 @@ CHECKS = {
     "stream_drain": stream_drain,
     "stream_increment": stream_increment,
     "stream_latest": stream_latest,
+    "batch_increment": batch_increment,
     "document_lines": document_lines,
     "document_stream": document_stream,
 }
