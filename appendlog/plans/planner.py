@@ -132,7 +132,13 @@ def _align_fn(it):
         ):
             if mode == R.ALIGN_NONE or pd.isna(end):
                 continue
-            fd = os.open(path, os.O_RDONLY)
+            try:
+                fd = os.open(path, os.O_RDONLY)
+            except FileNotFoundError:  # removed since listing: read nothing now
+                if mode == R.ALIGN_TAIL:
+                    starts.iat[i] = 0
+                ends.iat[i] = starts.iat[i]
+                continue
             try:
                 if mode == R.ALIGN_TAIL:
                     e = tail_start(fd, int(size), path)
@@ -140,6 +146,8 @@ def _align_fn(it):
                     ends.iat[i] = e
                 else:
                     ends.iat[i] = aligned_end(fd, int(start), int(end), int(size), path)
+            except OSError:  # shrank since listing: hold at the start for now
+                ends.iat[i] = starts.iat[i]
             finally:
                 os.close(fd)
         pdf["start_offset"] = starts

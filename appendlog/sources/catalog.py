@@ -95,18 +95,28 @@ def list_files(spark: SparkSession, spec: PathSpec) -> DataFrame:
 def _head_md5_fn(sample: int, check: bool):
     def fn(it):
         for pdf in it:
-            sums = []
+            sums, keep = [], []
             for path, size in zip(pdf["path"], pdf["size"]):
                 if not check or size < sample:
                     sums.append("")
+                    keep.append(True)
+                    continue
+                try:
+                    fd = os.open(path, os.O_RDONLY)
+                except FileNotFoundError:  # removed since listing: not in this snapshot
+                    sums.append("")
+                    keep.append(False)
                     continue
-                fd = os.open(path, os.O_RDONLY)
                 try:
                     sums.append(head_md5(fd, int(size), sample, path))
+                    keep.append(True)
+                except OSError:  # shrank below the sample since listing
+                    sums.append("")
+                    keep.append(False)
                 finally:
                     os.close(fd)
             pdf["md5"] = sums
-            yield pdf
+            yield pdf[keep]
 
     return fn
 

@@ -68,9 +68,12 @@ def list_dir(spec: PathSpec, node: str) -> list[tuple[str, int, int, int]] | Non
             for e in it:
                 if e.name.startswith((".", "_")) or not spec.matches(e.name):
                     continue
-                if not e.is_file(follow_symlinks=True):
+                try:
+                    if not e.is_file(follow_symlinks=True):
+                        continue
+                    st = e.stat(follow_symlinks=True)
+                except FileNotFoundError:  # removed while listing
                     continue
-                st = e.stat(follow_symlinks=True)
                 out.append((e.name, st.st_size, st.st_mtime_ns, st.st_ino))
     except OSError:
         return None
@@ -149,13 +152,18 @@ class Planner:
             def one(job):
                 node, name, size, mtime, ino, k = job
                 path = spec.file_path(node, name)
-                md5 = self._md5(path, size, mtime, ino)
-                d = R.decide(
-                    None if k is None else int(k["offset"]), None if k is None else k["md5"],
-                    size, md5, node_listed=True, first_run=first_run,
-                    policy=cfg.starting_offsets, cap=cfg.max_bytes, check=cfg.md5_check,
-                )
-                end = self._align(path, d, size, (mtime, ino))
+                try:
+                    md5 = self._md5(path, size, mtime, ino)
+                    d = R.decide(
+                        None if k is None else int(k["offset"]), None if k is None else k["md5"],
+                        size, md5, node_listed=True, first_run=first_run,
+                        policy=cfg.starting_offsets, cap=cfg.max_bytes, check=cfg.md5_check,
+                    )
+                    end = self._align(path, d, size, (mtime, ino))
+                except FileNotFoundError:  # removed since listing: gone in this batch
+                    return node, name, None
+                except OSError:  # shrank since listing: keep the saved position for now
+                    return node, name, k
                 return node, name, {"offset": int(end), "md5": d.md5 or ""}
 
             results = list(pool.map(one, jobs))
@@ -171,7 +179,8 @@ class Planner:
             else:
                 new[node] = {}
         for node, name, fo in results:
-            new[node][name] = fo
+            if fo is not None:
+                new[node][name] = fo
         return normalize({"directory": spec.directory, "offsets": new})
 
 
