@@ -67,7 +67,8 @@ def list_files(spark: SparkSession, spec: PathSpec) -> DataFrame:
     before = spark.conf.get(key, None)
     spark.conf.set(key, str(default_parallelism(spark)))
     try:
-        raw = spark.read.format("binaryFile").load(spec.glob)
+        # logs rotate: a file removed between building the index and the scan is skipped
+        raw = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load(spec.glob)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return spark.createDataFrame([], LISTING_SCHEMA)

@@ -58,3 +58,12 @@ def test_positional_writer_many_chunks_one_file(spark, tmp):
     write_lines(spark, lines.where("event_id < 100"), tmp, key="event_id", chunk_rows=13)
     with open(f"{tmp}/n0/hot.log", "rb") as f:
         assert f.read() == "".join(l + "\n" for i, l in rows if i < 100).encode()
+
+
+def test_file_removed_after_listing_is_skipped(spark, tmp):
+    for i in range(3):
+        write(f"{tmp}/f{i}.log", b"z" * 100 + b"\n")
+    spec = parse_path(f"{tmp}/f[0-9]\\.log")
+    snap = snapshot(spark, spec, 16)  # the index is built here
+    os.remove(f"{tmp}/f1.log")
+    assert sorted(r.name for r in snap.collect()) == ["f0.log", "f2.log"]
