@@ -20,7 +20,6 @@ from appendlog.operators.state import (
     bytes_behind as _bytes_behind,
     carry_forward as _carry_forward,
     from_offset_json,
-    state_from_plan,
     to_offset_json,
 )
 from appendlog.plans import rules as R

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import os
 
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F

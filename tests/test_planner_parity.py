@@ -2,7 +2,6 @@
 
 import itertools
 
-from pyspark.sql import functions as F
 
 from appendlog.plans import rules as R
 from appendlog.plans.planner import plan
