@@ -42,8 +42,11 @@ class PathSpec:
 
     @property
     def glob(self) -> str:
-        """Hadoop glob of all node folders (for Spark's file listing)."""
-        return self.node_dir("*") if self.has_node else self.directory
+        """Hadoop glob of all node folders (for Spark's file listing); the
+        literal parts are escaped, only the node segment is a wildcard."""
+        if not self.has_node:
+            return _glob_escape(self.directory)
+        return f"{_glob_escape(self.prefix)}/*{_glob_escape(self.suffix)}"
 
     @property
     def node_depth(self) -> int:
@@ -54,6 +57,13 @@ class PathSpec:
         return _compiled(self.pattern).fullmatch(name) is not None
 
 
+_GLOB_SPECIAL = re.compile(r"([\\{}\[\]*?])")
+
+
+def _glob_escape(path: str) -> str:
+    return _GLOB_SPECIAL.sub(r"\\\1", path)
+
+
 _CACHE: dict[str, re.Pattern] = {}
 
 

@@ -67,3 +67,10 @@ def test_file_removed_after_listing_is_skipped(spark, tmp):
     snap = snapshot(spark, spec, 16)  # the index is built here
     os.remove(f"{tmp}/f1.log")
     assert sorted(r.name for r in snap.collect()) == ["f0.log", "f2.log"]
+
+
+def test_glob_characters_in_folder_names(spark, tmp):
+    write(f"{tmp}/logs[a]{{b}}/h1/x.log", b"1\n")
+    write(f"{tmp}/logsa{{b}}/h1/x.log", b"decoy\n")
+    spec = parse_path(f"{tmp}/logs[a]{{b}}/{{node}}/x\\.log")
+    assert [(r.node, r.size) for r in list_files(spark, spec).collect()] == [("h1", 2)]

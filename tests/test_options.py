@@ -43,6 +43,7 @@ def test_node_segment():
     s = parse_path("/logs/{node}/app/svc\\.log")
     assert s.has_node and s.prefix == "/logs" and s.suffix == "/app"
     assert s.node_dir("h1") == "/logs/h1/app" and s.glob == "/logs/*/app"
+    assert parse_path("/l[1]/{node}/x").glob == "/l\\[1\\]/*"
     assert s.node_depth == -3
     assert s.matches("svc.log") and not s.matches("svc.log.1") and not s.matches("xsvc.log")
     with pytest.raises(AppendLogError):
