@@ -74,3 +74,20 @@ def test_glob_characters_in_folder_names(spark, tmp):
     write(f"{tmp}/logsa{{b}}/h1/x.log", b"decoy\n")
     spec = parse_path(f"{tmp}/logs[a]{{b}}/{{node}}/x\\.log")
     assert [(r.node, r.size) for r in list_files(spark, spec).collect()] == [("h1", 2)]
+
+
+def test_regex_dialects_agree(spark, tmp):
+    """Spark's rlike (Java) in the batch listing and Python's re in the stream
+    select the same names for the shared regex subset."""
+    from appendlog.streaming.source import list_dir
+
+    names = ["app.log", "app.log.1", "app-2024.log", "xapp.log", "a.txt", "b.txt", "c.txt",
+             "service.log.click", "service.log.Click", "svc_01.log"]
+    for n in names:
+        write(f"{tmp}/{n}", b"x\n")
+    for pattern in [r"app\.log", r".*\.log", r"app-\d{4}\.log", r"(a|b)\.txt", r"service\.log\.[a-z]+",
+                    r"[^x].*\.log", r"svc_\d+\.log", r"app\.log(\.\d+)?"]:
+        spec = parse_path(f"{tmp}/{pattern}")
+        spark_names = sorted(r.name for r in list_files(spark, spec).collect())
+        py_names = sorted(n for n, *_ in list_dir(spec, "local"))
+        assert spark_names == py_names, pattern
