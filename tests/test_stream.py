@@ -235,3 +235,14 @@ def test_offset_json_keeps_empty_nodes_and_parses_stream_offsets(spark):
     stream_doc = json.dumps(normalize(doc))
     again = from_offset_json(spark.createDataFrame([(stream_doc,)], "offset_json string"))
     assert sorted(tuple(r) for r in again.select("node", "name", "offset", "md5").collect()) == back
+
+
+def test_table_backup_keeps_newest_records(spark, tmp):
+    t = TableBackup(f"{tmp}/bk")
+    for ts in range(1, 21):
+        t.store("/d", ts, json.dumps({"directory": "/d", "offsets": {"n": {"f": {"offset": ts, "md5": ""}}}}))
+    t.store("/other", 5, json.dumps({"directory": "/other", "offsets": {}}))
+    files = [n for n in os.listdir(f"{tmp}/bk") if n.endswith(".json")]
+    assert len(files) == 16 + 1
+    assert json.loads(t.fetch(spark, "/d"))["offsets"]["n"]["f"]["offset"] == 20
+    assert t.fetch(spark, "/missing") is None
