@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from appendlog.session import ship_package
+from appendlog.session import default_parallelism, ship_package
 
 # Fixed values of the corpus definition.
 N_NODES = 4
@@ -178,9 +178,12 @@ def write_lines(
         targets.mapInPandas(_prepare_files(root, decoys), "done long")
         .write.format("noop").mode("overwrite").save()
     )
+    # one task per chunk at most, one wave at most: independent of the
+    # session's shuffle partitions and of AQE
+    n = max(1, min(chunks.count(), 2 * default_parallelism(spark)))
     (
         lines.join(chunks.select("node", "name", "chunk", "base"), ["node", "name", "chunk"])
-        .repartition("node", "name", "chunk")
+        .repartition(n, "node", "name", "chunk")
         .sortWithinPartitions("node", "name", "chunk", "_k")
         .select("node", "name", "chunk", "base", "line")
         .mapInPandas(_write_chunks(root), "bytes long")
