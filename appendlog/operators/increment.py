@@ -16,7 +16,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from appendlog.operators.ranges import read_ranges
+from appendlog.operators.ranges import read_ranges, subrange_count
 from appendlog.operators.state import empty_state, state_from_plan
 from appendlog.plans import rules as R
 from appendlog.plans.planner import align, plan
@@ -46,17 +46,16 @@ def last_state(spark: SparkSession, state_path: str) -> tuple[int, DataFrame]:
         os.path.join(state_path, f"batch={done[-1]}"))
 
 
-def changes(planned: DataFrame, state: DataFrame, nodes: DataFrame) -> bool:
-    """Whether a plan moves any offset, registers, restarts or drops a file, or
-    registers a node; a held tail (no newline yet) is no change."""
-    moved = planned.where(
-        ~F.col("status").isin(R.UNCHANGED, R.CARRIED)
-        & ~((F.col("status") == R.APPENDED) & (F.col("end_offset") == F.col("known")))
-    )
-    if moved.limit(1).count() > 0:
-        return True
-    new_nodes = nodes.select("node").join(state.select("node"), "node", "left_anti")
-    return new_nodes.limit(1).count() > 0
+def moved(planned: DataFrame):
+    """Column: the row moves an offset, registers, restarts or drops a file (a
+    held tail, with no newline yet, is no change)."""
+    status = F.col("status")
+    return ~status.isin(R.UNCHANGED, R.CARRIED) & ~(
+        (status == R.APPENDED) & (F.col("end_offset") == F.col("known")))
+
+
+def new_nodes(state: DataFrame, nodes: DataFrame) -> bool:
+    return nodes.select("node").join(state.select("node"), "node", "left_anti").limit(1).count() > 0
 
 
 def run_increment(spark: SparkSession, path: str, state_path: str, output: str, **options) -> int | None:
@@ -71,12 +70,17 @@ def run_increment(spark: SparkSession, path: str, state_path: str, output: str,
     listing = snapshot(spark, cfg.spec, cfg.md5_sample, cfg.md5_check)
     planned, _ = materialize(align(plan(
         listing, state, nodes, policy=cfg.starting_offsets, cap=cfg.max_bytes, check=cfg.md5_check)))
-    if not changes(planned, state, nodes):
+    # one pass over the pinned plan: anything to do, and how many sub-ranges
+    stats = planned.agg(
+        F.max(moved(planned).cast("int")).alias("moved"),
+        F.sum(subrange_count(F.col("start_offset"), F.col("end_offset"), cfg.split_bytes)).alias("subs"),
+    ).first()
+    if not stats["moved"] and not new_nodes(state, nodes):
         return None
     batch = last + 1
     # restarting files (new, replaced, truncated) have empty ranges now and are
     # read from 0 by the next batch, as in the stream
-    lines = read_ranges(planned, split_bytes=cfg.split_bytes,
+    lines = read_ranges(planned, split_bytes=cfg.split_bytes, n_subranges=int(stats["subs"] or 0),
                         verify_sample=cfg.md5_sample if cfg.md5_check else None)
     lines.select("value").write.mode("overwrite").parquet(os.path.join(output, f"batch={batch}"))
     state_from_plan(planned, nodes).write.mode("overwrite").parquet(

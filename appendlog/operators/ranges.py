@@ -31,6 +31,11 @@ def split_ranges(ranges: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame
         "hi", F.least(F.col("lo") + F.lit(split_bytes), F.col("end_offset")))
 
 
+def subrange_count(start: "F.Column", end: "F.Column", split_bytes: int = SPLIT_BYTES):
+    """Column: number of sub-ranges ``split_ranges`` makes of ``[start, end)``."""
+    return F.when(end > start, F.ceil((end - start) / F.lit(split_bytes))).otherwise(0)
+
+
 def _read_fn(sample: int | None):
     out_schema = pa.schema([("node", pa.large_string()), ("name", pa.large_string()),
                             ("value", pa.large_string())])
@@ -69,12 +74,14 @@ def read_ranges(
     split_bytes: int = SPLIT_BYTES,
     parallelism: int | None = None,
     verify_sample: int | None = None,
+    n_subranges: int | None = None,
 ) -> DataFrame:
     """Lines of every range: ``node, name, value``.
 
     ``ranges`` needs ``node, name, path, start_offset, end_offset`` (and ``md5``
     when ``verify_sample`` is given: the head checksum is re-checked when the
     range is opened, so a file replaced since planning fails clearly).
+    ``n_subranges`` (see ``subrange_count``) spares a count over a pinned plan.
     """
     spark = ranges.sparkSession
     ship_package(spark)
@@ -85,7 +92,7 @@ def read_ranges(
         "node", "name", "path", "start_offset", "end_offset", "lo", "hi", "md5")
     if pinned:
         # already pinned (or built on the driver): sub-ranges follow from it deterministically
-        k = subs.count()
+        k = n_subranges if n_subranges is not None else subs.count()
     else:
         # the sub-range table is catalog-sized; pin it so that every task reads
         # the ranges of one plan, even if an executor is lost and files grew

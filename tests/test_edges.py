@@ -296,3 +296,16 @@ def test_file_removed_between_listing_and_planning(tmp):
     finally:
         source.list_dir = orig
     assert t.offset("b.log") is None and t.offset("a.log") == 2
+
+
+def test_subrange_count_matches_split(spark):
+    from pyspark.sql import functions as F
+
+    from appendlog.operators.ranges import split_ranges, subrange_count
+
+    rows = [("n", f"f{i}", "p", s, e) for i, (s, e) in enumerate([(0, 0), (0, 1), (5, 15), (0, 10), (3, 31), (7, 5)])]
+    df = spark.createDataFrame(rows, "node string, name string, path string, start_offset long, end_offset long")
+    for split in (1, 3, 10):
+        want = split_ranges(df, split).count()
+        got = df.agg(F.sum(subrange_count(F.col("start_offset"), F.col("end_offset"), split))).first()[0]
+        assert got == want, split
