@@ -77,8 +77,19 @@ def ship_package(spark: SparkSession) -> None:
     if app in _SHIPPED:
         return
     import hashlib
+    import logging
     import zipfile
 
+    try:
+        root = shared_root(spark)
+    except ValueError:
+        # the checkpoint dir is not a mounted path (e.g. HDFS): the package is
+        # then expected on the executors like any other dependency
+        logging.getLogger("appendlog").warning(
+            "spark.checkpoint.dir is not a mounted path; install appendlog on the executors")
+        _SHIPPED.add(app)
+        return
+
     pkg = os.path.dirname(os.path.abspath(__file__))
     files = []
     for base, dirs, names in os.walk(pkg):
@@ -89,7 +100,7 @@ def ship_package(spark: SparkSession) -> None:
         h.update(f.encode())
         with open(f, "rb") as fh:
             h.update(fh.read())
-    out_dir = os.path.join(shared_root(spark), "appendlog-pkg", h.hexdigest()[:16])
+    out_dir = os.path.join(root, "appendlog-pkg", h.hexdigest()[:16])
     out = os.path.join(out_dir, "appendlog.zip")
     if not os.path.exists(out):
         os.makedirs(out_dir, exist_ok=True)
@@ -110,7 +121,8 @@ def materialize(df):
     executor would otherwise re-list or re-align and give other ranges.  The
     cache only avoids computing it twice while the checkpoint is written.
     """
-    shared_root(df.sparkSession)  # makes sure a checkpoint dir is set
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        shared_root(df.sparkSession)  # tests and local runs: set a local one
     cached = df.cache()
     n = cached.count()
     pinned = cached.checkpoint(eager=True)
