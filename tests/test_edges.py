@@ -309,3 +309,13 @@ def test_subrange_count_matches_split(spark):
         want = split_ranges(df, split).count()
         got = df.agg(F.sum(subrange_count(F.col("start_offset"), F.col("end_offset"), split))).first()[0]
         assert got == want, split
+
+
+def test_node_appearing_later_is_read_from_start(tmp):
+    write(f"{tmp}/n1/a.log", b"one\n")
+    t = Tail(cfg(f"{tmp}/{{node}}/a\\.log", **{"starting.offsets": "latest"}))
+    assert t.drain() == []  # latest: existing content skipped
+    write(f"{tmp}/n2/a.log", b"early\nlater\n")  # a new host folder after the start
+    assert t.batch() == []  # registered at 0 (not a first run any more)
+    assert t.offset("a.log", "n2") == 0
+    assert t.drain() == ["early", "later"]
