@@ -246,3 +246,23 @@ def test_table_backup_keeps_newest_records(spark, tmp):
     assert len(files) == 16 + 1
     assert json.loads(t.fetch(spark, "/d"))["offsets"]["n"]["f"]["offset"] == 20
     assert t.fetch(spark, "/missing") is None
+
+
+def test_many_small_files_packed_exactly_once(spark, tmp):
+    from pyspark.sql import functions as F
+
+    from appendlog.sources.corpus import write_lines
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    lines = ev.select(
+        F.concat(F.lit("h"), (F.col("event_id") % 49).cast("string")).alias("node"),
+        F.concat(F.lit("svc.log."), "event_type", F.expr("char(97 + event_id % 2)")).alias("name"),
+        "event_id", F.concat_ws("|", F.col("event_id").cast("string"), "props").alias("line"))
+    write_lines(spark, lines, f"{tmp}/logs", key="event_id")
+    n_files = sum(len(fs) for _, _, fs in os.walk(f"{tmp}/logs"))
+    assert n_files > 300
+    q = run(spark, f"{tmp}/logs/{{node}}/svc\\.log\\.[a-z]+", f"{tmp}/out", f"{tmp}/ck", backup=False,
+            **{"bytes.max": 40})
+    assert sum(1 for p in q.recentProgress if p["numInputRows"] > 0) > 1
+    want = sorted(r.line for r in lines.collect())
+    assert sorted(values(spark, f"{tmp}/out")) == want
