@@ -46,13 +46,24 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
 
 
+_COUNTS: dict[tuple[str, str], int] = {}
+
+
+def _n_events(spark: SparkSession, sf_dir: str) -> int:
+    """Row count of ``events`` (the snapshot rule needs it), once per app."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _COUNTS:
+        _COUNTS[key] = _events(spark, sf_dir).count()
+    return _COUNTS[key]
+
+
 def corpus(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
     """Both snapshots on disk, as ``<root>/s0`` and ``<root>/s1`` (once per app)."""
     ship_package(spark)
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     if key not in _CORPORA:
         events = _events(spark, sf_dir)
-        n = events.count()
+        n = _n_events(spark, sf_dir)
         root = scratch_dir(spark, "corpus")
         for v in (0, 1):
             write_snapshot(spark, events, f"{root}/s{v}", v, n_events=n)
@@ -179,7 +190,7 @@ def _stream_dirs(spark, tag):
 
 def stream_drain(spark, sf_dir):
     events = _events(spark, sf_dir)
-    n = events.count()
+    n = _n_events(spark, sf_dir)
     logs, out, ck = _stream_dirs(spark, "stream-drain")
     write_snapshot(spark, events, logs, 1, n_events=n)
     _run_stream(spark, f"{logs}/{{node}}/{PATTERN}", out, ck, **{"bytes.max": _stream_cap(sf_dir, n)})
@@ -188,7 +199,7 @@ def stream_drain(spark, sf_dir):
 
 def stream_increment(spark, sf_dir):
     events = _events(spark, sf_dir)
-    n = events.count()
+    n = _n_events(spark, sf_dir)
     logs, out, ck = _stream_dirs(spark, "stream-increment")
     opts = {"bytes.max": _stream_cap(sf_dir, n)}
     for v in (0, 1):  # snapshot 1 extends the click files in place; restart from the checkpoint
@@ -199,7 +210,7 @@ def stream_increment(spark, sf_dir):
 
 def stream_latest(spark, sf_dir):
     events = _events(spark, sf_dir)
-    n = events.count()
+    n = _n_events(spark, sf_dir)
     logs, out, ck = _stream_dirs(spark, "stream-latest")
     opts = {"bytes.max": _stream_cap(sf_dir, n), "starting.offsets": "latest"}
     for v in (0, 1):
@@ -213,7 +224,7 @@ def batch_increment(spark, sf_dir):
     snapshot 0 of the click files, batches until nothing is new, snapshot 1 in
     place, batches again; every line of snapshot 1 once."""
     events = _events(spark, sf_dir)
-    n = events.count()
+    n = _n_events(spark, sf_dir)
     base = scratch_dir(spark, "batch-increment")
     logs, state, out = f"{base}/logs", f"{base}/state", f"{base}/out"
     opts = {"bytes.max": _stream_cap(sf_dir, n), "md5.sample.length": SAMPLE}
