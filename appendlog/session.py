@@ -10,10 +10,13 @@ import weakref
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int = 8, app: str = "appendlog") -> SparkSession:
+def local_session(cpus: int = 8, app: str = "appendlog", **conf) -> SparkSession:
     """A local session for tests and the bench (never used on a cluster)."""
+    builder = SparkSession.builder
+    for k, v in conf.items():
+        builder = builder.config(k, v)
     return (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
