@@ -31,3 +31,38 @@ def test_increment_semantics(spark, tmp):
         "r-old-" + "x" * 80, "t1", "t2", "t3", "gone",
         "r-new-" + "y" * 90, "t1", "partial", "again",
     ])
+
+
+def test_stream_planner_and_dataframe_batches_agree(spark, tmp):
+    """Batch by batch, the stream's planner and run_increment reach the same offsets."""
+    from appendlog.operators.increment import last_state
+    from tests.helpers import Tail, cfg
+
+    d = f"{tmp}/logs"
+    path = f"{d}/{{node}}/[a-z]+\\.log"
+    opts = {"md5.sample.length": 16, "bytes.max": 9}
+    tail = Tail(cfg(path, **opts))
+    state, out = f"{tmp}/state", f"{tmp}/out"
+
+    def step():
+        tail.batch()
+        run_increment(spark, path, state, out, **opts)
+        _, saved = last_state(spark, state)
+        got = {(r.node, r.name): (r.offset, r.md5) for r in saved.collect() if r.name is not None}
+        want = {(n, f): (fo["offset"], fo["md5"]) for n, files in tail.pos["offsets"].items()
+                for f, fo in files.items()}
+        assert got == want
+
+    write(f"{d}/h1/a.log", b"alpha\nbeta\ngam")
+    write(f"{d}/h2/b.log", b"x" * 20 + b"\n")
+    for _ in range(3):
+        step()
+    write(f"{d}/h1/a.log", b"ma\ndelta\n", "ab")
+    write(f"{d}/h2/c.log", b"new file\n")
+    for _ in range(3):
+        step()
+    write(f"{d}/h2/b.log", b"y" * 20 + b"\n")  # replaced (new head)
+    with open(f"{d}/h1/a.log", "r+b") as f:  # truncated
+        f.truncate(6)
+    for _ in range(4):
+        step()
