@@ -6,7 +6,8 @@ import hashlib
 import os
 
 NL = 0x0A
-BLOCK = 64 << 10
+FIRST_BLOCK = 4 << 10
+MAX_BLOCK = 1 << 20
 
 
 def read_exact(fd: int, offset: int, length: int, path: str = "?") -> bytes:
@@ -32,11 +33,21 @@ def head_md5(fd: int, size: int, sample: int, path: str = "?") -> str:
     return hashlib.md5(read_exact(fd, 0, sample, path)).hexdigest()
 
 
+def _blocks():
+    """Block sizes for newline searches: small first (a line end is usually
+    near), growing 4x up to 1 MiB, so long lines cost few reads."""
+    size = FIRST_BLOCK
+    while True:
+        yield size
+        size = min(size * 4, MAX_BLOCK)
+
+
 def last_line_end(fd: int, lo: int, hi: int, path: str = "?") -> int | None:
     """One past the last newline in bytes [lo, hi), or None."""
     pos = hi
+    sizes = _blocks()
     while pos > lo:
-        start = max(lo, pos - BLOCK)
+        start = max(lo, pos - next(sizes))
         block = read_exact(fd, start, pos - start, path)
         i = block.rfind(b"\n")
         if i >= 0:
@@ -48,8 +59,9 @@ def last_line_end(fd: int, lo: int, hi: int, path: str = "?") -> int | None:
 def first_line_end(fd: int, lo: int, hi: int, path: str = "?") -> int | None:
     """One past the first newline in bytes [lo, hi), or None."""
     pos = lo
+    sizes = _blocks()
     while pos < hi:
-        stop = min(hi, pos + BLOCK)
+        stop = min(hi, pos + next(sizes))
         block = read_exact(fd, pos, stop - pos, path)
         i = block.find(b"\n")
         if i >= 0:

@@ -13,7 +13,7 @@ import os
 import numpy as np
 import pyarrow as pa
 
-from appendlog.functions.bytescan import read_exact
+from appendlog.functions.bytescan import first_line_end, read_exact
 
 CHUNK = 8 << 20
 
@@ -22,15 +22,8 @@ def _first_owned_start(fd: int, lo: int, range_start: int, range_end: int, path:
     """First line start >= lo (lines start at range_start or after a newline)."""
     if lo <= range_start:
         return range_start
-    pos = lo - 1
-    while pos < range_end:
-        stop = min(range_end, pos + (64 << 10))
-        block = read_exact(fd, pos, stop - pos, path)
-        i = block.find(b"\n")
-        if i >= 0:
-            return pos + i + 1
-        pos = stop
-    return range_end
+    e = first_line_end(fd, lo - 1, range_end, path)
+    return range_end if e is None else e
 
 
 def _lines_array(buf: bytes) -> pa.Array:

@@ -319,3 +319,19 @@ def test_node_appearing_later_is_read_from_start(tmp):
     assert t.batch() == []  # registered at 0 (not a first run any more)
     assert t.offset("a.log", "n2") == 0
     assert t.drain() == ["early", "later"]
+
+
+def test_alignment_across_growing_blocks(tmp):
+    long = b"L" * 300_000
+    body = b"head\n" + long + b"\n" + b"tail\n"
+    write(f"{tmp}/a.log", body)
+    fd = os.open(f"{tmp}/a.log", os.O_RDONLY)
+    try:
+        n = len(body)
+        assert aligned_end(fd, 0, 5 + 200_000, n) == 5  # back across several blocks
+        assert aligned_end(fd, 5, 5 + 10, n) == 5 + len(long) + 1  # forward across several blocks
+        assert aligned_end(fd, 5 + len(long) + 1, n, n) == n
+    finally:
+        os.close(fd)
+    t = Tail(cfg(f"{tmp}/a\\.log", **{"bytes.max": 1000}))
+    assert t.drain() == ["head", "L" * 300_000, "tail"]
