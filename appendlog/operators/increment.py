@@ -68,8 +68,11 @@ def run_increment(spark: SparkSession, path: str, state_path: str, output: str,
     last, state = last_state(spark, state_path)
     nodes = list_nodes(spark, cfg.spec)
     listing = snapshot(spark, cfg.spec, cfg.md5_sample, cfg.md5_check)
+    # a saved state is never empty (an empty one means no change, and no
+    # change writes nothing), so the first run is exactly "no batch yet"
     planned, _ = materialize(align(plan(
-        listing, state, nodes, policy=cfg.starting_offsets, cap=cfg.max_bytes, check=cfg.md5_check)))
+        listing, state, nodes, policy=cfg.starting_offsets, cap=cfg.max_bytes, check=cfg.md5_check,
+        first_run=last < 0)))
     # one pass over the pinned plan: anything to do, and how many sub-ranges
     stats = planned.agg(
         F.max(moved(planned).cast("int")).alias("moved"),
