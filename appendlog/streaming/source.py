@@ -305,6 +305,11 @@ class AppendLogDataSource(DataSource):
     def schema(self):
         return SCHEMA
 
+    def reader(self, schema: StructType):
+        raise AppendLogError(
+            f"the {FORMAT} source reads streams only (spark.readStream); for batch jobs use "
+            "appendlog.snapshot / plan / align / read_ranges or operators.increment.run_increment")
+
     def streamReader(self, schema: StructType) -> DataSourceStreamReader:
         if [(f.name, f.dataType) for f in schema.fields] != [("value", StringType())]:
             raise AppendLogError(

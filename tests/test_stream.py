@@ -266,3 +266,11 @@ def test_many_small_files_packed_exactly_once(spark, tmp):
     assert sum(1 for p in q.recentProgress if p["numInputRows"] > 0) > 1
     want = sorted(r.line for r in lines.collect())
     assert sorted(values(spark, f"{tmp}/out")) == want
+
+
+def test_batch_read_is_refused_clearly(spark, tmp):
+    from appendlog.streaming.job import register
+
+    register(spark)
+    with pytest.raises(Exception, match="reads streams only"):
+        spark.read.format("appendlog").option("path", f"{tmp}/x\\.log").load().collect()
