@@ -274,3 +274,31 @@ def test_batch_read_is_refused_clearly(spark, tmp):
     register(spark)
     with pytest.raises(Exception, match="reads streams only"):
         spark.read.format("appendlog").option("path", f"{tmp}/x\\.log").load().collect()
+
+
+def test_random_appends_through_spark_stream(spark, tmp):
+    import random
+
+    rnd = random.Random(7)
+    alphabet = "ab é€😀\r"
+    files = [f"{tmp}/logs/n{i % 2}/f{i}.log" for i in range(3)]
+    for f in files:
+        write(f, b"")
+    pending = {f: "" for f in files}  # unterminated tail per file
+    expected = []
+    q = start_stream(spark, f"{tmp}/logs/{{node}}/f[0-9]\\.log", output=f"{tmp}/out", checkpoint=f"{tmp}/ck",
+                     backup=False, trigger="0 seconds",
+                     **{"bytes.max": 23, "split.bytes": 11, "md5.sample.length": 8})
+    try:
+        for _ in range(5):
+            for f in files:
+                chunk = "".join(rnd.choice(alphabet + "\n\n") for _ in range(rnd.randint(0, 40)))
+                write(f, chunk.encode(), "ab")
+                text = pending[f] + chunk
+                *done, pending[f] = text.split("\n")
+                expected += done
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    assert q.exception() is None
+    assert sorted(values(spark, f"{tmp}/out")) == sorted(expected)
