@@ -189,12 +189,12 @@ def _stream_dirs(spark, tag):
 
 
 def stream_drain(spark, sf_dir):
-    events = _events(spark, sf_dir)
-    n = _n_events(spark, sf_dir)
-    logs, out, ck = _stream_dirs(spark, "stream-drain")
-    write_snapshot(spark, events, logs, 1, n_events=n)
-    _run_stream(spark, f"{logs}/{{node}}/{PATTERN}", out, ck, **{"bytes.max": _stream_cap(sf_dir, n)})
-    return spark.read.parquet(out)
+    """Snapshot 1 drained by a stream under the cap (the files are only read)."""
+    root, n = corpus(spark, sf_dir)
+    base = scratch_dir(spark, "stream-drain")
+    _run_stream(spark, f"{root}/s1/{{node}}/{PATTERN}", f"{base}/out", f"{base}/ck",
+                **{"bytes.max": _stream_cap(sf_dir, n)})
+    return spark.read.parquet(f"{base}/out")
 
 
 def stream_increment(spark, sf_dir):
@@ -240,18 +240,26 @@ DOC_STREAM_CAP_SMALL = 1 << 18
 DOC_STREAM_CAP_LARGE = 1 << 21
 
 
-def _write_documents(spark, sf_dir, root):
-    """Every document text as lines of ``<root>/<lang>/documents.log``, in doc_id order."""
-    docs = spark.read.parquet(os.path.join(sf_dir, "documents.parquet"))
-    lines = docs.where(F.col("text").isNotNull()).select(
-        F.col("lang").alias("node"), F.lit(DOC_NAME).alias("name"), "doc_id", F.col("text").alias("line"))
-    write_lines(spark, lines, root, key="doc_id")
+_DOCS: dict[tuple[str, str], str] = {}
+
+
+def _documents(spark, sf_dir) -> str:
+    """Every document text as lines of ``<root>/<lang>/documents.log``, in
+    doc_id order (written once per app; the checks only read it)."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _DOCS:
+        root = scratch_dir(spark, "documents")
+        docs = spark.read.parquet(os.path.join(sf_dir, "documents.parquet"))
+        lines = docs.where(F.col("text").isNotNull()).select(
+            F.col("lang").alias("node"), F.lit(DOC_NAME).alias("name"), "doc_id", F.col("text").alias("line"))
+        write_lines(spark, lines, root, key="doc_id")
+        _DOCS[key] = root
+    return _DOCS[key]
 
 
 def document_lines(spark, sf_dir):
     """Whole document texts (multi-byte, long lines) read in one batch, split into sub-ranges."""
-    root = scratch_dir(spark, "documents")
-    _write_documents(spark, sf_dir, root)
+    root = _documents(spark, sf_dir)
     spec = parse_path(f"{root}/{{node}}/documents\\.log")
     empty = empty_state(spark)
     p = align(plan(snapshot(spark, spec, SAMPLE), empty, list_nodes(spark, spec),
@@ -261,11 +269,11 @@ def document_lines(spark, sf_dir):
 
 def document_stream(spark, sf_dir):
     """The same texts through the stream under a cap smaller than some lines."""
+    root = _documents(spark, sf_dir)
     base = scratch_dir(spark, "documents-stream")
-    _write_documents(spark, sf_dir, f"{base}/logs")
     sf = _scale(sf_dir)
     cap = DOC_STREAM_CAP_LARGE if sf is not None and sf >= 0.1 else DOC_STREAM_CAP_SMALL
-    _run_stream(spark, f"{base}/logs/{{node}}/documents\\.log", f"{base}/out", f"{base}/ck",
+    _run_stream(spark, f"{root}/{{node}}/documents\\.log", f"{base}/out", f"{base}/ck",
                 **{"bytes.max": cap, "split.bytes": DOC_SPLIT})
     return spark.read.parquet(f"{base}/out")
 
