@@ -7,8 +7,11 @@ bytes for planning, 4,096 bytes (65,536 from sf0.1 up) for the streams.
 
 from __future__ import annotations
 
+import ast
+import json
 import os
 import re
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -197,6 +200,46 @@ def stream_drain(spark, sf_dir):
     return spark.read.parquet(f"{base}/out")
 
 
+def _end_offset(query) -> dict:
+    """The source's end offset in the query's last progress, as a dict."""
+    end = query.lastProgress.sources[0].endOffset
+    if isinstance(end, dict):
+        return end
+    try:
+        return json.loads(end)
+    except ValueError:  # some versions render it as a Python literal
+        return ast.literal_eval(end)
+
+
+def stream_backup(spark, sf_dir):
+    """Snapshot 1 drained with offsets backed up by the query listener (table
+    provider); the newest backed-up offset, read back, sums to the file sizes."""
+    root, n = corpus(spark, sf_dir)
+    base = scratch_dir(spark, "stream-backup")
+    path = f"{root}/s1/{{node}}/{PATTERN}"
+    opts = {"md5.sample.length": SAMPLE, "bytes.max": _stream_cap(sf_dir, n),
+            "offset.backup.path": f"{base}/backup"}
+    q = start_stream(spark, path, output=f"{base}/out", checkpoint=f"{base}/ck", trigger="0 seconds", **opts)
+    try:
+        q.processAllAvailable()
+        end = _end_offset(q)
+    finally:
+        q.stop()
+    table = TableBackup(f"{base}/backup")
+    directory = parse_path(path).directory
+    # the listener runs on the listener bus: wait until it has stored the last batch
+    deadline = time.time() + 120
+    while True:
+        doc = table.fetch(spark, directory)
+        if doc is not None and json.loads(doc) == end:
+            break
+        if time.time() > deadline:
+            raise TimeoutError("the backup listener did not store the last offset")
+        time.sleep(0.2)
+    rows = from_offset_json(latest_backup(table.rows(spark)))
+    return rows.groupBy("node").agg(F.sum("offset").cast("bigint").alias("total_offset"))
+
+
 def stream_increment(spark, sf_dir):
     events = _events(spark, sf_dir)
     n = _n_events(spark, sf_dir)
@@ -307,6 +350,7 @@ CHECKS = {
     "stream_drain": stream_drain,
     "stream_increment": stream_increment,
     "stream_latest": stream_latest,
+    "stream_backup": stream_backup,
     "batch_increment": batch_increment,
     "document_lines": document_lines,
     "document_stream": document_stream,

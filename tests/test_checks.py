@@ -21,7 +21,7 @@ def test_all_keys_have_oracles():
 @pytest.mark.parametrize("key", [
     "file_select", "file_meta", "file_status", "range_plan", "range_plan_first", "range_lines",
     "bytes_behind", "carry_forward", "offset_roundtrip", "offset_backup",
-    "stream_drain", "stream_increment", "stream_latest", "batch_increment", "document_lines", "document_stream",
+    "stream_drain", "stream_increment", "stream_latest", "stream_backup", "batch_increment", "document_lines", "document_stream",
 ])
 def test_check_matches_oracle(results, key):
     assert results[key]["ok"], results[key]
