@@ -149,6 +149,7 @@ class BackupListener(StreamingQueryListener):
         self.query_id = str(query_id)
         self.provider = provider
         self.directory = directory
+        self.done = False
         self._last: str | None = None
 
     def onQueryStarted(self, event):
@@ -178,6 +179,7 @@ class BackupListener(StreamingQueryListener):
     def onQueryTerminated(self, event):
         if str(event.id) == self.query_id:
             self.provider.close()
+            self.done = True
 
 
 def recover(spark: SparkSession, local: OffsetBackup, shared: OffsetBackup, directory: str) -> str | None:

@@ -27,6 +27,9 @@ def _pickle_by_value() -> None:
             cloudpickle.register_pickle_by_value(mod)
 
 
+_LISTENERS: list[BackupListener] = []
+
+
 def register(spark: SparkSession) -> None:
     ship_package(spark)
     _pickle_by_value()
@@ -55,8 +58,12 @@ def attach_backup(spark: SparkSession, query: StreamingQuery, **options) -> Back
     """Back up the offsets of ``query`` after every completed batch."""
     opts = resolve(spark, **options)
     cfg = ReadConfig.from_options(opts)
+    for old in [x for x in _LISTENERS if x.done]:  # listeners of ended queries
+        spark.streams.removeListener(old)
+        _LISTENERS.remove(old)
     listener = BackupListener(str(query.id), get_backup(spark, cfg), cfg.spec.directory)
     spark.streams.addListener(listener)
+    _LISTENERS.append(listener)
     return listener
 
 

@@ -302,3 +302,18 @@ def test_random_appends_through_spark_stream(spark, tmp):
         q.stop()
     assert q.exception() is None
     assert sorted(values(spark, f"{tmp}/out")) == sorted(expected)
+
+
+def test_listeners_of_ended_queries_are_removed(spark, tmp):
+    import time
+
+    from appendlog.streaming import job
+
+    write(f"{tmp}/logs/a.log", b"x\n")
+    for i in range(3):
+        run(spark, f"{tmp}/logs/a\\.log", f"{tmp}/out{i}", f"{tmp}/ck{i}", **{"offset.backup.path": f"{tmp}/bk"})
+        for _ in range(50):  # termination events arrive on the listener bus
+            if all(x.done for x in job._LISTENERS):
+                break
+            time.sleep(0.1)
+    assert len(job._LISTENERS) <= 2
