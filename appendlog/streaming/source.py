@@ -198,8 +198,8 @@ class RangeBin(InputPartition):
 def pack(pieces: list[FileRange], target: int, max_files: int = MAX_RANGES_PER_TASK) -> list[RangeBin]:
     """Bins of at most ``target`` bytes and ``max_files`` ranges (a piece is <= target).
 
-    Next-fit over pieces sorted by size, largest first: linear time, and bins
-    are full except the last of each size class.
+    Next-fit decreasing: pieces sorted by size, largest first, and a bin is
+    closed when the next piece would overflow it (linear after the sort).
     """
     bins: list[list[FileRange]] = []
     used = 0
