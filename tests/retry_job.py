@@ -1,0 +1,63 @@
+"""Run by test_retry.py in its own process (local mode with task retries).
+
+Every read task fails on its first attempt after emitting lines; the retried
+attempts read the same pinned ranges, so the result holds every line once.
+"""
+
+import os
+import sys
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from pyspark import TaskContext, cloudpickle  # noqa: E402
+from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+import appendlog.operators.ranges as ranges  # noqa: E402
+from appendlog.operators.state import empty_state  # noqa: E402
+from appendlog.plans.planner import align, plan  # noqa: E402
+from appendlog.session import ship_package  # noqa: E402
+from appendlog.sources.catalog import list_nodes, snapshot  # noqa: E402
+from appendlog.sources.corpus import write_lines  # noqa: E402
+from appendlog.sources.pathspec import parse_path  # noqa: E402
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(ranges)
+
+_orig = ranges._read_fn
+
+
+def _failing_read_fn(sample):
+    inner = _orig(sample)
+
+    def fn(batches):
+        first = TaskContext.get().attemptNumber() == 0
+        for i, out in enumerate(inner(batches)):
+            yield out
+            if first and i == 0:
+                raise RuntimeError("injected loss of the first attempt")
+
+    return fn
+
+
+def main(root: str) -> None:
+    spark = (SparkSession.builder.master("local[4,3]").config("spark.ui.enabled", "false")
+             .config("spark.sql.shuffle.partitions", "4").getOrCreate())
+    spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    lines = ev.select(F.concat(F.lit("n"), (F.col("user_id") % 3).cast("string")).alias("node"),
+                      F.lit("a.log").alias("name"), "event_id",
+                      F.concat_ws("|", F.col("event_id").cast("string"), "props").alias("line"))
+    write_lines(spark, lines, f"{root}/logs", key="event_id")
+    spec = parse_path(f"{root}/logs/{{node}}/a\\.log")
+    p = align(plan(snapshot(spark, spec), empty_state(spark), list_nodes(spark, spec), first_run=True))
+    ranges._read_fn = _failing_read_fn
+    got = sorted(r.value for r in ranges.read_ranges(p, split_bytes=4096).collect())
+    want = sorted(r.line for r in lines.collect())
+    print("RESULT", "ok" if got == want else f"mismatch {len(got)} vs {len(want)}")
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main(sys.argv[1])
