@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import appendlog.operators.ranges as ranges  # noqa: E402
+import appendlog.sources.corpus as corpus  # noqa: E402
 from appendlog.operators.state import empty_state  # noqa: E402
 from appendlog.plans.planner import align, plan  # noqa: E402
 from appendlog.session import ship_package  # noqa: E402
@@ -23,8 +24,23 @@ from appendlog.sources.pathspec import parse_path  # noqa: E402
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(ranges)
+cloudpickle.register_pickle_by_value(corpus)
 
 _orig = ranges._read_fn
+_orig_write = corpus._write_chunks
+
+
+def _failing_write_chunks(root):
+    inner = _orig_write(root)
+
+    def fn(batches):
+        first = TaskContext.get().attemptNumber() == 0
+        for out in inner(batches):
+            yield out
+            if first:
+                raise RuntimeError("injected loss of a writer attempt")
+
+    return fn
 
 
 def _failing_read_fn(sample):
@@ -49,7 +65,15 @@ def main(root: str) -> None:
     lines = ev.select(F.concat(F.lit("n"), (F.col("user_id") % 3).cast("string")).alias("node"),
                       F.lit("a.log").alias("name"), "event_id",
                       F.concat_ws("|", F.col("event_id").cast("string"), "props").alias("line"))
-    write_lines(spark, lines, f"{root}/logs", key="event_id")
+    corpus._write_chunks = _failing_write_chunks
+    write_lines(spark, lines, f"{root}/logs", key="event_id", chunk_rows=64)
+    corpus._write_chunks = _orig_write
+    for node in ("n0", "n1", "n2"):
+        body = "".join(r.line + "\n" for r in lines.where(F.col("node") == node).orderBy("event_id").collect())
+        with open(f"{root}/logs/{node}/a.log", "rb") as f:
+            if f.read() != body.encode():
+                print("RESULT writer mismatch", node)
+                return
     spec = parse_path(f"{root}/logs/{{node}}/a\\.log")
     p = align(plan(snapshot(spark, spec), empty_state(spark), list_nodes(spark, spec), first_run=True))
     ranges._read_fn = _failing_read_fn
