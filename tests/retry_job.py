@@ -15,6 +15,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 import appendlog.operators.ranges as ranges  # noqa: E402
 import appendlog.sources.corpus as corpus  # noqa: E402
+import appendlog.streaming.source as source  # noqa: E402
 from appendlog.operators.state import empty_state  # noqa: E402
 from appendlog.plans.planner import align, plan  # noqa: E402
 from appendlog.session import ship_package  # noqa: E402
@@ -25,6 +26,7 @@ from appendlog.sources.pathspec import parse_path  # noqa: E402
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(ranges)
 cloudpickle.register_pickle_by_value(corpus)
+cloudpickle.register_pickle_by_value(source)
 
 _orig = ranges._read_fn
 _orig_write = corpus._write_chunks
@@ -56,6 +58,17 @@ def _failing_read_fn(sample):
     return fn
 
 
+_orig_range = source.read_range
+
+
+def _failing_read_range(p):
+    first = TaskContext.get().attemptNumber() == 0
+    for i, batch in enumerate(_orig_range(p)):
+        yield batch
+        if first and i == 0:
+            raise RuntimeError("injected loss of a stream read attempt")
+
+
 def main(root: str) -> None:
     spark = (SparkSession.builder.master("local[4,3]").config("spark.ui.enabled", "false")
              .config("spark.sql.shuffle.partitions", "4").getOrCreate())
@@ -79,7 +92,22 @@ def main(root: str) -> None:
     ranges._read_fn = _failing_read_fn
     got = sorted(r.value for r in ranges.read_ranges(p, split_bytes=4096).collect())
     want = sorted(r.line for r in lines.collect())
-    print("RESULT", "ok" if got == want else f"mismatch {len(got)} vs {len(want)}")
+    if got != want:
+        print("RESULT", f"mismatch {len(got)} vs {len(want)}")
+        return
+    # the stream: a failed read attempt inside a micro-batch is retried by Spark
+    from appendlog.streaming.job import start_stream
+
+    source.read_range = _failing_read_range
+    q = start_stream(spark, f"{root}/logs/{{node}}/a\\.log", output=f"{root}/out", checkpoint=f"{root}/ck",
+                     backup=False, trigger="0 seconds",
+                     **{"bytes.max": 2048, "split.bytes": 1024, "offset.backup.provider": "none"})
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    streamed = sorted(r.value for r in spark.read.parquet(f"{root}/out").collect())
+    print("RESULT", "ok" if streamed == want else f"stream mismatch {len(streamed)} vs {len(want)}")
     spark.stop()
 
 

@@ -9,3 +9,4 @@ def test_writes_and_reads_survive_failed_task_attempts(tmp):
     assert "RESULT ok" in out.stdout, out.stdout[-2000:] + out.stderr[-4000:]
     assert "injected loss of the first attempt" in out.stderr  # the failures did happen
     assert "injected loss of a writer attempt" in out.stderr
+    assert "injected loss of a stream read attempt" in out.stderr
