@@ -4,13 +4,16 @@ state, read the new ranges, write them, then save the new state.
 Everything runs on executors (listing, checksums, alignment, reads), so this
 is the path for file counts too large for the stream source's driver-side
 planner.  Layout under ``state_path``: ``batch=<n>/`` holds the state after
-batch ``n``.  Lines of batch ``n`` go to ``<output>/batch=<n>/``; a batch that
-failed before its state was saved is planned and written again under the same
-number (its output folder overwritten), so each line lands once.
+batch ``n`` (parquet) and ``_nodes.json``, the node names it knows, written
+last to mark the batch complete.  Lines of batch ``n`` go to
+``<output>/batch=<n>/``; a batch that failed before it was marked complete is
+planned and written again under the same number (its output folder
+overwritten), so each line lands once.
 """
 
 from __future__ import annotations
 
+import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +24,7 @@ from appendlog.operators.state import empty_state, state_from_plan
 from appendlog.plans import rules as R
 from appendlog.plans.planner import align, plan
 from appendlog.session import materialize
-from appendlog.sources.catalog import list_nodes, snapshot
+from appendlog.sources.catalog import node_frame, node_names, snapshot
 from appendlog.sources.options import ReadConfig, resolve
 
 STATE_SCHEMA = "node string, name string, offset bigint, md5 string"
@@ -32,7 +35,8 @@ def _batches(path: str) -> list[int]:
         return []
     out = []
     for n in os.listdir(path):
-        if n.startswith("batch=") and os.path.exists(os.path.join(path, n, "_SUCCESS")):
+        done = all(os.path.exists(os.path.join(path, n, m)) for m in ("_SUCCESS", NODES_FILE))
+        if n.startswith("batch=") and done:  # the nodes file is written last
             out.append(int(n[len("batch="):]))
     return sorted(out)
 
@@ -54,8 +58,15 @@ def moved(planned: DataFrame):
         (status == R.APPENDED) & (F.col("end_offset") == F.col("known")))
 
 
-def new_nodes(state: DataFrame, nodes: DataFrame) -> bool:
-    return nodes.select("node").join(state.select("node"), "node", "left_anti").limit(1).count() > 0
+NODES_FILE = "_nodes.json"  # Spark readers skip names starting with "_"
+
+
+def saved_nodes(state_path: str, batch: int) -> set[str]:
+    """Node names known to the state of ``batch`` (host folders: a small set)."""
+    if batch < 0:
+        return set()
+    with open(os.path.join(state_path, f"batch={batch}", NODES_FILE), encoding="utf-8") as f:
+        return set(json.load(f))
 
 
 def run_increment(spark: SparkSession, path: str, state_path: str, output: str, **options) -> int | None:
@@ -66,7 +77,9 @@ def run_increment(spark: SparkSession, path: str, state_path: str, output: str,
     """
     cfg = ReadConfig.from_options(resolve(spark, path=path, **options))
     last, state = last_state(spark, state_path)
-    nodes = list_nodes(spark, cfg.spec)
+    names = node_names(cfg.spec)
+    nodes = node_frame(spark, names)
+    known_nodes = saved_nodes(state_path, last)
     listing = snapshot(spark, cfg.spec, cfg.md5_sample, cfg.md5_check)
     # a saved state is never empty (an empty one means no change, and no
     # change writes nothing), so the first run is exactly "no batch yet"
@@ -78,7 +91,7 @@ def run_increment(spark: SparkSession, path: str, state_path: str, output: str,
         F.max(moved(planned).cast("int")).alias("moved"),
         F.sum(subrange_count(F.col("start_offset"), F.col("end_offset"), cfg.split_bytes)).alias("subs"),
     ).first()
-    if not stats["moved"] and not new_nodes(state, nodes):
+    if not stats["moved"] and set(names) <= known_nodes:
         return None
     batch = last + 1
     # restarting files (new, replaced, truncated) have empty ranges now and are
@@ -86,8 +99,12 @@ def run_increment(spark: SparkSession, path: str, state_path: str, output: str,
     lines = read_ranges(planned, split_bytes=cfg.split_bytes, n_subranges=int(stats["subs"] or 0),
                         verify_sample=cfg.md5_sample if cfg.md5_check else None)
     lines.select("value").write.mode("overwrite").parquet(os.path.join(output, f"batch={batch}"))
-    state_from_plan(planned, nodes).write.mode("overwrite").parquet(
-        os.path.join(state_path, f"batch={batch}"))
+    folder = os.path.join(state_path, f"batch={batch}")
+    state_from_plan(planned, nodes).write.mode("overwrite").parquet(folder)
+    tmp = os.path.join(folder, "." + NODES_FILE)
+    with open(tmp, "w", encoding="utf-8") as f:
+        json.dump(sorted(known_nodes | set(names)), f)  # unlisted nodes are carried, so kept
+    os.replace(tmp, os.path.join(folder, NODES_FILE))  # marks the batch complete
     return batch
 
 

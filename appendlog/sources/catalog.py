@@ -23,30 +23,34 @@ SNAPSHOT_SCHEMA = "node string, name string, path string, size bigint, mtime tim
 NODES_SCHEMA = "node string"
 
 
-def list_nodes(spark: SparkSession, spec: PathSpec) -> DataFrame:
-    """Node folders that can be read now.
+def node_names(spec: PathSpec) -> list[str]:
+    """Names of the node folders that can be read now (listed on the driver).
 
-    The set is bounded by the number of hosts writing logs; it is listed once
-    on the driver.  A folder that fails to list (I/O error) is left out: its
-    files are then carried forward, not forgotten.
+    The set is bounded by the number of hosts writing logs.  A folder that
+    fails to list (I/O error) is left out: its files are then carried
+    forward, not forgotten.
     """
     if not spec.has_node:
-        nodes = [LOCAL_NODE] if os.path.isdir(spec.directory) else []
-    else:
-        nodes = []
-        try:
-            with os.scandir(spec.prefix) as it:
-                for entry in it:
-                    if entry.name.startswith((".", "_")) or not entry.is_dir():
-                        continue
-                    try:
-                        with os.scandir(spec.node_dir(entry.name)):
-                            nodes.append(entry.name)
-                    except OSError:
-                        continue
-        except FileNotFoundError:
-            pass
-    return node_frame(spark, nodes)
+        return [LOCAL_NODE] if os.path.isdir(spec.directory) else []
+    nodes = []
+    try:
+        with os.scandir(spec.prefix) as it:
+            for entry in it:
+                if entry.name.startswith((".", "_")) or not entry.is_dir():
+                    continue
+                try:
+                    with os.scandir(spec.node_dir(entry.name)):
+                        nodes.append(entry.name)
+                except OSError:
+                    continue
+    except FileNotFoundError:
+        pass
+    return sorted(nodes)
+
+
+def list_nodes(spark: SparkSession, spec: PathSpec) -> DataFrame:
+    """Node folders that can be read now, as a frame with a recorded row count."""
+    return node_frame(spark, node_names(spec))
 
 
 def node_frame(spark: SparkSession, nodes) -> DataFrame:
