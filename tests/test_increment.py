@@ -66,3 +66,17 @@ def test_stream_planner_and_dataframe_batches_agree(spark, tmp):
         f.truncate(6)
     for _ in range(4):
         step()
+
+
+def test_batch_not_marked_complete_is_redone_once(spark, tmp):
+    from appendlog.operators.increment import NODES_FILE
+
+    write(f"{tmp}/logs/a.log", b"".join(b"line%02d\n" % i for i in range(20)))
+    path, state, out = f"{tmp}/logs/a\\.log", f"{tmp}/state", f"{tmp}/out"
+    opts = {"bytes.max": 50}
+    assert run_increment(spark, path, state, out, **opts) == 0
+    assert run_increment(spark, path, state, out, **opts) == 1
+    os.remove(f"{state}/batch=1/{NODES_FILE}")  # crashed after writing, before marking batch 1 complete
+    assert run_increment(spark, path, state, out, **opts) == 1  # redone under the same number
+    settle(spark, path, state, out, **opts)
+    assert sorted(r.value for r in read_output(spark, out).collect()) == ["line%02d" % i for i in range(20)]
