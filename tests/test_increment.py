@@ -80,3 +80,40 @@ def test_batch_not_marked_complete_is_redone_once(spark, tmp):
     assert run_increment(spark, path, state, out, **opts) == 1  # redone under the same number
     settle(spark, path, state, out, **opts)
     assert sorted(r.value for r in read_output(spark, out).collect()) == ["line%02d" % i for i in range(20)]
+
+
+def test_random_operations_keep_both_planners_equal(spark, tmp):
+    import random
+
+    from appendlog.operators.increment import last_state
+    from tests.helpers import Tail, cfg
+
+    rnd = random.Random(11)
+    d = f"{tmp}/logs"
+    path = f"{d}/{{node}}/[a-z]\\.log"
+    opts = {"md5.sample.length": 6, "bytes.max": 13}
+    tail = Tail(cfg(path, **opts))
+    state, out = f"{tmp}/state", f"{tmp}/out"
+    names = [f"{d}/h{i % 2}/{c}.log" for i, c in enumerate("abcd")]
+    alphabet = "xyé\n\n"
+    for n in names[:2]:
+        write(n, b"seed\n")
+    for step in range(12):
+        target = rnd.choice(names)
+        op = rnd.random()
+        if op < 0.6 or not os.path.exists(target):
+            write(target, "".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 30))).encode(), "ab")
+        elif op < 0.75:
+            with open(target, "r+b") as f:
+                f.truncate(rnd.randint(0, os.path.getsize(target)))
+        elif op < 0.9:
+            write(target, "".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 30))).encode())
+        else:
+            os.remove(target)
+        tail.batch()
+        run_increment(spark, path, state, out, **opts)
+        _, saved = last_state(spark, state)
+        got = {(r.node, r.name): (r.offset, r.md5) for r in saved.collect() if r.name is not None}
+        want = {(n, f): (fo["offset"], fo["md5"]) for n, files in tail.pos["offsets"].items()
+                for f, fo in files.items()}
+        assert got == want, step
