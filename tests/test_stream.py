@@ -85,7 +85,7 @@ def test_backup_then_start_without_checkpoint(spark, tmp):
     import time
 
     table = TableBackup(bk)
-    for _ in range(50):
+    for _ in range(300):
         rows = table.rows(spark).collect()
         if rows and json.loads(max(rows, key=lambda r: r.ts).offset_json)["offsets"]:
             break
@@ -312,7 +312,7 @@ def test_listeners_of_ended_queries_are_removed(spark, tmp):
     write(f"{tmp}/logs/a.log", b"x\n")
     for i in range(3):
         run(spark, f"{tmp}/logs/a\\.log", f"{tmp}/out{i}", f"{tmp}/ck{i}", **{"offset.backup.path": f"{tmp}/bk"})
-        for _ in range(50):  # termination events arrive on the listener bus
+        for _ in range(300):  # termination events arrive on the listener bus
             if all(x.done for x in job._LISTENERS):
                 break
             time.sleep(0.1)
