@@ -23,6 +23,7 @@ from appendlog.streaming.job import (
     attach_backup,
     console_query,
     drain,
+    end_offset,
     read_stream,
     register,
     start_stream,
@@ -35,6 +36,6 @@ __all__ = [
     "plan", "align", "read_ranges",
     "bytes_behind", "carry_forward", "from_offset_json", "newer_of",
     "state_from_plan", "to_offset_json",
-    "read_stream", "start_stream", "drain", "register", "attach_backup", "console_query", "stream_lag",
+    "read_stream", "start_stream", "drain", "register", "attach_backup", "console_query", "stream_lag", "end_offset",
     "OffsetBackup", "TableBackup", "recover", "register_backup",
 ]

@@ -7,7 +7,6 @@ bytes for planning, 4,096 bytes (65,536 from sf0.1 up) for the streams.
 
 from __future__ import annotations
 
-import ast
 import json
 import os
 import re
@@ -32,7 +31,7 @@ from appendlog.sources.catalog import list_files, list_nodes, snapshot
 from appendlog.sources.corpus import write_lines, write_snapshot
 from appendlog.sources.pathspec import parse_path
 from appendlog.streaming.backup import TableBackup, latest_backup
-from appendlog.streaming.job import start_stream
+from appendlog.streaming.job import end_offset, start_stream
 
 # Fixed values of the checks.
 PATTERN = r"service\.log\.[a-z]+"
@@ -200,17 +199,6 @@ def stream_drain(spark, sf_dir):
     return spark.read.parquet(f"{base}/out")
 
 
-def _end_offset(query) -> dict:
-    """The source's end offset in the query's last progress, as a dict."""
-    end = query.lastProgress.sources[0].endOffset
-    if isinstance(end, dict):
-        return end
-    try:
-        return json.loads(end)
-    except ValueError:  # some versions render it as a Python literal
-        return ast.literal_eval(end)
-
-
 def stream_backup(spark, sf_dir):
     """Snapshot 1 drained with offsets backed up by the query listener (table
     provider); the newest backed-up offset, read back, sums to the file sizes."""
@@ -222,7 +210,7 @@ def stream_backup(spark, sf_dir):
     q = start_stream(spark, path, output=f"{base}/out", checkpoint=f"{base}/ck", trigger="0 seconds", **opts)
     try:
         q.processAllAvailable()
-        end = _end_offset(q)
+        end = end_offset(q)
     finally:
         q.stop()
     table = TableBackup(f"{base}/backup")

@@ -128,14 +128,35 @@ if __name__ == "__main__":
     console_job(sys.argv[1], sys.argv[2])
 
 
-def stream_lag(spark: SparkSession, offset_json: str, path: str, **options) -> DataFrame:
+def end_offset(query: StreamingQuery) -> dict | None:
+    """The appendlog source's end offset in the query's last progress, as a dict."""
+    import ast
+    import json
+
+    progress = query.lastProgress
+    if progress is None or not progress.sources:
+        return None
+    end = progress.sources[0].endOffset
+    if end is None or isinstance(end, dict):
+        return end
+    try:
+        return json.loads(end)
+    except ValueError:  # some versions render it as a Python literal
+        return ast.literal_eval(end)
+
+
+def stream_lag(spark: SparkSession, offset_json, path: str, **options) -> DataFrame:
     """Bytes each file is behind a stream's position (T13): ``node, name, status, bytes_behind``.
 
-    ``offset_json`` is a stream offset, e.g. ``query.lastProgress["sources"][0]["endOffset"]``
-    or a backed-up one; the files are listed now, with the stream's own options.
+    ``offset_json`` is a running ``StreamingQuery``, a stream offset (dict or
+    JSON) or a backed-up one; the files are listed now, with the stream's own
+    options.
     """
     import json
 
+    if isinstance(offset_json, StreamingQuery):
+        offset_json = end_offset(offset_json)
+
     from pyspark.sql import functions as F
 
     from appendlog.operators.state import bytes_behind, from_offset_json

@@ -317,3 +317,18 @@ def test_listeners_of_ended_queries_are_removed(spark, tmp):
                 break
             time.sleep(0.1)
     assert len(job._LISTENERS) <= 2
+
+
+def test_stream_lag_of_a_running_query(spark, tmp):
+    from appendlog.streaming.job import end_offset, stream_lag
+
+    write(f"{tmp}/logs/a.log", b"x" * 9 + b"\n")
+    path = f"{tmp}/logs/a\\.log"
+    q = start_stream(spark, path, output=f"{tmp}/out", checkpoint=f"{tmp}/ck", backup=False, trigger="0 seconds")
+    try:
+        q.processAllAvailable()
+        assert end_offset(q)["offsets"]["local"]["a.log"]["offset"] == 10
+        write(f"{tmp}/logs/a.log", b"more\n", "ab")
+        assert [(r.name, r.bytes_behind) for r in stream_lag(spark, q, path).collect()] == [("a.log", 5)]
+    finally:
+        q.stop()
