@@ -19,7 +19,9 @@ from __future__ import annotations
 
 import os
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -95,16 +97,40 @@ def _prepare_files(root: str, decoys: bool):
     return fn
 
 
+def _joined(lines: pa.Array) -> bytes:
+    """The lines of a string array, each followed by a newline, as one buffer
+    (numpy inserts the newlines; no per-line Python)."""
+    wide = pa.types.is_large_string(lines.type)
+    offsets = np.frombuffer(lines.buffers()[1], dtype=np.int64 if wide else np.int32)
+    offsets = offsets[lines.offset: lines.offset + len(lines) + 1].astype(np.int64)
+    values = lines.buffers()[2]
+    data = (np.frombuffer(values, dtype=np.uint8)[offsets[0]:offsets[-1]] if values is not None
+            else np.empty(0, dtype=np.uint8))
+    return np.insert(data, offsets[1:] - offsets[0], 0x0A).tobytes()
+
+
 def _write_chunks(root: str):
-    def fn(it):
+    """Arrow batches sorted by (node, name, chunk, key): each run of one chunk
+    is written with one ``pwrite`` at its offset."""
+
+    def fn(batches):
         fds: dict[str, int] = {}
         nxt: dict[tuple, int] = {}
         try:
-            for pdf in it:
+            for batch in batches:
                 written = 0
-                if len(pdf):
-                    keys = ["node", "name", "chunk"]
-                    for key, g in pdf.groupby(keys, sort=False):
+                n = batch.num_rows
+                if n:
+                    node = batch.column(0).to_numpy(zero_copy_only=False)
+                    name = batch.column(1).to_numpy(zero_copy_only=False)
+                    chunk = batch.column(2).to_numpy()
+                    base = batch.column(3).to_numpy()
+                    lines = batch.column(4)
+                    cut = np.flatnonzero(
+                        (node[1:] != node[:-1]) | (name[1:] != name[:-1]) | (chunk[1:] != chunk[:-1])) + 1
+                    for a, b in zip(np.concatenate([[0], cut]), np.concatenate([cut, [n]])):
+                        a, b = int(a), int(b)
+                        key = (node[a], name[a], int(chunk[a]))
                         path = os.path.join(root, key[0], key[1])
                         fd = fds.get(path)
                         if fd is None:
@@ -113,12 +139,12 @@ def _write_chunks(root: str):
                                     os.close(v)
                                 fds.clear()
                             fd = fds[path] = os.open(path, os.O_WRONLY)
-                        at = nxt.pop(key, int(g["base"].iloc[0]))
-                        data = ("\n".join(g["line"]) + "\n").encode("utf-8")
+                        at = nxt.pop(key, int(base[a]))
+                        data = _joined(lines.slice(a, b - a))
                         os.pwrite(fd, data, at)
                         nxt[key] = at + len(data)
                         written += len(data)
-                yield pd.DataFrame({"bytes": [written]}, dtype="int64")
+                yield pa.RecordBatch.from_arrays([pa.array([written], type=pa.int64())], names=["bytes"])
         finally:
             for v in fds.values():
                 os.close(v)
@@ -186,7 +212,7 @@ def write_lines(
         .repartition(n, "node", "name", "chunk")
         .sortWithinPartitions("node", "name", "chunk", "_k")
         .select("node", "name", "chunk", "base", "line")
-        .mapInPandas(_write_chunks(root), "bytes long")
+        .mapInArrow(_write_chunks(root), "bytes long")
         .write.format("noop").mode("overwrite").save()
     )
     chunks.unpersist()
