@@ -1,10 +1,12 @@
 """Quality rules as weak supervision, in DataFrame functions only.
 
 Each rule votes low (-1), abstains (0) or votes good (1) on a text.  A
-two-class latent model (low, good) with one outcome distribution per rule and
+two-class latent model (low, good) with one vote distribution per rule and
 class is fitted by expectation-maximisation over the counts of vote patterns
 (at most 3 to the number of rules, whatever the input's size), over all rows.
-The posterior probability of "good" replaces all-must-pass filtering.
+An abstention says nothing about the class, so one reliable low vote is not
+outvoted by rules that look for other faults.  The posterior probability of
+"good" replaces all-must-pass filtering.
 
 Null texts have no words; they and empty texts fail the base test (under 10
 words).  Texts are read whole.  Repeated rows count as often as they occur; an
@@ -83,25 +85,25 @@ def features(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
             _spread(F.col("at"), WINDOW))).drop("h", "at")
 
 
-def _vote(low: Column, good: Column) -> Column:
-    return F.coalesce(F.when(low, -1).when(good, 1).otherwise(0), F.lit(0)).cast("int")
+def _vote(low: Column, good: Column | None = None) -> Column:
+    vote = F.when(low, -1)
+    return F.coalesce(vote if good is None else vote.when(good, 1), F.lit(0)).cast("int")
 
 
 def rules() -> dict[str, Column]:
     """Rule name -> vote (-1 low, 0 abstain, 1 good) over ``features``."""
     n, chars = F.greatest(F.col("n_words"), F.lit(1)), F.greatest(F.col("word_chars"), F.lit(1))
     letters = F.greatest(F.col("n_letters"), F.lit(1))
-    length = F.col("word_chars") / n
+    lines, length = F.greatest(F.col("n_lines"), F.lit(1)), F.col("word_chars") / n
     return {
         "length": _vote(F.col("n_words") < MIN_WORDS, F.col("n_words") >= 50),
-        "repeats": _vote(F.col("n_repeat_words") / n > 0.15, F.col("n_repeat_words") / n < 0.05),
-        "symbols": _vote(F.col("n_symbols") / chars > 0.08, F.col("n_symbols") / chars < 0.01),
-        "capitals": _vote(F.col("n_upper") / letters > 0.4, F.col("n_upper") / letters < 0.15),
-        "shouts": _vote(F.col("n_shouts") / n > 0.25, F.col("n_shouts") / n < 0.05),
-        "letters": _vote(F.col("n_letters") / chars < 0.65, F.col("n_letters") / chars > 0.85),
-        "lines": _vote((F.col("n_dup_lines") > 2) & (F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)) > 0.4),
-                       F.col("n_dup_lines") == 0),
-        "word_length": _vote((length < 2.5) | (length > 14), (length > 3.5) & (length < 10)),
+        "repeats": _vote(F.col("n_repeat_words") / n > 0.15, F.col("n_repeat_words") == 0),
+        "symbols": _vote(F.col("n_symbols") / chars > 0.05),
+        "capitals": _vote(F.col("n_upper") / letters > 0.3),
+        "shouts": _vote(F.col("n_shouts") / n > 0.2),
+        "letters": _vote(F.col("n_letters") / chars < 0.65, F.col("n_letters") / chars > 0.93),
+        "lines": _vote((F.col("n_dup_lines") > 2) & (F.col("n_dup_lines") / lines > 0.4)),
+        "word_length": _vote((length < 2.5) | (length > 14)),
     }
 
 
@@ -114,18 +116,19 @@ def fit(votes: DataFrame, names: list[str]) -> tuple[float, dict[tuple[str, int]
     low"; patterns are read in a fixed order, so the fit is repeatable.
     """
     patterns = sorted((tuple(r[n] for n in names), r["count"]) for r in votes.groupBy(*names).count().collect())
-    good = [0.05 if -1 in p else 0.95 for p, _ in patterns]
+    good = [0.02 if -1 in p else 0.98 for p, _ in patterns]
     prior, weight = 0.0, {(n, v): 0.0 for n in names for v in (-1, 0, 1)}
     for _ in range(ITERATIONS if patterns else 0):
         n_good = sum(c * g for (_, c), g in zip(patterns, good, strict=True))
         n_low = sum(c * (1 - g) for (_, c), g in zip(patterns, good, strict=True))
         prior = log((n_good + SMOOTH) / (n_low + SMOOTH))
         for i, name in enumerate(names):
-            for v in (-1, 0, 1):
+            for v in (-1, 1):
                 mine = [(c, g) for (p, c), g in zip(patterns, good, strict=True) if p[i] == v]
                 p_good = (sum(c * g for c, g in mine) + SMOOTH) / (n_good + 3 * SMOOTH)
                 p_low = (sum(c * (1 - g) for c, g in mine) + SMOOTH) / (n_low + 3 * SMOOTH)
-                weight[name, v] = log(p_good / p_low)
+                # rules are better than chance: a vote never counts for the other side
+                weight[name, v] = max(0.0, log(p_good / p_low)) if v > 0 else min(0.0, log(p_good / p_low))
         odds = [prior + sum(weight[n, v] for n, v in zip(names, p, strict=True)) for p, _ in patterns]
         good = [1 / (1 + exp(-max(-500.0, min(500.0, o)))) for o in odds]
     return prior, weight
