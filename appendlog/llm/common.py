@@ -76,3 +76,42 @@ def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once per row, however often the
     body (lambdas included) refers to it."""
     return F.get(F.transform(F.array(value), body), 0)
+
+
+#: Rows up to which a pinned side of a join may be broadcast (two or three longs each).
+BROADCAST_ROWS = 400_000
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """A pinned narrow table, marked for broadcast if it is small enough;
+    beyond that the join shuffles (and AQE splits hot keys)."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def components(links: DataFrame, tag: str = "links") -> DataFrame:
+    """``node, component`` (smallest node it reaches) for every node of the
+    undirected ``links`` (columns ``a, b``), by alternating star contraction.
+
+    Each round hangs a node's neighbours on the smallest of them; rounds go on
+    until the edges stay as they are.  Every table is pinned.
+    """
+    edges = pinned(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+                   .where("u <> v").distinct(), tag)
+    mark = None
+    while True:
+        # larger neighbours go to the smallest of a node and its neighbours
+        both = edges.union(edges.select("v", "u"))
+        low = pinned(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"{tag}-low")
+        large = pinned(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                       .where("u <> v").distinct(), f"{tag}-large")
+        # then a node and its smaller neighbours go to the smallest neighbour
+        low = pinned(large.groupBy("u").agg(F.min("v").alias("m")), f"{tag}-low")
+        small = large.join(low, "u").select(F.explode(F.array(
+            F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+        edges = pinned(small.select("e.u", "e.v").where("u <> v").distinct(), tag)
+        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
+        if now == mark:
+            break
+        mark = now
+    roots = edges.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
+    return pinned(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots), f"{tag}-components")

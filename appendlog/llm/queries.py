@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from appendlog.llm import minhash, packing, pii, quality, spm, tokencount, wavelet
+from appendlog.llm import minhash, ngramjoin, packing, pii, quality, spm, suffixdedup, tokencount, wavelet
 from appendlog.llm.common import documents, work_root
 from appendlog.llm.tokenizers_io import vocabulary
 
@@ -29,10 +29,18 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spm.encode_decode(documents(spark, sf_dir, "doc_id", "text"), vocabulary("piece_bpe_32k.model"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.report(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.compare_edits(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.link_components(documents(spark, sf_dir, "doc_id", "text"), size=3, percent=90)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir, "doc_id", "text"), vocabulary("byte_bpe_50k.json"),
                         vocabulary("byte_bpe_50k.tiktoken"))
@@ -46,6 +54,6 @@ def op10_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_quality, op3_token_counts, op5_sentencepiece, op7_fingerprints, op9_packing,
-                            op10_wavelet)}
+    f.__name__: f for f in (op1_pii, op2_quality, op3_token_counts, op5_sentencepiece, op6_suffix_dedup, op7_fingerprints,
+                            op8_ngram_join, op9_packing, op10_wavelet)}
 ORACLES: dict[str, str] = {}
