@@ -20,7 +20,7 @@ from math import exp, log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from appendlog.llm.common import let, pinned
+from appendlog.llm.common import let, pinned, sized
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -43,6 +43,11 @@ def _windows(words: Column, size: int) -> Column:
         F.array().cast("array<bigint>"))
 
 
+def word_windows(text: Column, size: int = WINDOW) -> Column:
+    """Hashes of the runs of ``size`` words of a text (null for a null text)."""
+    return let(_words(text), lambda w: _windows(w, size))
+
+
 def _covered(hashes: Column) -> Column:
     """Positions, ascending, of the windows whose hash occurs twice or more."""
     ordered = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -156,11 +161,11 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: flo
 def keep_good(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df`` that pass, with its own columns.
 
-    The verdict is joined back by ``key``; where ids repeat, a row stays if
-    any row of its id passes with the same text hash.
+    A verdict depends on the text alone, so it goes by the text's hash (rows
+    with equal ids and other texts are judged apart); the hashes of rejected
+    texts are joined against ``df``.
     """
     mark = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    # the verdict travels with the text's hash in place of the id, so equal texts share one
-    hashed = df.select(mark.alias("__mark"), F.col(text).alias("__text"))
-    kept = score(hashed, "__mark", "__text").where("kept").select(F.col("doc_id").alias("__mark")).distinct()
-    return df.withColumn("__mark", mark).join(kept, "__mark", "left_semi").select(*df.columns)
+    judged = score(df.select(mark.alias("__mark"), F.col(text).alias("__text")), "__mark", "__text")
+    away = judged.where(~F.col("kept")).select(F.col("doc_id").alias("__mark")).distinct()
+    return df.withColumn("__mark", mark).join(sized(pinned(away, "quality-rejected")), "__mark", "left_anti").select(*df.columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from appendlog.llm import minhash, ngramjoin, packing, pii, quality, spm, suffixdedup, tokencount, wavelet
+from appendlog.llm import minhash, ngramjoin, packing, pii, quality, spm, suffixdedup, tokencount, toxicity, wavelet
 from appendlog.llm.common import documents, work_root
 from appendlog.llm.tokenizers_io import vocabulary
 
@@ -25,6 +25,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(documents(spark, sf_dir, "doc_id", "text"), vocabulary("word_bpe_49k.json"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    return toxicity.score(documents(spark, sf_dir, "doc_id", "text"), labels)
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spm.encode_decode(documents(spark, sf_dir, "doc_id", "text"), vocabulary("piece_bpe_32k.model"))
 
@@ -54,6 +59,6 @@ def op10_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_quality, op3_token_counts, op5_sentencepiece, op6_suffix_dedup, op7_fingerprints,
-                            op8_ngram_join, op9_packing, op10_wavelet)}
+    f.__name__: f for f in (op1_pii, op2_quality, op3_token_counts, op4_toxicity, op5_sentencepiece, op6_suffix_dedup,
+                            op7_fingerprints, op8_ngram_join, op9_packing, op10_wavelet)}
 ORACLES: dict[str, str] = {}

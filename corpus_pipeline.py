@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from appendlog.llm import packing, pii, quality
+from appendlog.llm import ngramjoin, packing, pii, quality, suffixdedup
 from appendlog.llm.common import documents, pinned
 from appendlog.llm.tokenizers_io import vocabulary
 
@@ -21,14 +22,26 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
-def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data replaced by kind markers; ``n_chars`` follows the text."""
-    from pyspark.sql import functions as F
+def _recounted(docs: DataFrame, new: DataFrame) -> DataFrame:
+    """``new`` with ``n_chars`` following its changed texts."""
+    if "n_chars" in docs.columns:
+        new = new.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return new.select(*docs.columns)
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest id of each group that shares 80 % of its five-word shingles."""
+    return ngramjoin.keep_one(docs, size=5, percent=80)
+
 
-    out = pii.redact(docs)
-    if "n_chars" in out.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
-    return out
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages of 400 bytes or more that occur elsewhere too."""
+    return _recounted(docs, suffixdedup.without_repeats(docs))
+
+
+def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced by kind markers."""
+    return _recounted(docs, pii.redact(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,6 +51,8 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_rules),
+    ("one_of_near_copies", one_of_near_copies),
+    ("cut_repeated_passages", cut_repeated_passages),
     ("redact_pii", redact_pii),
     ("pack_sequences", pack_sequences),
 ]
