@@ -399,7 +399,7 @@ def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", leng
     """``df`` with repeated passages cut out of ``text`` (whole characters
     only: a character that a range covers in part stays).  Nulls stay null."""
     marked = _marked(df, key, text, length)
-    place = marked.columns.index(text)
+    names, place = df.columns, marked.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -417,7 +417,7 @@ def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", leng
                     at = hi
                 left.append(data[at:])
                 out.append(None if t is None else b"".join(left).decode("utf-8", "surrogatepass"))
-            kept = [b.column(n) if n != text else pa.array(out, b.schema.field(place).type) for n in df.columns]
-            yield pa.RecordBatch.from_arrays(kept, df.columns)
+            kept = [b.column(n) if n != text else pa.array(out, b.schema.field(place).type) for n in names]
+            yield pa.RecordBatch.from_arrays(kept, names)
 
     return marked.mapInArrow(run, df.schema)
