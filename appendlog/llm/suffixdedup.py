@@ -350,17 +350,17 @@ def covered(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 def _prepared(df: DataFrame, key: str, text: str, length: int) -> tuple[DataFrame, DataFrame]:
     """Rows with the digest of their text, and the covered ranges by digest."""
     rows = df.withColumn("__md5", F.md5(F.coalesce(F.col(text), F.lit(""))))
-    copies = rows.where(F.octet_length(text) >= length).groupBy("__md5").agg(F.min(key).alias("rep"), F.count(F.lit(1)).alias("n"))
-    return rows, sized(pinned(copies.where("n > 1").drop("n"), "suffix-copies"))
+    copies = rows.where(F.octet_length(text) >= length).groupBy("__md5").agg(F.min(key).alias("__rep"), F.count(F.lit(1)).alias("__n"))
+    return rows, sized(pinned(copies.where("__n > 1").drop("__n"), "suffix-copies"))
 
 
 def _marked(df: DataFrame, key: str, text: str, length: int) -> DataFrame:
     """``df`` with ``__copy`` (another row has the same text) and ``__spans``."""
     rows, copies = _prepared(df, key, text, length)
-    rows = rows.join(copies, "__md5", "left").withColumn("__copy", F.col("rep").isNotNull())
-    distinct = rows.where((~F.col("__copy")) | (F.col(key) == F.col("rep"))).select(F.col(key).alias("id"), F.col(text).alias("text"))
-    spans = sized(pinned(covered(distinct, length), "suffix-spans"))
-    return rows.join(spans.withColumnRenamed("spans", "__spans"), F.col(key) == F.col("id"), "left").drop("id", "rep", "__md5")
+    rows = rows.join(copies, "__md5", "left").withColumn("__copy", F.col("__rep").isNotNull())
+    distinct = rows.where((~F.col("__copy")) | (F.col(key) == F.col("__rep"))).select(F.col(key).alias("id"), F.col(text).alias("text"))
+    spans = pinned(covered(distinct, length).select(F.col("id").alias("__id"), F.col("spans").alias("__spans")), "suffix-spans")
+    return rows.join(sized(spans), F.col(key) == F.col("__id"), "left").drop("__id", "__rep", "__md5")
 
 
 def _spans(n: int, copy: bool, spans: list | None, length: int) -> list[tuple[int, int]]:

@@ -1,0 +1,132 @@
+"""Token counts, SentencePiece, packing and token files against the libraries."""
+
+import hashlib
+import zlib
+
+import numpy as np
+import pytest
+
+from appendlog.llm import packing, spm, tokencount, wavelet
+from appendlog.llm.tokenizers_io import library, vocabulary
+
+from .texts import corpus
+
+ODD = [(9001, "it's <|endoftext|> we'll <|startoftext|>!  a<|endoftext|>\n\nb"), (9002, "tabs\tand\r\nlines  two   three\n \n x"),
+       (9003, "é café, ΣΑΣ İ \xa0nb　sp ​ z\x1cz"), (9004, "12345 6.7,8!! ...,,, a.b!c,d '' don't."),
+       (9005, "  lead"), (9006, "trail  "), (9007, "▁mark ▁▁ x"), (9008, "\x00 nul"), (9009, "Mixed CASE.%%% of%%%, x!")]
+ROWS = corpus() + ODD
+
+
+def want_ids(name, end=None):
+    lib = library(vocabulary(name))
+    return {i: lib.encode(t or "", add_special_tokens=False).ids + ([] if end is None else [end]) for i, t in ROWS}
+
+
+def test_counts_equal_the_library(table):
+    want = want_ids("word_bpe_49k.json")
+    got = tokencount.count_tokens(table(ROWS, ["n_tokens", "size"]), vocabulary("word_bpe_49k.json"), limit=100).collect()
+    assert {r.doc_id: r.n_tokens for r in got} == {i: len(v) for i, v in want.items()}
+    assert {r.doc_id: r.n_bytes for r in got} == {i: len((t or "").encode()) for i, t in ROWS}
+    assert all(r.over_limit == (r.n_tokens > 100) for r in got)
+
+
+def test_long_texts_are_split_at_safe_places():
+    texts = [t or "" for _, t in ROWS]
+    path = vocabulary("word_bpe_49k.json")
+    assert tokencount.counts(texts, path, batch_bytes=50) == tokencount.counts(texts, path)
+    assert tokencount.counts([], path) == []
+
+
+def test_sentencepiece_equals_the_library(table):
+    import sentencepiece
+
+    lib = sentencepiece.SentencePieceProcessor(model_file=vocabulary("piece_bpe_32k.model"))
+    for r in spm.encode_decode(table(ROWS), vocabulary("piece_bpe_32k.model"), keep=True).collect():
+        t = dict(ROWS)[r.doc_id] or ""
+        ids = lib.encode(t)
+        assert list(r.ids) == ids and r.n_tokens == len(ids), repr(t[:80])
+        assert r.decoded == lib.decode(ids)
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(lib.decode(ids).encode()).hexdigest()
+
+
+def test_agenda_needs_no_correction():
+    model = spm.Pieces(vocabulary("piece_bpe_32k.model"))
+    model.encode([t or "" for _, t in ROWS])
+    assert model.memory and model.differed == 0
+
+
+def packed(table, rows, **kw):
+    df = packing.pack(table(rows), vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"), **kw)
+    return sorted(df.collect(), key=lambda r: (r.sequence_id, r.offset))
+
+
+@pytest.mark.parametrize("kw", [{}, {"size": 64, "open_bins": 3}, {"size": 50, "open_bins": 1}])
+def test_packing_is_gapless_and_whole(table, kw):
+    size, want = kw.get("size", packing.SIZE), want_ids("byte_bpe_50k.json", 0)
+    fill: dict = {}
+    seen: dict = {}
+    for r in packed(table, ROWS, **kw):
+        assert r.offset == fill.get(r.sequence_id, 0)
+        fill[r.sequence_id] = r.offset + r.length
+        ids = want[r.doc_id][r.start:r.start + r.length]
+        assert r.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+        seen.setdefault(r.doc_id, []).append((r.piece, r.start, r.length))
+    assert max(fill.values()) <= size
+    for doc, parts in seen.items():
+        parts.sort()
+        assert [p[0] for p in parts] == list(range(len(parts)))
+        assert [p[2] for p in parts] == packing.piece_lengths(len(want[doc]), size)
+        assert sum(p[2] for p in parts) == len(want[doc]) and parts[0][1] == 0
+    assert set(seen) == set(want)
+
+
+def test_best_fit_choice():
+    p = packing.Packer(10, 2)
+    assert p.place(6) == (0, 0) and p.place(7) == (1, 0)
+    assert p.place(3) == (1, 7)  # the bin with the least room that suffices
+    assert p.place(5) == (2, 0)
+    assert p.place(8) == (3, 0)  # bin 0 (6 of 10) was the fullest of the two open ones
+    assert p.place(4) == (2, 5) and p.n_open == 2
+
+
+def test_wavelet_matrix():
+    rng = np.random.default_rng(5)
+    v = rng.integers(0, 50, 3000).astype(np.uint16)
+    wm = wavelet.WaveletMatrix.build(v)
+    assert (wm.decode() == v).all()
+    for i in (0, 1, 511, 512, 1777, 2999):
+        assert wm.access(i) == v[i]
+    for x in (0, 7, 49, 60):
+        places = np.flatnonzero(v == x)
+        assert [wm.rank(x, i) for i in (0, 600, 3000)] == [int((v[:i] == x).sum()) for i in (0, 600, 3000)]
+        assert [wm.select(x, j) for j in (0, len(places) - 1, len(places))] == [
+            *([places[0], places[-1]] if len(places) else [-1, -1]), -1]
+    assert wavelet.WaveletMatrix.build(np.empty(0, np.uint16)).decode().size == 0
+
+
+@pytest.mark.parametrize("rows", [ROWS, ROWS[:1], []])
+def test_token_files(spark, table, tmp, monkeypatch, rows):
+    monkeypatch.setattr(wavelet, "BUCKET_BYTES", 4000)
+    wavelet.write(table(rows), f"{tmp}/ids", vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"),
+                  shard_tokens=700)
+    want, start, got = want_ids("byte_bpe_50k.json", 2), 0, wavelet.read(spark, f"{tmp}/ids").collect()
+    for r in sorted(got, key=lambda r: r.doc_id):
+        assert (r.start, r.n_tokens) == (start, len(want[r.doc_id]))
+        assert r.ids_crc32 == zlib.crc32(np.array(want[r.doc_id], "<u4").tobytes())
+        start += r.n_tokens
+    assert sorted(r.doc_id for r in got) == sorted(i for i, _ in rows)
+
+
+def test_empty_tables(table):
+    none = table(ROWS).where("false")
+    assert tokencount.count_tokens(none, vocabulary("word_bpe_49k.json")).count() == 0
+    assert spm.encode_decode(none, vocabulary("piece_bpe_32k.model")).count() == 0
+    assert packing.pack(none, vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken")).count() == 0
+
+
+def test_repeated_rows_are_kept(table):
+    rows = [ROWS[0]] * 3
+    assert [r.n_tokens for r in tokencount.count_tokens(table(rows), vocabulary("word_bpe_49k.json")).collect()] == [
+        len(want_ids("word_bpe_49k.json")[ROWS[0][0]])] * 3
+    assert len(packed(table, rows)) == 3
