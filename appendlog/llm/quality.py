@@ -26,7 +26,9 @@ WINDOW = 5
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
 ITERATIONS = 12
-SMOOTH = 0.5
+#: Prior belief in votes (good texts, low texts), worth PRIOR_ROWS rows each.
+PRIOR_ROWS = 5
+BELIEF = {-1: (0.01, 0.5), 1: (0.5, 0.2)}
 THRESHOLD = 0.5
 _SPACE = r"[ \t-\r]+"
 
@@ -126,12 +128,13 @@ def fit(votes: DataFrame, names: list[str]) -> tuple[float, dict[tuple[str, int]
     for _ in range(ITERATIONS if patterns else 0):
         n_good = sum(c * g for (_, c), g in zip(patterns, good, strict=True))
         n_low = sum(c * (1 - g) for (_, c), g in zip(patterns, good, strict=True))
-        prior = log((n_good + SMOOTH) / (n_low + SMOOTH))
+        prior = log((n_good + 0.5) / (n_low + 0.5))
         for i, name in enumerate(names):
             for v in (-1, 1):
                 mine = [(c, g) for (p, c), g in zip(patterns, good, strict=True) if p[i] == v]
-                p_good = (sum(c * g for c, g in mine) + SMOOTH) / (n_good + 3 * SMOOTH)
-                p_low = (sum(c * (1 - g) for c, g in mine) + SMOOTH) / (n_low + 3 * SMOOTH)
+                a, b = BELIEF[v]
+                p_good = (sum(c * g for c, g in mine) + a * PRIOR_ROWS) / (n_good + PRIOR_ROWS)
+                p_low = (sum(c * (1 - g) for c, g in mine) + b * PRIOR_ROWS) / (n_low + PRIOR_ROWS)
                 # rules are better than chance: a vote never counts for the other side
                 weight[name, v] = max(0.0, log(p_good / p_low)) if v > 0 else min(0.0, log(p_good / p_low))
         odds = [prior + sum(weight[n, v] for n, v in zip(names, p, strict=True)) for p, _ in patterns]

@@ -25,9 +25,11 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-#: Segments remembered per Python worker.
-MEMORY = 300_000
+#: Segments remembered per Python worker (up to twice as many).
+MEMORY = 250_000
 MARK = "▁"
+#: Symbols up to which a segment's agenda is scanned instead of kept as a heap.
+SHORT = 48
 
 
 class Pieces:
@@ -42,53 +44,92 @@ class Pieces:
                    or self.lib.is_unknown(i) or self.lib.is_unused(i)]
         out = set(special)
         self.ids = {self.lib.id_to_piece(i): i for i in range(n) if i not in out}
-        self.score = {p: self.lib.get_score(i) for p, i in self.ids.items()}
+        self.cost = {p: -self.lib.get_score(i) for p, i in self.ids.items()}
+        self.bytes_of = [b""] * n
+        for p, i in self.ids.items():
+            self.bytes_of[i] = p.replace(MARK, " ").encode()
         self.byte = {int(self.lib.id_to_piece(i)[3:5], 16): i for i in special if self.lib.is_byte(i)}
-        self.bytes_of = {i: v for v, i in self.byte.items()}
+        for v, i in self.byte.items():
+            self.bytes_of[i] = bytes([v])
         self.unknown = self.lib.unk_id()
+        self.bytes_of[self.unknown] = " \u2047 ".encode()
         pairs = {a + b for p in self.ids for a, b in zip(p, p[1:])}
         # a line feed that no piece joins to anything stands alone, and so begins a segment
-        # any punctuation that no piece joins to a preceding letter, digit or mark
-        marks = ".,!?;:%$#&*|"
+        # a run of letters and digits ends before punctuation that no piece joins to
+        # one (a few odd ones, such as a raised two, are not taken for such runs)
         loose = not any("\n" in x for x in pairs)
-        ends = re.escape("".join(c for c in marks if loose and not any(x[1] == c and x[0] not in marks for x in pairs)))
-        tail = f"|{MARK}*[{ends}]+[^{MARK}{ends}\n]*" if ends else ""
-        self.cut = re.compile(f"{MARK}*[^{MARK}{ends}\n]+{tail}|\n|{MARK}+" if loose else f"{MARK}*[^{MARK}]+|{MARK}+")
+        joins = {c: {x[0] for x in pairs if x[1] == c and x[0].isalnum()} for c in ".,!?;:%$#&*|"}
+        ends = re.escape("".join(c for c, before in joins.items() if len(before) < 4))
+        odd = re.escape("".join(sorted(set().union(*[b for b in joins.values() if len(b) < 4]))))
+        head = f"{MARK}*[^\\W_{odd}]+(?=[{ends}])|" if ends and loose else ""
+        self.cut = re.compile(f"{head}{MARK}*[^{MARK}\n]+|\n|{MARK}+" if loose else f"{MARK}*[^{MARK}]+|{MARK}+")
         self.spaced = any(MARK in p.lstrip(MARK) for p in self.ids)
-        self.memory: dict[str, tuple[tuple[int, ...], bytes]] = {}
+        # segment -> number of ids, ids as text, bytes; the older half is looked
+        # up again before it is forgotten, so frequent segments stay
+        self.memory: dict[str, tuple[int, str, bytes]] = {}
+        self.older: dict[str, tuple[int, str, bytes]] = {}
         self.differed = 0
 
     def agenda(self, text: str) -> list[int]:
         """Ids of a segment (spaces already marks) by best-pair merging."""
-        score = self.score
+        cost = self.cost.get
         sym: list[str] = list(text)
         n = len(sym)
+        if n <= SHORT:
+            return self._ids(self._merged(sym))
         prev, nxt = list(range(-1, n - 1)), [*range(1, n), -1] if n else []
         heap = []
-        for i in range(n - 1):
-            p = sym[i] + sym[i + 1]
-            if p in score:
-                heap.append((-score[p], i, i + 1, p))
+        for i, p in enumerate(map("".join, zip(sym, sym[1:]))):
+            c = cost(p)
+            if c is not None:
+                heap.append((c, i, i + 1, p))
         heapq.heapify(heap)
+        pop, push = heapq.heappop, heapq.heappush
         while heap:
-            _, i, j, p = heapq.heappop(heap)
-            if not sym[i] or nxt[i] != j or sym[i] + sym[j] != p:
+            _, i, j, p = pop(heap)
+            left = sym[i]
+            if not left or nxt[i] != j or left + sym[j] != p:
                 continue
             sym[i], sym[j] = p, ""
             k = nxt[i] = nxt[j]
             if k >= 0:
                 prev[k] = i
-                if (q := p + sym[k]) in score:
-                    heapq.heappush(heap, (-score[q], i, k, q))
+                q = p + sym[k]
+                c = cost(q)
+                if c is not None:
+                    push(heap, (c, i, k, q))
             h = prev[i]
-            if h >= 0 and (q := sym[h] + p) in score:
-                heapq.heappush(heap, (-score[q], h, i, q))
+            if h >= 0:
+                q = sym[h] + p
+                c = cost(q)
+                if c is not None:
+                    push(heap, (c, h, i, q))
+        return self._ids([s for s in sym if s])
+
+    def _merged(self, sym: list[str]) -> list[str]:
+        """The same for a short segment: its agenda is the list of pair costs."""
+        cost, never = self.cost.get, float("inf")
+        agenda = [cost(p, never) for p in map("".join, zip(sym, sym[1:]))]
+        while agenda:
+            best = min(agenda)
+            if best == never:
+                break
+            i = agenda.index(best)
+            p = sym[i] + sym[i + 1]
+            sym[i:i + 2] = [p]
+            del agenda[i]
+            if i < len(agenda):
+                agenda[i] = cost(p + sym[i + 1], never)
+            if i:
+                agenda[i - 1] = cost(sym[i - 1] + p, never)
+        return sym
+
+    def _ids(self, symbols: list[str]) -> list[int]:
         out: list[int] = []
-        for s in sym:
-            if not s:
-                continue
-            if s in self.ids:
-                out.append(self.ids[s])
+        for s in symbols:
+            i = self.ids.get(s)
+            if i is not None:
+                out.append(i)
             elif self.byte:
                 out.extend(self.byte[b] for b in s.encode())
             else:
@@ -97,14 +138,7 @@ class Pieces:
 
     def raw(self, ids: list[int]) -> bytes:
         """Bytes that the ids stand for, marks as spaces."""
-        out = bytearray()
-        for i in ids:
-            b = self.bytes_of.get(i)
-            if b is not None:
-                out.append(b)
-            else:
-                out += self.lib.id_to_piece(i).replace(MARK, " ").encode()
-        return bytes(out)
+        return b"".join(map(self.bytes_of.__getitem__, ids))
 
     def segments(self, text: str) -> list[str]:
         marked = MARK + text.replace(" ", MARK)
@@ -118,8 +152,14 @@ class Pieces:
         (which the cut above proves to join with nothing).
         """
         if len(self.memory) > MEMORY:
-            self.memory.clear()
-        new = [s for s in segments if s not in self.memory]
+            self.older, self.memory = self.memory, {}
+        new = []
+        for s in segments.difference(self.memory):
+            got = self.older.get(s)
+            if got is None:
+                new.append(s)
+            else:
+                self.memory[s] = got
         whole = [s[1:] if s[0] == MARK else "\n" + s for s in new]
         want = self.lib.encode([w.replace(MARK, " ") for w in whole], num_threads=1) if new else []
         lead = self.lib.encode("\n")
@@ -130,29 +170,28 @@ class Pieces:
             if own != ids and s != MARK:  # the library adds no mark to an empty text
                 self.differed += 1
                 own = ids
-            self.memory[s] = (tuple(own), self.raw(own))
+            self.memory[s] = (len(own), ",".join(map(str, own)), self.raw(own))
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], str]]:
-        """Ids and decoded text of each text."""
+    def encode(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """Number of ids, ids as comma-joined text, and decoding of each text."""
         cut = [self.segments(t) if t else [] for t in texts]
         self.learn(set().union(*cut))
-        out = []
+        get, out = self.memory.__getitem__, []
         for segs in cut:
-            got = [self.memory[s] for s in segs]
-            ids = [i for g in got for i in g[0]]
-            data = b"".join([g[1] for g in got])
-            out.append((ids, self._text(ids, data)))
+            n, ids, data = zip(*map(get, segs)) if segs else ((), (), ())
+            joined = ",".join(ids)
+            out.append((sum(n), joined, self._text(joined, b"".join(data))))
         return out
 
-    def _text(self, ids: list[int], data: bytes) -> str:
+    def _text(self, ids: str, data: bytes) -> str:
         try:
             s = data.decode()
         except UnicodeDecodeError:
-            return self.lib.decode(ids)
+            return self.lib.decode([int(i) for i in ids.split(",")])
         return s[1:] if s[:1] == " " else s
 
     def decode(self, ids: list[int]) -> str:
-        return self._text(ids, self.raw(ids))
+        return self._text(",".join(map(str, ids)), self.raw(ids))
 
 
 @functools.lru_cache(maxsize=2)
@@ -171,12 +210,13 @@ def encode_decode(df: DataFrame, path: str, key: str = "doc_id", text: str = "te
             for at in range(0, whole.num_rows, 512):
                 b = whole.slice(at, 512)
                 got = model.encode([t or "" for t in b.column(1).to_pylist()])
-                cols = [b.column(0), pa.array([len(i) for i, _ in got], pa.int64()),
-                        pa.array([hashlib.sha256(",".join(map(str, i)).encode()).hexdigest() for i, _ in got]),
-                        pa.array([hashlib.sha256(d.encode()).hexdigest() for _, d in got])]
+                cols = [b.column(0), pa.array([n for n, _, _ in got], pa.int64()),
+                        pa.array([hashlib.sha256(i.encode()).hexdigest() for _, i, _ in got]),
+                        pa.array([hashlib.sha256(d.encode()).hexdigest() for _, _, d in got])]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if keep:
-                    cols += [pa.array([i for i, _ in got], pa.list_(pa.int32())), pa.array([d for _, d in got])]
+                    cols += [pa.array([[int(x) for x in i.split(",")] if i else [] for _, i, _ in got], pa.list_(pa.int32())),
+                             pa.array([d for _, _, d in got])]
                     names += ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays(cols, names)
 

@@ -50,7 +50,9 @@ def test_sentencepiece_equals_the_library(table):
         assert r.decoded_sha256 == hashlib.sha256(lib.decode(ids).encode()).hexdigest()
 
 
-def test_agenda_needs_no_correction():
+@pytest.mark.parametrize("short", [0, spm.SHORT])
+def test_agenda_needs_no_correction(monkeypatch, short):
+    monkeypatch.setattr(spm, "SHORT", short)
     model = spm.Pieces(vocabulary("piece_bpe_32k.model"))
     model.encode([t or "" for _, t in ROWS])
     assert model.memory and model.differed == 0
