@@ -8,22 +8,21 @@ one.  Memory per call is bounded by the chunk size plus the longest line.
 
 from __future__ import annotations
 
-import os
-
 import numpy as np
 import pyarrow as pa
 
-from appendlog.functions.bytescan import first_line_end, read_exact
+from appendlog.functions.bytescan import _blocks, first_line_end, read_exact
 
 CHUNK = 8 << 20
 
 
-def _first_owned_start(fd: int, lo: int, range_start: int, range_end: int, path: str) -> int:
-    """First line start >= lo (lines start at range_start or after a newline)."""
+def _first_owned_start(fd: int, lo: int, hi: int, range_start: int, path: str) -> int:
+    """First line start in ``[lo, hi)`` (lines start at range_start or after a
+    newline); ``hi`` when no line starts there.  No byte past ``hi`` is read."""
     if lo <= range_start:
         return range_start
-    e = first_line_end(fd, lo - 1, range_end, path)
-    return range_end if e is None else e
+    e = first_line_end(fd, lo - 1, hi - 1, path)
+    return hi if e is None else e
 
 
 def _lines_array(buf: bytes) -> pa.Array:
@@ -56,35 +55,29 @@ def iter_line_arrays(
     chunk: int = CHUNK,
 ):
     """Yield Arrow string arrays of the lines starting in ``[lo, hi)``."""
-    pos = _first_owned_start(fd, lo, range_start, range_end, path)
+    hi = min(hi, range_end)
+    pos = _first_owned_start(fd, lo, hi, range_start, path)
     carry: list[bytes] = []  # pieces of a line longer than one chunk
-    carried = 0
-    while pos < range_end and (pos < hi or carried):
-        stop = min(range_end, pos + chunk)
+    while pos < hi:
+        stop = min(hi, pos + chunk)
+        block = read_exact(fd, pos, stop - pos, path)
+        pos = stop
+        cut = block.rfind(b"\n") + 1
+        if cut:
+            yield _lines_array(b"".join(carry) + block[:cut])
+            carry = []
+        if cut < len(block):
+            carry.append(block[cut:])
+    # the last line starts before hi and may end past it: small blocks up to its end
+    sizes = _blocks()
+    while carry and pos < range_end:
+        stop = min(range_end, pos + next(sizes))
         block = read_exact(fd, pos, stop - pos, path)
-        cut_in_block = block.rfind(b"\n") + 1
-        if cut_in_block == 0:
-            carry.append(block)
-            carried += len(block)
-            pos = stop
-            continue
-        buf = b"".join(carry) + block if carry else block
-        base = pos - carried  # file offset of buf[0]
-        cut = carried + cut_in_block
         pos = stop
-        whole, rest = buf[:cut], buf[cut:]
-        carry, carried = ([rest], len(rest)) if rest else ([], 0)
-        if base + cut >= hi:
-            # the next line starts at or after hi: keep the lines starting before hi
-            limit = hi - base
-            s = whole.rfind(b"\n", 0, max(limit - 1, 0)) + 1  # start of the last owned line
-            whole = whole[: whole.find(b"\n", s) + 1]
-            yield _lines_array(whole)
+        cut = block.find(b"\n") + 1
+        carry.append(block[:cut] if cut else block)
+        if cut:
+            yield _lines_array(b"".join(carry))
             return
-        yield _lines_array(whole)
-    if carried:
+    if carry:
         raise IOError(f"range of {path} does not end on a line boundary at {range_end}")
-
-
-def open_ro(path: str) -> int:
-    return os.open(path, os.O_RDONLY)

@@ -19,12 +19,12 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from appendlog.operators.ranges import read_ranges, subrange_count
+from appendlog.operators.ranges import planned_bytes, read_ranges
 from appendlog.operators.state import empty_state, state_from_plan
 from appendlog.plans import rules as R
 from appendlog.plans.planner import align, plan
-from appendlog.session import materialize
-from appendlog.sources.catalog import node_frame, node_names, snapshot
+from appendlog.session import materialize, posix_path
+from appendlog.sources.catalog import list_files, node_frame, node_names, snapshot
 from appendlog.sources.options import ReadConfig, resolve
 
 STATE_SCHEMA = "node string, name string, offset bigint, md5 string"
@@ -75,6 +75,7 @@ def run_increment(spark: SparkSession, path: str, state_path: str, output: str,
     Returns the batch number, or None when nothing changed (then nothing is
     written, so an idle run costs a listing and a plan).
     """
+    state_path, output = posix_path(state_path), posix_path(output)
     cfg = ReadConfig.from_options(resolve(spark, path=path, **options))
     last, state = last_state(spark, state_path)
     names = node_names(cfg.spec)
@@ -85,18 +86,19 @@ def run_increment(spark: SparkSession, path: str, state_path: str, output: str,
     # change writes nothing), so the first run is exactly "no batch yet"
     planned, _ = materialize(align(plan(
         listing, state, nodes, policy=cfg.starting_offsets, cap=cfg.max_bytes, check=cfg.md5_check,
-        first_run=last < 0)))
-    # one pass over the pinned plan: anything to do, and how many sub-ranges
+        first_run=last < 0), files=list_files(spark, cfg.spec).count()))
+    # one pass over the pinned plan: anything to do, and how much
+    n = planned_bytes(F.col("start_offset"), F.col("end_offset"))
     stats = planned.agg(
         F.max(moved(planned).cast("int")).alias("moved"),
-        F.sum(subrange_count(F.col("start_offset"), F.col("end_offset"), cfg.split_bytes)).alias("subs"),
+        F.sum(n).alias("bytes"), F.sum((n > 0).cast("int")).alias("files"),
     ).first()
     if not stats["moved"] and set(names) <= known_nodes:
         return None
     batch = last + 1
     # restarting files (new, replaced, truncated) have empty ranges now and are
     # read from 0 by the next batch, as in the stream
-    lines = read_ranges(planned, split_bytes=cfg.split_bytes, n_subranges=int(stats["subs"] or 0),
+    lines = read_ranges(planned, split_bytes=cfg.split_bytes, work=(stats["bytes"] or 0, stats["files"] or 0),
                         verify_sample=cfg.md5_sample if cfg.md5_check else None)
     lines.select("value").write.mode("overwrite").parquet(os.path.join(output, f"batch={batch}"))
     folder = os.path.join(state_path, f"batch={batch}")
@@ -108,15 +110,20 @@ def run_increment(spark: SparkSession, path: str, state_path: str, output: str,
     return batch
 
 
-def read_output(spark: SparkSession, output: str) -> DataFrame:
-    """All lines written by the batches that completed."""
-    return spark.read.parquet(output).select("value")
+def read_output(spark: SparkSession, output: str, state_path: str) -> DataFrame:
+    """All lines written by the batches that completed (a batch folder whose
+    state is not marked complete is left out)."""
+    done = _batches(posix_path(state_path))
+    lines = spark.read.schema("value string, batch int")
+    if not done:
+        return spark.createDataFrame([], "value string")
+    # the batch folder is a partition: the filter prunes the others' files
+    return lines.parquet(posix_path(output)).where(F.col("batch").isin(done)).select("value")
 
 
-def settle(spark: SparkSession, path: str, state_path: str, output: str, max_batches: int = 10_000,
-           **options) -> int:
+def settle(spark: SparkSession, path: str, state_path: str, output: str, **options) -> int:
     """Run batches until one has nothing to do; returns the number of batches written."""
-    for i in range(max_batches):
-        if run_increment(spark, path, state_path, output, **options) is None:
-            return i
-    raise RuntimeError(f"still reading after {max_batches} batches")
+    n = 0
+    while run_increment(spark, path, state_path, output, **options) is not None:
+        n += 1
+    return n

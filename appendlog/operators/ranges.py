@@ -2,9 +2,9 @@
 
 Each planned range ``[start, end)`` (aligned to line ends) is cut into
 sub-ranges of at most ``split_bytes``; a sub-range owns the lines that start in
-it.  Sub-ranges are spread round-robin over an explicit number of partitions,
-so one huge file (a hot source) is read by many tasks, and many small files
-share tasks.  Rows come out as Arrow batches (no per-row Python objects).
+it.  Sub-ranges are spread round-robin over a number of partitions that follows
+from their bytes and their number, so one huge file (a hot source) is read by
+many tasks, and many small files share tasks.  Rows come out as Arrow batches (no per-row Python objects).
 """
 
 from __future__ import annotations
@@ -12,15 +12,25 @@ from __future__ import annotations
 import os
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from appendlog.functions.bytescan import head_md5
 from appendlog.functions.linescan import iter_line_arrays
-from appendlog.session import KNOWN_ROWS, default_parallelism, materialize, ship_package
+from appendlog.session import KNOWN_ROWS, materialize, ship_package
 
 LINES_SCHEMA = "node string, name string, value string"
 SPLIT_BYTES = 128 << 20
+# Without a given split size: 4 MiB at least, SPLIT_BYTES at most, and between
+# them a fixed share of all bytes, whatever the cluster.
+LEAST_SPLIT_BYTES = 4 << 20
+SPLITS = 4096
+RANGES_PER_TASK = 256  # file opens per task stay bounded when many files grow a little
+
+
+def split_size(total_bytes: int) -> int:
+    """Sub-range size for a plan of ``total_bytes``."""
+    return min(SPLIT_BYTES, max(LEAST_SPLIT_BYTES, -(-total_bytes // SPLITS)))
 
 
 def split_ranges(ranges: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
@@ -31,9 +41,9 @@ def split_ranges(ranges: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame
         "hi", F.least(F.col("lo") + F.lit(split_bytes), F.col("end_offset")))
 
 
-def subrange_count(start: "F.Column", end: "F.Column", split_bytes: int = SPLIT_BYTES):
-    """Column: number of sub-ranges ``split_ranges`` makes of ``[start, end)``."""
-    return F.when(end > start, F.ceil((end - start) / F.lit(split_bytes))).otherwise(0)
+def planned_bytes(start: Column, end: Column) -> Column:
+    """Column: bytes of the range ``[start, end)``."""
+    return F.when(end > start, end - start).otherwise(0)
 
 
 def _read_fn(sample: int | None):
@@ -71,33 +81,35 @@ def _read_fn(sample: int | None):
 def read_ranges(
     ranges: DataFrame,
     *,
-    split_bytes: int = SPLIT_BYTES,
-    parallelism: int | None = None,
+    split_bytes: int | None = None,
     verify_sample: int | None = None,
-    n_subranges: int | None = None,
+    work: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Lines of every range: ``node, name, value``.
 
     ``ranges`` needs ``node, name, path, start_offset, end_offset`` (and ``md5``
     when ``verify_sample`` is given: the head checksum is re-checked when the
     range is opened, so a file replaced since planning fails clearly).
-    ``n_subranges`` (see ``subrange_count``) spares a count over a pinned plan.
+    ``work`` (planned bytes and number of ranges with any) spares a pass over a
+    pinned plan; ``split_bytes`` defaults to ``split_size`` of the bytes.
     """
     spark = ranges.sparkSession
     ship_package(spark)
-    pinned = ranges in KNOWN_ROWS
     if "md5" not in ranges.columns:
         ranges = ranges.withColumn("md5", F.lit(""))
+    if ranges not in KNOWN_ROWS and work is None:
+        # catalog-sized; pinned so that every task reads the ranges of one
+        # plan, even if an executor is lost and files grew
+        ranges, _ = materialize(ranges.select("node", "name", "path", "start_offset", "end_offset", "md5"))
+    if work is None:
+        n = planned_bytes(F.col("start_offset"), F.col("end_offset"))
+        row = ranges.agg(F.sum(n), F.sum((n > 0).cast("int"))).first()
+        work = (row[0] or 0, row[1] or 0)
+    total, files = work
+    split_bytes = split_bytes or split_size(total)
     subs = split_ranges(ranges, split_bytes).select(
         "node", "name", "path", "start_offset", "end_offset", "lo", "hi", "md5")
-    if pinned:
-        # already pinned (or built on the driver): sub-ranges follow from it deterministically
-        k = n_subranges if n_subranges is not None else subs.count()
-    else:
-        # the sub-range table is catalog-sized; pin it so that every task reads
-        # the ranges of one plan, even if an executor is lost and files grew
-        subs, k = materialize(subs)
-    n = max(1, min(k, parallelism or default_parallelism(spark) * 2))
     # an explicit partition count: the sub-range rows are tiny, so AQE would
     # otherwise coalesce all reads into one task
-    return subs.repartition(n).mapInArrow(_read_fn(verify_sample), LINES_SCHEMA)
+    tasks = max(1, -(-total // split_bytes), -(-files // RANGES_PER_TASK))
+    return subs.repartition(tasks).mapInArrow(_read_fn(verify_sample), LINES_SCHEMA)

@@ -17,10 +17,9 @@ from pyspark.sql import functions as F
 
 from appendlog.functions.bytescan import aligned_end, tail_start
 from appendlog.plans import rules as R
-from appendlog.session import default_parallelism, ship_package
-from appendlog.session import KNOWN_ROWS
+from appendlog.session import KNOWN_ROWS, materialize, ship_package
 
-MAX_BROADCAST_NODES = 100_000  # ~ a few MB of node names
+FILES_PER_TASK = 64  # files whose ends one task aligns
 
 PLAN_SCHEMA = (
     "node string, name string, path string, status string, size bigint, "
@@ -59,15 +58,10 @@ def plan(
     if "path" not in listing.columns:
         listing = listing.withColumn("path", F.lit(None).cast("string"))
     l = listing.select("node", "name", "path", "size", F.col("md5").alias("cur_md5"))
-    # One row per host folder.  Broadcast it under a proven bound (the count
-    # recorded when the frame was made, else a counted check): a join keyed on
-    # the node alone would put a node holding a third of all files in one task.
-    listed = nodes.select("node").distinct().withColumn("listed", F.lit(True))
-    n_nodes = KNOWN_ROWS.get(nodes)
-    if n_nodes is None:
-        n_nodes = nodes.limit(MAX_BROADCAST_NODES + 1).count()
-    if n_nodes <= MAX_BROADCAST_NODES:
-        listed = F.broadcast(listed)
+    # A listed file proves that its node is listed, so only saved files without
+    # a listing look for their node; the others get keys of their own (their
+    # names behind a NUL), so a node holding a third of all files stays spread.
+    listed = nodes.select(F.col("node").alias("asked")).distinct().withColumn("listed", F.lit(True))
     if state_rows == 0:
         # nothing saved yet: no join, every listed file is new
         j = l.select("*", F.lit(None).cast("bigint").alias("known"), F.lit(None).cast("string").alias("kmd5"))
@@ -75,10 +69,15 @@ def plan(
         s = state.where(F.col("name").isNotNull()).select(
             "node", "name", F.col("offset").alias("known"), F.col("md5").alias("kmd5"))
         j = l.join(s, ["node", "name"], "full_outer")
-    j = j.join(listed, "node", "left")
+    if state_rows == 0:
+        j = j.withColumn("listed", F.lit(True))
+    else:
+        j = j.withColumn("asked", F.when(F.col("size").isNull(), F.col("node")).otherwise(
+            F.concat(F.lit("\0"), F.col("name")))).join(listed, "asked", "left")
 
     known, size, kmd5, md5 = F.col("known"), F.col("size"), F.col("kmd5"), F.col("cur_md5")
-    not_listed = F.col("listed").isNull()
+    # carried: the node was not listed, or the file's head could not be read
+    not_listed = F.coalesce(F.when(size.isNull(), F.col("listed").isNull()), md5.isNull())
     gone = size.isNull()
     new = known.isNull()
     replaced = F.lit(check) & (kmd5 != "") & (kmd5 != md5)
@@ -109,7 +108,8 @@ def plan(
          (replaced | truncated | unchanged, F.lit(R.ALIGN_NONE))],
         F.lit(R.ALIGN_RANGE),
     )
-    return j.select(
+    # an unreadable file that is not known yet registers once it can be read
+    return j.where(known.isNotNull() | size.isNull() | md5.isNotNull()).select(
         "node",
         "name",
         "path",
@@ -155,11 +155,16 @@ def _align_fn(it):
         yield pdf
 
 
-def align(planned: DataFrame, parallelism: int | None = None) -> DataFrame:
-    """Move planned ends onto line ends (rows needing it read their file)."""
-    spark = planned.sparkSession
-    ship_package(spark)
-    n = parallelism or default_parallelism(spark)
+def align(planned: DataFrame, files: int | None = None) -> DataFrame:
+    """Move planned ends onto line ends (rows needing it read their file).
+
+    The number of ``files`` gives the number of tasks; where it is not known
+    the plan is pinned and counted first.
+    """
+    ship_package(planned.sparkSession)
+    rows = KNOWN_ROWS.get(planned) if files is None else files
+    if rows is None:
+        planned, rows = materialize(planned)
     # the plan is tiny in bytes: an explicit count keeps AQE from folding the
     # per-file reads into one task
-    return planned.repartition(n).mapInPandas(_align_fn, PLAN_SCHEMA)
+    return planned.repartition(max(1, -(-rows // FILES_PER_TASK))).mapInPandas(_align_fn, PLAN_SCHEMA)

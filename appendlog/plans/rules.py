@@ -10,7 +10,7 @@ Inputs per (node, file): ``known`` (state offset or None), ``kmd5``, ``size``,
 
 | # | condition | status | start | end (before alignment) |
 | 1 | file not listed, node listed | deleted | - | - (dropped) |
-| 2 | node not listed | carried | known | known |
+| 2 | neither file nor node listed (or the file's head not readable) | carried | known | known |
 | 3 | new, first run, earliest | new | 0 | min(cap, size) |
 | 4 | new, first run, latest | new | size | size (tail start) |
 | 5 | new, later run | new | 0 | 0 |
@@ -53,7 +53,7 @@ def decide(
     cap: int,
     check: bool,
 ) -> Decision:
-    if not node_listed:
+    if size is None and not node_listed:  # a listed file proves that its node is listed
         return Decision(CARRIED, known, known, kmd5, ALIGN_NONE)
     if size is None:
         return Decision(DELETED, None, None, None, ALIGN_NONE)

@@ -28,7 +28,8 @@ def local_session(cpus: int = 8, app: str = "appendlog", **conf) -> SparkSession
     )
 
 
-def _posix(path: str) -> str:
+def posix_path(path: str) -> str:
+    """``path`` without a ``file:`` scheme; other schemes are an error."""
     if path.startswith("file://"):
         return path[len("file://"):]
     if path.startswith("file:"):
@@ -41,18 +42,27 @@ def _posix(path: str) -> str:
     return path
 
 
-def shared_root(spark: SparkSession) -> str:
-    """Folder every executor sees: the cluster's ``spark.checkpoint.dir``.
+def checkpoint_root(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: the session's
+    ``spark.checkpoint.dir``, else the checkpoint dir the user set.
 
-    Only when the session has none (tests, local runs) a fresh local folder is
-    created and registered as the checkpoint dir.
+    Only where neither is set and the master is local (tests, local runs), a
+    new local folder is created and registered as the checkpoint dir.
     """
-    conf = spark.sparkContext.getConf()
-    root = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    root = root or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="appendlog-ck-")
-        spark.sparkContext.setCheckpointDir(root)
-    return _posix(root)
+        sc.setCheckpointDir(root)
+    return root.rstrip("/")
+
+
+def shared_root(spark: SparkSession) -> str:
+    """``checkpoint_root`` as a mounted POSIX path (an error for other stores)."""
+    return posix_path(checkpoint_root(spark))
 
 
 def scratch_dir(spark: SparkSession, tag: str) -> str:
@@ -62,10 +72,6 @@ def scratch_dir(spark: SparkSession, tag: str) -> str:
     return path
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    return max(1, spark.sparkContext.defaultParallelism)
-
-
 _SHIPPED: set[str] = set()
 
 
@@ -125,7 +131,7 @@ def materialize(df):
     cache only avoids computing it twice while the checkpoint is written.
     """
     if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        shared_root(df.sparkSession)  # tests and local runs: set a local one
+        checkpoint_root(df.sparkSession)  # tests and local runs: set a local one
     cached = df.cache()
     n = cached.count()
     pinned = cached.checkpoint(eager=True)

@@ -15,12 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from appendlog.functions.bytescan import head_md5
-from appendlog.session import default_parallelism, local_frame, ship_package
+from appendlog.session import local_frame, ship_package
 from appendlog.sources.pathspec import LOCAL_NODE, PathSpec
 
 LISTING_SCHEMA = "node string, name string, path string, size bigint, mtime timestamp"
 SNAPSHOT_SCHEMA = "node string, name string, path string, size bigint, mtime timestamp, md5 string"
 NODES_SCHEMA = "node string"
+LISTED_PER_TASK = 8  # partitions of the listing whose heads one task reads
 
 
 def node_names(spec: PathSpec) -> list[str]:
@@ -64,11 +65,6 @@ def list_files(spark: SparkSession, spec: PathSpec) -> DataFrame:
     Non-recursive; names starting with ``.`` or ``_`` are never selected; a
     missing directory gives an empty frame.
     """
-    # Spark lists many folders with a listing job of one task per folder; cap it
-    # at one wave of the cluster while this index is built
-    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, str(default_parallelism(spark)))
     try:
         # logs rotate: a file removed between building the index and the scan is skipped
         raw = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load(spec.glob)
@@ -76,11 +72,6 @@ def list_files(spark: SparkSession, spec: PathSpec) -> DataFrame:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return spark.createDataFrame([], LISTING_SCHEMA)
         raise
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
     path = F.regexp_replace(F.col("path"), "^file:(//)?", "")
     parts = F.split(path, "/")
     node = F.element_at(parts, spec.node_depth) if spec.has_node else F.lit(LOCAL_NODE)
@@ -99,28 +90,27 @@ def list_files(spark: SparkSession, spec: PathSpec) -> DataFrame:
 def _head_md5_fn(sample: int, check: bool):
     def fn(it):
         for pdf in it:
-            sums, keep = [], []
+            sums = []
             for path, size in zip(pdf["path"], pdf["size"]):
                 if not check or size < sample:
                     sums.append("")
-                    keep.append(True)
                     continue
+                # a file that cannot be read now (gone, shrunk, I/O error, a host
+                # without the mount) keeps its row with a null checksum and is
+                # planned as carried; only a file missing from a listing is deleted
                 try:
                     fd = os.open(path, os.O_RDONLY)
-                except FileNotFoundError:  # removed since listing: not in this snapshot
-                    sums.append("")
-                    keep.append(False)
+                except OSError:
+                    sums.append(None)
                     continue
                 try:
                     sums.append(head_md5(fd, int(size), sample, path))
-                    keep.append(True)
-                except OSError:  # shrank below the sample since listing
-                    sums.append("")
-                    keep.append(False)
+                except OSError:
+                    sums.append(None)
                 finally:
                     os.close(fd)
             pdf["md5"] = sums
-            yield pdf[keep]
+            yield pdf
 
     return fn
 
@@ -132,7 +122,8 @@ def snapshot(
     check: bool = True,
     previous: DataFrame | None = None,
 ) -> DataFrame:
-    """``node, name, path, size, mtime, md5`` for every matching file.
+    """``node, name, path, size, mtime, md5`` for every matching file (md5 null
+    where its head could not be read now).
 
     With ``previous`` (an earlier snapshot), files whose size and modification
     time did not change keep their checksum and are not opened again.
@@ -150,10 +141,9 @@ def snapshot(
         files = files.where(F.col("old_md5").isNull()).drop("old_md5")
     else:
         known = None
-    # head reads run on the listing's own partitions, merged (no shuffle) into
-    # at most one wave of tasks: binaryFile is not splittable, so a scan
-    # partition holds one large file or a few dozen small ones, and the task
-    # count follows the file count
-    n = max(1, min(default_parallelism(spark), files.rdd.getNumPartitions()))
+    # head reads run on the listing's own partitions, a few merged (no shuffle)
+    # into one task: binaryFile is not splittable, so a scan partition holds one
+    # large file or a few dozen small ones, and the task count follows the files
+    n = max(1, -(-files.rdd.getNumPartitions() // LISTED_PER_TASK))
     fresh = files.coalesce(n).mapInPandas(_head_md5_fn(sample, check), SNAPSHOT_SCHEMA)
     return fresh if known is None else fresh.unionByName(known)

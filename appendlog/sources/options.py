@@ -23,6 +23,7 @@ DEFAULTS = {
 EXTRA_DEFAULTS = {
     "offset.backup.path": "",  # folder of the table provider; default under spark.checkpoint.dir
     "split.bytes": str(128 << 20),  # ranges above this are cut into sub-ranges read in parallel
+    "stream.name": "",  # tells streams over one path apart in the offset backup
     "initial.offset.json": "",  # offset to start from when there is no checkpoint (set by read_stream)
 }
 KNOWN = set(DEFAULTS) | set(EXTRA_DEFAULTS)
@@ -70,6 +71,7 @@ class ReadConfig:
     backup_path: str
     split_bytes: int
     initial_offset_json: str
+    stream_name: str
 
     @property
     def path(self) -> str:
@@ -95,6 +97,7 @@ class ReadConfig:
             backup_path=get("offset.backup.path"),
             split_bytes=_int("split.bytes", get("split.bytes"), 1),
             initial_offset_json=get("initial.offset.json"),
+            stream_name=get("stream.name"),
         )
 
     def as_rows(self) -> list[tuple[str, str]]:

@@ -79,6 +79,10 @@ def parse_path(path: str | None) -> PathSpec:
         raise AppendLogError("option path not set")
     if path.startswith("file:"):
         path = path[len("file://"):] if path.startswith("file://") else path[len("file:"):]
+    if "://" in path:
+        raise AppendLogError(
+            f"option path {path!r} is not a mounted POSIX path: growing files are read by byte range "
+            "with POSIX calls on the driver and on every executor")
     directory, _, pattern = path.rpartition("/")
     if not pattern:
         raise AppendLogError(f"option path {path!r} has no file name pattern after the last '/'")

@@ -3,14 +3,21 @@
 A ``StreamingQueryListener`` stores the end offset of every completed batch
 (never a merely planned one) through a provider.  The default provider is a
 table: one small JSON-lines file per record under a folder on shared storage;
-the newest record per directory wins (``max_by(offset_json, ts)``).
+the newest record per stream wins (``max_by(offset_json, ts)``).
+
+Records are kept by stream: the full ``path`` option, plus ``#`` and the
+``stream.name`` option where one is given, so two streams over one folder with
+other patterns or names do not start from each other's offsets.
 """
 
 from __future__ import annotations
 
+import ast
 import hashlib
 import json
 import os
+import threading
+import time
 import uuid
 from abc import ABC, abstractmethod
 from datetime import datetime, timezone
@@ -20,31 +27,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-from appendlog.session import shared_root
+from appendlog.session import posix_path, shared_root
 from appendlog.sources.pathspec import AppendLogError
 
 BACKUP_SCHEMA = "directory string, ts bigint, offset_json string"
-KEEP_PER_DIRECTORY = 16
+KEEP = 16  # records of a stream that stay, by arrival, besides the newest by time
 
 
 class OffsetBackup(ABC):
     """A place that keeps the newest offset of a stream, outside its checkpoint."""
 
     @abstractmethod
-    def store(self, directory: str, ts: int, offset_json: str) -> None: ...
+    def store(self, stream: str, ts: int, offset_json: str) -> None: ...
 
     @abstractmethod
-    def fetch(self, spark: SparkSession, directory: str) -> str | None: ...
+    def fetch(self, spark: SparkSession, stream: str) -> tuple[int, str] | None:
+        """``(ts, offset_json)`` of the newest record, or None."""
 
     def close(self) -> None:
         pass
 
 
 class NoBackup(OffsetBackup):
-    def store(self, directory, ts, offset_json):
+    def store(self, stream, ts, offset_json):
         pass
 
-    def fetch(self, spark, directory):
+    def fetch(self, spark, stream):
         return None
 
 
@@ -55,26 +63,31 @@ def _key(directory: str) -> str:
 class TableBackup(OffsetBackup):
     """Backup rows ``directory, ts, offset_json`` in a folder of JSON-lines files.
 
-    The listener adds one small file per completed batch (older ones of the
-    same directory beyond the newest few are removed); ``append`` adds rows
-    from a DataFrame job.  Readers take the newest row per directory.
+    The listener adds one small file per completed batch; beyond the last few
+    to arrive, files of the same stream are removed, but never the record with
+    the highest ``ts`` and never the one just written.  ``append`` adds rows
+    from a DataFrame job.  Readers take the newest row per stream (the column
+    is named ``directory``).
     """
 
     def __init__(self, path: str):
-        self.path = path
+        self.path = posix_path(path)
 
-    def store(self, directory: str, ts: int, offset_json: str) -> None:
+    def store(self, stream: str, ts: int, offset_json: str) -> None:
         os.makedirs(self.path, exist_ok=True)
-        key = _key(directory)
-        name = f"{key}-{ts:020d}-{uuid.uuid4().hex[:8]}.json"
+        key = _key(stream)
+        name = f"{key}-{time.time_ns():020d}-{ts:020d}-{uuid.uuid4().hex[:8]}.json"
         tmp = os.path.join(self.path, "." + name)
         with open(tmp, "w", encoding="utf-8") as f:
-            f.write(json.dumps({"directory": directory, "ts": ts, "offset_json": offset_json}) + "\n")
+            f.write(json.dumps({"directory": stream, "ts": ts, "offset_json": offset_json}) + "\n")
             f.flush()
             os.fsync(f.fileno())
         os.replace(tmp, os.path.join(self.path, name))
         old = sorted(n for n in os.listdir(self.path) if n.startswith(key + "-") and n.endswith(".json"))
-        for n in old[:-KEEP_PER_DIRECTORY]:
+        newest = max(old, key=lambda n: n.split("-")[2])
+        for n in old[:-KEEP]:
+            if n in (newest, name):
+                continue
             try:
                 os.remove(os.path.join(self.path, n))
             except FileNotFoundError:
@@ -91,10 +104,9 @@ class TableBackup(OffsetBackup):
             return spark.createDataFrame([], BACKUP_SCHEMA)
         return spark.read.schema(BACKUP_SCHEMA).json(self.path)
 
-    def fetch(self, spark: SparkSession, directory: str) -> str | None:
-        newest = latest_backup(self.rows(spark).where(F.col("directory") == directory))
-        row = newest.select("offset_json").first()
-        return None if row is None else row[0]
+    def fetch(self, spark: SparkSession, stream: str) -> tuple[int, str] | None:
+        row = latest_backup(self.rows(spark).where(F.col("directory") == stream)).first()
+        return None if row is None else (row["ts"], row["offset_json"])
 
 
 def latest_backup(rows: DataFrame) -> DataFrame:
@@ -137,64 +149,100 @@ def get_backup(spark: SparkSession, cfg) -> OffsetBackup:
     return provider
 
 
+def parse_offset(end) -> dict | None:
+    """A progress' end offset as a dict (a listener event has it as JSON, a
+    query's own progress as a dict or a Python literal); None for others."""
+    if isinstance(end, str):
+        try:
+            end = json.loads(end)
+        except ValueError:
+            try:
+                end = ast.literal_eval(end)
+            except (ValueError, SyntaxError):
+                return None
+    return end if isinstance(end, dict) else None
+
+
 def _epoch_ms(ts: str) -> int:
     return int(datetime.fromisoformat(ts.replace("Z", "+00:00"))
                .astimezone(timezone.utc).timestamp() * 1000)
 
 
+def stream_key(cfg) -> str:
+    """The name under which a stream's offsets are kept."""
+    return cfg.spec.path + (f"#{cfg.stream_name}" if cfg.stream_name else "")
+
+
 class BackupListener(StreamingQueryListener):
-    """Stores the end offset of each completed batch of one query."""
+    """Stores the end offset of each completed batch of one query.
+
+    It is added before the query starts and keeps what arrives until ``bind``
+    names the query, so the first batch is never missed.
+    """
 
-    def __init__(self, query_id: str, provider: OffsetBackup, directory: str):
-        self.query_id = str(query_id)
+    def __init__(self, provider: OffsetBackup, directory: str, stream: str):
         self.provider = provider
-        self.directory = directory
+        self.directory, self.stream = directory, stream
+        self.query_id: str | None = None
         self.done = False
+        self._early: list = []
         self._last: str | None = None
+        self._lock = threading.Lock()
+
+    def bind(self, query_id: str) -> None:
+        with self._lock:
+            self.query_id = str(query_id)
+            early, self._early = self._early, []
+        for p in early:
+            self.save(p)
 
     def onQueryStarted(self, event):
         pass
 
     def onQueryProgress(self, event):
-        p = event.progress
-        if str(p.id) != self.query_id:
+        with self._lock:
+            if self.query_id is None:
+                self._early.append(event.progress)
+                return
+        self.save(event.progress)
+
+    def save(self, progress) -> None:
+        """Store the end offset of a finished batch (once)."""
+        if progress is None or str(progress.id) != self.query_id:
             return
-        for src in p.sources:
-            end = src.endOffset
-            if not end:
-                continue
-            try:
-                o = json.loads(end)
-            except (TypeError, ValueError):
-                continue
-            if not isinstance(o, dict) or o.get("directory") != self.directory:
+        for src in progress.sources:
+            o = parse_offset(src.endOffset)
+            if o is None or o.get("directory") != self.directory:
                 continue
-            if end != self._last:
-                self.provider.store(self.directory, _epoch_ms(p.timestamp), end)
-                self._last = end
+            end = json.dumps(o, sort_keys=True)
+            with self._lock:
+                if end != self._last:
+                    self.provider.store(self.stream, _epoch_ms(progress.timestamp), end)
+                    self._last = end
 
     def onQueryIdle(self, event):
         pass
 
     def onQueryTerminated(self, event):
-        if str(event.id) == self.query_id:
-            self.provider.close()
+        if self.query_id is not None and str(event.id) == self.query_id:
+            self.close()
+
+    def close(self) -> None:
+        if not self.done:
             self.done = True
+            self.provider.close()
 
 
-def recover(spark: SparkSession, local: OffsetBackup, shared: OffsetBackup, directory: str) -> str | None:
-    """The newer offset of two stores for ``directory`` (ties keep the local one).
+def recover(spark: SparkSession, local: OffsetBackup, shared: OffsetBackup, stream: str) -> str | None:
+    """The newer offset of two stores for ``stream`` (ties keep the local one).
 
     Pass it as ``initial.offset.json`` to a query with a **new** checkpoint.
     """
     from appendlog.operators.state import newer_of
 
     def rows(store):
-        if isinstance(store, TableBackup):
-            return store.rows(spark).where(F.col("directory") == directory)
-        doc = store.fetch(spark, directory)
-        data = [] if doc is None else [(directory, 0, doc)]
-        return spark.createDataFrame(data, BACKUP_SCHEMA)
+        got = store.fetch(spark, stream)
+        return spark.createDataFrame([] if got is None else [(stream, *got)], BACKUP_SCHEMA)
 
     row = newer_of(rows(local), rows(shared)).select("offset_json").first()
     return None if row is None else row[0]

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from appendlog.session import ship_package
 from appendlog.sources.options import ReadConfig, resolve
-from appendlog.streaming.backup import BackupListener, get_backup
+from appendlog.streaming.backup import BackupListener, get_backup, parse_offset, stream_key
 from appendlog.streaming.source import FORMAT, AppendLogDataSource
 
 
@@ -47,26 +47,57 @@ def read_stream(spark: SparkSession, path: str | None = None, **options) -> Data
     opts = resolve(spark, **options)
     cfg = ReadConfig.from_options(opts)
     if not opts.get("initial.offset.json"):
-        backup = get_backup(spark, cfg).fetch(spark, cfg.spec.directory)
+        backup = get_backup(spark, cfg).fetch(spark, stream_key(cfg))
         if backup:
-            opts["initial.offset.json"] = backup
+            opts["initial.offset.json"] = backup[1]
     register(spark)
     return spark.readStream.format(FORMAT).options(**opts).load()
 
 
-def attach_backup(spark: SparkSession, query: StreamingQuery, **options) -> BackupListener:
-    """Back up the offsets of ``query`` after every completed batch."""
-    opts = resolve(spark, **options)
-    cfg = ReadConfig.from_options(opts)
+def prepare_backup(spark: SparkSession, **options) -> BackupListener:
+    """A listener, added before its query starts; ``bind`` it to the query."""
+    cfg = ReadConfig.from_options(resolve(spark, **options))
     for old in [x for x in _LISTENERS if x.done]:  # listeners of ended queries
         spark.streams.removeListener(old)
         _LISTENERS.remove(old)
-    listener = BackupListener(str(query.id), get_backup(spark, cfg), cfg.spec.directory)
+    listener = BackupListener(get_backup(spark, cfg), cfg.spec.directory, stream_key(cfg))
     spark.streams.addListener(listener)
     _LISTENERS.append(listener)
     return listener
 
 
+def attach_backup(spark: SparkSession, query: StreamingQuery, **options) -> BackupListener:
+    """Back up the offsets of a running ``query`` after every completed batch,
+    the last one it completed included."""
+    listener = prepare_backup(spark, **options)
+    listener.bind(str(query.id))
+    listener.save(query.lastProgress)
+    return listener
+
+
+def _started(spark: SparkSession, writer, output: str | None, backup: bool, options: dict) -> StreamingQuery:
+    listener = prepare_backup(spark, **options) if backup else None
+    try:
+        query = writer.start(output) if output else writer.start()
+    except BaseException:
+        if listener is not None:
+            listener.close()
+        raise
+    if listener is not None:
+        listener.bind(str(query.id))
+    return query
+
+
+def stop_stream(query: StreamingQuery) -> None:
+    """Stop ``query`` and store its last completed offset before returning,
+    whether or not the listener's events have been delivered (T14)."""
+    query.stop()
+    for listener in [x for x in _LISTENERS if x.query_id == str(query.id)]:
+        if not listener.done:
+            listener.save(query.lastProgress)
+            listener.close()
+
+
 def start_stream(
     spark: SparkSession,
     path: str,
@@ -89,10 +120,7 @@ def start_stream(
         .option("checkpointLocation", checkpoint)
         .trigger(processingTime=trigger)
     )
-    query = writer.start(output) if output else writer.start()
-    if backup:
-        attach_backup(spark, query, path=path, **options)
-    return query
+    return _started(spark, writer, output, backup, {"path": path, **options})
 
 
 def drain(query: StreamingQuery) -> None:
@@ -103,17 +131,15 @@ def drain(query: StreamingQuery) -> None:
 def console_query(spark: SparkSession, path: str, checkpoint: str,
                   trigger: str = "3 seconds", **options) -> StreamingQuery:
     """The sample job's query: new lines to the console, untruncated, 100 rows."""
-    query = (
+    writer = (
         read_stream(spark, path, **options)
         .writeStream.format("console")
         .option("truncate", False)
         .option("numRows", 100)
         .option("checkpointLocation", checkpoint)
         .trigger(processingTime=trigger)
-        .start()
     )
-    attach_backup(spark, query, path=path, **options)
-    return query
+    return _started(spark, writer, None, True, {"path": path, **options})
 
 
 def console_job(path: str, checkpoint: str) -> None:
@@ -122,27 +148,12 @@ def console_job(path: str, checkpoint: str) -> None:
     console_query(spark, path, checkpoint).awaitTermination()
 
 
-if __name__ == "__main__":
-    if len(sys.argv) != 3:
-        sys.exit("usage: python -m appendlog.streaming.job <path> <checkpoint>")
-    console_job(sys.argv[1], sys.argv[2])
-
-
 def end_offset(query: StreamingQuery) -> dict | None:
     """The appendlog source's end offset in the query's last progress, as a dict."""
-    import ast
-    import json
-
     progress = query.lastProgress
     if progress is None or not progress.sources:
         return None
-    end = progress.sources[0].endOffset
-    if end is None or isinstance(end, dict):
-        return end
-    try:
-        return json.loads(end)
-    except ValueError:  # some versions render it as a Python literal
-        return ast.literal_eval(end)
+    return parse_offset(progress.sources[0].endOffset)
 
 
 def stream_lag(spark: SparkSession, offset_json, path: str, **options) -> DataFrame:
@@ -172,3 +183,9 @@ def stream_lag(spark: SparkSession, offset_json, path: str, **options) -> DataFr
     planned = plan(listing, state, list_nodes(spark, cfg.spec), policy=cfg.starting_offsets,
                    cap=cfg.max_bytes, check=cfg.md5_check)
     return bytes_behind(planned).where(F.col("bytes_behind") > 0)
+
+
+if __name__ == "__main__":
+    if len(sys.argv) != 3:
+        sys.exit("usage: python -m appendlog.streaming.job <path> <checkpoint>")
+    console_job(sys.argv[1], sys.argv[2])

@@ -13,6 +13,7 @@ Offset (no timestamp in it, so an idle stream runs no batches)::
 from __future__ import annotations
 
 import json
+import logging
 import os
 from concurrent.futures import ThreadPoolExecutor
 
@@ -29,6 +30,7 @@ from appendlog.sources.pathspec import LOCAL_NODE, AppendLogError, PathSpec
 FORMAT = "appendlog"
 SCHEMA = StructType([StructField("value", StringType(), False)])
 IO_THREADS = 16
+MAX_SAID = 10_000  # warnings remembered so as not to repeat them
 MAX_RANGES_PER_TASK = 256  # file opens per task stay bounded when many files grow a little
 
 
@@ -98,6 +100,15 @@ class Planner:
         self.cfg = cfg
         self._md5_cache: dict[str, tuple[int, int, int, str]] = {}
         self._held: dict[str, tuple] = {}
+        self._said: set[str] = set()
+
+    def _warn(self, message: str) -> None:
+        """Log a warning, once for each change it tells of."""
+        if message not in self._said:
+            if len(self._said) >= MAX_SAID:
+                self._said.clear()
+            self._said.add(message)
+            logging.getLogger("appendlog").warning(message)
 
     def _md5(self, path: str, size: int, mtime: int, ino: int) -> str:
         cfg = self.cfg
@@ -160,10 +171,11 @@ class Planner:
                         policy=cfg.starting_offsets, cap=cfg.max_bytes, check=cfg.md5_check,
                     )
                     end = self._align(path, d, size, (mtime, ino))
-                except FileNotFoundError:  # removed since listing: gone in this batch
-                    return node, name, None
-                except OSError:  # shrank since listing: keep the saved position for now
-                    return node, name, k
+                except OSError:  # cannot be read now: keep the saved position (a file that
+                    return node, name, k  # is gone will be missing from the next listing)
+                if d.status in (R.REPLACED, R.TRUNCATED):
+                    self._warn(f"{path} was {d.status} (size {size}, saved position {k['offset']}); "
+                               "it is read again from 0")
                 return node, name, {"offset": int(end), "md5": d.md5 or ""}
 
             results = list(pool.map(one, jobs))
@@ -172,8 +184,11 @@ class Planner:
             for stale in [p for p in cache if p not in seen]:
                 del cache[stale]
         new: dict[str, dict] = {}
+        if not os.path.isdir(spec.prefix):
+            self._warn(f"directory {spec.prefix} does not exist")
         for node, files in listings.items():
             if files is None:  # not listed now: carry forward (T7)
+                self._warn(f"{spec.node_dir(node)} cannot be listed; its files keep their positions")
                 if node in offsets:
                     new[node] = offsets[node]
             else:

@@ -2,8 +2,9 @@
 
 Layout ``<root>/<node>/<name>``: node ``node<user_id % 4>``, name
 ``service.log.<event_type>``, one line ``event_id|user_id|event_type|props``
-per event in ``event_id`` order, every line newline-terminated.  Two
-snapshots (``v = 0`` earlier, ``v = 1`` later) exercise every file status.
+per event in ``event_id`` order, every line newline-terminated.  Three
+snapshots (``v`` = 0, 1, 2; the last holds every event) exercise every file
+status, deletion and re-creation included.
 
 The write is a distributed positional write, so that no file (one of them may
 hold a third of all rows) goes through a single task or the driver:
@@ -18,14 +19,19 @@ hold a third of all rows) goes through a single task or the driver:
 from __future__ import annotations
 
 import os
+import sys
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from appendlog.session import default_parallelism, ship_package
+from appendlog.session import ship_package
+
+# task functions travel inside the job: this folder is not installed on executors
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Fixed values of the corpus definition.
 N_NODES = 4
@@ -36,6 +42,7 @@ DECOY_DIR = "service.log.dir"
 
 CHUNK_ROWS = 1 << 16
 FANOUT = 1 << 10
+CHUNKS_PER_TASK = 4
 
 
 def corpus_lines(events: DataFrame, snapshot: int, n_events: int, n_nodes: int = N_NODES) -> DataFrame:
@@ -62,8 +69,10 @@ def corpus_lines(events: DataFrame, snapshot: int, n_events: int, n_nodes: int =
             | ((et == "error") & ~early)
             | ((et == "view") & (F.col("event_id") * 10 < F.lit(n_events) * 2))
         )
+    elif snapshot == 2:
+        cond = F.lit(True)
     else:
-        raise ValueError(f"snapshot must be 0 or 1, got {snapshot}")
+        raise ValueError(f"snapshot must be 0, 1 or 2, got {snapshot}")
     return e.where(cond)
 
 
@@ -204,9 +213,9 @@ def write_lines(
         targets.mapInPandas(_prepare_files(root, decoys), "done long")
         .write.format("noop").mode("overwrite").save()
     )
-    # one task per chunk at most, one wave at most: independent of the
-    # session's shuffle partitions and of AQE
-    n = max(1, min(chunks.count(), 2 * default_parallelism(spark)))
+    # a few chunks per task: independent of the session's shuffle partitions, of
+    # AQE and of the cluster
+    n = max(1, -(-chunks.count() // CHUNKS_PER_TASK))
     (
         lines.join(chunks.select("node", "name", "chunk", "base"), ["node", "name", "chunk"])
         .repartition(n, "node", "name", "chunk")
@@ -225,7 +234,6 @@ def write_snapshot(
     root: str,
     snapshot: int,
     *,
-    names: list[str] | None = None,
     decoys: bool = True,
     n_events: int | None = None,
     n_nodes: int = N_NODES,
@@ -235,12 +243,8 @@ def write_snapshot(
     if n_events is None:
         n_events = events.count()
     lines = corpus_lines(events, snapshot, n_events, n_nodes)
-    # files of the other snapshot may be on disk and must go; a new folder has none
+    # files of other snapshots may be on disk and must go; a new folder has none,
+    # and the last snapshot holds every file
     fresh = not os.path.isdir(root) or not os.listdir(root)
-    others = None if fresh else corpus_lines(events, 1 - snapshot, n_events, n_nodes)
-    if names is not None:
-        full = [NAME_PREFIX + n for n in names]
-        lines = lines.where(F.col("name").isin(full))
-        if others is not None:
-            others = others.where(F.col("name").isin(full))
+    others = None if fresh else corpus_lines(events, 2, n_events, n_nodes)
     write_lines(spark, lines, root, key="event_id", remove=others, decoys=decoys)

@@ -2,15 +2,14 @@
 log corpus from it with Spark, and runs one part of appendlog over the files.
 
 Settings are the fixed ones of the corpus: checksum sample 64 bytes, cap 200
-bytes for planning, 4,096 bytes (65,536 from sf0.1 up) for the streams.
+bytes where the cap itself is checked (range planning); streams and incremental
+batches take an eighth of the largest file they find, at every scale, so the
+number of batches stays the same.
 """
 
 from __future__ import annotations
 
-import json
 import os
-import re
-import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,24 +21,25 @@ from appendlog.operators.state import (
     bytes_behind as _bytes_behind,
     carry_forward as _carry_forward,
     from_offset_json,
+    newer_of,
     to_offset_json,
 )
 from appendlog.plans import rules as R
 from appendlog.plans.planner import align, plan
 from appendlog.session import scratch_dir, ship_package
 from appendlog.sources.catalog import list_files, list_nodes, snapshot
-from appendlog.sources.corpus import write_lines, write_snapshot
 from appendlog.sources.pathspec import parse_path
 from appendlog.streaming.backup import TableBackup, latest_backup
-from appendlog.streaming.job import end_offset, start_stream
+from appendlog.streaming.job import start_stream, stop_stream
+from checks.corpus import write_lines, write_snapshot
 
 # Fixed values of the checks.
 PATTERN = r"service\.log\.[a-z]+"
 SAMPLE = 64
 CAP = 200
-STREAM_CAP_SMALL = 4096
-STREAM_CAP_LARGE = 65536
+CAP_SHARE = 8
 UNLISTED_NODE = "node3"
+SNAPSHOTS = (0, 1, 2)
 
 _CORPORA: dict[tuple[str, str], tuple[str, int]] = {}
 
@@ -60,14 +60,14 @@ def _n_events(spark: SparkSession, sf_dir: str) -> int:
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
-    """Both snapshots on disk, as ``<root>/s0`` and ``<root>/s1`` (once per app)."""
+    """The snapshots on disk, as ``<root>/s0`` to ``s2`` (once per app)."""
     ship_package(spark)
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     if key not in _CORPORA:
         events = _events(spark, sf_dir)
         n = _n_events(spark, sf_dir)
         root = scratch_dir(spark, "corpus")
-        for v in (0, 1):
+        for v in SNAPSHOTS:
             write_snapshot(spark, events, f"{root}/s{v}", v, n_events=n)
         _CORPORA[key] = (root, n)
     return _CORPORA[key]
@@ -81,15 +81,17 @@ def _state(snap: DataFrame) -> DataFrame:
     return snap.select("node", "name", F.col("size").alias("offset"), "md5")
 
 
-def _planned(spark, sf_dir, *, unlisted: str | None = None, aligned: bool = True) -> DataFrame:
+def _planned(spark, sf_dir, *, unlisted: str | None = None, aligned: bool = True, cap: int = CAP,
+             v: int = 1) -> DataFrame:
+    """Snapshot ``v`` planned against the state after the snapshot before it."""
     root, _ = corpus(spark, sf_dir)
-    listing = snapshot(spark, _spec(root, 1), SAMPLE)
-    state = _state(snapshot(spark, _spec(root, 0), SAMPLE))
-    nodes = list_nodes(spark, _spec(root, 1))
+    listing = snapshot(spark, _spec(root, v), SAMPLE)
+    state = _state(snapshot(spark, _spec(root, v - 1), SAMPLE))
+    nodes = list_nodes(spark, _spec(root, v))
     if unlisted is not None:
         listing = listing.where(F.col("node") != unlisted)
         nodes = nodes.where(F.col("node") != unlisted)
-    p = plan(listing, state, nodes, policy="earliest", cap=CAP, check=True, first_run=False)
+    p = plan(listing, state, nodes, policy="earliest", cap=cap, check=True, first_run=False)
     return align(p) if aligned else p
 
 
@@ -103,12 +105,14 @@ def file_select(spark, sf_dir):
 def file_meta(spark, sf_dir):
     root, _ = corpus(spark, sf_dir)
     parts = [snapshot(spark, _spec(root, v), SAMPLE).select(
-        F.lit(v).alias("v"), "node", "name", "size", "md5") for v in (0, 1)]
-    return parts[0].unionByName(parts[1])
+        F.lit(v).alias("v"), "node", "name", "size", "md5") for v in SNAPSHOTS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def file_status(spark, sf_dir):
-    return _planned(spark, sf_dir, aligned=False).select("node", "name", "status")
+    parts = [_planned(spark, sf_dir, aligned=False, v=v).select(F.lit(v).alias("v"), "node", "name", "status")
+             for v in SNAPSHOTS[1:]]
+    return parts[0].unionByName(parts[1])
 
 
 def range_plan(spark, sf_dir):
@@ -130,12 +134,16 @@ def range_plan_first(spark, sf_dir):
 
 
 def range_lines(spark, sf_dir):
-    return read_ranges(_planned(spark, sf_dir), verify_sample=SAMPLE)
+    """Every line appended since snapshot 0, whole ranges."""
+    root, _ = corpus(spark, sf_dir)
+    return read_ranges(_planned(spark, sf_dir, cap=largest(spark, _spec(root, 1))), verify_sample=SAMPLE)
 
 
 def bytes_behind(spark, sf_dir):
-    return _bytes_behind(_planned(spark, sf_dir, aligned=False)).where(
-        F.col("status") == R.APPENDED).select("node", "name", "bytes_behind")
+    """Every file listed in snapshots 1 and 2, against the position after the one before."""
+    parts = [_bytes_behind(_planned(spark, sf_dir, aligned=False, v=v)).select(
+        F.lit(v).alias("v"), "node", "name", "status", "bytes_behind") for v in SNAPSHOTS[1:]]
+    return parts[0].unionByName(parts[1])
 
 
 def carry_forward(spark, sf_dir):
@@ -145,8 +153,11 @@ def carry_forward(spark, sf_dir):
 def offset_roundtrip(spark, sf_dir):
     root, _ = corpus(spark, sf_dir)
     spec = _spec(root, 0)
-    docs = to_offset_json(_state(snapshot(spark, spec, SAMPLE)), spec.directory)
-    return from_offset_json(docs).select("node", "name", "offset", "md5")
+    path = f"{scratch_dir(spark, 'offset-json')}/json"
+    to_offset_json(_state(snapshot(spark, spec, SAMPLE)), spec.directory).select("offset_json").write.text(path)
+    # a second job reads the text back, so encoding and decoding cannot cancel out
+    docs = spark.read.schema("value string").text(path, wholetext=False)
+    return from_offset_json(docs, column="value").select("node", "name", "offset", "md5")
 
 
 def offset_backup(spark, sf_dir):
@@ -162,16 +173,29 @@ def offset_backup(spark, sf_dir):
     return rows.groupBy("directory", "ts").agg(F.sum("offset").cast("bigint").alias("total_offset"))
 
 
-def _scale(sf_dir: str) -> float | None:
-    m = re.search(r"sf([0-9.]+)", os.path.basename(os.path.normpath(sf_dir)))
-    return float(m.group(1)) if m else None
+def offset_newer(spark, sf_dir):
+    """Two stores of backups, one record per node each: the local one holds
+    snapshot 0 (ts = node's file count there), the shared one snapshot 1 (ts =
+    its count); the newer wins, ties keep the local record."""
+    root, _ = corpus(spark, sf_dir)
+    stores = []
+    for v in (0, 1):
+        state = _state(snapshot(spark, _spec(root, v), SAMPLE)).withColumn("directory", F.col("node"))
+        ts = state.groupBy("directory").agg(F.count("name").alias("ts"))
+        table = TableBackup(scratch_dir(spark, f"offset-newer-{v}"))
+        table.append(to_offset_json(state).join(ts, "directory"))
+        stores.append(table.rows(spark))
+    rows = from_offset_json(newer_of(*stores), keep=["ts"])
+    return rows.groupBy("directory", "ts").agg(F.sum("offset").cast("bigint").alias("total_offset"))
 
 
-def _stream_cap(sf_dir: str, n_events: int | None = None) -> int:
-    sf = _scale(sf_dir)
-    if sf is not None:
-        return STREAM_CAP_LARGE if sf >= 0.1 else STREAM_CAP_SMALL
-    return STREAM_CAP_LARGE if (n_events or 0) >= 100_000 else STREAM_CAP_SMALL
+def largest(spark: SparkSession, spec) -> int:
+    """Size of the largest listed file."""
+    return list_files(spark, spec).agg(F.max("size")).first()[0] or 1
+
+
+def _stream_cap(spark: SparkSession, spec) -> int:
+    return max(1, largest(spark, spec) // CAP_SHARE)
 
 
 def _run_stream(spark, path, out, ck, **options) -> None:
@@ -185,90 +209,69 @@ def _run_stream(spark, path, out, ck, **options) -> None:
         raise q.exception()
 
 
-def _stream_dirs(spark, tag):
-    base = scratch_dir(spark, tag)
-    return f"{base}/logs", f"{base}/out", f"{base}/ck"
-
-
 def stream_drain(spark, sf_dir):
     """Snapshot 1 drained by a stream under the cap (the files are only read)."""
-    root, n = corpus(spark, sf_dir)
+    root, _ = corpus(spark, sf_dir)
     base = scratch_dir(spark, "stream-drain")
     _run_stream(spark, f"{root}/s1/{{node}}/{PATTERN}", f"{base}/out", f"{base}/ck",
-                **{"bytes.max": _stream_cap(sf_dir, n)})
+                **{"bytes.max": _stream_cap(spark, _spec(root, 1))})
     return spark.read.parquet(f"{base}/out")
 
 
 def stream_backup(spark, sf_dir):
     """Snapshot 1 drained with offsets backed up by the query listener (table
     provider); the newest backed-up offset, read back, sums to the file sizes."""
-    root, n = corpus(spark, sf_dir)
+    root, _ = corpus(spark, sf_dir)
     base = scratch_dir(spark, "stream-backup")
     path = f"{root}/s1/{{node}}/{PATTERN}"
-    opts = {"md5.sample.length": SAMPLE, "bytes.max": _stream_cap(sf_dir, n),
+    opts = {"md5.sample.length": SAMPLE, "bytes.max": _stream_cap(spark, _spec(root, 1)),
             "offset.backup.path": f"{base}/backup"}
     q = start_stream(spark, path, output=f"{base}/out", checkpoint=f"{base}/ck", trigger="0 seconds", **opts)
     try:
         q.processAllAvailable()
-        end = end_offset(q)
     finally:
-        q.stop()
-    table = TableBackup(f"{base}/backup")
-    directory = parse_path(path).directory
-    # the listener runs on the listener bus: wait until it has stored the last batch
-    deadline = time.time() + 120
-    while True:
-        doc = table.fetch(spark, directory)
-        if doc is not None and json.loads(doc) == end:
-            break
-        if time.time() > deadline:
-            raise TimeoutError("the backup listener did not store the last offset")
-        time.sleep(0.2)
-    rows = from_offset_json(latest_backup(table.rows(spark)))
+        stop_stream(q)
+    rows = from_offset_json(latest_backup(TableBackup(f"{base}/backup").rows(spark)))
     return rows.groupBy("node").agg(F.sum("offset").cast("bigint").alias("total_offset"))
 
 
-def stream_increment(spark, sf_dir):
+def _grown(spark, sf_dir, tag, step, **options):
+    """Each snapshot written in place over the one before and read by ``step``."""
     events = _events(spark, sf_dir)
     n = _n_events(spark, sf_dir)
-    logs, out, ck = _stream_dirs(spark, "stream-increment")
-    opts = {"bytes.max": _stream_cap(sf_dir, n)}
-    for v in (0, 1):  # snapshot 1 extends the click files in place; restart from the checkpoint
-        write_snapshot(spark, events, logs, v, names=["click"], n_events=n)
-        _run_stream(spark, f"{logs}/{{node}}/{PATTERN}", out, ck, **opts)
-    return spark.read.parquet(out)
+    base = scratch_dir(spark, tag)
+    spec = parse_path(f"{base}/logs/{{node}}/{PATTERN}")
+    for v in SNAPSHOTS:
+        write_snapshot(spark, events, f"{base}/logs", v, n_events=n)
+        step(spec.path, base, **{"bytes.max": _stream_cap(spark, spec), **options})
+    return base
+
+
+def stream_increment(spark, sf_dir):
+    """All files of all snapshots through one stream, restarted from its
+    checkpoint after each: appended tails, replaced, truncated, new, deleted
+    and re-created files."""
+    base = _grown(spark, sf_dir, "stream-increment", lambda path, base, **o: _run_stream(
+        spark, path, f"{base}/out", f"{base}/ck", **o))
+    return spark.read.parquet(f"{base}/out")
 
 
 def stream_latest(spark, sf_dir):
-    events = _events(spark, sf_dir)
-    n = _n_events(spark, sf_dir)
-    logs, out, ck = _stream_dirs(spark, "stream-latest")
-    opts = {"bytes.max": _stream_cap(sf_dir, n), "starting.offsets": "latest"}
-    for v in (0, 1):
-        write_snapshot(spark, events, logs, v, names=["click"], n_events=n)
-        _run_stream(spark, f"{logs}/{{node}}/{PATTERN}", out, ck, **opts)
-    return spark.read.parquet(out)
+    """The same from the end of what is there at first."""
+    base = _grown(spark, sf_dir, "stream-latest", lambda path, base, **o: _run_stream(
+        spark, path, f"{base}/out", f"{base}/ck", **o), **{"starting.offsets": "latest"})
+    return spark.read.parquet(f"{base}/out")
 
 
 def batch_increment(spark, sf_dir):
-    """The stream_increment scenario with DataFrame batches instead of a stream:
-    snapshot 0 of the click files, batches until nothing is new, snapshot 1 in
-    place, batches again; every line of snapshot 1 once."""
-    events = _events(spark, sf_dir)
-    n = _n_events(spark, sf_dir)
-    base = scratch_dir(spark, "batch-increment")
-    logs, state, out = f"{base}/logs", f"{base}/state", f"{base}/out"
-    opts = {"bytes.max": _stream_cap(sf_dir, n), "md5.sample.length": SAMPLE}
-    for v in (0, 1):
-        write_snapshot(spark, events, logs, v, names=["click"], n_events=n)
-        settle(spark, f"{logs}/{{node}}/{PATTERN}", state, out, **opts)
-    return read_output(spark, out)
+    """The stream_increment scenario with DataFrame batches instead of a stream."""
+    base = _grown(spark, sf_dir, "batch-increment", lambda path, base, **o: settle(
+        spark, path, f"{base}/state", f"{base}/out", **o), **{"md5.sample.length": SAMPLE})
+    return read_output(spark, f"{base}/out", f"{base}/state")
 
 
 DOC_NAME = "documents.log"
 DOC_SPLIT = 1 << 18  # small sub-ranges so that every file is read by several tasks
-DOC_STREAM_CAP_SMALL = 1 << 18
-DOC_STREAM_CAP_LARGE = 1 << 21
 
 
 _DOCS: dict[tuple[str, str], str] = {}
@@ -299,11 +302,10 @@ def document_lines(spark, sf_dir):
 
 
 def document_stream(spark, sf_dir):
-    """The same texts through the stream under a cap smaller than some lines."""
+    """The same texts through the stream under the cap."""
     root = _documents(spark, sf_dir)
     base = scratch_dir(spark, "documents-stream")
-    sf = _scale(sf_dir)
-    cap = DOC_STREAM_CAP_LARGE if sf is not None and sf >= 0.1 else DOC_STREAM_CAP_SMALL
+    cap = _stream_cap(spark, parse_path(f"{root}/{{node}}/documents\\.log"))
     _run_stream(spark, f"{root}/{{node}}/documents\\.log", f"{base}/out", f"{base}/ck",
                 **{"bytes.max": cap, "split.bytes": DOC_SPLIT})
     return spark.read.parquet(f"{base}/out")
@@ -335,6 +337,7 @@ CHECKS = {
     "carry_forward": carry_forward,
     "offset_roundtrip": offset_roundtrip,
     "offset_backup": offset_backup,
+    "offset_newer": offset_newer,
     "stream_drain": stream_drain,
     "stream_increment": stream_increment,
     "stream_latest": stream_latest,

@@ -14,13 +14,13 @@ from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import appendlog.operators.ranges as ranges  # noqa: E402
-import appendlog.sources.corpus as corpus  # noqa: E402
+import checks.corpus as corpus  # noqa: E402
 import appendlog.streaming.source as source  # noqa: E402
 from appendlog.operators.state import empty_state  # noqa: E402
 from appendlog.plans.planner import align, plan  # noqa: E402
 from appendlog.session import ship_package  # noqa: E402
 from appendlog.sources.catalog import list_nodes, snapshot  # noqa: E402
-from appendlog.sources.corpus import write_lines  # noqa: E402
+from checks.corpus import write_lines  # noqa: E402
 from appendlog.sources.pathspec import parse_path  # noqa: E402
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

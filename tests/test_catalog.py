@@ -45,7 +45,7 @@ def test_positional_writer_many_chunks_one_file(spark, tmp):
     """One hot file written by many tasks at their offsets equals the sequential body."""
     from pyspark.sql import functions as F
 
-    from appendlog.sources.corpus import write_lines
+    from checks.corpus import write_lines
 
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     lines = ev.select(F.lit("n0").alias("node"), F.lit("hot.log").alias("name"), "event_id",

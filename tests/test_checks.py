@@ -9,14 +9,14 @@ SF = "/root/testdata/sf0.001"
 def results(spark):
     from tools.compare import compare
 
-    from appendlog import scenarios
+    from checks import scenarios
 
     return compare(spark, SF, list(scenarios.CHECKS))
 
 
 def test_all_keys_have_oracles():
     import __spark_entry__ as E
-    from appendlog import scenarios
+    from checks import scenarios
 
     assert set(scenarios.CHECKS) <= set(E.queries()) and set(scenarios.CHECKS) <= set(E.oracle_sql())
 

@@ -29,7 +29,7 @@ def test_document_bodies(spark, tmp):
     spec = parse_path(f"{tmp}/doc-[0-9]+\\.txt")
     empty = spark.createDataFrame([], "node string, name string, offset bigint, md5 string")
     p = align(plan(snapshot(spark, spec, 64), empty, list_nodes(spark, spec), first_run=True,
-                   cap=1 << 12), parallelism=4)
+                   cap=1 << 12))
     got = read_ranges(p, split_bytes=1 << 14).groupBy("name").agg(F.count("*").alias("n"))
     got = {r.name: r.n for r in got.collect()}
     # the first capped batch of each file: whole lines up to the aligned end

@@ -224,7 +224,7 @@ def test_hidden_and_directories_not_selected(tmp):
 
 
 def test_chunk_offsets_two_levels(spark):
-    from appendlog.sources.corpus import chunk_offsets
+    from checks.corpus import chunk_offsets
 
     rows = [("n", "f", c, (c * 7) % 13 + 1) for c in range(50)] + [("n", "g", c, 5) for c in range(3)]
     df = spark.createDataFrame(rows, "node string, name string, chunk long, chunk_bytes long")
@@ -284,31 +284,123 @@ def test_pack_bounds_bytes_and_files():
     assert sorted(p.path for b in bins for p in b.pieces) == sorted(p.path for p in pieces)
 
 
-def test_file_removed_between_listing_and_planning(tmp):
+def test_file_unreadable_after_listing_keeps_its_position(tmp):
     from appendlog.streaming import source
 
     write(f"{tmp}/a.log", b"x\n")
+    write(f"{tmp}/b.log", b"b1\n")
     t = Tail(cfg(f"{tmp}/[ab]\\.log"))
+    assert sorted(t.batch()) == ["b1", "x"]
+    os.remove(f"{tmp}/b.log")
     orig = source.list_dir
-    source.list_dir = lambda spec, node: orig(spec, node) + [("b.log", 10, 1, 1)]  # b.log is gone
+    # the listing still has b.log
+    source.list_dir = lambda spec, node: orig(spec, node) + [("b.log", 10, 1, 1)]
     try:
-        assert t.batch() == ["x"]
+        assert t.batch() == []
     finally:
         source.list_dir = orig
-    assert t.offset("b.log") is None and t.offset("a.log") == 2
+    assert t.offset("b.log") == 3 and t.offset("a.log") == 2
+    t.batch()  # a listing without it: now it is deleted
+    assert t.offset("b.log") is None
+
+
+def test_unreadable_head_is_carried_not_deleted(spark, tmp, monkeypatch):
+    """ENOENT, a shrunk file and an I/O error on the head read keep the offset."""
+    from appendlog.operators.state import state_from_plan
+    from appendlog.plans.planner import align, plan
+    from appendlog.sources import catalog
+    from appendlog.sources.pathspec import parse_path
+
+    for n in ("gone", "shrunk", "fine"):
+        write(f"{tmp}/{n}.log", b"0123456789abcdef\nmore\n")
+    spec = parse_path(f"{tmp}/[a-z]+\\.log")
+    before = catalog.snapshot(spark, spec, 16)
+    state = spark.createDataFrame([(r.node, r.name, r.size, r.md5) for r in before.collect()],
+                                  "node string, name string, offset long, md5 string")
+    files = catalog.list_files(spark, spec)
+    listed = spark.createDataFrame(files.collect(), files.schema)
+    os.remove(f"{tmp}/gone.log")
+    write(f"{tmp}/shrunk.log", b"01")
+    monkeypatch.setattr(catalog, "list_files", lambda *_: listed)
+    now = catalog.snapshot(spark, spec, 16)
+    assert {r.name: r.md5 is None for r in now.collect()} == {"gone.log": True, "shrunk.log": True, "fine.log": False}
+    p = align(plan(now, state, catalog.list_nodes(spark, spec)))
+    assert {r.name: r.status for r in p.collect()} == {
+        "gone.log": "carried", "shrunk.log": "carried", "fine.log": "unchanged"}
+    assert sorted((r.name, r.offset, r.md5) for r in state_from_plan(p).collect()) == sorted(
+        (r.name, r.offset, r.md5) for r in state.collect())
+    # unknown and unreadable: registers only once it can be read
+    fresh = plan(now, state.where("name <> 'gone.log'"), catalog.list_nodes(spark, spec))
+    assert {r.name for r in fresh.collect()} == {"shrunk.log", "fine.log"}
+
+
+@pytest.mark.parametrize("lo_hi", [256 << 10, 4 << 20, 100])
+def test_subranges_read_little_beyond_their_own_bytes(tmp, monkeypatch, lo_hi):
+    from appendlog.functions import bytescan, linescan
+
+    long = b"L" * (3 * lo_hi) + b"\n"
+    body = (b"x" * 70 + b"\n") * (4 * lo_hi // 71) + long + (b"y" * 50 + b"\n") * (4 * lo_hi // 51)
+    write(f"{tmp}/a.log", body)
+    fd, reads = os.open(f"{tmp}/a.log", os.O_RDONLY), []
+    real = bytescan.read_exact
+
+    def counted(fd, offset, length, path="?"):
+        reads.append(length)
+        return real(fd, offset, length, path)
+
+    monkeypatch.setattr(linescan, "read_exact", counted)
+    monkeypatch.setattr(bytescan, "read_exact", counted)
+    try:
+        got = []
+        for lo in range(0, len(body), lo_hi):
+            for arr in linescan.iter_line_arrays(fd, lo, min(len(body), lo + lo_hi), 0, len(body)):
+                got += arr.to_pylist()
+    finally:
+        os.close(fd)
+    assert got == body.decode().split("\n")[:-1]
+    # each sub-range: its bytes, two short searches, and the rest of its last line once
+    n = -(-len(body) // lo_hi)
+    assert sum(reads) <= 1.1 * len(body) + 1.5 * len(long) + n * 2 * bytescan.FIRST_BLOCK * 1.1
+
+
+def test_other_stores_are_refused(spark, tmp):
+    from appendlog.operators.increment import run_increment
+    from appendlog.sources.pathspec import AppendLogError, parse_path
+    from appendlog.streaming.backup import TableBackup
 
+    with pytest.raises(AppendLogError, match="POSIX"):
+        parse_path("hdfs://nn/logs/a\\.log")
+    assert parse_path(f"file://{tmp}/a\\.log").directory == tmp
+    with pytest.raises(ValueError, match="POSIX"):
+        TableBackup("hdfs://nn/backup")
+    assert TableBackup(f"file://{tmp}/b").path == f"{tmp}/b"
+    with pytest.raises(ValueError, match="POSIX"):
+        run_increment(spark, f"{tmp}/a\\.log", "s3a://b/state", f"{tmp}/out")
 
-def test_subrange_count_matches_split(spark):
-    from pyspark.sql import functions as F
 
-    from appendlog.operators.ranges import split_ranges, subrange_count
+def test_task_counts_follow_the_bytes(spark):
+    from appendlog.operators.ranges import LEAST_SPLIT_BYTES, SPLIT_BYTES, read_ranges, split_size
 
-    rows = [("n", f"f{i}", "p", s, e) for i, (s, e) in enumerate([(0, 0), (0, 1), (5, 15), (0, 10), (3, 31), (7, 5)])]
+    assert split_size(0) == LEAST_SPLIT_BYTES and split_size(1 << 50) == SPLIT_BYTES
+    rows = [("n", f"f{i}", "p", 0, 10 << 20) for i in range(7)]
     df = spark.createDataFrame(rows, "node string, name string, path string, start_offset long, end_offset long")
-    for split in (1, 3, 10):
-        want = split_ranges(df, split).count()
-        got = df.agg(F.sum(subrange_count(F.col("start_offset"), F.col("end_offset"), split))).first()[0]
-        assert got == want, split
+    assert read_ranges(df).rdd.getNumPartitions() == 18  # 70 MiB in splits of 4
+    assert read_ranges(df, split_bytes=35 << 20).rdd.getNumPartitions() == 2
+    assert read_ranges(df, work=(0, 1000)).rdd.getNumPartitions() == 4
+
+
+def test_warnings_for_replaced_and_truncated_files(tmp, caplog):
+    write(f"{tmp}/r.log", b"first head of it\nx\n")
+    write(f"{tmp}/t.log", b"one\ntwo\nthree\n")
+    t = Tail(cfg(f"{tmp}/[rt]\\.log", **{"md5.sample.length": 8}))
+    t.drain()
+    write(f"{tmp}/r.log", b"other head of it\nxyz\n")
+    with open(f"{tmp}/t.log", "r+b") as f:
+        f.truncate(8)
+    with caplog.at_level("WARNING", logger="appendlog"):
+        t.drain()
+    said = [r.getMessage() for r in caplog.records]
+    assert sum("r.log was replaced" in m for m in said) == 1 and sum("t.log was truncated" in m for m in said) == 1
 
 
 def test_node_appearing_later_is_read_from_start(tmp):

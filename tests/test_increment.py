@@ -26,7 +26,7 @@ def test_increment_semantics(spark, tmp):
     write(f"{d}/n2/g.log", b"again\n")  # re-created: new
     os.makedirs(f"{d}/n3")  # a new empty node is registered
     settle(spark, path, state, out, **opts)
-    got = sorted(r.value for r in read_output(spark, out).collect())
+    got = sorted(r.value for r in read_output(spark, out, state).collect())
     assert got == sorted([
         "r-old-" + "x" * 80, "t1", "t2", "t3", "gone",
         "r-new-" + "y" * 90, "t1", "partial", "again",
@@ -76,10 +76,12 @@ def test_batch_not_marked_complete_is_redone_once(spark, tmp):
     opts = {"bytes.max": 50}
     assert run_increment(spark, path, state, out, **opts) == 0
     assert run_increment(spark, path, state, out, **opts) == 1
+    first = sorted(r.value for r in read_output(spark, out, state).collect())
     os.remove(f"{state}/batch=1/{NODES_FILE}")  # crashed after writing, before marking batch 1 complete
+    assert set(r.value for r in read_output(spark, out, state).collect()) < set(first)  # nothing uncommitted is read
     assert run_increment(spark, path, state, out, **opts) == 1  # redone under the same number
     settle(spark, path, state, out, **opts)
-    assert sorted(r.value for r in read_output(spark, out).collect()) == ["line%02d" % i for i in range(20)]
+    assert sorted(r.value for r in read_output(spark, out, state).collect()) == ["line%02d" % i for i in range(20)]
 
 
 def test_random_operations_keep_both_planners_equal(spark, tmp):

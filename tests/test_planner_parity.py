@@ -57,7 +57,7 @@ def test_parity(spark):
 def test_decision_table_rows():
     kw = dict(first_run=False, policy="earliest", cap=CAP, check=True)
     assert R.decide(5, "A", None, None, node_listed=True, **kw).status == R.DELETED
-    assert R.decide(5, "A", 9, "B", node_listed=False, **kw)[:3] == (R.CARRIED, 5, 5)
+    assert R.decide(5, "A", None, None, node_listed=False, **kw)[:3] == (R.CARRIED, 5, 5)
     assert R.decide(None, None, 30, "A", node_listed=True, first_run=True, policy="earliest",
                     cap=CAP, check=True)[:3] == (R.NEW, 0, 10)
     assert R.decide(None, None, 30, "A", node_listed=True, first_run=True, policy="latest",

@@ -7,7 +7,7 @@ import pytest
 
 from appendlog.operators.state import newer_of
 from appendlog.streaming.backup import TableBackup, get_backup
-from appendlog.streaming.job import read_stream, start_stream
+from appendlog.streaming.job import end_offset, read_stream, start_stream, stop_stream
 from appendlog.sources.options import ReadConfig
 from appendlog.sources.pathspec import AppendLogError
 from tests.helpers import write
@@ -80,24 +80,13 @@ def test_backup_then_start_without_checkpoint(spark, tmp):
     write(log, b"one\ntwo\n")
     path = f"{tmp}/logs/app\\.log"
     bk = f"{tmp}/backup"
-    q = run(spark, path, f"{tmp}/out1", f"{tmp}/ck1", **{"offset.backup.path": bk})
-    # the listener runs asynchronously: wait for it to see the last batch
-    import time
-
-    table = TableBackup(bk)
-    for _ in range(300):
-        rows = table.rows(spark).collect()
-        if rows and json.loads(max(rows, key=lambda r: r.ts).offset_json)["offsets"]:
-            break
-        time.sleep(0.2)
-    newest = table.fetch(spark, f"{tmp}/logs")
+    q = start_stream(spark, path, output=f"{tmp}/out1", checkpoint=f"{tmp}/ck1", trigger="0 seconds",
+                     **{"offset.backup.path": bk})
+    q.processAllAvailable()
+    stop_stream(q)  # stores the last offset before it returns
+    _, newest = TableBackup(bk).fetch(spark, path)
     assert json.loads(newest)["offsets"]["local"]["app.log"]["offset"] == 8
-    end = q.lastProgress["sources"][0]["endOffset"]
-    if isinstance(end, str):
-        import ast
-
-        end = json.loads(end) if end.startswith('{"') else ast.literal_eval(end)
-    assert json.loads(newest) == end
+    assert json.loads(newest) == end_offset(q)
     write(log, b"three\n", "ab")
     # a new checkpoint: starts from the backup, so only the new line is read
     run(spark, path, f"{tmp}/out2", f"{tmp}/ck2", **{"offset.backup.path": bk})
@@ -244,14 +233,60 @@ def test_table_backup_keeps_newest_records(spark, tmp):
     t.store("/other", 5, json.dumps({"directory": "/other", "offsets": {}}))
     files = [n for n in os.listdir(f"{tmp}/bk") if n.endswith(".json")]
     assert len(files) == 16 + 1
-    assert json.loads(t.fetch(spark, "/d"))["offsets"]["n"]["f"]["offset"] == 20
+    ts, doc = t.fetch(spark, "/d")
+    assert ts == 20 and json.loads(doc)["offsets"]["n"]["f"]["offset"] == 20
     assert t.fetch(spark, "/missing") is None
+    # a clock that stepped back: the record just written stays, the newest by time wins
+    for ts in (3, 2, 1):
+        t.store("/d", ts, "{}")
+    assert t.fetch(spark, "/d")[0] == 20
+    assert {1, 2, 3} <= {r.ts for r in t.rows(spark).where("directory = '/d'").collect()}
+
+
+def test_recover_takes_the_newer_of_two_stores(spark, tmp):
+    from appendlog.streaming.backup import OffsetBackup, recover
+
+    class Fixed(OffsetBackup):
+        def __init__(self, record):
+            self.record = record
+
+        def store(self, stream, ts, offset_json):
+            self.record = (ts, offset_json)
+
+        def fetch(self, spark, stream):
+            return self.record
+
+    table = TableBackup(f"{tmp}/bk")
+    table.store("s", 50, "table")
+    assert recover(spark, Fixed((1, "old")), Fixed((99, "new")), "s") == "new"
+    assert recover(spark, Fixed((99, "custom")), table, "s") == "custom"
+    assert recover(spark, Fixed((7, "custom")), table, "s") == "table"
+    assert recover(spark, Fixed((50, "local")), table, "s") == "local"  # a tie keeps the local one
+    assert recover(spark, Fixed(None), Fixed(None), "s") is None
+
+
+def test_streams_over_one_folder_keep_their_own_offsets(spark, tmp):
+    write(f"{tmp}/logs/a.log", b"a1\n")
+    write(f"{tmp}/logs/b.log", b"b1\n")
+    opts = {"offset.backup.path": f"{tmp}/bk"}
+    for n in ("a", "b"):
+        q = start_stream(spark, f"{tmp}/logs/{n}\\.log", output=f"{tmp}/{n}", checkpoint=f"{tmp}/ck-{n}",
+                         trigger="0 seconds", **opts)
+        q.processAllAvailable()
+        stop_stream(q)
+        assert values(spark, f"{tmp}/{n}") == [f"{n}1"]
+    # the same path under another name, from a new checkpoint, starts at the beginning
+    q = start_stream(spark, f"{tmp}/logs/a\\.log", output=f"{tmp}/again", checkpoint=f"{tmp}/ck-again",
+                     trigger="0 seconds", **opts, **{"stream.name": "second"})
+    q.processAllAvailable()
+    stop_stream(q)
+    assert values(spark, f"{tmp}/again") == ["a1"]
 
 
 def test_many_small_files_packed_exactly_once(spark, tmp):
     from pyspark.sql import functions as F
 
-    from appendlog.sources.corpus import write_lines
+    from checks.corpus import write_lines
 
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     lines = ev.select(
