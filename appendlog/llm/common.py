@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from appendlog.session import ship_package
+from appendlog.session import checkpoint_root, ship_package
 
 #: Upper bound on range buckets (their bounds travel as one literal array).
 MAX_BUCKETS = 4096
 
-_LOCAL_ROOT: dict[str, str] = {}
-
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The ``documents`` table, only the named columns."""
@@ -23,29 +20,11 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return df.select(*columns) if columns else df
 
 
-def work_root(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
-
-    ``spark.checkpoint.dir`` of the session, or the checkpoint dir the user
-    set; a new local folder only where neither is set and the master is local.
-    """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    root = root or sc.getCheckpointDir()
-    if root:
-        return root.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if sc.applicationId not in _LOCAL_ROOT:
-        _LOCAL_ROOT[sc.applicationId] = tempfile.mkdtemp(prefix="appendlog-llm-")
-    return _LOCAL_ROOT[sc.applicationId]
-
-
 def pinned(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written as Parquet into the shared folder and read back: its
     lineage ends there, and a lost executor costs no recomputation."""
     spark = df.sparkSession
-    path = f"{work_root(spark)}/llm/{tag}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/llm/{tag}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -5,17 +5,22 @@ at least ``percent`` / 100.  The steps:
 
 1. Documents with the same set become one class, its smallest id standing for
    it, so exact copies are never compared or expanded.
-2. Blocking without loss: sets of similar size that link differ in at most D
+2. Candidates without loss: sets of similar size that link differ in at most D
    shingles.  Cutting the hash range into D + 2 parts leaves two parts equal at
    least, so linked sets share the hash of some non-empty part (or both have
-   two empty parts, which has a key of its own).  Keys of a single class drop
-   out in an aggregation; what is left are blocks of likely copies.
-3. T-occurrence search inside the blocks: the query is a block's smallest id,
-   the index holds the shingles of the others.  DivideSkip merges the short
-   inverted lists with a heap and binary-probes the long ones for candidates
-   that reached ``T - L``; a document with the required overlap is a link.
-   A block's members are split over tasks by bounded chunks.
-4. Links make components.  Blocks whose members fell into several components
+   two empty parts, which has a key of its own).  Documents none of whose keys
+   occurs twice have no link and go no further.
+3. Short inverted lists: the shingles of the candidates are counted, and a
+   document stays on the lists of its rarest ones only, as many as it can miss
+   plus one; linked documents meet on such a list.  Shingles of one candidate
+   come first in this order, so a copy with too many edits of its own is on no
+   list at all, and frequent phrases are on none.
+4. T-occurrence search: the query is a list's smallest id, the index holds the
+   shingles of the list's others.  DivideSkip merges the short lists of the
+   query with a heap and binary-probes the long ones for candidates that
+   reached ``T - L``; a document with the required overlap is a link.  The
+   documents of one query are split over tasks by bounded chunks.
+5. Links make components.  Lists whose members fell into several components
    are searched again with every member outside the largest component as a
    query, which leaves no pair of different components unexamined.
 
@@ -35,10 +40,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from appendlog.llm.common import components, pinned, sized
+from appendlog.session import ship_package
 
 #: Index chunk: documents searched together in one task.
 CHUNK = 256
@@ -145,6 +151,7 @@ def divide_skip(query: np.ndarray, index: list[np.ndarray], percent: int) -> lis
 
 def signatures(df: DataFrame, size: int, percent: int, key: str, text: str) -> DataFrame:
     """``doc_id, n, a, b, keys``: set size, order-free set digest, block keys."""
+    ship_package(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -211,6 +218,34 @@ def _search(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
+def _short_lists(sets: DataFrame, percent: int) -> DataFrame:
+    """``key, d, n, q, qn``: the inverted lists (of two documents or more) that
+    linked documents meet on, with each list's smallest id ``q``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                b = whole.slice(at, 256)
+                held = [np.frombuffer(x, np.int64) for x in b.column(1).to_pylist()]
+                size = [len(x) for x in held]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(np.array(b.column(0).to_pylist(), np.int64), size)),
+                     pa.array(np.repeat(np.array(size, np.int64), size)), pa.array(np.concatenate(held))], ["d", "n", "key"])
+
+    terms = sets.mapInArrow(run, "d long, n long, key long")
+    often = pinned(terms.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "join-frequent")
+    known = terms.join(often, "key")
+    here = Window.partitionBy("d")
+    # shingles of one document only come first; what they leave of the prefix goes by frequency
+    left = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.count(F.lit(1)).over(here))
+    rare = known.withColumn("left", left).where("left > 0").withColumn(
+        "place", F.row_number().over(here.orderBy("df", "key"))).where("place <= left").select("key", "d", "n")
+    rare = pinned(rare, "join-rare")
+    heads = rare.groupBy("key").agg(F.min(F.struct("d", "n")).alias("q"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    heads = sized(pinned(heads.select("key", F.col("q.d").alias("q"), F.col("q.n").alias("qn")), "join-heads"))
+    return pinned(rare.join(heads, "key"), "join-members")
+
+
 def link_components(df: DataFrame, size: int = 3, percent: int = 90, key: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row."""
@@ -219,30 +254,32 @@ def link_components(df: DataFrame, size: int = 3, percent: int = 90, key: str =
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows"), "join-classes"))
     named = sig.select("doc_id", "n", "a", "b", "keys").join(same, ["a", "b", "n"], "left").withColumn(
         "rep", F.coalesce("rep", "doc_id"))
-    # one row of each class goes into the blocks (equal ids of different texts share a node)
+    # one row of each class goes on (equal ids of different texts share a node)
     blocks = named.where("doc_id = rep").select(F.explode("keys").alias("key"), F.col("doc_id").alias("d"))
     repeated = sized(pinned(blocks.groupBy("key").agg(F.min("d").alias("q"), F.max("d").alias("top"))
-                            .where("q < top").select("key", "q"), "join-blocks"))
-    members = pinned(blocks.join(repeated, "key").distinct(), "join-members")
-    stars = pinned(members.where("q <> d").select("q", "d").distinct(), "join-pairs")
-    wanted = sized(pinned(members.select(F.col("d").alias(key)).distinct(), "join-wanted"))
+                            .where("q < top").select("key"), "join-blocks"))
+    wanted = sized(pinned(blocks.join(repeated, "key", "left_semi").select(F.col("d").alias(key)).distinct(), "join-wanted"))
     sets = pinned(_sets(df.select(key, text).join(wanted, key, "left_semi"), size, key, text).dropDuplicates(["id"]),
                   "join-sets")
+    members = _short_lists(sets, percent)
+    fits = F.lit(100) * F.least("n", "qn") >= F.lit(percent) * F.greatest("n", "qn")
+    stars = pinned(members.where((F.col("q") != F.col("d")) & fits).select("q", "d").distinct(), "join-pairs")
     links = pinned(_search(stars, sets, percent), "join-links")
     found = components(links)
-    # blocks that still hold several components
-    placed = members.select("key", "d").join(sized(found), F.col("d") == F.col("node"), "left").select(
-        "key", "d", F.coalesce("component", "d").alias("c"))
+    # lists that still hold several components
+    placed = members.select("key", "d", "n").join(sized(found), F.col("d") == F.col("node"), "left").select(
+        "key", "d", "n", F.coalesce("component", "d").alias("c"))
     placed = pinned(placed, "join-placed")
     counts = placed.groupBy("key", "c").count()
     mixed = counts.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.max_by("c", F.struct("count", "c")).alias("main")).where(
         "k > 1").select("key", "main")
     mixed = sized(pinned(mixed, "join-mixed"))
-    open_blocks = pinned(placed.join(mixed, "key"), "join-open")
-    asked = open_blocks.where("c <> main").select("key", F.col("d").alias("q"), F.col("c").alias("qc"))
-    more = asked.join(open_blocks.select("key", "d", "c", "main"), "key").where(
-        "qc <> c and (c = main or q < d)").select("q", "d").distinct()
-    more = pinned(more.join(stars, ["q", "d"], "left_anti"), "join-pairs")
+    open_lists = pinned(placed.join(mixed, "key"), "join-open")
+    asked = open_lists.where("c <> main").select("key", F.col("d").alias("q"), F.col("n").alias("qn"), F.col("c").alias("qc"))
+    more = asked.join(open_lists.select("key", "d", "n", "c", "main"), "key").where(
+        (F.col("qc") != F.col("c")) & ((F.col("c") == F.col("main")) | (F.col("q") < F.col("d"))) & fits)
+    more = more.select("q", "d").distinct().join(stars, ["q", "d"], "left_anti")
+    more = pinned(more, "join-pairs")
     if not more.isEmpty():
         links = links.union(pinned(_search(more, sets, percent), "join-links"))
         found = components(links)

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from appendlog.llm.tokenizers_io import ByteBpe
+from appendlog.session import ship_package
 
 SIZE = 2048
 OPEN_BINS = 2048
@@ -79,6 +80,7 @@ def piece_lengths(n: int, size: int = SIZE) -> list[int]:
 def pack(df: DataFrame, json_path: str, ranks_path: str, key: str = "doc_id", text: str = "text",
          size: int = SIZE, end_id: int = 0, open_bins: int = OPEN_BINS) -> DataFrame:
     """One row per piece: its document, place in it, digest, sequence, offset."""
+    ship_package(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from appendlog.session import ship_package
+
 # Kinds in their order.
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = BASE_KINDS + ("url", "iban", "ssn", "secret")
@@ -152,6 +154,7 @@ def detect(df: DataFrame, text: str = "text", out: str = "spans") -> DataFrame:
     column of that name; ``text`` itself is kept."""
     from pyspark.sql.pandas.types import to_arrow_type
 
+    ship_package(df.sparkSession)
     kind = to_arrow_type(SPANS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,6 +182,7 @@ def redacted(text: str | None) -> str | None:
 
 def redact(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with personal data replaced by kind markers, same columns."""
+    ship_package(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -191,6 +195,7 @@ def redact(df: DataFrame, text: str = "text") -> DataFrame:
 
 def report(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Counts and digests of the spans of each row."""
+    ship_package(df.sparkSession)
     names = ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from appendlog.llm import minhash, ngramjoin, packing, pii, quality, spm, suffixdedup, tokencount, toxicity, wavelet
-from appendlog.llm.common import documents, work_root
+from appendlog.llm.common import documents
 from appendlog.llm.tokenizers_io import vocabulary
+from appendlog.session import checkpoint_root
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +53,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{work_root(spark)}/llm/wavelet-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/llm/wavelet-{uuid.uuid4().hex[:12]}"
     wavelet.write(documents(spark, sf_dir, "doc_id", "text"), path, vocabulary("byte_bpe_50k.json"),
                   vocabulary("byte_bpe_50k.tiktoken"))
     return wavelet.read(spark, path)

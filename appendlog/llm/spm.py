@@ -25,6 +25,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from appendlog.session import ship_package
+
 #: Segments remembered per Python worker (up to twice as many).
 MEMORY = 250_000
 MARK = "▁"
@@ -203,6 +205,7 @@ def encode_decode(df: DataFrame, path: str, key: str = "doc_id", text: str = "te
                   keep: bool = False) -> DataFrame:
     """Digests of the ids and of the decoded text of each row; with ``keep``
     also ``ids`` and ``decoded`` themselves."""
+    ship_package(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)

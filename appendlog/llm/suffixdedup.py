@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from appendlog.llm.common import pinned, sized
+from appendlog.session import ship_package
 
 LENGTH = 400
 GRAM = 64
@@ -356,6 +357,7 @@ def _prepared(df: DataFrame, key: str, text: str, length: int) -> tuple[DataFram
 
 def _marked(df: DataFrame, key: str, text: str, length: int) -> DataFrame:
     """``df`` with ``__copy`` (another row has the same text) and ``__spans``."""
+    ship_package(df.sparkSession)
     rows, copies = _prepared(df, key, text, length)
     rows = rows.join(copies, "__md5", "left").withColumn("__copy", F.col("__rep").isNotNull())
     distinct = rows.where((~F.col("__copy")) | (F.col(key) == F.col("__rep"))).select(F.col(key).alias("id"), F.col(text).alias("text"))

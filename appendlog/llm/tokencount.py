@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from appendlog.llm.tokenizers_io import library, special_strings
+from appendlog.session import ship_package
 
 #: Bytes of text per encoding batch, and pieces remembered per Python worker.
 BATCH_BYTES = 1 << 20
@@ -109,6 +110,7 @@ def counts(texts: list[str], path: str, batch_bytes: int = BATCH_BYTES) -> list[
 
 def count_tokens(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", limit: int = 2048) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` of each row."""
+    ship_package(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from appendlog.llm.common import pinned, sized
 from appendlog.llm.quality import word_windows
+from appendlog.session import ship_package
 
 MAX_FEATURES = 5000
 #: Share of toxic training texts that a feature must occur in, and at least so many of them.
@@ -63,6 +64,7 @@ SIDE = 64
 
 def language_model(df: DataFrame, text: str = "text") -> np.ndarray:
     """Log-probabilities of a letter class after two others, smoothed."""
+    ship_package(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SIDE ** 3, np.int64)

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from appendlog.llm.common import bucket_of, range_bounds
 from appendlog.llm.tokenizers_io import ByteBpe
+from appendlog.session import ship_package
 
 #: Tokens per shard, bits of rank directory granularity, bytes of text per range bucket.
 SHARD_TOKENS = 1 << 20
@@ -132,6 +133,7 @@ def _matrix(row: dict) -> WaveletMatrix:
 def write(df: DataFrame, path: str, json_path: str, ranks_path: str, key: str = "doc_id", text: str = "text",
           end_id: int = 2, bits: int = 16, shard_tokens: int = SHARD_TOKENS) -> None:
     """Encode ``df`` and write its shards to ``path``."""
+    ship_package(df.sparkSession)
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -172,6 +174,7 @@ def write(df: DataFrame, path: str, json_path: str, ranks_path: str, key: str =
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Per document, from the files alone: ``start`` (ids of all documents
     before it), ``n_tokens`` and the checksum of its ids."""
+    ship_package(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
