@@ -58,7 +58,7 @@ def let(value: Column, body) -> Column:
 
 
 #: Rows up to which a pinned side of a join may be broadcast (two or three longs each).
-BROADCAST_ROWS = 400_000
+BROADCAST_ROWS = 1_000_000
 
 
 def sized(df: DataFrame) -> DataFrame:

@@ -256,8 +256,7 @@ def link_components(df: DataFrame, size: int = 3, percent: int = 90, key: str =
         "rep", F.coalesce("rep", "doc_id"))
     # one row of each class goes on (equal ids of different texts share a node)
     blocks = named.where("doc_id = rep").select(F.explode("keys").alias("key"), F.col("doc_id").alias("d"))
-    repeated = sized(pinned(blocks.groupBy("key").agg(F.min("d").alias("q"), F.max("d").alias("top"))
-                            .where("q < top").select("key"), "join-blocks"))
+    repeated = sized(pinned(blocks.groupBy("key").count().where("count > 1").select("key"), "join-blocks"))
     wanted = sized(pinned(blocks.join(repeated, "key", "left_semi").select(F.col("d").alias(key)).distinct(), "join-wanted"))
     sets = pinned(_sets(df.select(key, text).join(wanted, key, "left_semi"), size, key, text).dropDuplicates(["id"]),
                   "join-sets")
