@@ -17,8 +17,10 @@ somewhere else in the corpus (the same text included).  The steps:
    increasing order and stops at ``length``: suffixes still without a value
    share at least that many bytes with a neighbour.
 5. An anchor with more than ``HOT`` distinct stretches is not given to one
-   task: its windows are hashed and counted by key over all tasks, an exact
-   way whose counts combine before the shuffle.
+   task but halved by counts over all tasks (``_halved``): windows are taken in
+   ranges of their place around the anchor.  A range that occurs twice as a
+   whole is repeated; one whose common core occurs once is not; any other is
+   cut in two, down to single windows.
 
 Null texts count as empty and, like texts shorter than ``length``, lose
 nothing.  Rows with equal ids and equal texts are repeats of each other.
@@ -80,7 +82,7 @@ class Hashes:
 
 
 def stretches(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """Start, stop, anchor hash and two digests of each anchor's stretch."""
+    """Start, stop, anchor hash, two digests and anchor place of each stretch."""
     n = len(data) - length + 1
     h = Hashes(data, _A)
     at = np.arange(len(data) - gram + 1)
@@ -101,7 +103,8 @@ def stretches(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple
     size = (stop - start).astype(np.uint64)
     # the place of the anchor within the stretch is part of its identity
     shape = _mix(size * _A + (anchor[first] - start).astype(np.uint64))
-    return start, stop, grams[anchor[first]], _mix(h.of(start, stop) + shape), other.of(start, stop) ^ shape
+    return (start, stop, grams[anchor[first]], _mix(h.of(start, stop) + shape), other.of(start, stop) ^ shape,
+            anchor[first] - start)
 
 
 def suffix_order(sym: np.ndarray, depth: int) -> np.ndarray:
@@ -210,29 +213,29 @@ def _scan(docs: DataFrame, length: int) -> DataFrame:
                     data = np.frombuffer(_bytes(t.as_py()), np.uint8)
                     if len(data) < length:
                         continue
-                    start, stop, key, d1, d2 = stretches(data, length)
+                    start, stop, key, d1, d2, place = stretches(data, length)
                     order = np.lexsort((start, d2, d1, key))
                     k, x, y = key[order], d1[order], d2[order]
                     new = np.concatenate([[True], (k[1:] != k[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
                     first = order[new]
                     count = np.diff(np.append(np.flatnonzero(new), len(order)))
-                    out.append((doc, key[first], d1[first], d2[first], (stop - start)[first], count, start[order]))
+                    out.append((doc, key[first], d1[first], d2[first], (stop - start)[first], count, start[order], place[first]))
                 cat = lambda i: np.concatenate([o[i] for o in out])
                 if not out:
                     continue
                 offsets = np.concatenate([[0], np.cumsum(cat(5))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat([o[0] for o in out], [len(o[1]) for o in out]), pa.int64()),
-                     *[pa.array(cat(i).view(np.int64)) for i in (1, 2, 3)], pa.array(cat(4), pa.int32()),
+                     *[pa.array(cat(i).view(np.int64)) for i in (1, 2, 3)], pa.array(cat(4), pa.int32()), pa.array(cat(7), pa.int32()),
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(cat(6), pa.int32()))],
-                    ["id", "key", "d1", "d2", "size", "starts"])
+                    ["id", "key", "d1", "d2", "size", "place", "starts"])
 
-    return docs.mapInArrow(run, "id long, key long, d1 long, d2 long, size int, starts array<int>")
+    return docs.mapInArrow(run, "id long, key long, d1 long, d2 long, size int, place int, starts array<int>")
 
 
 def _cut(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The bytes of the stretches ``wanted`` (id, key, start, size)."""
-    lists = wanted.groupBy("id").agg(F.collect_list(F.struct("key", "start", "size")).alias("parts"))
+    """The bytes of the stretches ``wanted`` (id, key, start, size, place)."""
+    lists = wanted.groupBy("id").agg(F.collect_list(F.struct("key", "start", "size", "place")).alias("parts"))
     ids = sized(pinned(wanted.select("id").distinct(), "suffix-ids"))
     rows = docs.join(ids, "id", "left_semi").dropDuplicates(["id"]).join(lists, "id").select("id", "text", "parts")
 
@@ -240,19 +243,20 @@ def _cut(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 b = whole.slice(at, 256)
-                ids, keys, starts, datas = [], [], [], []
+                ids, keys, starts, places, datas = [], [], [], [], []
                 for doc, t, parts in zip(*[c.to_pylist() for c in b.columns], strict=True):
                     data = _bytes(t)
                     for p in parts:
                         ids.append(doc)
                         keys.append(p["key"])
                         starts.append(p["start"])
+                        places.append(p["place"])
                         datas.append(data[p["start"]:p["start"] + p["size"]])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(starts, pa.int32()),
-                     pa.array(datas, pa.binary())], ["id", "key", "start", "data"])
+                     pa.array(places, pa.int32()), pa.array(datas, pa.binary())], ["id", "key", "start", "place", "data"])
 
-    return rows.mapInArrow(run, "id long, key long, start int, data binary")
+    return rows.mapInArrow(run, "id long, key long, start int, place int, data binary")
 
 
 def _search(parts: DataFrame, length: int) -> DataFrame:
@@ -286,26 +290,63 @@ def _search(parts: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(run, "id long, lo int, hi int")
 
 
-def _count(parts: DataFrame, length: int) -> DataFrame:
-    """Covered ranges within the stretches of anchors beyond ``HOT``."""
+def _digests(length: int):
+    """For ranges ``lo .. lo + width - 1`` of window places (a window's place is
+    the anchor's distance from its start): digests of the core that all windows
+    of the range share, and of the whole that this stretch has of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["id", "key", "start", "lo", "width", "from", "to", "c1", "c2", "w1", "w2"]
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
-                b = whole.slice(at, 256)
-                cols: list[list[np.ndarray]] = [[], [], [], []]
-                for doc, start, data in zip(*[b.column(n).to_pylist() for n in ("id", "start", "data")], strict=True):
+                out = []
+                for doc, key, start, place, data, lo, width in zip(*[c.to_pylist() for c in whole.slice(at, 256).columns],
+                                                                   strict=True):
                     d = np.frombuffer(data, np.uint8)
-                    w = np.arange(len(d) - length + 1)
-                    for c, v in zip(cols, (np.full(len(w), doc), start + w, _mix(Hashes(d, _A).of(w, w + length)).view(np.int64),
-                                           _mix(Hashes(d, _B).of(w, w + length)).view(np.int64)), strict=True):
-                        c.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in cols],
-                                                 ["id", "lo", "w1", "w2"])
-
-    windows = parts.mapInArrow(run, "id long, lo long, w1 long, w2 long")
-    twice = pinned(windows.groupBy("w1", "w2").count().where("count > 1").select("w1", "w2"), "suffix-windows")
-    return windows.join(twice, ["w1", "w2"]).select("id", F.col("lo").cast("int"), (F.col("lo") + length).cast("int").alias("hi"))
+                    # places that the stretch owns, from its last window to its first
+                    first, last = max(lo, place - (len(d) - length)), min(lo + width - 1, place)
+                    if first > last:
+                        continue
+                    cuts = np.array([[place - lo, place - (lo + width - 1) + length], [place - last, place - first + length]])
+                    h = [_mix(Hashes(d, base).of(cuts[:, 0], cuts[:, 1])).view(np.int64) for base in (_A, _B)]
+                    out.append((doc, key, start, lo, width, start + place - last, start + place - first + length,
+                                int(h[0][0]), int(h[1][0]), int(h[0][1]), int(h[1][1])))
+                cols = list(zip(*out, strict=True)) or [()] * len(names)
+                kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 5, *[pa.int64()] * 4]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
+
+    return run
+
+
+def _halved(parts: DataFrame, length: int) -> DataFrame | None:
+    """Covered ranges within the stretches of anchors beyond ``HOT``; every
+    step is a count over all tasks, and each stretch goes on with the one or
+    two ranges that are repeated in part."""
+    parts = pinned(parts, "suffix-hot")
+    width = 1 << (length - 1).bit_length() - 1  # the core of a range is never empty
+    state = parts.select("id", "key", "start", F.explode(F.array(*[F.lit(k) for k in range(0, length, width)])).alias("lo"))
+    found: DataFrame | None = None
+    while width >= 1 and not state.isEmpty():
+        rows = parts.join(state, ["id", "key", "start"]).select("id", "key", "start", "place", "data", "lo", F.lit(width))
+        rows = pinned(rows.mapInArrow(_digests(length), "id long, key long, start int, lo int, width int, from int, to int, "
+                                                        "c1 long, c2 long, w1 long, w2 long"), "suffix-ranges")
+        size = F.col("to") - F.col("from")
+        rows = rows.withColumn("size", size)
+        whole = ["key", "lo", "size", "w1", "w2"]
+        twice = sized(pinned(rows.groupBy(*whole).count().where("count > 1").drop("count"), "suffix-whole"))
+        ranges = rows.join(twice, whole, "left_semi").select("id", F.col("from").alias("lo"), F.col("to").alias("hi"))
+        found = ranges if found is None else found.union(ranges)
+        core = ["key", "lo", "c1", "c2"]
+        shared = sized(pinned(rows.groupBy(*core).count().where("count > 1").drop("count"), "suffix-core"))
+        # the halves of what is shared in its core but not as a whole; a repeated whole stays as a witness
+        left = rows.join(shared, core, "left_semi").join(
+            rows.join(twice, whole, "left_anti").select(*core).distinct(), core, "left_semi")
+        width //= 2
+        if not width:
+            break
+        state = sized(pinned(left.select("id", "key", "start", F.explode(F.array("lo", F.col("lo") + width)).alias("lo")),
+                             "suffix-state"))
+    return found
 
 
 def _merge(spans: list) -> list[tuple[int, int]]:
@@ -329,7 +370,7 @@ def covered(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     met = pinned(spans.join(keys, "key"), "suffix-met")
     digest = ["key", "d1", "d2"]
     kinds = pinned(met.groupBy(*digest).agg(
-        F.sum(F.size("starts")).alias("n"), F.min(F.struct("id", F.get("starts", F.lit(0)).alias("start"), "size")).alias("first"),
+        F.sum(F.size("starts")).alias("n"), F.min(F.struct("id", F.get("starts", F.lit(0)).alias("start"), "size", "place")).alias("first"),
         F.max("several").alias("several")), "suffix-kinds")
     # stretches that occur twice are repeated throughout
     twice = kinds.where("n > 1").select(*digest)
@@ -338,13 +379,15 @@ def covered(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     # the others are searched against all distinct stretches of their anchor
     per = kinds.where("several").groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).where("least = 1")
     per = sized(pinned(per.select("key", (F.col("kinds") > HOT).alias("hot")), "suffix-open"))
-    wanted = kinds.where("several").join(per, "key").select("key", "hot", "first.id", "first.start", "first.size")
+    wanted = kinds.where("several").join(per, "key").select("key", "hot", "first.id", "first.start", "first.size", "first.place")
     wanted = pinned(wanted, "suffix-wanted")
-    parts = pinned(_cut(docs, wanted.select("id", "key", "start", "size")), "suffix-parts")
+    parts = pinned(_cut(docs, wanted.select("id", "key", "start", "size", "place")), "suffix-parts")
     hot = per.where("hot").select("key")
     searched = _search(parts.join(hot, "key", "left_anti"), length)
-    counted = _count(parts.join(hot, "key", "left_semi"), length)
-    ranges = whole.select("id", "lo", "hi").union(searched).union(counted)
+    ranges = whole.select("id", "lo", "hi").union(searched)
+    counted = _halved(parts.join(hot, "key", "left_semi"), length)
+    if counted is not None:
+        ranges = ranges.union(counted)
     return ranges.groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 
