@@ -24,7 +24,7 @@ BATCH_BYTES = 1 << 20
 MEMORY = 400_000
 
 # The Unicode White_Space characters.
-WHITE = "\t-\r \x85\xa0  -     　"
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 class Counter:

@@ -40,7 +40,7 @@ from appendlog.session import ship_package
 
 MAX_FEATURES = 5000
 #: Share of toxic training texts that a feature must occur in, and at least so many of them.
-MIN_SHARE, MIN_TEXTS = 0.01, 4
+MIN_SHARE, MIN_TEXTS = 0.01, 5
 MIN_WEIGHT, MAX_WEIGHT = 2.0, 7.0
 BASE = -4.0
 THRESHOLD = 0.3
