@@ -26,8 +26,8 @@ WINDOW = 5
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
 ITERATIONS = 12
-#: Prior belief in votes (good texts, low texts), worth PRIOR_ROWS rows each.
-PRIOR_ROWS = 5
+#: Prior belief in votes (good texts, low texts), worth PRIOR_ROWS rows of each class.
+PRIOR_ROWS = 20
 BELIEF = {-1: (0.01, 0.5), 1: (0.5, 0.2)}
 THRESHOLD = 0.5
 _SPACE = r"[ \t-\r]+"
@@ -128,7 +128,7 @@ def fit(votes: DataFrame, names: list[str]) -> tuple[float, dict[tuple[str, int]
     for _ in range(ITERATIONS if patterns else 0):
         n_good = sum(c * g for (_, c), g in zip(patterns, good, strict=True))
         n_low = sum(c * (1 - g) for (_, c), g in zip(patterns, good, strict=True))
-        prior = log((n_good + 0.5) / (n_low + 0.5))
+        prior = log((n_good + PRIOR_ROWS) / (n_low + PRIOR_ROWS))
         for i, name in enumerate(names):
             for v in (-1, 1):
                 mine = [(c, g) for (p, c), g in zip(patterns, good, strict=True) if p[i] == v]
