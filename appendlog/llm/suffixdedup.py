@@ -359,9 +359,21 @@ def _merge(spans: list) -> list[tuple[int, int]]:
     return [(lo, hi) for lo, hi in out]
 
 
+def _joined(spans: DataFrame) -> DataFrame:
+    """``id, spans`` with the ranges of each text merged into maximal runs."""
+    kind = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            new = [[{"lo": lo, "hi": hi} for lo, hi in _merge([(x["lo"], x["hi"]) for x in r])]
+                   for r in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(new, kind)], ["id", "spans"])
+
+    return spans.mapInArrow(run, "id long, spans array<struct<lo:int,hi:int>>")
+
+
 def covered(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``id, spans`` (array of lo, hi byte ranges that overlap or touch at
-    will) of the texts of ``docs`` (``id, text``; distinct texts) that repeat."""
+    """``id, spans`` (array of lo, hi: the maximal covered byte runs) of the texts of ``docs`` (``id, text``; distinct texts) that repeat."""
     spans = pinned(_scan(docs, length), "suffix-stretches")
     keys = spans.groupBy("key").agg(
         F.sum(F.size("starts")).alias("n"),
@@ -388,7 +400,7 @@ def covered(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     counted = _halved(parts.join(hot, "key", "left_semi"), length)
     if counted is not None:
         ranges = ranges.union(counted)
-    return ranges.groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    return _joined(ranges.groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
 
 
 def _prepared(df: DataFrame, key: str, text: str, length: int) -> tuple[DataFrame, DataFrame]:
