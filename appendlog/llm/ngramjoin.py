@@ -219,8 +219,8 @@ def _search(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _short_lists(sets: DataFrame, percent: int) -> DataFrame:
-    """``key, d, n, q, qn``: the inverted lists (of two documents or more) that
-    linked documents meet on, with each list's smallest id ``q``."""
+    """``key, d, n, rest, q, qn, qrest``: the inverted lists (of two documents or
+    more) that linked documents meet on, with each list's smallest id ``q``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -237,12 +237,15 @@ def _short_lists(sets: DataFrame, percent: int) -> DataFrame:
     known = terms.join(often, "key")
     here = Window.partitionBy("d")
     # shingles of one document only come first; what they leave of the prefix goes by frequency
-    left = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.count(F.lit(1)).over(here))
+    known = known.withColumn("own", F.count(F.lit(1)).over(here))
+    left = F.col("own") + 1 - F.ceil(F.col("n") * percent / 100)
     rare = known.withColumn("left", left).where("left > 0").withColumn(
-        "place", F.row_number().over(here.orderBy("df", "key"))).where("place <= left").select("key", "d", "n")
+        "place", F.row_number().over(here.orderBy("df", "key"))).where("place <= left")
+    # what the document still has after this shingle, in the order of all of its shingles
+    rare = rare.select("key", "d", "n", (F.col("own") - F.col("place")).alias("rest"))
     rare = pinned(rare, "join-rare")
-    heads = rare.groupBy("key").agg(F.min(F.struct("d", "n")).alias("q"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    heads = sized(pinned(heads.select("key", F.col("q.d").alias("q"), F.col("q.n").alias("qn")), "join-heads"))
+    heads = rare.groupBy("key").agg(F.min(F.struct("d", "n", "rest")).alias("q"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    heads = sized(pinned(heads.select("key", F.col("q.d").alias("q"), F.col("q.n").alias("qn"), F.col("q.rest").alias("qrest")), "join-heads"))
     return pinned(rare.join(heads, "key"), "join-members")
 
 
@@ -261,21 +264,24 @@ def link_components(df: DataFrame, size: int = 3, percent: int = 90, key: str =
     sets = pinned(_sets(df.select(key, text).join(wanted, key, "left_semi"), size, key, text).dropDuplicates(["id"]),
                   "join-sets")
     members = _short_lists(sets, percent)
-    fits = F.lit(100) * F.least("n", "qn") >= F.lit(percent) * F.greatest("n", "qn")
+    # on the first list that two documents share, their overlap is this shingle and at
+    # most what either has after it; a linked pair passes there at least
+    fits = F.lit(100 + percent) * (1 + F.least("rest", "qrest")) >= F.lit(percent) * (F.col("n") + F.col("qn"))
     stars = pinned(members.where((F.col("q") != F.col("d")) & fits).select("q", "d").distinct(), "join-pairs")
     links = pinned(_search(stars, sets, percent), "join-links")
     found = components(links)
     # lists that still hold several components
-    placed = members.select("key", "d", "n").join(sized(found), F.col("d") == F.col("node"), "left").select(
-        "key", "d", "n", F.coalesce("component", "d").alias("c"))
+    placed = members.select("key", "d", "n", "rest").join(sized(found), F.col("d") == F.col("node"), "left").select(
+        "key", "d", "n", "rest", F.coalesce("component", "d").alias("c"))
     placed = pinned(placed, "join-placed")
     counts = placed.groupBy("key", "c").count()
     mixed = counts.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.max_by("c", F.struct("count", "c")).alias("main")).where(
         "k > 1").select("key", "main")
     mixed = sized(pinned(mixed, "join-mixed"))
     open_lists = pinned(placed.join(mixed, "key"), "join-open")
-    asked = open_lists.where("c <> main").select("key", F.col("d").alias("q"), F.col("n").alias("qn"), F.col("c").alias("qc"))
-    more = asked.join(open_lists.select("key", "d", "n", "c", "main"), "key").where(
+    asked = open_lists.where("c <> main").select("key", F.col("d").alias("q"), F.col("n").alias("qn"),
+                                                 F.col("rest").alias("qrest"), F.col("c").alias("qc"))
+    more = asked.join(open_lists.select("key", "d", "n", "rest", "c", "main"), "key").where(
         (F.col("qc") != F.col("c")) & ((F.col("c") == F.col("main")) | (F.col("q") < F.col("d"))) & fits)
     more = more.select("q", "d").distinct().join(stars, ["q", "d"], "left_anti")
     more = pinned(more, "join-pairs")
