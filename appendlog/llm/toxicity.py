@@ -17,9 +17,9 @@ or two of it.  Viterbi decoding under the trigram model keeps the best path to
 each pair of last letters; the best ``READINGS`` final paths are looked up.
 
 Null and empty texts have no words and get the base score.  Repeated rows
-score alike; equal and nearly equal training texts count once.  Only texts and the labels of
-training rows enter a model; a corpus without training rows gives every text
-the base score.
+score alike; training rows with equal texts and equal labels count once, all
+others count each.  Only texts and the labels of training rows enter a model; a
+corpus without training rows gives every text the base score.
 """
 
 from __future__ import annotations
@@ -35,7 +35,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from appendlog.llm.common import pinned, sized
-from appendlog.llm.quality import word_windows
 from appendlog.session import ship_package
 
 MAX_FEATURES = 5000
@@ -189,10 +188,9 @@ def fit(df: DataFrame, labels: DataFrame, model: np.ndarray, key: str = "doc_id"
     """Lexicon: feature -> weight, from the labelled rows that are not held out."""
     known = sized(pinned(labels.where(F.col(label).isNotNull() & ~held_out(F.col(key))).groupBy(key).agg(
         F.max(label).alias("y")), "toxic-labels"))
-    # near copies would make their rare words look telling: one text for each least shingle hash
-    alike = F.coalesce(F.array_min(word_windows(F.col(text), 5)), F.xxhash64(text))
-    rows = df.where(F.col(text).isNotNull()).join(known, key).groupBy(alike.alias("h")).agg(
-        F.min_by(text, F.struct(F.md5(text), "y")).alias("t"), F.max("y").alias("y")).select("t", "y")
+    # equal texts of one label count once; any other training row counts by its own label
+    rows = df.where(F.col(text).isNotNull()).join(known, key).groupBy(F.sha2(text, 256).alias("h"), "y").agg(
+        F.first(text).alias("t")).select("t", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model)

@@ -222,3 +222,18 @@ def test_restored_words(toxic):
     assert "worthless" in toxicity.restore("w.o.r.t.h.l.e.s.s", model)
     assert "idiotic" in toxicity.restore("iiidiooootic", model)
     assert toxicity.restore("", model) == []
+
+
+def test_training_rows_with_a_common_passage_all_count(spark):
+    rng = random.Random(14)
+    passage = " ".join(f"clause{k}" for k in range(60))
+    # one passage in every text; the toxic ones hold the insult too
+    rows = [(i, f"{prose(rng, 4)} {passage} {prose(rng, 4)}" + (" blockhead" if i % 4 == 0 else "")) for i in range(160)]
+    labels = [(i, int(i % 4 == 0)) for i, _ in rows]
+    rows += [(1000 + i, t) for i, t in rows[:40]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    frame = spark.createDataFrame(labels, "doc_id long, toxic int")
+    lexicon = toxicity.fit(docs, frame, toxicity.language_model(docs))
+    assert "blockhead" in lexicon and not any(f.startswith("clau") for f in lexicon)
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs, frame).collect()}
+    assert all(got[i] == y and got.get(1000 + i, y) == y for i, y in labels)
