@@ -3,8 +3,9 @@
 Documents are sets of word shingles; two link when their Jaccard similarity is
 at least ``percent`` / 100.  The steps:
 
-1. Documents with the same set become one class, its smallest id standing for
-   it, so exact copies are never compared or expanded.
+1. A text's node is its 64-bit digest, whatever its row's id.  Texts with the
+   same set become one class, its smallest node standing for it, so exact
+   copies are never compared or expanded.
 2. Candidates without loss: sets of similar size that link differ in at most D
    shingles.  Cutting the hash range into D + 2 parts leaves two parts equal at
    least, so linked sets share the hash of some non-empty part (or both have
@@ -26,8 +27,10 @@ at least ``percent`` / 100.  The steps:
 
 Words are runs without ASCII white space, A-Z lower-cased; a text with fewer
 words than a shingle is one shingle; null, empty and blank texts have an empty
-set and link with nothing.  Whole texts, no caps.  Rows with equal ids share
-their component.  Shingles are compared by 64-bit hashes.
+set and link with nothing.  Whole texts, no caps.  A component's id is the
+smallest id of its rows (null if all are null).  Rows with equal ids share
+their component, whichever texts they hold; rows with null ids do so by their
+texts only.  Shingles are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -150,36 +153,39 @@ def divide_skip(query: np.ndarray, index: list[np.ndarray], percent: int) -> lis
 
 
 def signatures(df: DataFrame, size: int, percent: int, key: str, text: str) -> DataFrame:
-    """``doc_id, n, a, b, keys``: set size, order-free set digest, block keys."""
+    """``doc_id, id, row, n, a, b, keys``: node, row number, set size, order-free
+    set digest, block keys."""
     ship_package(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 b = whole.slice(at, 1024)
-                sets = [shingles(t.as_py(), size) for t in b.column(1)]
+                sets = [shingles(t.as_py(), size) for t in b.column(3)]
                 digest = [(int(s.sum(dtype=np.uint64)), int(_mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)))
                           for s in sets]
                 keys = [block_keys(s, percent) for s in sets]
                 flat = np.concatenate(keys) if keys else np.empty(0, np.uint64)
                 offsets = np.cumsum([0, *map(len, keys)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                    [*b.columns[:3], pa.array([len(s) for s in sets], pa.int64()),
                      *[pa.array(np.array([d[i] for d in digest], np.uint64).view(np.int64)) for i in (0, 1)],
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))],
-                    ["doc_id", "n", "a", "b", "keys"])
+                    ["doc_id", "id", "row", "n", "a", "b", "keys"])
 
-    return df.select(key, text).mapInArrow(run, "doc_id long, n long, a long, b long, keys array<long>")
+    return df.select(key, F.xxhash64(text), F.monotonically_increasing_id(), text).mapInArrow(
+        run, "doc_id long, id long, row long, n long, a long, b long, keys array<long>")
 
 
-def _sets(df: DataFrame, size: int, key: str, text: str) -> DataFrame:
+def _sets(df: DataFrame, size: int) -> DataFrame:
+    """``id, items`` of the rows ``id, text``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([shingles(t.as_py(), size).tobytes() for t in b.column(1)], pa.binary())],
                 ["id", "items"])
 
-    return df.select(key, text).mapInArrow(run, "id long, items binary")
+    return df.mapInArrow(run, "id long, items binary")
 
 
 def _search(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -249,20 +255,21 @@ def _short_lists(sets: DataFrame, percent: int) -> DataFrame:
     return pinned(rare.join(heads, "key"), "join-members")
 
 
-def link_components(df: DataFrame, size: int = 3, percent: int = 90, key: str = "doc_id",
-                    text: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row."""
+def _linked(df: DataFrame, size: int, percent: int, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows ``doc_id, id, n, rep`` (node, set size, node of the class), and the
+    links and components of the classes."""
     sig = pinned(signatures(df, size, percent, key, text), "join-signatures")
     same = sized(pinned(sig.where("n > 0").groupBy("a", "b", "n").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows"), "join-classes"))
-    named = sig.select("doc_id", "n", "a", "b", "keys").join(same, ["a", "b", "n"], "left").withColumn(
-        "rep", F.coalesce("rep", "doc_id"))
-    # one row of each class goes on (equal ids of different texts share a node)
-    blocks = named.where("doc_id = rep").select(F.explode("keys").alias("key"), F.col("doc_id").alias("d"))
+        F.min("id").alias("rep"), F.min("row").alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows"),
+        "join-classes"))
+    named = sig.join(same, ["a", "b", "n"], "left").withColumn("rep", F.coalesce("rep", "id"))
+    # one row of each class goes on
+    blocks = named.where(F.coalesce("first", "row") == F.col("row")).select(F.explode("keys").alias("key"), F.col("rep").alias("d"))
     repeated = sized(pinned(blocks.groupBy("key").count().where("count > 1").select("key"), "join-blocks"))
-    wanted = sized(pinned(blocks.join(repeated, "key", "left_semi").select(F.col("d").alias(key)).distinct(), "join-wanted"))
-    sets = pinned(_sets(df.select(key, text).join(wanted, key, "left_semi"), size, key, text).dropDuplicates(["id"]),
-                  "join-sets")
+    wanted = sized(pinned(blocks.join(repeated, "key", "left_semi").select(F.col("d").alias("id")).distinct(), "join-wanted"))
+    # rows of one node have equal texts
+    texts = df.select(F.xxhash64(text).alias("id"), F.col(text).alias("text")).join(wanted, "id", "left_semi").dropDuplicates(["id"])
+    sets = pinned(_sets(texts, size), "join-sets")
     members = _short_lists(sets, percent)
     # on the first list that two documents share, their overlap is this shingle and at
     # most what either has after it; a linked pair passes there at least
@@ -288,13 +295,43 @@ def link_components(df: DataFrame, size: int = 3, percent: int = 90, key: str =
     if not more.isEmpty():
         links = links.union(pinned(_search(more, sets, percent), "join-links"))
         found = components(links)
-    final = sized(found)
-    return named.select("doc_id", "n", "rep").join(final, F.col("rep") == F.col("node"), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
+    return named.select("doc_id", "id", "n", "rep"), links, found
+
+
+def _placed(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows`` with the node ``c`` of their component."""
+    return rows.join(sized(found), F.col("rep") == F.col("node"), "left").withColumn("c", F.coalesce("component", "rep"))
+
+
+def link_components(df: DataFrame, size: int = 3, percent: int = 90, key: str = "doc_id",
+                    text: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row."""
+    rows, links, found = _linked(df, size, percent, key, text)
+    # empty sets have a node for each id
+    rows = pinned(rows.select("doc_id", "n", F.when(F.col("n") > 0, F.col("rep")).otherwise(
+        F.xxhash64(F.lit("empty"), F.col("doc_id"))).alias("rep")), "join-rows")
+    named = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
+    clashes = pinned(named.where("low < high").select("doc_id", "low"), "join-clashes")
+    if not clashes.isEmpty():
+        equal = rows.join(sized(clashes), "doc_id").select(F.col("low").alias("a"), F.col("rep").alias("b"))
+        found = components(links.select("a", "b").union(equal))
+    rows = _placed(rows, found)
+    least = rows.groupBy("c").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
+    return rows.join(sized(pinned(least, "join-least")), "c", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
 
 
 def keep_one(df: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row (the smallest id's) of each component, with ``df``'s columns."""
-    away = link_components(df, size, percent, key, text).where("component_id <> doc_id").select(
-        F.col("doc_id").alias(key)).distinct()
-    return df.join(sized(pinned(away, "join-away")), key, "left_anti").select(*df.columns)
+    """One row of each component, with ``df``'s columns: the smallest id's (null
+    ids last), one of rows that are equal in id and text.  Texts are told apart
+    by their content, not by their ids; rows with empty sets all stay."""
+    rows, _, found = _linked(df, size, percent, key, text)
+    rows = pinned(_placed(rows.where("n > 0"), found).select("doc_id", "id", "c"), "join-rows")
+    best = rows.groupBy("c").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "id")).alias("best"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    best = sized(pinned(best.select("c", F.col("best.doc_id").alias("__best"), F.col("best.id").alias("__node")), "join-best"))
+    fates = pinned(rows.select("id", "c").join(best, "c").select(F.col("id").alias("__id"), "__best", "__node").distinct(), "join-fates")
+    marked = df.withColumn("__id", F.xxhash64(text)).join(sized(fates), "__id", "left")
+    wins = (F.col("__id") == F.col("__node")) & F.col(key).eqNullSafe(F.col("__best"))
+    return marked.where("__node is null").select(*df.columns).union(
+        marked.where(wins).dropDuplicates(["__id"]).select(*df.columns))

@@ -23,7 +23,8 @@ somewhere else in the corpus (the same text included).  The steps:
    cut in two, down to single windows.
 
 Null texts count as empty and, like texts shorter than ``length``, lose
-nothing.  Rows with equal ids and equal texts are repeats of each other.
+nothing.  Rows with equal texts are repeats of each other, whatever their ids;
+rows that share an id only are not.
 Texts are read whole; an empty table gives no rows.
 """
 
@@ -403,21 +404,21 @@ def covered(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return _joined(ranges.groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
 
 
-def _prepared(df: DataFrame, key: str, text: str, length: int) -> tuple[DataFrame, DataFrame]:
-    """Rows with the digest of their text, and the covered ranges by digest."""
-    rows = df.withColumn("__md5", F.md5(F.coalesce(F.col(text), F.lit(""))))
-    copies = rows.where(F.octet_length(text) >= length).groupBy("__md5").agg(F.min(key).alias("__rep"), F.count(F.lit(1)).alias("__n"))
-    return rows, sized(pinned(copies.where("__n > 1").drop("__n"), "suffix-copies"))
+def _marked(df: DataFrame, text: str, length: int) -> DataFrame:
+    """``df`` with ``__copy`` (another row has the same text) and ``__spans``.
 
-
-def _marked(df: DataFrame, key: str, text: str, length: int) -> DataFrame:
-    """``df`` with ``__copy`` (another row has the same text) and ``__spans``."""
+    Texts are told apart by a digest, so ids may be null, repeated or shared by
+    different texts."""
     ship_package(df.sparkSession)
-    rows, copies = _prepared(df, key, text, length)
-    rows = rows.join(copies, "__md5", "left").withColumn("__copy", F.col("__rep").isNotNull())
-    distinct = rows.where((~F.col("__copy")) | (F.col(key) == F.col("__rep"))).select(F.col(key).alias("id"), F.col(text).alias("text"))
+    rows = df.withColumn("__md5", F.md5(F.coalesce(F.col(text), F.lit("")))).withColumn("__id", F.xxhash64("__md5"))
+    copies = rows.where(F.octet_length(text) >= length).groupBy("__md5").agg(F.count(F.lit(1)).alias("__n"))
+    copies = sized(pinned(copies.where("__n > 1").select("__md5", F.lit(True).alias("__copy")), "suffix-copies"))
+    rows = rows.join(copies, "__md5", "left").withColumn("__copy", F.col("__copy").isNotNull())
+    texts = rows.select(F.col("__id").alias("id"), F.col(text).alias("text"), "__copy")
+    once = pinned(texts.where("__copy").select("id", "text").dropDuplicates(["id"]), "suffix-once")
+    distinct = texts.where(~F.col("__copy")).select("id", "text").union(once)
     spans = pinned(covered(distinct, length).select(F.col("id").alias("__id"), F.col("spans").alias("__spans")), "suffix-spans")
-    return rows.join(sized(spans), F.col(key) == F.col("__id"), "left").drop("__id", "__rep", "__md5")
+    return rows.join(sized(spans), "__id", "left").drop("__id", "__md5")
 
 
 def _spans(n: int, copy: bool, spans: list | None, length: int) -> list[tuple[int, int]]:
@@ -448,14 +449,14 @@ def report(df: DataFrame, key: str = "doc_id", text: str = "text", length: int =
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
                                                  ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return _marked(df.select(key, text), key, text, length).select(key, text, "__copy", "__spans").mapInArrow(
+    return _marked(df.select(key, text), text, length).select(key, text, "__copy", "__spans").mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """``df`` with repeated passages cut out of ``text`` (whole characters
     only: a character that a range covers in part stays).  Nulls stay null."""
-    marked = _marked(df, key, text, length)
+    marked = _marked(df, text, length)
     names, place = df.columns, marked.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

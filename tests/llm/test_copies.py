@@ -176,3 +176,25 @@ def test_whole_characters_stay(table):
     same = {r.doc_id: r.text for r in suffixdedup.without_repeats(table([(1, "z" + body), (2, "z" + body)])).collect()}
     assert same == {1: "", 2: ""}
     assert suffixdedup.report(table([])).count() == 0 and suffixdedup.without_repeats(table([])).count() == 0
+
+
+def test_repeated_null_and_clashing_ids(table):
+    """Stages 2 and 3 of the pipeline: one row of each text stays, and stays whole."""
+    rng = random.Random(17)
+    a, b, c, d, e = (prose(rng, 120) for _ in range(5))
+    assert min(len(t.encode()) for t in (a, b, c, d, e)) > 400
+    rows = [(1, a), (1, a), (1, a), (None, b), (None, b), (None, c), (7, c), (3, d), (2, d), (3, e), (5, None), (5, None)]
+    kept = ngramjoin.keep_one(table(rows, ["c", "id"]))
+    want = [(1, a), (2, d), (3, e), (5, None), (5, None), (7, c), (None, b)]
+    by = lambda x: (x[0] is None, x[0] or 0, x[1] or "")
+    assert sorted([(r.doc_id, r.text) for r in kept.collect()], key=by) == want
+    cut = suffixdedup.without_repeats(kept)
+    assert sorted([(r.doc_id, r.text) for r in cut.collect()], key=by) == want
+    # copies lose all, whatever their ids; a namesake keeps its own bytes
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed) for r in suffixdedup.report(table(rows)).collect())
+    size = {t: len(t.encode()) for t in (a, b, c, d, e)}
+    assert got == Counter([(i, size.get(t, 0), 0 if t in (None, e) else size[t]) for i, t in rows])
+    passage = prose(rng, 90)
+    clash = [(1, prose(rng, 30) + passage), (1, d), (2, prose(rng, 50) + passage + prose(rng, 9))]
+    out = {r.text for r in suffixdedup.without_repeats(table(clash)).collect()}
+    assert d in out and len(out) == 3 and not any(passage in t for t in out)
