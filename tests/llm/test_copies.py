@@ -198,3 +198,11 @@ def test_repeated_null_and_clashing_ids(table):
     clash = [(1, prose(rng, 30) + passage), (1, d), (2, prose(rng, 50) + passage + prose(rng, 9))]
     out = {r.text for r in suffixdedup.without_repeats(table(clash)).collect()}
     assert d in out and len(out) == 3 and not any(passage in t for t in out)
+
+
+def test_components_of_clashing_and_null_ids(table):
+    rng = random.Random(18)
+    a, b, c, d = (prose(rng, 60) for _ in range(4))
+    rows = [(9, a), (9, b), (4, b), (6, a), (None, c), (8, c), (None, d), (9, "")]
+    got = [(r.doc_id, r.component_id) for r in ngramjoin.link_components(table(rows)).collect()]
+    assert Counter(got) == Counter([(9, 4), (9, 4), (4, 4), (6, 4), (None, 8), (8, 8), (None, None), (9, 4)])
