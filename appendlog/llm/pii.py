@@ -96,7 +96,7 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
             if at >= done["ip"]:
                 if m := _ADDRESS.match(text, at):
                     done["ip"] = m.end()
-                    if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m.group().split(".")):
+                    if all(len(p.lstrip("0")) < 4 and int(p.lstrip("0") or "0") <= 255 for p in m.group().split(".")):
                         add("ip", at, m.end())
                 else:
                     done["ip"] = _DIGITS.match(text, at).end()

@@ -45,6 +45,13 @@ def test_base_spans_equal_the_grammars_on_random_texts():
         assert [s for s in pii.find_spans(t) if s[0] in pii.BASE_KINDS] == by_regex(t), t
 
 
+def test_addresses_of_very_many_digits():
+    zeros = "0" * 5000
+    t = f"at {zeros}.1.2.3 and {zeros}1.{zeros}.0.255 and {'9' * 5000}.1.2.3"
+    ips = [t[s:e] for k, s, e in pii.find_spans(t) if k == "ip"]
+    assert ips == [f"{zeros}.1.2.3", f"{zeros}1.{zeros}.0.255"]
+
+
 def test_added_kinds():
     t = 'password=abc12345x token = "0a1b2c3d4e5f" IBAN GB82 WEST 1234 5698 7654 32 ssn 123-45-6789 http://me@host/x http://example.com'
     found = {(k, t[s:e]) for k, s, e in pii.find_spans(t)}
