@@ -10,8 +10,10 @@ Three passes, each over all rows it concerns:
 3. ``score``: a text's words and the restored forms of its odd tokens look up
    the lexicon; weights of distinct words add up to a log-odds.
 
-Restoring: a token with letters among digits or symbols, with stretched
-letters, or spelled in single characters is read as a lattice.  A symbol may
+Restoring: a token with letters among digits or symbols, made of look-alikes
+only, with doubled or stretched letters, or spelled in single characters (three
+or more, look-alikes too) is read as a lattice, both as it stands and without
+the punctuation at its edges.  A symbol may
 stand for the letters it resembles or for nothing, a run of one letter for one
 or two of it.  Viterbi decoding under the trigram model keeps the best path to
 each pair of last letters; the best ``READINGS`` final paths are looked up.
@@ -51,9 +53,13 @@ MEMORY = 200_000
 LOOKS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
          "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "*": "aeiou", "#": "h", "&": "a"}
 _LETTER = re.compile(r"[^\W\d_]+")
-_STRETCHED = re.compile(r"([^\W\d_])\1\1")
-_SPELLED = re.compile(r"(?<![^\W_])[^\W_](?:[ ._*-]{1,2}[^\W_]){3,}(?![^\W_])")
+_DOUBLED = re.compile(r"([^\W\d_])\1")
+_SIGNS = "@$!|+(#&"
+# spelled words: "*" is a separator, or a letter among other separators
+_SPELLED = [(re.compile(rf"(?<![^\W_]){u}(?:{gap}{{1,2}}{u}){{2,}}(?![^\W_])"), re.compile(u))
+            for u, gap in ((rf"(?:[^\W_]|[{_SIGNS}])", "[ ._*-]"), (rf"(?:[^\W_]|[{_SIGNS}*])", "[ ._-]"))]
 _EDGES = ".,;:?\"'()[]{}<>%&#*|!-_=~`/\\"
+_BLANK_EDGES = "".join(c for c in _EDGES if c not in LOOKS)
 # letter classes of the trigram model: 0 is "no letter"
 _CODE = np.zeros(256, np.int64)
 for _i, _c in enumerate([*range(97, 123), *[c for c in range(0xDF, 0x100) if c != 0xF7]]):
@@ -120,10 +126,15 @@ def _lattice(token: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def restore(token: str, model: np.ndarray) -> list[str]:
-    """The most probable readings of an obfuscated token, best first."""
+def restore(token: str, model: np.ndarray, letters_at_edges: bool = False) -> list[str]:
+    """The most probable readings of an obfuscated token, best first; symbols
+    at its edges may have to be letters."""
     paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for reads in _lattice(token):
+    lattice = _lattice(token)
+    if letters_at_edges:
+        for k in (0, -1):
+            lattice[k] = [r for r in lattice[k] if r[0]] or lattice[k]
+    for reads in lattice:
         new: dict[tuple[int, int], tuple[float, str]] = {}
         for (a, b), (cost, word) in paths.items():
             for letters, channel in reads:
@@ -147,27 +158,36 @@ class Reader:
         self.memory: dict[str, list[str]] = {}
 
     def _read(self, token: str) -> list[str]:
+        """Readings of a token, the likeliest first; none for a plain word."""
         got = self.memory.get(token)
         if got is None:
             if len(self.memory) > MEMORY:
                 self.memory.clear()
-            got = self.memory[token] = restore(token, self.model)
+            core, whole = token.strip(_EDGES), token.strip(_BLANK_EDGES)
+            got = []
+            for form in dict.fromkeys((core, whole, whole.rstrip(_EDGES), whole.lstrip(_EDGES))):
+                if _is_odd(form):
+                    got += restore(form, self.model)
+                    if form != core:  # the core covers the case that its edges mean nothing
+                        got += restore(form, self.model, True)
+            if got and core.isalpha():
+                got.append(core)
+            got = self.memory[token] = list(dict.fromkeys(got))
         return got
 
     def words(self, text: str | None) -> tuple[set[str], list[list[str]]]:
         """The plain words, and the readings of each odd token."""
         low = (text or "").lower()
         tokens = set(low.split())
-        odd = set()
-        for t in tokens:
-            if not t.isalpha():
-                core = t.strip(_EDGES)
-                if not core.isalpha() and any(c.isalpha() for c in core):
-                    odd.add(core)
-        if _STRETCHED.search(low):
-            odd.update(c for t in tokens if _STRETCHED.search(c := t.strip(_EDGES)))
-        odd.update("".join(re.findall(r"[^\W_]", m.group())) for m in _SPELLED.finditer(low))
-        return set(_LETTER.findall(low)), [self._read(t) for t in odd]
+        spelled = {"".join(unit.findall(m.group())) for pattern, unit in _SPELLED for m in pattern.finditer(low)}
+        odd = [r for t in tokens - spelled if (r := self._read(t))]
+        return set(_LETTER.findall(low)), odd + [self._read(t) or [t] for t in spelled]
+
+
+def _is_odd(token: str) -> bool:
+    if token.isalpha():
+        return _DOUBLED.search(token) is not None
+    return any(c.isalpha() for c in token) or (len(token) > 1 and all(c in LOOKS for c in token))
 
 
 def features(words: set[str]) -> set[str]:
@@ -232,8 +252,9 @@ def text_score(text: str | None, reader: Reader, lexicon: dict[str, float]) -> f
     if marks:
         total = sum(_weight(w, lexicon) for w in plain if w in marks or any(w[:k] + "-" in marks for k in BEGINNINGS))
     for readings in odd:
-        if not any(r in plain for r in readings):
-            total += max((_weight(r, lexicon) for r in readings), default=0.0)
+        # what a reading has beyond the words that the text holds as they are
+        best = max(_weight(r, lexicon) for r in readings)
+        total += best - max((_weight(r, lexicon) for r in readings if r in plain), default=0.0)
     return 1 / (1 + math.exp(-min(50.0, BASE + total)))
 
 

@@ -244,3 +244,18 @@ def test_training_rows_with_a_common_passage_all_count(spark):
     assert "blockhead" in lexicon and not any(f.startswith("clau") for f in lexicon)
     got = {r.doc_id: r.predicted for r in toxicity.score(docs, frame).collect()}
     assert all(got[i] == y and got.get(1000 + i, y) == y for i, y in labels)
+
+
+def test_obfuscated_tokens_are_read(spark, toxic):
+    _, _, docs, _ = toxic
+    plain = spark.createDataFrame([(k, "an idiot, a clown, scum; stupid asses pass") for k in range(40)], "doc_id long, text string")
+    reader = toxicity.Reader(toxicity.language_model(docs.union(plain)))
+    marks = {"idiot": 7.0, "idio-": 6.0, "stup-": 6.0, "clown": 7.0, "scum": 7.0, "ass": 7.0}
+    for t in ("!diot", "|diot", "|diot!", "!diot,", "stup*", "(lown", "((lown)", "4$$", "@$$", "a$$", "s c u m", "s ( u m", "s.(.u.m",
+              "( l o w n", "a $ $", "a s s", "iddiott", "iddiot.", "idiot", "idiot!", "s c * m"):
+        assert toxicity.text_score(f"you are {t} today", reader, marks) >= 0.3, t
+    once = toxicity.text_score("you idiot today", reader, marks)
+    for t in ("you idiot! today", "you !diot idiot today", "(idiot)"):
+        assert toxicity.text_score(t, reader, marks) == pytest.approx(once, abs=1e-3), t
+    for t in ("a still letter", "in 1990 and 2010 (maybe) 1 2 3", "wait! *now* | a | b | c |", "10:30 b12 555 0199"):
+        assert toxicity.text_score(t, reader, marks) < 0.3, t
