@@ -6,8 +6,9 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from appendlog.llm import minhash, ngramjoin, packing, pii, quality, spm, suffixdedup, tokencount, toxicity, wavelet
+from appendlog.llm import infill, minhash, ngramjoin, packing, pii, quality, spm, suffixdedup, tokencount, toxicity, wavelet
 from appendlog.llm.common import documents
 from appendlog.llm.tokenizers_io import vocabulary
 from appendlog.session import checkpoint_root
@@ -59,7 +60,31 @@ def op10_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read(spark, path)
 
 
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = infill.fill_in_middle(documents(spark, sf_dir, "doc_id", "text"))
+    return infill.restored(done, "restored").select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pii, op2_quality, op3_token_counts, op4_toxicity, op5_sentencepiece, op6_suffix_dedup,
-                            op7_fingerprints, op8_ngram_join, op9_packing, op10_wavelet)}
-ORACLES: dict[str, str] = {}
+                            op7_fingerprints, op8_ngram_join, op9_packing, op10_wavelet, op11_infill)}
+#: DuckDB twins, where SQL states the whole result.
+ORACLES: dict[str, str] = {
+    "op11_infill": r"""
+with d as (select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as u,
+                  sha256('7:' || coalesce(doc_id::varchar, '')) as h from documents),
+c as (select *, len(u) as n, ('0x' || h[1:8])::bigint % (len(u) + 1) as a, ('0x' || h[9:16])::bigint % (len(u) + 1) as b,
+             case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') then 'plain'
+                  when ('0x' || h[25:32])::bigint % 100 < 50 then 'spm' else 'psm' end as form from d),
+p as (select doc_id, t, n, form, array_to_string(u[1:least(a, b)], '') as prefix,
+             array_to_string(u[least(a, b) + 1:greatest(a, b)], '') as middle,
+             array_to_string(u[greatest(a, b) + 1:], '') as suffix from c)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then length(prefix) end::bigint as prefix_chars,
+       case when form <> 'plain' then length(middle) end::bigint as middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(t) as restored_sha256
+from p""",
+}
