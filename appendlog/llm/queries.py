@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from appendlog.llm import infill, minhash, ngramjoin, packing, pii, quality, spm, suffixdedup, tokencount, toxicity, wavelet
+from appendlog.llm import infill, minhash, ngramjoin, packing, pii, quality, spm, suffixdedup, tokencount, topk, toxicity, wavelet, whiten
 from appendlog.llm.common import documents
 from appendlog.llm.tokenizers_io import vocabulary
 from appendlog.session import checkpoint_root
@@ -67,9 +67,22 @@ def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("restored", 256).alias("restored_sha256"))
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+
+
+def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(embeddings(spark, sf_dir), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(embeddings(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pii, op2_quality, op3_token_counts, op4_toxicity, op5_sentencepiece, op6_suffix_dedup,
-                            op7_fingerprints, op8_ngram_join, op9_packing, op10_wavelet, op11_infill)}
+                            op7_fingerprints, op8_ngram_join, op9_packing, op10_wavelet, op11_infill, op12_top_k,
+                            op13_whitening)}
 #: DuckDB twins, where SQL states the whole result.
 ORACLES: dict[str, str] = {
     "op11_infill": r"""
@@ -87,4 +100,12 @@ select doc_id, n::bigint as n, form, case when form <> 'plain' then length(prefi
                         else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
        sha256(t) as restored_sha256
 from p""",
+    "op12_top_k": r"""
+with v as (select row_number() over () as r, vec_id, list_transform(embedding, lambda c: floor(64 * c::double)) as x
+           from embeddings where embedding is not null
+             and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+s as (select q.r, q.vec_id as query_id, c.vec_id, list_inner_product(q.x, c.x)::bigint as score
+      from v q join v c on q.r <> c.r and len(q.x) = len(c.x) where q.vec_id % 20 = 0),
+k as (select *, row_number() over (partition by r order by score desc, vec_id nulls last) as rank from s)
+select query_id, rank::int as rank, vec_id, score from k where rank <= 20""",
 }
