@@ -200,7 +200,16 @@ def restore(output: str, form: str) -> str:
     return one + middle + two if form == PSM else two + middle + one
 
 
-_MEMORY: list[Memory] = []
+_SHARED: list[Memory] = []
+
+
+def shared_memory() -> Memory:
+    """The Python worker's one memory (tasks refer to it by name: what a task's
+    function holds itself is copied into every task)."""
+    if not _SHARED:
+        _SHARED.append(Memory())
+    return _SHARED[0]
+
 
 SCHEMA = "doc_id long, n long, form string, prefix_chars long, middle_chars long, output string"
 
@@ -211,11 +220,10 @@ def fill_in_middle(df: DataFrame, key: str = "doc_id", text: str = "text", perce
     ship_package(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not _MEMORY:
-            _MEMORY.append(Memory())
+        memory = shared_memory()
         for b in batches:
             keys = b.column(0).to_pylist()
-            done = [transform(k, t.as_py(), _MEMORY[0], percent, spm_percent)
+            done = [transform(k, t.as_py(), memory, percent, spm_percent)
                     for k, t in zip(keys, b.column(1), strict=True)]
             n, form, p, m, out = zip(*done) if done else ((),) * 5
             yield pa.RecordBatch.from_arrays(
