@@ -26,6 +26,7 @@ from appendlog.streaming.job import (
     end_offset,
     read_stream,
     register,
+    run_available,
     start_stream,
     stop_stream,
     stream_lag,
@@ -37,6 +38,6 @@ __all__ = [
     "plan", "align", "read_ranges",
     "bytes_behind", "carry_forward", "from_offset_json", "newer_of",
     "state_from_plan", "to_offset_json",
-    "read_stream", "start_stream", "stop_stream", "drain", "register", "attach_backup", "console_query", "stream_lag", "end_offset",
+    "read_stream", "run_available", "start_stream", "stop_stream", "drain", "register", "attach_backup", "console_query", "stream_lag", "end_offset",
     "OffsetBackup", "TableBackup", "recover", "register_backup",
 ]

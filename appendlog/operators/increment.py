@@ -1,124 +1,88 @@
 """One incremental batch as DataFrame jobs: list, plan against the saved
-state, read the new ranges, write them, then save the new state.
+state, read the new ranges, write them, then commit.
 
 Everything runs on executors (listing, checksums, alignment, reads), so this
 is the path for file counts too large for the stream source's driver-side
-planner.  Layout under ``state_path``: ``batch=<n>/`` holds the state after
-batch ``n`` (parquet) and ``_nodes.json``, the node names it knows, written
-last to mark the batch complete.  Lines of batch ``n`` go to
-``<output>/batch=<n>/``; a batch that failed before it was marked complete is
+planner.  ``state_path`` holds the state as a manifest (``operators.manifest``):
+a batch adds the rows of the files that it touched.  Lines of batch ``n`` go to
+``<output>/batch=<n>/`` first; the manifest's next version then makes lines and
+state valid together, by one exclusive file creation.  A batch that died before it is
 planned and written again under the same number (its output folder
-overwritten), so each line lands once.
+overwritten), so each line lands once.  One job at a time writes a state; of
+two, the later commit fails.
 """
 
 from __future__ import annotations
 
-import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from appendlog.operators.ranges import planned_bytes, read_ranges
-from appendlog.operators.state import empty_state, state_from_plan
-from appendlog.plans import rules as R
-from appendlog.plans.planner import align, plan
-from appendlog.session import materialize, posix_path
-from appendlog.sources.catalog import list_files, node_frame, node_names, snapshot
+from appendlog.operators.manifest import NODE_ROW, freeze, offset_log, plan_step
+from appendlog.operators.ranges import read_ranges
+from appendlog.operators.runlog import RunLog
+from appendlog.operators.state import empty_state
+from appendlog.session import posix_path
 from appendlog.sources.options import ReadConfig, resolve
 
-STATE_SCHEMA = "node string, name string, offset bigint, md5 string"
+COMPACT_EVERY = 64  # batches between snapshots of the whole state
 
 
-def _batches(path: str) -> list[int]:
-    if not os.path.isdir(path):
-        return []
-    out = []
-    for n in os.listdir(path):
-        done = all(os.path.exists(os.path.join(path, n, m)) for m in ("_SUCCESS", NODES_FILE))
-        if n.startswith("batch=") and done:  # the nodes file is written last
-            out.append(int(n[len("batch="):]))
-    return sorted(out)
+def _last_batch(log: RunLog) -> int:
+    version = log.version()
+    return log.meta(version)["batch"] if version >= 0 else -1
 
 
 def last_state(spark: SparkSession, state_path: str) -> tuple[int, DataFrame]:
-    """(last batch number or -1, its saved state)."""
-    done = _batches(state_path)
-    if not done:
+    """(last committed batch or -1, its state; a node folder without files has a null name)."""
+    log = offset_log(state_path)
+    if log.version() < 0:
         return -1, empty_state(spark)
-    return done[-1], spark.read.schema(STATE_SCHEMA).parquet(
-        os.path.join(state_path, f"batch={done[-1]}"))
+    rows = log.rows(spark)
+    files = rows.where(F.col("name") != NODE_ROW).select("node", "name", "offset", "md5")
+    bare = rows.where(F.col("name") == NODE_ROW).select("node").join(files.select("node").distinct(), "node", "left_anti")
+    none = F.lit(None)
+    return _last_batch(log), files.unionByName(bare.select(
+        "node", none.cast("string").alias("name"), none.cast("bigint").alias("offset"), none.cast("string").alias("md5")))
 
 
-def moved(planned: DataFrame):
-    """Column: the row moves an offset, registers, restarts or drops a file (a
-    held tail, with no newline yet, is no change)."""
-    status = F.col("status")
-    return ~status.isin(R.UNCHANGED, R.CARRIED) & ~(
-        (status == R.APPENDED) & (F.col("end_offset") == F.col("known")))
-
-
-NODES_FILE = "_nodes.json"  # Spark readers skip names starting with "_"
-
-
-def saved_nodes(state_path: str, batch: int) -> set[str]:
-    """Node names known to the state of ``batch`` (host folders: a small set)."""
-    if batch < 0:
-        return set()
-    with open(os.path.join(state_path, f"batch={batch}", NODES_FILE), encoding="utf-8") as f:
-        return set(json.load(f))
-
-
-def run_increment(spark: SparkSession, path: str, state_path: str, output: str, **options) -> int | None:
-    """Read what was appended since the last saved state.
+def run_increment(spark: SparkSession, path: str, state_path: str, output: str, target: DataFrame | None = None,
+                  **options) -> int | None:
+    """Read what was appended since the last saved state, as far as ``target``
+    goes (``manifest.freeze``), everything without one.
 
     Returns the batch number, or None when nothing changed (then nothing is
     written, so an idle run costs a listing and a plan).
     """
-    state_path, output = posix_path(state_path), posix_path(output)
+    output = posix_path(output)
     cfg = ReadConfig.from_options(resolve(spark, path=path, **options))
-    last, state = last_state(spark, state_path)
-    names = node_names(cfg.spec)
-    nodes = node_frame(spark, names)
-    known_nodes = saved_nodes(state_path, last)
-    listing = snapshot(spark, cfg.spec, cfg.md5_sample, cfg.md5_check)
-    # a saved state is never empty (an empty one means no change, and no
-    # change writes nothing), so the first run is exactly "no batch yet"
-    planned, _ = materialize(align(plan(
-        listing, state, nodes, policy=cfg.starting_offsets, cap=cfg.max_bytes, check=cfg.md5_check,
-        first_run=last < 0), files=list_files(spark, cfg.spec).count()))
-    # one pass over the pinned plan: anything to do, and how much
-    n = planned_bytes(F.col("start_offset"), F.col("end_offset"))
-    stats = planned.agg(
-        F.max(moved(planned).cast("int")).alias("moved"),
-        F.sum(n).alias("bytes"), F.sum((n > 0).cast("int")).alias("files"),
-    ).first()
-    if not stats["moved"] and set(names) <= known_nodes:
+    log = offset_log(state_path)
+    step = plan_step(spark, cfg, log, target)
+    if step is None:
         return None
-    batch = last + 1
+    batch = _last_batch(log) + 1
     # restarting files (new, replaced, truncated) have empty ranges now and are
     # read from 0 by the next batch, as in the stream
-    lines = read_ranges(planned, split_bytes=cfg.split_bytes, work=(stats["bytes"] or 0, stats["files"] or 0),
+    lines = read_ranges(step.planned, split_bytes=cfg.split_bytes, work=(step.bytes, step.ranges),
                         verify_sample=cfg.md5_sample if cfg.md5_check else None)
     lines.select("value").write.mode("overwrite").parquet(os.path.join(output, f"batch={batch}"))
-    folder = os.path.join(state_path, f"batch={batch}")
-    state_from_plan(planned, nodes).write.mode("overwrite").parquet(folder)
-    tmp = os.path.join(folder, "." + NODES_FILE)
-    with open(tmp, "w", encoding="utf-8") as f:
-        json.dump(sorted(known_nodes | set(names)), f)  # unlisted nodes are carried, so kept
-    os.replace(tmp, os.path.join(folder, NODES_FILE))  # marks the batch complete
+    log.commit(spark, step.delta(), step.changed, {"batch": batch}, base=step.base)
+    step.drop()
+    if batch % COMPACT_EVERY == COMPACT_EVERY - 1:
+        log.compact(spark)
     return batch
 
 
 def read_output(spark: SparkSession, output: str, state_path: str) -> DataFrame:
-    """All lines written by the batches that completed (a batch folder whose
-    state is not marked complete is left out)."""
-    done = _batches(posix_path(state_path))
-    lines = spark.read.schema("value string, batch int")
-    if not done:
+    """All lines written by the batches that committed (the folder of a batch
+    that did not is left out)."""
+    last = _last_batch(offset_log(state_path))
+    if last < 0:
         return spark.createDataFrame([], "value string")
     # the batch folder is a partition: the filter prunes the others' files
-    return lines.parquet(posix_path(output)).where(F.col("batch").isin(done)).select("value")
+    return spark.read.schema("value string, batch int").parquet(posix_path(output)).where(
+        F.col("batch") <= last).select("value")
 
 
 def settle(spark: SparkSession, path: str, state_path: str, output: str, **options) -> int:
@@ -127,3 +91,18 @@ def settle(spark: SparkSession, path: str, state_path: str, output: str, **optio
     while run_increment(spark, path, state_path, output, **options) is not None:
         n += 1
     return n
+
+
+def settle_frozen(spark: SparkSession, path: str, state_path: str, output: str, run: str, **options) -> int:
+    """Batches up to what is there now, then an end by itself (T8): lines and files
+    that come while it runs are left to the next run.
+
+    ``run`` names the run: the end is written once under the state, so a run
+    that died goes on to the end it was started with.
+    """
+    cfg = ReadConfig.from_options(resolve(spark, path=path, **options))
+    target = freeze(spark, cfg, os.path.join(posix_path(state_path), "targets", run))
+    n = 0
+    while run_increment(spark, path, state_path, output, target=target, **options) is not None:
+        n += 1
+    return n

@@ -17,13 +17,15 @@ from pyspark.sql import functions as F
 
 from appendlog.functions.bytescan import aligned_end, tail_start
 from appendlog.plans import rules as R
+from appendlog.plans.admission import next_credit
 from appendlog.session import KNOWN_ROWS, materialize, ship_package
 
 FILES_PER_TASK = 64  # files whose ends one task aligns
 
 PLAN_SCHEMA = (
     "node string, name string, path string, status string, size bigint, "
-    "known bigint, start_offset bigint, end_offset bigint, md5 string, align int"
+    "known bigint, start_offset bigint, end_offset bigint, md5 string, align int, credit bigint, credit_before bigint, "
+    "mtime timestamp"
 )
 
 
@@ -46,9 +48,10 @@ def plan(
 ) -> DataFrame:
     """Unaligned plan, one row per (node, file) of listing or state.
 
-    ``listing``: node, name, size, md5 [, path]; ``state``: node, name, offset,
-    md5 (a node with an empty map has one row with a null name); ``nodes``:
-    the nodes listed now.  ``first_run`` defaults to "state has no row".
+    ``listing``: node, name, size, md5 [, path, mtime]; ``state``: node, name, offset,
+    md5 [, credit] (a node with an empty map has one row with a null name);
+    ``nodes``: the nodes listed now.  ``first_run`` defaults to "state has no
+    row".  Credits (``admission``) stay with files that go on from their position.
     """
     if cap < 1:
         raise ValueError("bytes.max must be at least 1")
@@ -57,17 +60,21 @@ def plan(
         first_run = state_rows == 0 if state_rows is not None else state.limit(1).count() == 0
     if "path" not in listing.columns:
         listing = listing.withColumn("path", F.lit(None).cast("string"))
-    l = listing.select("node", "name", "path", "size", F.col("md5").alias("cur_md5"))
+    if "mtime" not in listing.columns:
+        listing = listing.withColumn("mtime", F.lit(None).cast("timestamp"))
+    l = listing.select("node", "name", "path", "size", "mtime", F.col("md5").alias("cur_md5"))
     # A listed file proves that its node is listed, so only saved files without
     # a listing look for their node; the others get keys of their own (their
     # names behind a NUL), so a node holding a third of all files stays spread.
     listed = nodes.select(F.col("node").alias("asked")).distinct().withColumn("listed", F.lit(True))
     if state_rows == 0:
         # nothing saved yet: no join, every listed file is new
-        j = l.select("*", F.lit(None).cast("bigint").alias("known"), F.lit(None).cast("string").alias("kmd5"))
+        j = l.select("*", F.lit(None).cast("bigint").alias("known"), F.lit(None).cast("string").alias("kmd5"),
+                     F.lit(None).cast("bigint").alias("credit"))
     else:
+        credit = F.col("credit") if "credit" in state.columns else F.lit(None)
         s = state.where(F.col("name").isNotNull()).select(
-            "node", "name", F.col("offset").alias("known"), F.col("md5").alias("kmd5"))
+            "node", "name", F.col("offset").alias("known"), F.col("md5").alias("kmd5"), credit.cast("bigint").alias("credit"))
         j = l.join(s, ["node", "name"], "full_outer")
     if state_rows == 0:
         j = j.withColumn("listed", F.lit(True))
@@ -120,6 +127,9 @@ def plan(
         _when_chain(pairs_end, capped).alias("end_offset"),
         F.when(not_listed, kmd5).when(gone, F.lit(None)).otherwise(md5).alias("md5"),
         align.cast("int").alias("align"),
+        F.when(not_listed | (known <= size) & ~replaced, F.coalesce("credit", F.lit(0))).otherwise(0).cast("bigint").alias("credit"),
+        F.coalesce("credit", F.lit(0)).cast("bigint").alias("credit_before"),
+        "mtime",
     )
 
 
@@ -150,6 +160,10 @@ def _align_fn(it):
                 ends.iat[i] = starts.iat[i]
             finally:
                 os.close(fd)
+        if "share" in pdf.columns:  # admitted under a byte budget: what is left of each share
+            sent = ends - starts
+            pdf["credit"] = [next_credit(int(s), int(d), int(n)) if d > 0 else int(c) if k == R.CARRIED else 0 for s, d, n, c, k in
+                             zip(pdf.pop("share"), pdf.pop("demand"), sent, pdf["credit"], pdf["status"])]
         pdf["start_offset"] = starts
         pdf["end_offset"] = ends
         yield pdf

@@ -122,20 +122,38 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+_PINNED: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
+
+
+def pin(df, tag: str = "pin"):
+    """``df`` written once as Parquet under ``spark.checkpoint.dir`` and read
+    back: every later read, a retried task's too, sees the same rows."""
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/appendlog/{tag}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PINNED[out] = path
+    return out
+
+
+def unpin(df) -> None:
+    """Delete a pinned table that nothing reads any more."""
+    path = _PINNED.pop(df, None)
+    if path is not None:
+        spark = df.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def materialize(df):
-    """Pin a small, point-in-time table (a listing, a plan) with a reliable
-    checkpoint in ``spark.checkpoint.dir``, and return it with its row count.
+    """Pin a small, point-in-time table (a listing, a plan), and return it with
+    its row count (from the files' footers).
 
     A listing or plan must not be recomputed after files moved on: a lost
-    executor would otherwise re-list or re-align and give other ranges.  The
-    cache only avoids computing it twice while the checkpoint is written.
+    executor would otherwise re-list or re-align and give other ranges.
     """
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        checkpoint_root(df.sparkSession)  # tests and local runs: set a local one
-    cached = df.cache()
-    n = cached.count()
-    pinned = cached.checkpoint(eager=True)
-    cached.unpersist()
+    pinned = pin(df, "table")
+    n = pinned.count()
     KNOWN_ROWS[pinned] = n
     return pinned, n
 

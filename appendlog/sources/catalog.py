@@ -90,8 +90,12 @@ def list_files(spark: SparkSession, spec: PathSpec) -> DataFrame:
 def _head_md5_fn(sample: int, check: bool):
     def fn(it):
         for pdf in it:
+            old = pdf.pop("old_md5") if "old_md5" in pdf.columns else [None] * len(pdf)
             sums = []
-            for path, size in zip(pdf["path"], pdf["size"]):
+            for path, size, known in zip(pdf["path"], pdf["size"], old):
+                if known is not None:  # unchanged since an earlier snapshot
+                    sums.append(known)
+                    continue
                 if not check or size < sample:
                     sums.append("")
                     continue
@@ -115,35 +119,39 @@ def _head_md5_fn(sample: int, check: bool):
     return fn
 
 
+def listing_tasks(files: DataFrame) -> int:
+    """Tasks for head reads of a listing: its scan partitions, a few merged.
+    ``binaryFile`` is not splittable, so a scan partition holds one large file or a
+    few dozen small ones, and the number follows the files."""
+    return max(1, -(-files.rdd.getNumPartitions() // LISTED_PER_TASK))
+
+
 def snapshot(
     spark: SparkSession,
     spec: PathSpec,
     sample: int = 1024,
     check: bool = True,
     previous: DataFrame | None = None,
+    files: DataFrame | None = None,
 ) -> DataFrame:
     """``node, name, path, size, mtime, md5`` for every matching file (md5 null
     where its head could not be read now).
 
     With ``previous`` (an earlier snapshot), files whose size and modification
     time did not change keep their checksum and are not opened again.
+    ``files`` is a listing (``list_files``) that is there already.
     """
     ship_package(spark)
-    files = list_files(spark, spec)
+    files = list_files(spark, spec) if files is None else files
     if not check:
         # no checksums: no Python pass, no file opened
         return files.withColumn("md5", F.lit(""))
-    if previous is not None:
-        keep = previous.select("node", "name", "size", "mtime", F.col("md5").alias("old_md5"))
-        files = files.join(keep, ["node", "name", "size", "mtime"], "left")
-        known = files.where(F.col("old_md5").isNotNull()).select(
-            "node", "name", "path", "size", "mtime", F.col("old_md5").alias("md5"))
-        files = files.where(F.col("old_md5").isNull()).drop("old_md5")
-    else:
-        known = None
-    # head reads run on the listing's own partitions, a few merged (no shuffle)
-    # into one task: binaryFile is not splittable, so a scan partition holds one
-    # large file or a few dozen small ones, and the task count follows the files
-    n = max(1, -(-files.rdd.getNumPartitions() // LISTED_PER_TASK))
-    fresh = files.coalesce(n).mapInPandas(_head_md5_fn(sample, check), SNAPSHOT_SCHEMA)
-    return fresh if known is None else fresh.unionByName(known)
+    n = listing_tasks(files)
+    if previous is None:
+        # head reads run on the listing's own partitions (no shuffle)
+        return files.coalesce(n).mapInPandas(_head_md5_fn(sample, check), SNAPSHOT_SCHEMA)
+    keep = previous.where(F.col("md5").isNotNull()).select("node", "name", "size", "mtime", F.col("md5").alias("old_md5"))
+    files = files.join(keep, ["node", "name", "size", "mtime"], "left").select(
+        "node", "name", "path", "size", "mtime", "old_md5")
+    # the join may have left the rows in few partitions
+    return files.repartition(n).mapInPandas(_head_md5_fn(sample, check), SNAPSHOT_SCHEMA)

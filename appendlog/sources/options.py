@@ -24,10 +24,15 @@ EXTRA_DEFAULTS = {
     "offset.backup.path": "",  # folder of the table provider; default under spark.checkpoint.dir
     "split.bytes": str(128 << 20),  # ranges above this are cut into sub-ranges read in parallel
     "stream.name": "",  # tells streams over one path apart in the offset backup
+    "bytes.batch": "0",  # byte budget of a whole batch, shared fairly by its files; 0: none
+    "catalog": "driver",  # who lists and plans for a stream: its driver process, or Spark jobs ("manifest")
+    "catalog.path": "",  # folder of the manifest; default under spark.checkpoint.dir
+    "target.path": "",  # frozen end of a bounded run (set by run_available)
     "initial.offset.json": "",  # offset to start from when there is no checkpoint (set by read_stream)
 }
 KNOWN = set(DEFAULTS) | set(EXTRA_DEFAULTS)
 POLICIES = ("earliest", "latest")
+CATALOGS = ("driver", "manifest")
 
 log = logging.getLogger("appendlog")
 
@@ -72,6 +77,10 @@ class ReadConfig:
     split_bytes: int
     initial_offset_json: str
     stream_name: str
+    batch_bytes: int | None = None
+    catalog: str = "driver"
+    catalog_path: str = ""
+    target_path: str = ""
 
     @property
     def path(self) -> str:
@@ -87,6 +96,9 @@ class ReadConfig:
         policy = get("starting.offsets").strip().lower()
         if policy not in POLICIES:
             raise AppendLogError(f"option starting.offsets must be earliest or latest, got {policy!r}")
+        catalog = get("catalog").strip().lower()
+        if catalog not in CATALOGS:
+            raise AppendLogError(f"option catalog must be driver or manifest, got {catalog!r}")
         return cls(
             spec=parse_path(get("path")),
             starting_offsets=policy,
@@ -98,6 +110,10 @@ class ReadConfig:
             split_bytes=_int("split.bytes", get("split.bytes"), 1),
             initial_offset_json=get("initial.offset.json"),
             stream_name=get("stream.name"),
+            batch_bytes=_int("bytes.batch", get("bytes.batch"), 0) or None,
+            catalog=catalog,
+            catalog_path=get("catalog.path"),
+            target_path=get("target.path"),
         )
 
     def as_rows(self) -> list[tuple[str, str]]:

@@ -1,15 +1,18 @@
-"""Stream helpers: ``read_stream``, ``start_stream``, ``drain`` and the console job."""
+"""Stream helpers: ``read_stream``, ``start_stream``, ``run_available``, ``drain`` and the console job."""
 
 from __future__ import annotations
 
+import shutil
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from appendlog.session import ship_package
+from appendlog.operators.manifest import freeze, manifest_path, offset_log
+from appendlog.session import posix_path, ship_package
 from appendlog.sources.options import ReadConfig, resolve
 from appendlog.streaming.backup import BackupListener, get_backup, parse_offset, stream_key
+from appendlog.streaming.catalogjob import CatalogThread
 from appendlog.streaming.source import FORMAT, AppendLogDataSource
 
 
@@ -28,6 +31,7 @@ def _pickle_by_value() -> None:
 
 
 _LISTENERS: list[BackupListener] = []
+_CATALOGS: dict[str, CatalogThread] = {}  # by query id
 
 
 def register(spark: SparkSession) -> None:
@@ -50,6 +54,8 @@ def read_stream(spark: SparkSession, path: str | None = None, **options) -> Data
         backup = get_backup(spark, cfg).fetch(spark, stream_key(cfg))
         if backup:
             opts["initial.offset.json"] = backup[1]
+    if cfg.catalog == "manifest":
+        opts["catalog.path"] = manifest_path(spark, cfg, stream_key(cfg))
     register(spark)
     return spark.readStream.format(FORMAT).options(**opts).load()
 
@@ -75,7 +81,18 @@ def attach_backup(spark: SparkSession, query: StreamingQuery, **options) -> Back
     return listener
 
 
-def _started(spark: SparkSession, writer, output: str | None, backup: bool, options: dict) -> StreamingQuery:
+def start_catalog(spark: SparkSession, query: StreamingQuery, interval: float = 1.0, target=None, **options) -> CatalogThread:
+    """Advance the manifest of a ``catalog=manifest`` stream from this
+    application until ``stop_stream`` (``start_stream`` does so by itself)."""
+    cfg = ReadConfig.from_options(resolve(spark, **options))
+    thread = CatalogThread(spark, cfg, offset_log(manifest_path(spark, cfg, stream_key(cfg))), interval, target)
+    thread.query = query
+    _CATALOGS[str(query.id)] = thread
+    thread.start()
+    return thread
+
+
+def _started(spark: SparkSession, writer, output: str | None, backup: bool, options: dict, target=None) -> StreamingQuery:
     listener = prepare_backup(spark, **options) if backup else None
     try:
         query = writer.start(output) if output else writer.start()
@@ -85,12 +102,17 @@ def _started(spark: SparkSession, writer, output: str | None, backup: bool, opti
         raise
     if listener is not None:
         listener.bind(str(query.id))
+    if ReadConfig.from_options(resolve(spark, **options)).catalog == "manifest":
+        start_catalog(spark, query, target=target, **options)
     return query
 
 
 def stop_stream(query: StreamingQuery) -> None:
     """Stop ``query`` and store its last completed offset before returning,
     whether or not the listener's events have been delivered (T14)."""
+    catalog = _CATALOGS.pop(str(query.id), None)
+    if catalog is not None:
+        catalog.stop()
     query.stop()
     for listener in [x for x in _LISTENERS if x.query_id == str(query.id)]:
         if not listener.done:
@@ -125,9 +147,53 @@ def start_stream(
 
 def drain(query: StreamingQuery) -> None:
     """Block until every byte on disk now is read (capped backlogs take many batches)."""
+    catalog = _CATALOGS.get(str(query.id))
+    if catalog is not None:
+        catalog.settle()
     query.processAllAvailable()
 
 
+def run_available(
+    spark: SparkSession,
+    path: str,
+    *,
+    output: str,
+    checkpoint: str,
+    sink: str = "parquet",
+    backup: bool = True,
+    **options,
+) -> int:
+    """Read what is on disk now in batches under the caps, then end (T8).
+
+    The end is frozen at the start, as one row per file beside the checkpoint:
+    lines and files that come later are left to the next run, however fast they
+    come, and a run that died is started again towards the end it had.  Returns the
+    number of batches that the checkpoint holds by then.
+    """
+    cfg = ReadConfig.from_options(resolve(spark, path=path, **options))
+    end = f"{posix_path(checkpoint).rstrip('/')}.target"
+    target = freeze(spark, cfg, end)
+    options = {**options, "path": path}
+    if cfg.catalog == "driver":
+        options["target.path"] = end
+    writer = (
+        read_stream(spark, **options)
+        .writeStream.format(sink)
+        .option("checkpointLocation", checkpoint)
+        .trigger(processingTime="0 seconds")
+    )
+    query = _started(spark, writer, output, backup, options, target=target)
+    try:
+        drain(query)
+        batches = query.lastProgress.batchId + 1 if query.lastProgress is not None else 0
+    finally:
+        stop_stream(query)
+    if query.exception() is not None:
+        raise query.exception()
+    shutil.rmtree(end, ignore_errors=True)  # reached: the next run freezes its own
+    return batches
+
+
 def console_query(spark: SparkSession, path: str, checkpoint: str,
                   trigger: str = "3 seconds", **options) -> StreamingQuery:
     """The sample job's query: new lines to the console, untruncated, 100 rows."""

@@ -8,6 +8,12 @@ are read by executors in ``read``, as Arrow batches.
 Offset (no timestamp in it, so an idle stream runs no batches)::
 
     {"directory": d, "offsets": {node: {file: {"offset": n, "md5": s}}}}
+
+(an entry has a ``credit`` too while a byte budget holds its file back).  With
+``catalog=manifest`` Spark jobs list and plan (``operators.manifest``), and the
+offset is the manifest's version, whatever the number of files::
+
+    {"directory": d, "version": v}
 """
 
 from __future__ import annotations
@@ -23,7 +29,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from appendlog.functions.bytescan import aligned_end, head_md5, tail_start
 from appendlog.functions.linescan import iter_line_arrays
+from appendlog.operators.manifest import offset_log, range_files
 from appendlog.plans import rules as R
+from appendlog.plans.admission import fair_level, next_credit
 from appendlog.sources.options import ReadConfig
 from appendlog.sources.pathspec import LOCAL_NODE, AppendLogError, PathSpec
 
@@ -55,7 +63,8 @@ def normalize(offset: dict) -> dict:
     return {
         "directory": offset["directory"],
         "offsets": {
-            node: {name: {"offset": int(fo["offset"]), "md5": fo["md5"] or ""}
+            node: {name: {"offset": int(fo["offset"]), "md5": fo["md5"] or "",
+                          **({"credit": int(fo["credit"])} if fo.get("credit") else {})}
                    for name, fo in sorted(files.items())}
             for node, files in sorted(offset["offsets"].items())
         },
@@ -101,6 +110,12 @@ class Planner:
         self._md5_cache: dict[str, tuple[int, int, int, str]] = {}
         self._held: dict[str, tuple] = {}
         self._said: set[str] = set()
+        self._target: dict[tuple[str, str], int] | None = None
+        if cfg.target_path:
+            import pyarrow.parquet as pq
+
+            end = pq.read_table(cfg.target_path).to_pydict()
+            self._target = dict(zip(zip(end["node"], end["name"]), end["size"]))
 
     def _warn(self, message: str) -> None:
         """Log a warning, once for each change it tells of."""
@@ -145,6 +160,28 @@ class Planner:
             self._held.pop(path, None)
         return e
 
+    def _admit(self, backlog: list, pool: ThreadPoolExecutor) -> None:
+        """Bring the ends of backlogged files within the batch's budget
+        (``plans.admission``), in place."""
+        level = fair_level([(demand, credit) for _, (_, _, _, _, demand, credit) in backlog], self.cfg.batch_bytes)
+        if level is None:
+            return
+
+        def cut(entry) -> None:
+            fo, (path, d, size, stamp, demand, credit) = entry
+            share = level + credit
+            if demand <= share:
+                return
+            try:
+                short = d._replace(end=d.start + max(0, share))
+                end = d.start if share <= 0 else self._align(path, short, size, stamp)
+            except OSError:
+                end = d.start
+            fo["offset"] = int(end)
+            fo["credit"] = next_credit(share, demand, int(end) - d.start)
+
+        list(pool.map(cut, backlog))
+
     def plan(self, start: dict) -> dict:
         cfg, spec = self.cfg, self.cfg.spec
         offsets = start["offsets"]
@@ -158,6 +195,10 @@ class Planner:
                     continue
                 known = offsets.get(node, {})
                 for name, size, mtime, ino in files:
+                    if self._target is not None:  # a bounded run sees nothing that came later
+                        if (node, name) not in self._target:
+                            continue
+                        size = min(size, self._target[node, name])
                     jobs.append((node, name, size, mtime, ino, known.get(name)))
 
             def one(job):
@@ -172,13 +213,20 @@ class Planner:
                     )
                     end = self._align(path, d, size, (mtime, ino))
                 except OSError:  # cannot be read now: keep the saved position (a file that
-                    return node, name, k  # is gone will be missing from the next listing)
+                    return node, name, k, None  # is gone will be missing from the next listing)
                 if d.status in (R.REPLACED, R.TRUNCATED):
                     self._warn(f"{path} was {d.status} (size {size}, saved position {k['offset']}); "
                                "it is read again from 0")
-                return node, name, {"offset": int(end), "md5": d.md5 or ""}
+                fo = {"offset": int(end), "md5": d.md5 or ""}
+                if d.align != R.ALIGN_RANGE or end <= d.start:
+                    return node, name, fo, None
+                # what the file could send, for a byte budget of the batch
+                kept = int(k.get("credit", 0)) if k is not None and d.status == R.APPENDED else 0
+                return node, name, fo, (path, d, size, (mtime, ino), int(end) - d.start, kept)
 
             results = list(pool.map(one, jobs))
+            if cfg.batch_bytes:
+                self._admit([(fo, more) for _, _, fo, more in results if more is not None], pool)
         seen = {spec.file_path(j[0], j[1]) for j in jobs}
         for cache in (self._md5_cache, self._held):
             for stale in [p for p in cache if p not in seen]:
@@ -193,7 +241,7 @@ class Planner:
                     new[node] = offsets[node]
             else:
                 new[node] = {}
-        for node, name, fo in results:
+        for node, name, fo, _ in results:
             if fo is not None:
                 new[node][name] = fo
         return normalize({"directory": spec.directory, "offsets": new})
@@ -269,6 +317,65 @@ def read_range(p: FileRange):
         os.close(fd)
 
 
+class RangeTable(InputPartition):
+    """A file of sub-ranges that a Spark job has written; one task reads them."""
+
+    def __init__(self, path: str, sample: int):
+        self.path, self.sample = path, sample
+        self.value = None
+
+    def __repr__(self) -> str:
+        return f"RangeTable({self.path})"
+
+    @property
+    def pieces(self):
+        import pyarrow.parquet as pq
+
+        t = pq.read_table(self.path).to_pydict()
+        return [FileRange(None, *row, self.sample) for row in zip(
+            t["path"], t["start"], t["end"], t["lo"], t["hi"], t["md5"], strict=True)]
+
+
+class ManifestReader(DataSourceStreamReader):
+    """The stream over a manifest that Spark jobs advance: this process sees
+    version numbers and the names of range files, no log file."""
+
+    def __init__(self, cfg: ReadConfig):
+        self.cfg, self.log = cfg, offset_log(cfg.catalog_path)
+        self.pos: dict | None = None
+
+    def _at(self, version: int) -> dict:
+        return {"directory": self.cfg.spec.directory, "version": version}
+
+    def initialOffset(self) -> dict:
+        raw = self.cfg.initial_offset_json
+        if not raw:
+            return self._at(-1)
+        o = json.loads(raw)
+        if o.get("directory") != self.cfg.spec.directory or "version" not in o:
+            raise AppendLogError(f"initial offset {raw[:200]!r} is no version of a manifest of {self.cfg.spec.directory!r}")
+        return self._at(int(o["version"]))
+
+    def latestOffset(self) -> dict:
+        # one version is one admitted step, so one batch
+        at = int((self.pos or self.initialOffset())["version"])
+        self.pos = self._at(at + 1 if self.log.has(at + 1) else at)
+        return self.pos
+
+    def partitions(self, start: dict, end: dict):
+        self.pos = end
+        sample = self.cfg.md5_sample if self.cfg.md5_check else 0
+        return [RangeTable(f, sample) for v in range(int(start["version"]) + 1, int(end["version"]) + 1)
+                for f in range_files(self.log, v)]
+
+    def read(self, partition: RangeTable):
+        for piece in partition.pieces:
+            yield from read_range(piece)
+
+    def commit(self, end: dict) -> None:
+        pass
+
+
 class AppendLogStreamReader(DataSourceStreamReader):
     def __init__(self, cfg: ReadConfig):
         self.cfg = cfg
@@ -329,4 +436,5 @@ class AppendLogDataSource(DataSource):
         if [(f.name, f.dataType) for f in schema.fields] != [("value", StringType())]:
             raise AppendLogError(
                 f"the {FORMAT} source has the fixed schema 'value STRING'; got {schema.simpleString()}")
-        return AppendLogStreamReader(ReadConfig.from_options(self.options))
+        cfg = ReadConfig.from_options(self.options)
+        return ManifestReader(cfg) if cfg.catalog == "manifest" else AppendLogStreamReader(cfg)

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from appendlog.operators.increment import read_output, run_increment, settle
 from tests.helpers import write
 
@@ -68,22 +70,71 @@ def test_stream_planner_and_dataframe_batches_agree(spark, tmp):
         step()
 
 
-def test_batch_not_marked_complete_is_redone_once(spark, tmp):
-    from appendlog.operators.increment import NODES_FILE
+@pytest.mark.parametrize("dies", ["lines", "run"])
+def test_batch_killed_before_its_commit_is_redone_once(spark, tmp, monkeypatch, dies):
+    """A death after the lines are written, or after the state's rows are too,
+    leaves nothing visible; the batch is redone under its number."""
+    from appendlog.operators.runlog import RunLog
 
     write(f"{tmp}/logs/a.log", b"".join(b"line%02d\n" % i for i in range(20)))
     path, state, out = f"{tmp}/logs/a\\.log", f"{tmp}/state", f"{tmp}/out"
     opts = {"bytes.max": 50}
     assert run_increment(spark, path, state, out, **opts) == 0
-    assert run_increment(spark, path, state, out, **opts) == 1
     first = sorted(r.value for r in read_output(spark, out, state).collect())
-    os.remove(f"{state}/batch=1/{NODES_FILE}")  # crashed after writing, before marking batch 1 complete
-    assert set(r.value for r in read_output(spark, out, state).collect()) < set(first)  # nothing uncommitted is read
+
+    def die(*args, **kw):
+        raise OSError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(RunLog, "commit" if dies == "lines" else "_publish", die)
+        with pytest.raises(OSError):
+            run_increment(spark, path, state, out, **opts)
+    assert os.path.isdir(f"{out}/batch=1")  # lines are there, and not read
+    assert sorted(r.value for r in read_output(spark, out, state).collect()) == first
     assert run_increment(spark, path, state, out, **opts) == 1  # redone under the same number
     settle(spark, path, state, out, **opts)
     assert sorted(r.value for r in read_output(spark, out, state).collect()) == ["line%02d" % i for i in range(20)]
 
 
+def test_a_batch_writes_the_rows_it_touched(spark, tmp):
+    from appendlog.operators.manifest import offset_log
+
+    for i in range(300):
+        write(f"{tmp}/logs/f{i:03d}.log", b"one\n")
+    path, state, out = f"{tmp}/logs/f\\d+\\.log", f"{tmp}/state", f"{tmp}/out"
+    settle(spark, path, state, out)
+    for i in range(10):
+        write(f"{tmp}/logs/f{i:03d}.log", b"two\n", "ab")
+    run_increment(spark, path, state, out)
+    log = offset_log(state)
+    last = log.runs(log.version())[-1]
+    assert last.rows == 10 and log.rows(spark).count() == 301  # the node folder has a row of its own
+    assert spark.read.parquet(f"{log.path}/runs/{last.name}").count() == 10
+
+
+def test_frozen_run_ends_by_itself(spark, tmp, monkeypatch):
+    """Lines and files that come while a bounded run goes on are left to the next."""
+    from appendlog.operators import increment
+
+    write(f"{tmp}/logs/a.log", b"".join(b"line%02d\n" % i for i in range(30)))
+    path, state, out = f"{tmp}/logs/[ab]\\.log", f"{tmp}/state", f"{tmp}/out"
+    step = increment.run_increment
+
+    def growing(*args, **kw):
+        write(f"{tmp}/logs/a.log", b"later\n", "ab")
+        write(f"{tmp}/logs/b.log", b"new\n", "ab")
+        return step(*args, **kw)
+
+    monkeypatch.setattr(increment, "run_increment", growing)
+    n = increment.settle_frozen(spark, path, state, out, "one", **{"bytes.max": 50})
+    assert n >= 4
+    assert sorted(r.value for r in read_output(spark, out, state).collect()) == ["line%02d" % i for i in range(30)]
+    monkeypatch.setattr(increment, "run_increment", step)
+    increment.settle_frozen(spark, path, state, out, "two")
+    got = [r.value for r in read_output(spark, out, state).collect()]
+    assert got.count("later") == n + 1 and got.count("new") == n + 1
+
+
 def test_random_operations_keep_both_planners_equal(spark, tmp):
     import random
 

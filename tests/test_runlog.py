@@ -1,0 +1,116 @@
+"""The versioned run log against a plain dictionary per version."""
+
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from appendlog.operators.runlog import CommitConflict, RunLog
+from appendlog.sources.pathspec import AppendLogError
+
+DELTA = "k string, v bigint, gone boolean"
+
+
+def log_at(tmp, fanout=3):
+    return RunLog(f"{tmp}/log", ["k"], "v bigint", fanout=fanout)
+
+
+def put(spark, log, rows, **kw):
+    return log.commit(spark, spark.createDataFrame([(k, v, v is None) for k, v in rows.items()], DELTA), len(rows), **kw)
+
+
+def state(spark, log, version=None):
+    return {r.k: r.v for r in log.rows(spark, version).collect()}
+
+
+def test_random_commits(spark, tmp):
+    """Every version reads as written, through merges of several levels."""
+    rng, log = random.Random(2), log_at(tmp)
+    now, history = {}, []
+    assert log.version() == -1 and state(spark, log) == {}
+    for n in range(14):
+        delta = {f"k{rng.randrange(9)}": rng.choice([None, rng.randrange(100)]) for _ in range(rng.randint(1, 4))}
+        assert put(spark, log, delta, meta={"n": n}) == n
+        now = {k: v for k, v in {**now, **delta}.items() if v is not None}
+        history.append(dict(now))
+        assert state(spark, log) == now
+        assert len(log.runs(n)) <= 2 * 3  # two runs at most on each of three levels
+    for n, want in enumerate(history):
+        assert state(spark, log, n) == want and log.meta(n) == {"n": n}
+    assert max(r.level for r in log.runs(13)) == 2
+    log.compact(spark)
+    assert state(spark, log) == now and len(log.runs(log.version())) <= 1 and log.meta(14) == {"n": 13}
+
+
+def test_changes_since_a_version(spark, tmp):
+    log = log_at(tmp, fanout=10)
+    put(spark, log, {"a": 1, "b": 2, "c": 3})
+    put(spark, log, {"a": 5})
+    put(spark, log, {"b": None, "a": 6, "d": 7})
+
+    def since(v):
+        return {r.k: (r.v, r.gone, r.version) for r in log.changes(spark, v).collect()}
+
+    assert since(2) == {}
+    assert since(1) == {"b": (None, True, 2), "a": (6, False, 2), "d": (7, False, 2)}
+    assert since(0) == since(1) and set(since(-1)) == {"a", "b", "c", "d"}
+    assert {r.k: r.v for r in log.changes(spark, 0, 1).collect()} == {"a": 5}
+
+
+def test_a_commit_writes_its_rows_only(spark, tmp):
+    log = log_at(tmp, fanout=8)
+    put(spark, log, {f"k{i:05d}": i for i in range(5000)})
+    put(spark, log, {f"k{i:05d}": -i for i in range(10)})
+    assert [r.rows for r in log.runs(1)] == [5000, 10]
+    keys = [r.k for r in spark.read.parquet(f"{log.path}/runs/{log.runs(1)[0].name}").collect()]
+    assert keys == sorted(keys)
+    assert put(spark, log, {}) == 2 and len(log.runs(2)) == 2  # an empty commit adds no run
+
+
+def test_conflicting_commits(spark, tmp):
+    log = log_at(tmp)
+    put(spark, log, {"a": 1})
+    put(spark, log, {"a": 2}, base=0)
+    with pytest.raises(CommitConflict):
+        put(spark, log, {"a": 3}, base=0)
+    assert state(spark, log) == {"a": 2} and log.versions() == [0, 1]
+
+
+def test_a_death_before_the_version_leaves_nothing_visible(spark, tmp, monkeypatch):
+    log = log_at(tmp)
+    put(spark, log, {"a": 1})
+    with monkeypatch.context() as m:
+        m.setattr(os, "link", lambda *a: (_ for _ in ()).throw(OSError("killed")))
+        with pytest.raises(OSError):
+            put(spark, log, {"a": 2, "b": 2})
+    assert state(spark, log) == {"a": 1} and log.versions() == [0]
+    put(spark, log, {"b": 3})
+    assert state(spark, log) == {"a": 1, "b": 3}
+    put(spark, log, {"c": 3})
+    assert log.expire(1) >= 1  # the run of the dead commit goes too
+    assert state(spark, log) == {"a": 1, "b": 3, "c": 3}
+
+
+def test_expired_versions(spark, tmp):
+    log = log_at(tmp, fanout=2)
+    for i in range(6):
+        put(spark, log, {"a": i, f"k{i}": i})
+    want = state(spark, log)
+    log.expire(2)
+    assert log.versions() == [4, 5] and state(spark, log) == want and state(spark, log, 4)["a"] == 4
+    with pytest.raises(AppendLogError, match="no version 1"):
+        log.rows(spark, 1)
+    named = {r.name for v in log.versions() for r in log.runs(v)}
+    assert set(os.listdir(f"{log.path}/runs")) == named
+
+
+def test_tombstones_hide_older_rows_until_they_merge_with_them(spark, tmp):
+    log = log_at(tmp, fanout=2)
+    put(spark, log, {"a": 1, "b": 1})
+    put(spark, log, {"c": 1})  # merges with the first: level 1
+    put(spark, log, {"a": None})
+    assert state(spark, log) == {"b": 1, "c": 1}
+    assert [r.gone for r in log.stamped(spark).where(F.col("k") == "a").collect()] == [True]
+    log.compact(spark)
+    assert log.stamped(spark).where("gone").count() == 0 and state(spark, log) == {"b": 1, "c": 1}
