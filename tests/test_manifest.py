@@ -1,0 +1,232 @@
+"""Streams over the manifest: planned by Spark jobs, same lines and offsets as the driver's planner."""
+
+import builtins
+import json
+import os
+import random
+import threading
+import time
+
+import pytest
+
+from appendlog.operators.manifest import advance, expire, offset_log, range_files
+from appendlog.sources.options import ReadConfig
+from appendlog.sources.pathspec import AppendLogError
+from appendlog.streaming import job
+from appendlog.streaming.source import ManifestReader, read_range
+from tests.helpers import Tail, cfg, write
+
+
+def lines(spark, out):
+    return sorted(r.value for r in spark.read.schema("value string").parquet(out).collect())
+
+
+def start(spark, path, tmp, **options):
+    return job.start_stream(spark, path, output=f"{tmp}/out", checkpoint=f"{tmp}/ck", trigger="0 seconds",
+                            **{"catalog": "manifest", "catalog.path": f"{tmp}/manifest", "md5.sample.length": 8,
+                               "offset.backup.path": f"{tmp}/backup", **options})
+
+
+class ManifestTail:
+    """The manifest reader's batches, in one process."""
+
+    def __init__(self, spark, c, path):
+        self.spark, self.log = spark, offset_log(path)
+        self.cfg = c
+        self.reader = ManifestReader(ReadConfig(**{**c.__dict__, "catalog": "manifest", "catalog_path": path}))
+        self.pos = self.reader.initialOffset()
+
+    def batch(self):
+        advance(self.spark, self.cfg, self.log)
+        end = self.reader.latestOffset()
+        rows = [v for p in self.reader.partitions(self.pos, end) for piece in p.pieces for b in read_range(piece)
+                for v in b.column(0).to_pylist()]
+        self.pos = end
+        return sorted(rows)
+
+
+@pytest.mark.parametrize("policy", ["earliest", "latest"])
+def test_steps_equal_the_driver_planner(spark, tmp, policy):
+    """Batch by batch, through appends, new, replaced, truncated and deleted files."""
+    rng = random.Random(4)
+    names = [f"{tmp}/logs/h{i % 2}/{c}.log" for i, c in enumerate("abcd")]
+    for n in names[:3]:
+        write(n, b"seed line\nand\nhalf")
+    c = cfg(f"{tmp}/logs/{{node}}/[a-d]\\.log", **{"md5.sample.length": 6, "bytes.max": 25, "starting.offsets": policy})
+    tail, manifest = Tail(c), ManifestTail(spark, c, f"{tmp}/manifest")
+    for step in range(10):
+        assert manifest.batch() == sorted(tail.batch()), step
+        saved = {(r.node, r.name): (r.offset, r.md5) for r in manifest.log.rows(spark).collect() if r.name}
+        assert saved == {(n, f): (fo["offset"], fo["md5"]) for n, fs in tail.pos["offsets"].items() for f, fo in fs.items()}
+        target, op = rng.choice(names), rng.random()
+        if op < 0.55 or not os.path.exists(target):
+            write(target, b"".join(b"w%02d\n" % rng.randrange(99) for _ in range(rng.randint(1, 12))) + b"ta" * rng.randrange(2), "ab")
+        elif op < 0.75:
+            write(target, b"other%d" % step + b"z" * 60 + b"\n")
+        elif op < 0.9:
+            os.truncate(target, os.path.getsize(target) // 2)
+        else:
+            os.remove(target)
+
+
+def test_the_source_process_sees_no_log_file(spark, tmp, monkeypatch):
+    """A thousand files: the reader plans from version numbers and range file names."""
+    for i in range(1000):
+        write(f"{tmp}/logs/n{i % 7}/f{i}.log", b"line %d\n" % i)
+    c = cfg(f"{tmp}/logs/{{node}}/f\\d+\\.log")
+    log = offset_log(f"{tmp}/manifest")
+    assert advance(spark, c, log) == 0
+    reader = ManifestReader(ReadConfig(**{**c.__dict__, "catalog": "manifest", "catalog_path": log.path}))
+
+    def guarded(real):
+        def call(path, *a, **kw):
+            assert "/logs" not in str(path), f"{real.__name__}({path})"
+            return real(path, *a, **kw)
+        return call
+
+    for mod, name in ((os, "open"), (os, "stat"), (os, "scandir"), (os, "listdir"), (builtins, "open")):
+        monkeypatch.setattr(mod, name, guarded(getattr(mod, name)))
+    first = reader.initialOffset()
+    end = reader.latestOffset()
+    parts = reader.partitions(first, end)
+    monkeypatch.undo()
+    assert len(json.dumps(end)) < 300 and 1 <= len(parts) <= 1 + 1000 // 256
+    got = sorted(v for p in parts for piece in p.pieces for b in read_range(piece) for v in b.column(0).to_pylist())
+    assert got == sorted("line %d" % i for i in range(1000))
+    # 10 of them grow: the next version has 10 rows and as many ranges
+    for i in range(10):
+        write(f"{tmp}/logs/n{i % 7}/f{i}.log", b"more %d\n" % i, "ab")
+    assert advance(spark, c, log) == 1 and advance(spark, c, log) is None
+    assert log.runs(1)[-1].rows == 10
+    assert sum(len(p.pieces) for p in reader.partitions(end, reader.latestOffset())) == 10
+
+
+def test_stream_with_restart(spark, tmp):
+    path = f"{tmp}/logs/{{node}}/.*\\.log"
+    write(f"{tmp}/logs/a/x.log", b"".join(b"x%03d\n" % i for i in range(50)))
+    write(f"{tmp}/logs/b/y.log", b"y1\ny2\nhalf")
+    q = start(spark, path, tmp, **{"bytes.max": 60})
+    job.drain(q)
+    write(f"{tmp}/logs/b/y.log", b" done\n", "ab")
+    write(f"{tmp}/logs/b/z.log", b"new\n")
+    job.drain(q)
+    assert job.end_offset(q)["version"] == offset_log(f"{tmp}/manifest").version()
+    job.stop_stream(q)
+    want = ["x%03d" % i for i in range(50)] + ["y1", "y2", "half done", "new"]
+    assert lines(spark, f"{tmp}/out") == sorted(want)
+    write(f"{tmp}/logs/a/x.log", b"after\n", "ab")
+    q = start(spark, path, tmp, **{"bytes.max": 60})
+    job.drain(q)
+    job.stop_stream(q)
+    assert lines(spark, f"{tmp}/out") == sorted(want + ["after"])
+    # a new checkpoint goes on from the backed-up version
+    write(f"{tmp}/logs/a/x.log", b"last\n", "ab")
+    q = job.start_stream(spark, path, output=f"{tmp}/out2", checkpoint=f"{tmp}/ck2", trigger="0 seconds",
+                         **{"catalog": "manifest", "catalog.path": f"{tmp}/manifest", "md5.sample.length": 8,
+                            "offset.backup.path": f"{tmp}/backup"})
+    job.drain(q)
+    job.stop_stream(q)
+    assert lines(spark, f"{tmp}/out2") == ["last"]
+
+
+def test_catalog_thread_stays_near_the_query_and_expires(spark, tmp, monkeypatch):
+    from appendlog.streaming import catalogjob
+
+    monkeypatch.setattr(catalogjob, "EXPIRE_EVERY", 2)
+    monkeypatch.setattr(catalogjob, "KEEP", 3)
+    write(f"{tmp}/logs/a.log", b"".join(b"line %04d\n" % i for i in range(60)))
+    q = start(spark, f"{tmp}/logs/a\\.log", tmp, **{"bytes.max": 50})
+    job.drain(q)
+    log = offset_log(f"{tmp}/manifest")
+    job.stop_stream(q)
+    assert lines(spark, f"{tmp}/out") == ["line %04d" % i for i in range(60)]
+    assert 3 <= len(log.versions()) <= 3 + catalogjob.AHEAD + 4 and log.version() >= 11
+    assert {n.split("-")[0] for n in os.listdir(f"{log.path}/ranges")} <= {f"{v:020d}" for v in log.versions()}
+
+
+def test_a_second_writer_ends_the_stream(spark, tmp, monkeypatch):
+    from appendlog.operators.runlog import CommitConflict, RunLog
+
+    write(f"{tmp}/logs/a.log", b"one\n")
+    real = RunLog.commit
+
+    def late(self, *args, **kw):
+        raise CommitConflict("another writer")
+
+    q = start(spark, f"{tmp}/logs/a\\.log", tmp)
+    job.drain(q)
+    monkeypatch.setattr(RunLog, "commit", late)
+    write(f"{tmp}/logs/a.log", b"two\n", "ab")
+    with pytest.raises(CommitConflict):
+        job.drain(q)
+    monkeypatch.setattr(RunLog, "commit", real)
+    job.stop_stream(q)
+
+
+@pytest.mark.parametrize("catalog", ["driver", "manifest"])
+def test_run_available_ends_by_itself(spark, tmp, catalog):
+    """A capped backlog in several batches; lines that keep coming are left to the next run."""
+    path = f"{tmp}/logs/[ab]\\.log"
+    write(f"{tmp}/logs/a.log", b"".join(b"line %03d\n" % i for i in range(200)))
+    stop = threading.Event()
+
+    def grow():
+        while not stop.is_set():
+            write(f"{tmp}/logs/a.log", b"later\n", "ab")
+            write(f"{tmp}/logs/b.log", b"new\n", "ab")
+            time.sleep(0.01)
+
+    options = {"catalog": catalog, "catalog.path": f"{tmp}/manifest", "bytes.max": 300, "offset.backup.provider": "none"}
+    real, thread = job.freeze, threading.Thread(target=grow)
+
+    def frozen(*args):
+        out = real(*args)
+        if not thread.is_alive():
+            thread.start()
+        return out
+
+    job.freeze = frozen
+    try:
+        n = job.run_available(spark, path, output=f"{tmp}/out", checkpoint=f"{tmp}/ck", **options)
+    finally:
+        job.freeze = real
+        stop.set()
+        thread.join()
+    assert n >= 6 and lines(spark, f"{tmp}/out") == ["line %03d" % i for i in range(200)]
+    assert not os.path.exists(f"{tmp}/ck.target")
+    job.run_available(spark, path, output=f"{tmp}/out", checkpoint=f"{tmp}/ck", **{**options, "bytes.max": 1 << 20})
+    got = lines(spark, f"{tmp}/out")
+    assert got.count("later") >= 1 and got.count("new") >= 1
+    with open(f"{tmp}/logs/a.log", "rb") as f:
+        assert got.count("later") == f.read().count(b"later")
+
+
+def test_a_dead_bounded_run_keeps_its_end(spark, tmp, monkeypatch):
+    path, options = f"{tmp}/logs/a\\.log", {"bytes.max": 40, "offset.backup.provider": "none"}
+    write(f"{tmp}/logs/a.log", b"".join(b"line %03d\n" % i for i in range(20)))
+    with monkeypatch.context() as m:
+        m.setattr(job, "drain", lambda q: (_ for _ in ()).throw(OSError("killed")))
+        with pytest.raises(OSError):
+            job.run_available(spark, path, output=f"{tmp}/out", checkpoint=f"{tmp}/ck", **options)
+    write(f"{tmp}/logs/a.log", b"later\n", "ab")
+    job.run_available(spark, path, output=f"{tmp}/out", checkpoint=f"{tmp}/ck", **options)
+    assert lines(spark, f"{tmp}/out") == ["line %03d" % i for i in range(20)]
+
+
+def test_versions_and_ranges_expire_together(spark, tmp):
+    c, log = cfg(f"{tmp}/logs/a\\.log"), offset_log(f"{tmp}/manifest")
+    for i in range(5):
+        write(f"{tmp}/logs/a.log", b"line\n", "ab")
+        advance(spark, c, log)
+    expire(log, 2)
+    assert log.versions() == [3, 4] and len(range_files(log, 4)) == 1
+    assert len(os.listdir(f"{log.path}/ranges")) == 2
+    assert {r.name: r.offset for r in log.rows(spark).collect() if r.name} == {"a.log": 25}
+
+
+def test_bad_options(spark, tmp):
+    with pytest.raises(AppendLogError, match="driver or manifest"):
+        cfg(f"{tmp}/a", catalog="other")
+    with pytest.raises(AppendLogError, match="no version of a manifest"):
+        ManifestReader(cfg(f"{tmp}/a", **{"catalog": "manifest", "catalog.path": f"{tmp}/m",
+                                          "initial.offset.json": '{"directory": "x", "offsets": {}}'})).initialOffset()
