@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +21,28 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return df.select(*columns) if columns else df
 
 
+_PATHS: "weakref.WeakKeyDictionary[DataFrame, str]" = weakref.WeakKeyDictionary()
+
+
 def pinned(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written as Parquet into the shared folder and read back: its
     lineage ends there, and a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/llm/{tag}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+def dropped(*tables: DataFrame | None) -> None:
+    """Delete pinned tables whose consumers are all pinned themselves (tables
+    that are not pinned, and None, are passed over)."""
+    for t in tables:
+        path = _PATHS.pop(t, None) if t is not None else None
+        if path is not None:
+            at = t.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def range_bounds(df: DataFrame, key: str, text: str, bytes_per_bucket: int) -> list[int]:
@@ -45,10 +61,23 @@ def range_bounds(df: DataFrame, key: str, text: str, bytes_per_bucket: int) -> l
 
 
 def bucket_of(key: Column, bounds: list[int]) -> Column:
-    """Number of the bucket (from 0) that ``key`` falls into; null keys: 0."""
+    """Number of the bucket (from 0) that ``key`` falls into; null keys: 0.
+
+    Two levels: a key is compared with every 64th bound, then with the up to 63
+    that follow the last of them it reaches.
+    """
     if not bounds:
         return F.lit(0)
-    return F.size(F.filter(F.array(*[F.lit(b).cast("bigint") for b in bounds]), lambda b: b <= key))
+
+    def reached(some: Column) -> Column:
+        return F.size(F.filter(some, lambda b: b <= key))
+
+    every = F.array(*[F.lit(b).cast("bigint") for b in bounds])
+    if len(bounds) <= 64:
+        return reached(every)
+    coarse = F.array(*[F.lit(b).cast("bigint") for b in bounds[::64]])
+    return let(reached(coarse), lambda c: F.when(c == 0, F.lit(0)).otherwise(
+        (c - 1) * 64 + 1 + reached(F.slice(every, (c - 1) * 64 + 2, F.lit(63)))))
 
 
 def let(value: Column, body) -> Column:
@@ -57,14 +86,21 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-#: Rows up to which a pinned side of a join may be broadcast (two or three longs each).
-BROADCAST_ROWS = 1_000_000
+#: Written bytes up to which a pinned side of a join may be broadcast.
+BROADCAST_BYTES = 16 << 20
 
 
 def sized(df: DataFrame) -> DataFrame:
-    """A pinned narrow table, marked for broadcast if it is small enough;
-    beyond that the join shuffles (and AQE splits hot keys)."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    """A pinned table, marked for broadcast if its files are small enough;
+    beyond that, and for tables that are not pinned, the join shuffles (and AQE
+    splits hot keys)."""
+    path = _PATHS.get(df)
+    if path is None:
+        return df
+    spark = df.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def components(links: DataFrame, tag: str = "links") -> DataFrame:
@@ -83,14 +119,18 @@ def components(links: DataFrame, tag: str = "links") -> DataFrame:
         low = pinned(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"{tag}-low")
         large = pinned(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                        .where("u <> v").distinct(), f"{tag}-large")
+        dropped(low, edges)
         # then a node and its smaller neighbours go to the smallest neighbour
         low = pinned(large.groupBy("u").agg(F.min("v").alias("m")), f"{tag}-low")
         small = large.join(low, "u").select(F.explode(F.array(
             F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         edges = pinned(small.select("e.u", "e.v").where("u <> v").distinct(), tag)
+        dropped(low, large)
         now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == mark:
             break
         mark = now
     roots = edges.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
-    return pinned(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots), f"{tag}-components")
+    out = pinned(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots), f"{tag}-components")
+    dropped(edges)
+    return out

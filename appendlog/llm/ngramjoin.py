@@ -3,34 +3,37 @@
 Documents are sets of word shingles; two link when their Jaccard similarity is
 at least ``percent`` / 100.  The steps:
 
-1. A text's node is its 64-bit digest, whatever its row's id.  Texts with the
-   same set become one class, its smallest node standing for it, so exact
-   copies are never compared or expanded.
+1. A text's node is its 64-bit digest, whatever its row's id (a second digest
+   shows that no two texts of the table share one; else the seed changes), so
+   exact copies are never compared or expanded.
 2. Candidates without loss: sets of similar size that link differ in at most D
-   shingles.  Cutting the hash range into D + 2 parts leaves two parts equal at
-   least, so linked sets share the hash of some non-empty part (or both have
-   two empty parts, which has a key of its own).  Documents none of whose keys
-   occurs twice have no link and go no further.
-3. Short inverted lists: the shingles of the candidates are counted, and a
-   document stays on the lists of its rarest ones only, as many as it can miss
-   plus one; linked documents meet on such a list.  Shingles of one candidate
-   come first in this order, so a copy with too many edits of its own is on no
-   list at all, and frequent phrases are on none.
-4. T-occurrence search: the query is a list's smallest id, the index holds the
-   shingles of the list's others.  DivideSkip merges the short lists of the
-   query with a heap and binary-probes the long ones for candidates that
-   reached ``T - L``; a document with the required overlap is a link.  The
-   documents of one query are split over tasks by bounded chunks.
-5. Links make components.  Lists whose members fell into several components
-   are searched again with every member outside the largest component as a
-   query, which leaves no pair of different components unexamined.
+   shingles.  Cutting the hash range into D + 1 + k parts leaves k + 1 parts
+   equal at least; a set with at most k empty parts therefore shares the hash
+   of a non-empty part with each set that it links with (a set with more is
+   cut anew under the next seed, see ``block_keys``).  Such a key takes an
+   equal handful of shingles and nothing else in their part, which unrelated
+   documents with a common passage do not have.  Every task replaces the equal
+   keys of its own documents by links to the smallest of them before the
+   shuffle, so a key of very many documents arrives as one row per task.
+   Documents connected by equal keys are a cluster.
+3. T-occurrence search: a cluster's documents are dealt to units of about
+   ``UNIT`` documents, each with inverted lists of its own.  A query's lists are
+   merged by a heap where they are short; DivideSkip binary-probes the long
+   ones for documents that reached ``T - L``, and those with the required
+   overlap are links.  First the smallest document of each key searches the units that hold
+   the key's others.
+4. Links make components.  Where a cluster's documents fell into several, all
+   but those of its largest component search every unit of the cluster, which
+   leaves no pair of different components unexamined.
 
 Words are runs without ASCII white space, A-Z lower-cased; a text with fewer
 words than a shingle is one shingle; null, empty and blank texts have an empty
 set and link with nothing.  Whole texts, no caps.  A component's id is the
 smallest id of its rows (null if all are null).  Rows with equal ids share
 their component, whichever texts they hold; rows with null ids do so by their
-texts only.  Shingles are compared by 64-bit hashes.
+texts only.  Repeated rows share theirs; an empty table gives no rows; columns
+other than id and text are not read (``keep_one`` returns them).  Shingles are
+compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -43,14 +46,18 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from appendlog.llm.common import components, pinned, sized
+from appendlog.llm.common import components, dropped, pinned, sized
 from appendlog.session import ship_package
 
-#: Index chunk: documents searched together in one task.
-CHUNK = 256
+#: Documents of a unit, and queries of one unit that go to one task (about).
+UNIT, QUERIES = 256, 2048
+#: Keys that a task holds before it merges the equal ones and passes them on.
+HELD = 1 << 20
+#: Seeds that a set with too many empty parts tries.
+SEEDS = 64
 #: DivideSkip's cost ratio between a probe and a heap step.
 MU = 0.01
 
@@ -78,12 +85,17 @@ def shingles(text: str | None, size: int) -> np.ndarray:
 
 
 @lru_cache(maxsize=None)
-def _levels(percent: int) -> tuple[list[int], list[int]]:
-    """Upper sizes of the size classes, and parts per class (0: no part)."""
+def _levels(percent: int) -> tuple[list[int], list[tuple[int, int]]]:
+    """Upper sizes of the size classes, and (parts, empty parts allowed) of each (0 parts: equal sets only)."""
     tops = [1]
     while tops[-1] < 1 << 40:
         tops.append(max(tops[-1] + 1, tops[-1] * 100 // percent))
-    return tops, [d + 2 if (d := 2 * u * (100 - percent) // (100 + percent)) else 0 for u in tops]
+    parts = []
+    for u in tops:
+        d = 2 * u * (100 - percent) // (100 + percent)
+        k = 1 + 3 * d // 100
+        parts.append((d + 1 + k, k) if d else (0, 0))
+    return tops, parts
 
 
 @lru_cache(maxsize=256)
@@ -92,24 +104,33 @@ def _edges(parts: int) -> np.ndarray:
 
 
 def block_keys(s: np.ndarray, percent: int) -> np.ndarray:
-    """Keys of the parts of a set, for its size class and the next one."""
+    """Keys of the whole set and of the parts of it, for its size class and the next one.
+
+    Under a seed where one of two linked sets has no more empty parts than
+    allowed, they share the key of a non-empty part.  A set goes through the
+    seeds up to the first such one, so both have cut themselves under the
+    smaller of their last seeds.
+    """
     if not len(s):
         return np.empty(0, np.uint64)
     tops, parts = _levels(percent)
     level = bisect_left(tops, len(s))
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(s), dtype=np.uint64)])
-    out = []
+    out = [_mix(s.sum(dtype=np.uint64, keepdims=True) + _mix(np.array([len(s)], np.uint64)))]
     for lv in (level, level + 1):
-        m = parts[lv]
-        if not m:
-            continue
-        cut = np.concatenate([[0], np.searchsorted(s, _edges(m)), [len(s)]])
-        full = np.flatnonzero(cut[1:] > cut[:-1])
-        sums = total[cut[full + 1]] - total[cut[full]]
-        out.append(_mix(sums + _mix(full.astype(np.uint64) + np.uint64(lv << 32))))
-        if m - len(full) >= 2:
-            out.append(_mix(np.array([(lv << 32) + (1 << 31)], np.uint64)))
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+        m, allowed = parts[lv]
+        for seed in range(SEEDS if m else 0):
+            turned = s if not seed else np.sort(_mix(s + np.uint64(seed)))
+            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(turned), dtype=np.uint64)])
+            cut = np.concatenate([[0], np.searchsorted(turned, _edges(m)), [len(turned)]])
+            full = np.flatnonzero(cut[1:] > cut[:-1])
+            sums = total[cut[full + 1]] - total[cut[full]]
+            out.append(_mix(sums + _mix(full.astype(np.uint64) + np.uint64((lv << 38) + (seed << 32)))))
+            if m - len(full) <= allowed:
+                break
+        else:
+            if m:  # practically never: meets all others that are left
+                out.append(_mix(np.array([(lv << 38) + (1 << 31)], np.uint64)))
+    return np.concatenate(out)
 
 
 def required(n: int, m: int, percent: int) -> int:
@@ -117,64 +138,139 @@ def required(n: int, m: int, percent: int) -> int:
     return -(-percent * (n + m) // (100 + percent))
 
 
+class Lists:
+    """Inverted lists of a unit's sets, for T-occurrence searches."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = [len(s) for s in sets]
+        items = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+        owner = np.repeat(np.arange(len(sets)), self.sizes)
+        order = np.argsort(items, kind="stable")  # owners stay ascending within an item
+        self.owner = owner[order]
+        self.terms, starts = np.unique(items[order], return_index=True)
+        self.starts = np.append(starts, len(items))
+
+    def search(self, query: np.ndarray, percent: int) -> list[int]:
+        """Positions of the sets that link with ``query``."""
+        n = len(query)
+        at = np.searchsorted(self.terms, query)
+        at = at[(at < len(self.terms)) & (self.terms[np.minimum(at, len(self.terms) - 1)] == query)] if len(self.terms) else at[:0]
+        need = [required(n, m, percent) for m in self.sizes]
+        # a set of a size that can't link needs more than either set has
+        least = min((t for t, m in zip(need, self.sizes) if t <= min(n, m)), default=None)
+        if least is None or len(at) < least:
+            return []
+        length = self.starts[at + 1] - self.starts[at]
+        at = at[np.argsort(length, kind="stable")]
+        n_long = min(least - 1, len(at) - 1, int(least / (MU * math.log2(int(length.max()) + 1) + 1)))
+        cut = len(at) - n_long
+        short = [self.owner[self.starts[i]:self.starts[i + 1]].tolist() for i in at[:cut]]
+        long = [self.owner[self.starts[i]:self.starts[i + 1]].tolist() for i in at[cut:]]
+        found, run, count = [], -1, 0
+        for c in [*heapq.merge(*short), len(self.sizes)]:
+            if c != run:
+                if run >= 0 and count >= least - n_long:
+                    for k, probed in enumerate(long):
+                        if count >= need[run] or count + len(long) - k < need[run]:
+                            break
+                        i = bisect_left(probed, run)
+                        count += i < len(probed) and probed[i] == run
+                    if count >= need[run]:
+                        found.append(run)
+                run, count = c, 0
+            count += 1
+        return found
+
+
 def divide_skip(query: np.ndarray, index: list[np.ndarray], percent: int) -> list[int]:
     """Positions in ``index`` of the sets that link with ``query``."""
-    sizes = [len(s) for s in index]
-    n = len(query)
-    # inverted lists of the query's shingles over the indexed sets
-    owner = np.repeat(np.arange(len(index)), sizes)
-    items = np.concatenate(index) if index else np.empty(0, np.uint64)
-    at = np.searchsorted(query, items)
-    hit = (at < n) & (query[np.minimum(at, n - 1)] == items)
-    order = np.lexsort((owner[hit], at[hit]))
-    who, term = owner[hit][order], at[hit][order]
-    starts = np.searchsorted(term, np.arange(n + 1))
-    lists = sorted((who[i:j].tolist() for i, j in zip(starts, starts[1:]) if j > i), key=len)
-    if not lists:
-        return []
-    least = min(required(n, m, percent) for m in sizes)
-    n_long = min(least - 1, len(lists) - 1, int(least / (MU * math.log2(len(lists[-1]) + 1) + 1)))
-    short, long = lists[:len(lists) - n_long], lists[len(lists) - n_long:]
-    found, run, count = [], -1, 0
-    for c in [*heapq.merge(*short), len(index)]:
-        if c != run:
-            if run >= 0 and count >= least - n_long:
-                need = required(n, sizes[run], percent)
-                for k, probed in enumerate(long):
-                    if count >= need or count + len(long) - k < need:
-                        break
-                    i = bisect_left(probed, run)
-                    count += i < len(probed) and probed[i] == run
-                if count >= need:
-                    found.append(run)
-            run, count = c, 0
-        count += 1
-    return found
-
-
-def signatures(df: DataFrame, size: int, percent: int, key: str, text: str) -> DataFrame:
-    """``doc_id, id, row, n, a, b, keys``: node, row number, set size, order-free
-    set digest, block keys."""
-    ship_package(df.sparkSession)
+    return Lists(index).search(query, percent)
+
+
+def _node(text: str, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), F.col(text)) if seed else F.xxhash64(text)
+
+
+def _seed(df: DataFrame, text: str) -> int:
+    """The first seed under which no two texts share a node."""
+    seed = 0
+    while True:
+        pairs = df.where(F.col(text).isNotNull()).groupBy(_node(text, seed).alias("id")).agg(
+            F.min(F.xxhash64(F.lit(-1 - seed), F.col(text))).alias("a"), F.max(F.xxhash64(F.lit(-1 - seed), F.col(text))).alias("b"))
+        if pairs.where("a <> b").isEmpty():
+            return seed
+        seed += 1
+
+
+def counted(df: DataFrame, size: int, key: str, text: str, seed: int) -> DataFrame:
+    """``doc_id, id, n``: node and set size of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                b = whole.slice(at, 1024)
-                sets = [shingles(t.as_py(), size) for t in b.column(3)]
-                digest = [(int(s.sum(dtype=np.uint64)), int(_mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)))
-                          for s in sets]
-                keys = [block_keys(s, percent) for s in sets]
-                flat = np.concatenate(keys) if keys else np.empty(0, np.uint64)
-                offsets = np.cumsum([0, *map(len, keys)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [*b.columns[:3], pa.array([len(s) for s in sets], pa.int64()),
-                     *[pa.array(np.array([d[i] for d in digest], np.uint64).view(np.int64)) for i in (0, 1)],
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))],
-                    ["doc_id", "id", "row", "n", "a", "b", "keys"])
-
-    return df.select(key, F.xxhash64(text), F.monotonically_increasing_id(), text).mapInArrow(
-        run, "doc_id long, id long, row long, n long, a long, b long, keys array<long>")
+        for b in batches:
+            n = [len(shingles(t.as_py(), size)) for t in b.column(2)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(n, pa.int64())], ["doc_id", "id", "n"])
+
+    return df.select(key, _node(text, seed), text).mapInArrow(run, "doc_id long, id long, n long")
+
+
+def _merged(keys: list[np.ndarray], nodes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """A task's keys: one row (0, key, least node) each, and rows (1, least
+    node, node) for the other nodes of a key."""
+    k = np.concatenate(keys).view(np.int64)
+    v = np.repeat(np.concatenate(nodes), [len(x) for x in keys])
+    order = np.lexsort((v, k))
+    k, v = k[order], v[order]
+    first = np.r_[True, k[1:] != k[:-1]]
+    least = v[np.flatnonzero(first)[np.cumsum(first) - 1]]
+    pairs = np.unique(np.stack([least[~first], v[~first]], axis=1)[least[~first] != v[~first]], axis=0)
+    for kind, a, b in ((0, k[first], v[first]), (1, pairs[:, 0], pairs[:, 1])):
+        for at in range(0, len(a), 1 << 16):
+            x, y = a[at:at + (1 << 16)], b[at:at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(x), pa.array(y)],
+                                             ["kind", "key", "node"])
+
+
+def _meetings(df: DataFrame, size: int, percent: int, text: str, seed: int) -> DataFrame:
+    """``a, b``: the least node of each key that occurs in several sets, with each other one."""
+
+    def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, nodes, held = [], [], 0
+        for b in batches:
+            for node, t in zip(b.column(0).to_numpy(), b.column(1), strict=True):
+                own = block_keys(shingles(t.as_py(), size), percent)
+                keys.append(own)
+                nodes.append(np.array([node], np.int64))
+                held += len(own)
+                if held >= HELD:
+                    yield from _merged(keys, nodes)
+                    keys, nodes, held = [], [], 0
+        if held:
+            yield from _merged(keys, nodes)
+
+    def pairs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, least = None, None
+        for b in batches:
+            kind, k, v = (b.column(i).to_numpy() for i in range(3))
+            if not len(k):
+                continue
+            known = kind == 1
+            first = np.r_[key is None or (kind[0], k[0]) != key, (k[1:] != k[:-1]) | (kind[1:] != kind[:-1])]
+            heads = np.where(first, v, 0)
+            if not first[0]:
+                heads[0] = least
+            start = np.maximum.accumulate(np.where(first, np.arange(len(k)), 0))
+            a = np.where(known, k, heads[start])
+            key, least = (kind[-1], k[-1]), heads[start][-1]
+            pairs = np.stack([a, v], axis=1)[a != v]
+            pairs = np.unique(pairs, axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    entries = df.where(F.col(text).isNotNull()).select(_node(text, seed).alias("id"), text).mapInArrow(
+        keys_of, "kind int, key long, node long")
+    # links that tasks have made already are dealt by their other node: the least one may have very many
+    deal = F.when(F.col("kind") == 0, F.col("key")).otherwise(F.col("node"))
+    return entries.repartition(deal).sortWithinPartitions("kind", "key", "node").mapInArrow(
+        pairs_of, "a long, b long").distinct()
 
 
 def _sets(df: DataFrame, size: int) -> DataFrame:
@@ -188,134 +284,87 @@ def _sets(df: DataFrame, size: int) -> DataFrame:
     return df.mapInArrow(run, "id long, items binary")
 
 
-def _search(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``q, d`` that link, as ``a, b``: one T-occurrence search for
-    each query and chunk of its documents."""
-    per = pinned(pairs.groupBy("q").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks")), "join-chunks")
-    dealt = pairs.join(per, "q").select("q", F.pmod(F.xxhash64("d"), F.col("chunks")).cast("int").alias("chunk"), "d")
-    docs = dealt.join(sets, dealt.d == sets.id).select("q", "chunk", F.lit(1).alias("side"), "id", "items")
-    asked = per.select("q", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
-    asked = asked.join(sets, asked.q == sets.id).select("q", "chunk", F.lit(0).alias("side"), "id", "items")
-    rows = docs.union(asked).repartition("q", "chunk").sortWithinPartitions("q", "chunk", "side", "id")
+def _search(routes: DataFrame, placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` of the queries ``q`` that ``routes`` sends to units
+    (``cluster, unit``), with the units' documents ``placed`` there."""
+    asked = pinned(routes.groupBy("cluster", "unit").agg(
+        F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("parts")), "join-asked")
+    held = placed.join(asked, ["cluster", "unit"]).select(
+        "cluster", "unit", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("side"), F.col("node").alias("id"))
+    queries = routes.join(asked, ["cluster", "unit"]).select(
+        "cluster", "unit", F.pmod(F.xxhash64("q"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("side"), F.col("q").alias("id"))
+    rows = held.union(queries).join(sets, "id").select("cluster", "unit", "part", "side", "id", "items")
+    rows = rows.repartition("cluster", "unit", "part").sortWithinPartitions("cluster", "unit", "part", "side", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, query, ids, held = None, None, [], []
-
-        def links() -> pa.RecordBatch:
-            got = [ids[i] for i in divide_skip(query, held, percent)] if held and query is not None else []
-            return pa.RecordBatch.from_arrays([pa.array([group[0]] * len(got), pa.int64()), pa.array(got, pa.int64())],
-                                              ["a", "b"])
-
+        group, lists, ids, held = None, None, [], []
         for b in batches:
-            for q, chunk, side, doc, items in zip(*[c.to_pylist() for c in b.columns], strict=True):
-                if (q, chunk) != group:
-                    if group is not None:
-                        yield links()
-                    group, query, ids, held = (q, chunk), None, [], []
+            a, found = [], []
+            for cluster, unit, part, side, doc, items in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                if (cluster, unit, part) != group:
+                    group, lists, ids, held = (cluster, unit, part), None, [], []
                 s = np.frombuffer(items, np.uint64)
                 if side == 0:
-                    query = s
-                elif not ids or ids[-1] != doc:
                     ids.append(doc)
                     held.append(s)
-        if group is not None:
-            yield links()
+                    continue
+                lists = lists or Lists(held)
+                got = [ids[i] for i in lists.search(s, percent) if ids[i] != doc]
+                a += [doc] * len(got)
+                found += got
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(found, pa.int64())], ["a", "b"])
 
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _short_lists(sets: DataFrame, percent: int) -> DataFrame:
-    """``key, d, n, rest, q, qn, qrest``: the inverted lists (of two documents or
-    more) that linked documents meet on, with each list's smallest id ``q``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                b = whole.slice(at, 256)
-                held = [np.frombuffer(x, np.int64) for x in b.column(1).to_pylist()]
-                size = [len(x) for x in held]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(np.array(b.column(0).to_pylist(), np.int64), size)),
-                     pa.array(np.repeat(np.array(size, np.int64), size)), pa.array(np.concatenate(held))], ["d", "n", "key"])
-
-    terms = sets.mapInArrow(run, "d long, n long, key long")
-    often = pinned(terms.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "join-frequent")
-    known = terms.join(often, "key")
-    here = Window.partitionBy("d")
-    # shingles of one document only come first; what they leave of the prefix goes by frequency
-    known = known.withColumn("own", F.count(F.lit(1)).over(here))
-    left = F.col("own") + 1 - F.ceil(F.col("n") * percent / 100)
-    rare = known.withColumn("left", left).where("left > 0").withColumn(
-        "place", F.row_number().over(here.orderBy("df", "key"))).where("place <= left")
-    # what the document still has after this shingle, in the order of all of its shingles
-    rare = rare.select("key", "d", "n", (F.col("own") - F.col("place")).alias("rest"))
-    rare = pinned(rare, "join-rare")
-    heads = rare.groupBy("key").agg(F.min(F.struct("d", "n", "rest")).alias("q"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    heads = sized(pinned(heads.select("key", F.col("q.d").alias("q"), F.col("q.n").alias("qn"), F.col("q.rest").alias("qrest")), "join-heads"))
-    return pinned(rare.join(heads, "key"), "join-members")
-
-
-def _linked(df: DataFrame, size: int, percent: int, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows ``doc_id, id, n, rep`` (node, set size, node of the class), and the
-    links and components of the classes."""
-    sig = pinned(signatures(df, size, percent, key, text), "join-signatures")
-    same = sized(pinned(sig.where("n > 0").groupBy("a", "b", "n").agg(
-        F.min("id").alias("rep"), F.min("row").alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows"),
-        "join-classes"))
-    named = sig.join(same, ["a", "b", "n"], "left").withColumn("rep", F.coalesce("rep", "id"))
-    # one row of each class goes on
-    blocks = named.where(F.coalesce("first", "row") == F.col("row")).select(F.explode("keys").alias("key"), F.col("rep").alias("d"))
-    repeated = sized(pinned(blocks.groupBy("key").count().where("count > 1").select("key"), "join-blocks"))
-    wanted = sized(pinned(blocks.join(repeated, "key", "left_semi").select(F.col("d").alias("id")).distinct(), "join-wanted"))
+def _linked(df: DataFrame, size: int, percent: int, text: str, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Links ``a, b`` and components ``node, component`` of the texts' nodes."""
+    ship_package(df.sparkSession)
+    met = pinned(_meetings(df, size, percent, text, seed), "join-met")
+    clusters = components(met, "join-clusters")
+    sizes = clusters.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / UNIT).alias("units"))
+    placed = pinned(clusters.join(sizes, "component").select(
+        "node", F.col("component").alias("cluster"), F.pmod(F.xxhash64("node"), F.col("units")).alias("unit")), "join-placed")
     # rows of one node have equal texts
-    texts = df.select(F.xxhash64(text).alias("id"), F.col(text).alias("text")).join(wanted, "id", "left_semi").dropDuplicates(["id"])
+    texts = df.where(F.col(text).isNotNull()).select(_node(text, seed).alias("id"), F.col(text).alias("text"))
+    texts = texts.join(sized(placed).select(F.col("node").alias("id")), "id", "left_semi").dropDuplicates(["id"])
     sets = pinned(_sets(texts, size), "join-sets")
-    members = _short_lists(sets, percent)
-    # on the first list that two documents share, their overlap is this shingle and at
-    # most what either has after it; a linked pair passes there at least
-    fits = F.lit(100 + percent) * (1 + F.least("rest", "qrest")) >= F.lit(percent) * (F.col("n") + F.col("qn"))
-    stars = pinned(members.where((F.col("q") != F.col("d")) & fits).select("q", "d").distinct(), "join-pairs")
-    links = pinned(_search(stars, sets, percent), "join-links")
+    first = pinned(met.join(placed, F.col("b") == F.col("node")).select(F.col("a").alias("q"), "cluster", "unit").distinct(), "join-first")
+    dropped(clusters, met)
+    links = pinned(_search(first, placed, sets, percent), "join-links")
     found = components(links)
-    # lists that still hold several components
-    placed = members.select("key", "d", "n", "rest").join(sized(found), F.col("d") == F.col("node"), "left").select(
-        "key", "d", "n", "rest", F.coalesce("component", "d").alias("c"))
-    placed = pinned(placed, "join-placed")
-    counts = placed.groupBy("key", "c").count()
-    mixed = counts.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.max_by("c", F.struct("count", "c")).alias("main")).where(
-        "k > 1").select("key", "main")
-    mixed = sized(pinned(mixed, "join-mixed"))
-    open_lists = pinned(placed.join(mixed, "key"), "join-open")
-    asked = open_lists.where("c <> main").select("key", F.col("d").alias("q"), F.col("n").alias("qn"),
-                                                 F.col("rest").alias("qrest"), F.col("c").alias("qc"))
-    more = asked.join(open_lists.select("key", "d", "n", "rest", "c", "main"), "key").where(
-        (F.col("qc") != F.col("c")) & ((F.col("c") == F.col("main")) | (F.col("q") < F.col("d"))) & fits)
-    more = more.select("q", "d").distinct().join(stars, ["q", "d"], "left_anti")
-    more = pinned(more, "join-pairs")
+    # clusters that still hold several components: all outside the largest one search the whole cluster
+    parted = pinned(placed.join(found, "node", "left").select("node", "cluster", "unit", F.coalesce("component", "node").alias("c")), "join-parted")
+    counts = parted.groupBy("cluster", "c").count()
+    mixed = counts.groupBy("cluster").agg(F.count(F.lit(1)).alias("k"), F.max_by("c", F.struct("count", "c")).alias("main")).where("k > 1")
+    mixed = pinned(mixed.select("cluster", "main"), "join-mixed")
+    units = placed.select("cluster", "unit").distinct()
+    more = parted.join(mixed, "cluster").where("c <> main").select("cluster", F.col("node").alias("q")).join(units, "cluster")
+    more = pinned(more.select("q", "cluster", "unit").join(first, ["q", "cluster", "unit"], "left_anti"), "join-more")
     if not more.isEmpty():
-        links = links.union(pinned(_search(more, sets, percent), "join-links"))
+        links = links.union(pinned(_search(more, placed, sets, percent), "join-links"))
+        dropped(found)
         found = components(links)
-    return named.select("doc_id", "id", "n", "rep"), links, found
-
-
-def _placed(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """``rows`` with the node ``c`` of their component."""
-    return rows.join(sized(found), F.col("rep") == F.col("node"), "left").withColumn("c", F.coalesce("component", "rep"))
+    dropped(placed, sets, first, parted, mixed, more)
+    return links, found
 
 
 def link_components(df: DataFrame, size: int = 3, percent: int = 90, key: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row."""
-    rows, links, found = _linked(df, size, percent, key, text)
+    ship_package(df.sparkSession)
+    seed = _seed(df, text)
+    links, found = _linked(df, size, percent, text, seed)
     # empty sets have a node for each id
-    rows = pinned(rows.select("doc_id", "n", F.when(F.col("n") > 0, F.col("rep")).otherwise(
-        F.xxhash64(F.lit("empty"), F.col("doc_id"))).alias("rep")), "join-rows")
-    named = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
+    rows = counted(df, size, key, text, seed).withColumn(
+        "id", F.when(F.col("n") > 0, F.col("id")).otherwise(F.xxhash64(F.lit("empty"), F.col("doc_id"))))
+    rows = pinned(rows, "join-rows")
+    named = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     clashes = pinned(named.where("low < high").select("doc_id", "low"), "join-clashes")
     if not clashes.isEmpty():
-        equal = rows.join(sized(clashes), "doc_id").select(F.col("low").alias("a"), F.col("rep").alias("b"))
+        equal = rows.join(sized(clashes), "doc_id").select(F.col("low").alias("a"), F.col("id").alias("b"))
         found = components(links.select("a", "b").union(equal))
-    rows = _placed(rows, found)
+    rows = rows.join(sized(found), F.col("id") == F.col("node"), "left").withColumn("c", F.coalesce("component", "id"))
     least = rows.groupBy("c").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
     return rows.join(sized(pinned(least, "join-least")), "c", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
@@ -323,15 +372,20 @@ def link_components(df: DataFrame, size: int = 3, percent: int = 90, key: str =
 
 def keep_one(df: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each component, with ``df``'s columns: the smallest id's (null
-    ids last), one of rows that are equal in id and text.  Texts are told apart
-    by their content, not by their ids; rows with empty sets all stay."""
-    rows, _, found = _linked(df, size, percent, key, text)
-    rows = pinned(_placed(rows.where("n > 0"), found).select("doc_id", "id", "c"), "join-rows")
+    ids last); of rows that are equal in id and text, the first by their JSON.  Texts
+    are told apart by their content, not by their ids; rows with empty sets all stay."""
+    seed = _seed(df, text)
+    _, found = _linked(df, size, percent, text, seed)
+    worded = F.coalesce(F.col(text).rlike(r"[^ \t-\r]"), F.lit(False))
+    rows = df.where(worded).select(F.col(key).alias("doc_id"), _node(text, seed).alias("id"))
+    rows = rows.join(sized(found), F.col("id") == F.col("node"), "left").select("doc_id", "id", F.coalesce("component", "id").alias("c"))
+    rows = pinned(rows, "join-rows")
     best = rows.groupBy("c").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "id")).alias("best"), F.count(F.lit(1)).alias("k")).where("k > 1")
     best = sized(pinned(best.select("c", F.col("best.doc_id").alias("__best"), F.col("best.id").alias("__node")), "join-best"))
     fates = pinned(rows.select("id", "c").join(best, "c").select(F.col("id").alias("__id"), "__best", "__node").distinct(), "join-fates")
-    marked = df.withColumn("__id", F.xxhash64(text)).join(sized(fates), "__id", "left")
+    marked = df.withColumn("__id", F.when(worded, _node(text, seed))).join(sized(fates), "__id", "left")
     wins = (F.col("__id") == F.col("__node")) & F.col(key).eqNullSafe(F.col("__best"))
-    return marked.where("__node is null").select(*df.columns).union(
-        marked.where(wins).dropDuplicates(["__id"]).select(*df.columns))
+    first = marked.where(wins).withColumn("__order", F.to_json(F.struct(*df.columns))).withColumn("__place", F.row_number().over(
+        Window.partitionBy("__id").orderBy("__order"))).where("__place = 1")
+    return marked.where("__node is null").select(*df.columns).union(first.select(*df.columns))

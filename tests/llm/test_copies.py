@@ -56,7 +56,9 @@ def near_copies(seed):
 
 @pytest.mark.parametrize("size,percent,rows", [(3, 90, ROWS), (5, 80, ROWS), (3, 90, near_copies(1)), (3, 80, near_copies(2))])
 def test_components_equal_brute_force(table, monkeypatch, size, percent, rows):
-    monkeypatch.setattr(ngramjoin, "CHUNK", 4)
+    monkeypatch.setattr(ngramjoin, "UNIT", 4)
+    monkeypatch.setattr(ngramjoin, "QUERIES", 3)
+    monkeypatch.setattr(ngramjoin, "HELD", 500)
     got = ngramjoin.link_components(table(rows, ["key", "n"]), size, percent).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows, size, percent)
     assert len(got) == len(rows)
