@@ -1,11 +1,13 @@
 """One-permutation MinHash fingerprints, in DataFrame functions only.
 
 The word shingles of a text are hashed once; the top bits of a hash name its
-bin and each bin keeps its least hash.  Empty bins take the value of a
+bin and each bin keeps its least hash.  Empty bins take the hash of a
 non-empty one by optimal densification: bin b probes bins given by a hash of
 (b, attempt) until it meets a non-empty one.  A fingerprint packs the low
-``BITS`` bits of every bin (one hex digit each); likeness counts equal digits
-and corrects for chance agreement.
+``BITS`` bits of a hash of (kept hash, bin) of every bin (one hex digit each),
+so a value that several bins borrow gives each of them a digit of its own and
+chance agreement stays 1 in 2^``BITS`` for sets of a single shingle too;
+likeness counts equal digits and corrects for that chance.
 
 Shingles have five words (runs without ASCII white space); a shorter text is
 one shingle.  Texts without words have the fingerprint ``""``: likeness 1 to
@@ -40,12 +42,11 @@ def _bin(h: Column) -> Column:
 
 
 def _least(hashes: Column) -> Column:
-    """bin -> low bits of its least hash, for the non-empty bins."""
+    """bin -> its least hash, for the non-empty bins."""
     def first(z: Column) -> Column:
         return F.filter(z, lambda h, i: (i == 0) | (_bin(h) != _bin(F.get(z, i - 1))))
 
-    return let(let(F.sort_array(hashes), first), lambda f: F.map_from_arrays(
-        F.transform(f, _bin), F.transform(f, lambda h: h.bitwiseAND(F.lit((1 << BITS) - 1).cast("bigint")))))
+    return let(let(F.sort_array(hashes), first), lambda f: F.map_from_arrays(F.transform(f, _bin), f))
 
 
 def _probe(dense: Column, b: Column, attempts: range) -> Column:
@@ -70,7 +71,8 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     dense = F.col("__d")
     filled = F.transform(dense, lambda v, b: F.coalesce(
         v, _probe(dense, b, range(PROBES[0])), _probe(dense, b, range(*PROBES)), _nearest(dense, b)))
-    digits = F.array_join(F.transform(filled, lambda v: F.lower(F.hex(v))), "")
+    low = F.lit((1 << BITS) - 1).cast("bigint")
+    digits = F.array_join(F.transform(filled, lambda v, b: F.lower(F.hex(F.xxhash64(v, b).bitwiseAND(low)))), "")
     return df.select(*keep, F.coalesce(digits, F.lit("")).alias(out))
 
 
@@ -99,6 +101,8 @@ def with_next(df: DataFrame, key: str, text: str) -> DataFrame:
     copies = F.when(opens, F.array(F.struct(home.alias("at"), F.lit(0).alias("copy")),
                                    F.struct(F.pmod(home - 1, F.lit(n)).alias("at"), F.lit(1).alias("copy"))))
     df = df.withColumn("__to", F.explode(F.coalesce(copies, F.array(F.struct(home.alias("at"), F.lit(0).alias("copy"))))))
+    # twice as many partitions as buckets: few meet in one task
+    df = df.repartition(2 * n, "__to.at") if n > 1 else df
     order = Window.partitionBy("__to.at").orderBy("__to.copy", key, text)
     own = F.struct(F.col(key).alias("key"), F.col(text).alias("text"), F.col("fingerprint"))
     return df.withColumn("next", F.lead(own).over(order)).where("__to.copy = 0").drop("__to")

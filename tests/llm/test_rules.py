@@ -259,3 +259,82 @@ def test_obfuscated_tokens_are_read(spark, toxic):
         assert toxicity.text_score(t, reader, marks) == pytest.approx(once, abs=1e-3), t
     for t in ("a still letter", "in 1990 and 2010 (maybe) 1 2 3", "wait! *now* | a | b | c |", "10:30 b12 555 0199"):
         assert toxicity.text_score(t, reader, marks) < 0.3, t
+
+
+def xx(value, seed):
+    """Spark's xxhash64 of one value under a seed."""
+    import struct
+
+    import xxhash
+
+    raw = value.encode() if isinstance(value, str) else struct.pack("<i" if isinstance(value, int) and -2**31 <= value < 2**31 else "<q", value)
+    return xxhash.xxh64_intdigest(raw, seed)
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def xx_long(value, seed):
+    import struct
+
+    import xxhash
+
+    return xxhash.xxh64_intdigest(struct.pack("<q", value), seed)
+
+
+def plain_fingerprint(text):
+    """Bins, densification and digits by plain loops."""
+    words = WORD.findall(text or "")
+    if not words:
+        return ""
+    bins = [None] * minhash.BINS
+    for i in range(max(1, len(words) - 4)):
+        h = 42
+        for w in words[i:i + 5]:
+            h = xx(w, h)
+        b = h >> (64 - 7)
+        if bins[b] is None or h < bins[b]:
+            bins[b] = h
+    out = ""
+    for b in range(minhash.BINS):
+        v = bins[b]
+        for t in range(minhash.PROBES[1]):
+            if v is not None:
+                break
+            v = bins[signed(xx(t, xx(b, 42))) % minhash.BINS]
+        if v is None:
+            v = next(x for x in bins[b:] + bins if x is not None)
+        out += "%x" % (xx(b, xx_long(signed(v), 42)) & 15)
+    return out
+
+
+def test_fingerprints_equal_plain_loops(edits):
+    for i, t in ROWS:
+        assert edits[i].fingerprint == plain_fingerprint(t), i
+
+
+def test_fingerprints_of_few_shingles(spark):
+    """Distinct one-word texts have fingerprints of their own, and likeness is
+    near the truth for sets of any size."""
+    one = spark.createDataFrame([(i, f"word{i}") for i in range(2000)], "doc_id long, text string")
+    got = minhash.with_fingerprint(one, "text", "f").select("f").distinct().count()
+    assert got == 2000
+    rng = random.Random(12)
+    rows, exact = [], {}
+    for size in (1, 2, 5, 20):
+        for k in range(60):
+            a = [f"w{rng.getrandbits(30)}" for _ in range(size + 4)]
+            shared = rng.randint(0, size)
+            b = a[:shared + 4] + [f"w{rng.getrandbits(30)}" for _ in range(size - shared)] if shared else [
+                f"w{rng.getrandbits(30)}" for _ in range(size + 4)]
+            x, y = " ".join(a), " ".join(b)
+            s, t = python_fingerprint_set(x), python_fingerprint_set(y)
+            rows.append((len(rows), size, x, y))
+            exact[len(rows) - 1] = len(s & t) / len(s | t)
+    df = spark.createDataFrame(rows, "k long, size int, a string, b string")
+    df = minhash.with_fingerprint(minhash.with_fingerprint(df, "a", "fa"), "b", "fb")
+    near = df.select("k", "size", minhash.likeness(F.col("fa"), F.col("fb")).alias("near")).collect()
+    for size in (1, 2, 5, 20):
+        errors = [abs(r.near - exact[r.k]) for r in near if r.size == size]
+        assert sum(errors) / len(errors) < 0.06, (size, sum(errors) / len(errors))
