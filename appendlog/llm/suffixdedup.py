@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from appendlog.llm.common import pinned, sized
+from appendlog.llm.common import dropped, pinned, sized
 from appendlog.session import ship_package
 
 LENGTH = 400
@@ -47,6 +47,8 @@ GRAM = 64
 #: Distinct stretches of one anchor that one task searches; bytes per search.
 HOT = 400
 SEARCH_BYTES = 1 << 20
+#: Windows scanned at once (about 90 bytes of memory each).
+SCAN = 1 << 21
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -108,6 +110,18 @@ def stretches(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple
             anchor[first] - start)
 
 
+def all_stretches(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
+    """``stretches`` of a text of any length, by blocks of ``SCAN`` windows; a
+    stretch over a border becomes two."""
+    if len(data) - length + 1 <= SCAN:
+        return stretches(data, length)
+    parts = []
+    for at in range(0, len(data) - length + 1, SCAN):
+        start, stop, *rest = stretches(data[at:at + SCAN + length - 1], length)
+        parts.append((start + at, stop + at, *rest))
+    return tuple(map(np.concatenate, zip(*parts, strict=True)))
+
+
 def suffix_order(sym: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes ordered by their first ``depth`` symbols (below 512), by
     prefix doubling of the groups that are still undecided."""
@@ -214,7 +228,7 @@ def _scan(docs: DataFrame, length: int) -> DataFrame:
                     data = np.frombuffer(_bytes(t.as_py()), np.uint8)
                     if len(data) < length:
                         continue
-                    start, stop, key, d1, d2, place = stretches(data, length)
+                    start, stop, key, d1, d2, place = all_stretches(data, length)
                     order = np.lexsort((start, d2, d1, key))
                     k, x, y = key[order], d1[order], d2[order]
                     new = np.concatenate([[True], (k[1:] != k[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
@@ -297,7 +311,7 @@ def _digests(length: int):
     of the range share, and of the whole that this stretch has of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "key", "start", "lo", "width", "from", "to", "c1", "c2", "w1", "w2"]
+        names = ["id", "key", "start", "lo", "last", "from", "to", "c1", "c2", "w1", "w2"]
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 out = []
@@ -310,7 +324,7 @@ def _digests(length: int):
                         continue
                     cuts = np.array([[place - lo, place - (lo + width - 1) + length], [place - last, place - first + length]])
                     h = [_mix(Hashes(d, base).of(cuts[:, 0], cuts[:, 1])).view(np.int64) for base in (_A, _B)]
-                    out.append((doc, key, start, lo, width, start + place - last, start + place - first + length,
+                    out.append((doc, key, start, lo, last, start + place - last, start + place - first + length,
                                 int(h[0][0]), int(h[1][0]), int(h[0][1]), int(h[1][1])))
                 cols = list(zip(*out, strict=True)) or [()] * len(names)
                 kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 5, *[pa.int64()] * 4]
@@ -328,25 +342,29 @@ def _halved(parts: DataFrame, length: int) -> DataFrame | None:
     state = parts.select("id", "key", "start", F.explode(F.array(*[F.lit(k) for k in range(0, length, width)])).alias("lo"))
     found: DataFrame | None = None
     while width >= 1 and not state.isEmpty():
-        rows = parts.join(state, ["id", "key", "start"]).select("id", "key", "start", "place", "data", "lo", F.lit(width))
-        rows = pinned(rows.mapInArrow(_digests(length), "id long, key long, start int, lo int, width int, from int, to int, "
+        some = parts.join(sized(state), ["id", "key", "start"]).select("id", "key", "start", "place", "data", "lo", F.lit(width))
+        some = pinned(some.mapInArrow(_digests(length), "id long, key long, start int, lo int, last int, from int, to int, "
                                                         "c1 long, c2 long, w1 long, w2 long"), "suffix-ranges")
-        size = F.col("to") - F.col("from")
-        rows = rows.withColumn("size", size)
-        whole = ["key", "lo", "size", "w1", "w2"]
-        twice = sized(pinned(rows.groupBy(*whole).count().where("count > 1").drop("count"), "suffix-whole"))
-        ranges = rows.join(twice, whole, "left_semi").select("id", F.col("from").alias("lo"), F.col("to").alias("hi"))
+        rows = some.withColumn("size", F.col("to") - F.col("from"))
+        whole, core = ["key", "lo", "size", "w1", "w2"], ["key", "lo", "c1", "c2"]
+        twice = pinned(rows.groupBy(*whole).count().where("count > 1").drop("count"), "suffix-whole")
+        ranges = pinned(rows.join(sized(twice), whole, "left_semi").select("id", F.col("from").alias("lo"), F.col("to").alias("hi")),
+                        "suffix-found")
         found = ranges if found is None else found.union(ranges)
-        core = ["key", "lo", "c1", "c2"]
-        shared = sized(pinned(rows.groupBy(*core).count().where("count > 1").drop("count"), "suffix-core"))
-        # the halves of what is shared in its core but not as a whole; a repeated whole stays as a witness
-        left = rows.join(shared, core, "left_semi").join(
-            rows.join(twice, whole, "left_anti").select(*core).distinct(), core, "left_semi")
+        shared = pinned(rows.groupBy(*core).count().where("count > 1").drop("count"), "suffix-core")
+        # what is shared in its core but not as a whole is cut in two; of the rows of a repeated
+        # whole with such a core, which are covered already, one goes on as a witness of their windows
+        single = pinned(rows.join(sized(twice), whole, "left_anti").join(sized(shared), core, "left_semi"), "suffix-single")
+        cores = pinned(single.select(*core).distinct(), "suffix-cores")
+        witness = rows.join(sized(twice), whole, "left_semi").join(sized(cores), core, "left_semi").groupBy(
+            *whole, "c1", "c2", "last").agg(F.min(F.struct("id", "start")).alias("one")).select("one.id", "key", "one.start", "lo")
+        left = single.select("id", "key", "start", "lo").union(witness)
         width //= 2
         if not width:
             break
-        state = sized(pinned(left.select("id", "key", "start", F.explode(F.array("lo", F.col("lo") + width)).alias("lo")),
-                             "suffix-state"))
+        old, state = state, pinned(left.select("id", "key", "start", F.explode(F.array("lo", F.col("lo") + width)).alias("lo")),
+                                   "suffix-state")
+        dropped(old, some, twice, shared, single, cores)
     return found
 
 
@@ -379,8 +397,9 @@ def covered(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     keys = spans.groupBy("key").agg(
         F.sum(F.size("starts")).alias("n"),
         F.min(F.struct("d1", "d2")).alias("low"), F.max(F.struct("d1", "d2")).alias("high")).where("n > 1")
-    keys = sized(pinned(keys.select("key", (F.col("low") != F.col("high")).alias("several")), "suffix-anchors"))
-    met = pinned(spans.join(keys, "key"), "suffix-met")
+    keys = pinned(keys.select("key", (F.col("low") != F.col("high")).alias("several")), "suffix-anchors")
+    met = pinned(spans.join(sized(keys), "key"), "suffix-met")
+    dropped(spans, keys)
     digest = ["key", "d1", "d2"]
     kinds = pinned(met.groupBy(*digest).agg(
         F.sum(F.size("starts")).alias("n"), F.min(F.struct("id", F.get("starts", F.lit(0)).alias("start"), "size", "place")).alias("first"),
@@ -391,17 +410,19 @@ def covered(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         "id", "lo", (F.col("lo") + F.col("size")).alias("hi"))
     # the others are searched against all distinct stretches of their anchor
     per = kinds.where("several").groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).where("least = 1")
-    per = sized(pinned(per.select("key", (F.col("kinds") > HOT).alias("hot")), "suffix-open"))
-    wanted = kinds.where("several").join(per, "key").select("key", "hot", "first.id", "first.start", "first.size", "first.place")
+    per = pinned(per.select("key", (F.col("kinds") > HOT).alias("hot")), "suffix-open")
+    wanted = kinds.where("several").join(sized(per), "key").select("key", "hot", "first.id", "first.start", "first.size", "first.place")
     wanted = pinned(wanted, "suffix-wanted")
     parts = pinned(_cut(docs, wanted.select("id", "key", "start", "size", "place")), "suffix-parts")
-    hot = per.where("hot").select("key")
-    searched = _search(parts.join(hot, "key", "left_anti"), length)
+    hot = pinned(per.where("hot").select("key"), "suffix-hot-keys")
+    searched = _search(parts.join(sized(hot), "key", "left_anti"), length)
     ranges = whole.select("id", "lo", "hi").union(searched)
-    counted = _halved(parts.join(hot, "key", "left_semi"), length)
+    counted = _halved(parts.join(sized(hot), "key", "left_semi"), length)
     if counted is not None:
         ranges = ranges.union(counted)
-    return _joined(ranges.groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
+    out = pinned(_joined(ranges.groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))), "suffix-spans")
+    dropped(met, kinds, per, wanted, parts, hot)
+    return out
 
 
 def _marked(df: DataFrame, text: str, length: int) -> DataFrame:
@@ -417,8 +438,10 @@ def _marked(df: DataFrame, text: str, length: int) -> DataFrame:
     texts = rows.select(F.col("__id").alias("id"), F.col(text).alias("text"), "__copy")
     once = pinned(texts.where("__copy").select("id", "text").dropDuplicates(["id"]), "suffix-once")
     distinct = texts.where(~F.col("__copy")).select("id", "text").union(once)
-    spans = pinned(covered(distinct, length).select(F.col("id").alias("__id"), F.col("spans").alias("__spans")), "suffix-spans")
-    return rows.join(sized(spans), "__id", "left").drop("__id", "__md5")
+    spans = covered(distinct, length)
+    dropped(once)
+    spans = sized(spans).select(F.col("id").alias("__id"), F.col("spans").alias("__spans"))
+    return rows.join(spans, "__id", "left").drop("__id", "__md5")
 
 
 def _spans(n: int, copy: bool, spans: list | None, length: int) -> list[tuple[int, int]]:
