@@ -71,6 +71,7 @@ def run_increment(spark: SparkSession, path: str, state_path: str, output: str,
     step.drop()
     if batch % COMPACT_EVERY == COMPACT_EVERY - 1:
         log.compact(spark)
+        log.expire(COMPACT_EVERY)
     return batch
 
 

@@ -11,7 +11,8 @@ visible by creating one small file exclusively, so
 
 ``FANOUT`` runs of a level merge into one of the next, so a row is rewritten
 once per level and a read meets a few dozen runs at most.  A key that is gone
-leaves a tombstone, dropped when its run merges with the oldest rows.
+leaves a tombstone.  It is dropped when its run merges with the oldest rows and
+no version from before it is kept any more.
 
 Layout under ``path``::
 
@@ -152,6 +153,21 @@ class RunLog:
         self._publish(new, runs, meta or {})
         return new
 
+    def sync(self, spark: SparkSession, rows: DataFrame, meta: dict | None = None, base: int | None = None) -> int:
+        """Commit what makes the log's rows equal to ``rows`` (keys, values; one
+        row per key): changed, new and missing keys only."""
+        from appendlog.session import materialize, unpin  # not for the source's own process
+
+        base = self.version() if base is None else base
+        values = [c.split()[0] for c in self.ddl.split(", ")][len(self.keys):]
+        new = rows.select(*self.keys, F.struct(*values).alias("_new"))
+        old = self.rows(spark, base).select(*self.keys, F.struct(*values).alias("_old"))
+        delta = new.join(old, self.keys, "full_outer").where(~F.col("_new").eqNullSafe(F.col("_old")))
+        delta, n = materialize(delta.select(*self.keys, *[F.col(f"_new.{c}").alias(c) for c in values], F.col("_new").isNull().alias("gone")))
+        version = self.commit(spark, delta, n, meta, base)
+        unpin(delta)
+        return version
+
     def _merged(self, spark: SparkSession, runs: list[Run]) -> list[Run]:
         """``runs`` (oldest first) with every full level merged into the next."""
         while True:
@@ -168,8 +184,8 @@ class RunLog:
 
     def _merge(self, spark: SparkSession, runs: list[Run], level: int, oldest: bool) -> Run:
         rows = self._newest(self._read(spark, runs), runs)
-        if oldest:  # nothing older that a tombstone could hide
-            rows = rows.where("not gone")
+        if oldest:  # nothing older that a tombstone could hide, but changes since older versions name it
+            rows = rows.where(~F.col("gone") | (F.col("version") > min(self.versions(), default=-1)))
         run = self._write(rows, level, sum(r.rows for r in runs), runs[0].low, runs[-1].high)
         n = self._read(spark, [run]).count()  # from the files' footers
         return Run(run.name, level, n, run.low, run.high)

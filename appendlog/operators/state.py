@@ -116,6 +116,19 @@ def from_offset_json(docs: DataFrame, column: str = "offset_json", keep=()) -> D
                         F.col("fo.offset").alias("offset"), F.col("fo.md5").alias("md5"))
 
 
+def to_offset_lines(state: DataFrame, directory: DataFrame | str | None = None) -> DataFrame:
+    """State rows to JSON, one document per file (no row grows with the number
+    of files): ``offset_json``, for ``from_offset_lines``."""
+    if "directory" not in state.columns:
+        state = state.withColumn("directory", F.lit(directory))
+    return state.select(F.to_json(F.struct("directory", "node", "name", "offset", "md5")).alias("offset_json"))
+
+
+def from_offset_lines(lines: DataFrame, column: str = "offset_json") -> DataFrame:
+    """Documents of ``to_offset_lines`` back to rows: ``directory, node, name, offset, md5``."""
+    return lines.select(F.from_json(F.col(column), "directory string, " + STATE_SCHEMA).alias("o")).select("o.*")
+
+
 def newer_of(local: DataFrame, shared: DataFrame) -> DataFrame:
     """Newest offset per directory from two stores (``directory, ts, offset_json``).
 
@@ -127,3 +140,25 @@ def newer_of(local: DataFrame, shared: DataFrame) -> DataFrame:
         F.max("ts").alias("ts"),
         F.max_by("offset_json", F.struct("ts", "rank")).alias("offset_json"),
     )
+
+
+def merge_by_node(local: DataFrame, shared: DataFrame) -> DataFrame:
+    """One state out of two stores of one stream that are ahead on different
+    nodes (T11): ``node, name, offset, md5, version`` of, for each node, the
+    store whose newest row of that node is the later one (a tie keeps the local one).
+
+    Both sides have ``version`` (a version or time of the row's last change)
+    and may have ``gone`` rows, which count as changes and leave no row.
+    """
+    def stamps(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("node").agg(F.max("version").alias(name))
+
+    ahead = stamps(local, "mine").join(stamps(shared, "theirs"), "node", "full_outer").select(
+        "node", (F.col("mine").isNull() | (F.col("theirs") > F.col("mine"))).alias("take"))
+    take = F.coalesce("take", F.lit(False))
+
+    def chosen(rows: DataFrame, wanted) -> DataFrame:
+        rows = rows.where(~F.col("gone")) if "gone" in rows.columns else rows
+        return rows.join(ahead.where(wanted), "node").select("node", "name", "offset", "md5", "version")
+
+    return chosen(local, ~take).unionByName(chosen(shared, take))

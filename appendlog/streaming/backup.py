@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
+from appendlog.operators.runlog import RunLog
 from appendlog.session import posix_path, shared_root
 from appendlog.sources.pathspec import AppendLogError
 
@@ -109,6 +110,72 @@ class TableBackup(OffsetBackup):
         return None if row is None else (row["ts"], row["offset_json"])
 
 
+class LogBackup(OffsetBackup):
+    """Backup as a versioned run log (``operators.runlog``), one per stream: a
+    batch adds the rows of the files that it moved, each with the batch's time,
+    and old rows merge in the background of later ones.
+
+    For streams whose source process plans, whose offset names every file.  The
+    offset of a manifest stream is a version number and needs no more than ``table``.
+    """
+
+    KEEP_VERSIONS = 16
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, posix_path(path)
+        self._last: dict[str, dict] = {}
+
+    def log(self, stream: str) -> RunLog:
+        return RunLog(os.path.join(self.path, _key(stream)), ["node", "name"], "offset bigint, md5 string, credit bigint, ts bigint")
+
+    def store(self, stream: str, ts: int, offset_json: str) -> None:
+        new = _entries(offset_json)
+        log = self.log(stream)
+        version = log.version()
+        if version >= 0 and ts < log.meta(version)["ts"]:
+            return  # a late event: what is kept is newer
+        if stream not in self._last:  # the first record of this application: compare with what is kept
+            self._last[stream] = {(r.node, r.name): (r.offset, r.md5, r.credit) for r in log.rows(self.spark).toLocalIterator()}
+        old = self._last[stream]
+        rows = [(*k, *v, ts, False) for k, v in new.items() if old.get(k) != v]
+        rows += [(*k, None, None, None, ts, True) for k in old if k not in new]
+        if rows or version < 0:
+            delta = self.spark.createDataFrame(
+                rows, "node string, name string, offset bigint, md5 string, credit bigint, ts bigint, gone boolean")
+            version = log.commit(self.spark, delta, len(rows), {"stream": stream, "ts": ts, "directory": json.loads(offset_json)["directory"]})
+            if version % self.KEEP_VERSIONS == 0:
+                log.expire(self.KEEP_VERSIONS)
+        self._last[stream] = new
+
+    def rows(self, spark: SparkSession, stream: str) -> DataFrame:
+        """``node, name, offset, md5, version, gone`` with the batch time of each
+        row's last change as its version (a node's own row has an empty name)."""
+        return self.log(stream).stamped(spark).select("node", "name", "offset", "md5", F.col("ts").alias("version"), "gone")
+
+    def fetch(self, spark: SparkSession, stream: str) -> tuple[int, str] | None:
+        log = self.log(stream)
+        version = log.version()
+        if version < 0:
+            return None
+        meta = log.meta(version)
+        offsets: dict[str, dict] = {}
+        for r in log.rows(spark, version).toLocalIterator():
+            files = offsets.setdefault(r.node, {})
+            if r.name:
+                files[r.name] = {"offset": r.offset, "md5": r.md5 or "", **({"credit": r.credit} if r.credit else {})}
+        return meta["ts"], json.dumps({"directory": meta["directory"], "offsets": offsets}, sort_keys=True)
+
+
+def _entries(offset_json: str) -> dict[tuple[str, str], tuple[int, str, int]]:
+    """(node, name) -> (offset, md5, credit) of a stream offset; nodes have a row of their own."""
+    out = {}
+    for node, files in json.loads(offset_json)["offsets"].items():
+        out[node, ""] = (0, "", 0)
+        for name, fo in files.items():
+            out[node, name] = (int(fo["offset"]), fo["md5"] or "", int(fo.get("credit", 0)))
+    return out
+
+
 def latest_backup(rows: DataFrame) -> DataFrame:
     """Newest record per directory: ``directory, ts, offset_json``."""
     return rows.groupBy("directory").agg(
@@ -127,6 +194,11 @@ def register_backup(name: str, factory: Callable[..., OffsetBackup]) -> None:
 
 
 register_backup("none", lambda spark, cfg: NoBackup())
+register_backup(
+    "log",
+    lambda spark, cfg: LogBackup(
+        spark, cfg.backup_path or os.path.join(shared_root(spark), "appendlog-offset-log")),
+)
 register_backup(
     "table",
     lambda spark, cfg: TableBackup(
@@ -246,3 +318,22 @@ def recover(spark: SparkSession, local: OffsetBackup, shared: OffsetBackup, stre
 
     row = newer_of(rows(local), rows(shared)).select("offset_json").first()
     return None if row is None else row[0]
+
+
+def recover_by_node(spark: SparkSession, local: LogBackup, shared: LogBackup, stream: str) -> str | None:
+    """The offset of two log backups of ``stream``, for each node from the store
+    that is ahead there (``state.merge_by_node``); None if both are empty.
+
+    Pass it as ``initial.offset.json`` to a query with a **new** checkpoint.
+    """
+    from appendlog.operators.state import merge_by_node
+
+    logs = [log for log in (local.log(stream), shared.log(stream)) if log.version() >= 0]
+    if not logs:
+        return None
+    offsets: dict[str, dict] = {}
+    for r in merge_by_node(local.rows(spark, stream), shared.rows(spark, stream)).toLocalIterator():
+        files = offsets.setdefault(r.node, {})
+        if r.name:
+            files[r.name] = {"offset": r.offset, "md5": r.md5 or ""}
+    return json.dumps({"directory": logs[0].meta(logs[0].version())["directory"], "offsets": offsets}, sort_keys=True)

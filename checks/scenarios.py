@@ -15,22 +15,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from appendlog.operators.increment import read_output, settle
+from appendlog.operators.manifest import NODE_ROW, offset_log, plan_step
 from appendlog.operators.ranges import read_ranges
+from appendlog.operators.runlog import RunLog
 from appendlog.operators.state import (
     empty_state,
     bytes_behind as _bytes_behind,
     carry_forward as _carry_forward,
     from_offset_json,
-    newer_of,
-    to_offset_json,
+    from_offset_lines,
+    merge_by_node,
+    to_offset_lines,
 )
 from appendlog.plans import rules as R
 from appendlog.plans.planner import align, plan
 from appendlog.session import scratch_dir, ship_package
 from appendlog.sources.catalog import list_files, list_nodes, snapshot
+from appendlog.sources.options import ReadConfig
 from appendlog.sources.pathspec import parse_path
-from appendlog.streaming.backup import TableBackup, latest_backup
-from appendlog.streaming.job import start_stream, stop_stream
+from appendlog.streaming.backup import LogBackup, TableBackup, latest_backup
+from appendlog.streaming.job import drain, run_available, start_stream, stop_stream
 from checks.corpus import write_lines, write_snapshot
 
 # Fixed values of the checks.
@@ -134,9 +138,11 @@ def range_plan_first(spark, sf_dir):
 
 
 def range_lines(spark, sf_dir):
-    """Every line appended since snapshot 0, whole ranges."""
+    """Every line of the last snapshot, whole files as ranges of one plan."""
     root, _ = corpus(spark, sf_dir)
-    return read_ranges(_planned(spark, sf_dir, cap=largest(spark, _spec(root, 1))), verify_sample=SAMPLE)
+    spec = _spec(root, SNAPSHOTS[-1])
+    p = align(plan(snapshot(spark, spec, SAMPLE), empty_state(spark), list_nodes(spark, spec), first_run=True))
+    return read_ranges(p, verify_sample=SAMPLE)
 
 
 def bytes_behind(spark, sf_dir):
@@ -151,42 +157,60 @@ def carry_forward(spark, sf_dir):
 
 
 def offset_roundtrip(spark, sf_dir):
+    """Offsets of the last snapshot to JSON lines on disk, and back by a second job."""
     root, _ = corpus(spark, sf_dir)
-    spec = _spec(root, 0)
+    spec = _spec(root, SNAPSHOTS[-1])
     path = f"{scratch_dir(spark, 'offset-json')}/json"
-    to_offset_json(_state(snapshot(spark, spec, SAMPLE)), spec.directory).select("offset_json").write.text(path)
+    to_offset_lines(_state(snapshot(spark, spec, SAMPLE)), spec.directory).write.text(path)
     # a second job reads the text back, so encoding and decoding cannot cancel out
     docs = spark.read.schema("value string").text(path, wholetext=False)
-    return from_offset_json(docs, column="value").select("node", "name", "offset", "md5")
+    return from_offset_lines(docs, column="value").select("node", "name", "offset", "md5")
+
+
+def _offset_store(spark, tag: str) -> RunLog:
+    return RunLog(scratch_dir(spark, tag), ["node", "name"], "offset bigint, md5 string")
 
 
 def offset_backup(spark, sf_dir):
-    """Each node of each snapshot backs up its offsets (directory = node, ts = v);
-    the newest backup per directory is read back and its offsets summed."""
+    """The offsets of each snapshot are backed up as what changed since the one
+    before (ts = v); the newest backup is read back and summed per node."""
     root, _ = corpus(spark, sf_dir)
-    table = TableBackup(scratch_dir(spark, "offset-backup"))
-    for v in (0, 1):
-        state = _state(snapshot(spark, _spec(root, v), SAMPLE)).withColumn("directory", F.col("node"))
-        table.append(to_offset_json(state).withColumn("ts", F.lit(v).cast("bigint")))
-    newest = latest_backup(table.rows(spark))
-    rows = from_offset_json(newest, keep=["ts"])
-    return rows.groupBy("directory", "ts").agg(F.sum("offset").cast("bigint").alias("total_offset"))
+    log = _offset_store(spark, "offset-backup")
+    for v in SNAPSHOTS:
+        log.sync(spark, _state(snapshot(spark, _spec(root, v), SAMPLE)), {"ts": v})
+    ts = log.meta(log.version())["ts"]
+    return log.rows(spark).groupBy(F.col("node").alias("directory")).agg(
+        F.lit(ts).cast("bigint").alias("ts"), F.sum("offset").cast("bigint").alias("total_offset"))
 
 
 def offset_newer(spark, sf_dir):
-    """Two stores of backups, one record per node each: the local one holds
-    snapshot 0 (ts = node's file count there), the shared one snapshot 1 (ts =
-    its count); the newer wins, ties keep the local record."""
+    """Two stores of backups: the local one holds snapshot 0 (a node's version =
+    its file count there), the shared one snapshot 1; the newer wins for each
+    node, ties keep the local one."""
     root, _ = corpus(spark, sf_dir)
     stores = []
     for v in (0, 1):
-        state = _state(snapshot(spark, _spec(root, v), SAMPLE)).withColumn("directory", F.col("node"))
-        ts = state.groupBy("directory").agg(F.count("name").alias("ts"))
-        table = TableBackup(scratch_dir(spark, f"offset-newer-{v}"))
-        table.append(to_offset_json(state).join(ts, "directory"))
-        stores.append(table.rows(spark))
-    rows = from_offset_json(newer_of(*stores), keep=["ts"])
-    return rows.groupBy("directory", "ts").agg(F.sum("offset").cast("bigint").alias("total_offset"))
+        log = _offset_store(spark, f"offset-newer-{v}")
+        log.sync(spark, _state(snapshot(spark, _spec(root, v), SAMPLE)))
+        rows = log.rows(spark)
+        stores.append(rows.join(rows.groupBy("node").agg(F.count("name").alias("version")), "node"))
+    return merge_by_node(*stores).groupBy(F.col("node").alias("directory")).agg(
+        F.max("version").alias("ts"), F.sum("offset").cast("bigint").alias("total_offset"))
+
+
+def offset_merge(spark, sf_dir):
+    """Two backups of one stream that went ahead on different nodes: node0 and
+    node1 reached snapshot 1 in the local one, node2 and node3 snapshot 2 in the
+    shared one.  Merged, each node is where it was last seen."""
+    root, _ = corpus(spark, sf_dir)
+    states = {v: _state(snapshot(spark, _spec(root, v), SAMPLE)) for v in SNAPSHOTS}
+    stores = []
+    for v, ahead in ((1, ("node0", "node1")), (2, ("node2", "node3"))):
+        log = _offset_store(spark, f"offset-merge-{v}")
+        log.sync(spark, states[0])
+        log.sync(spark, states[v].where(F.col("node").isin(*ahead)).unionByName(states[0].where(~F.col("node").isin(*ahead))))
+        stores.append(log.stamped(spark))
+    return merge_by_node(*stores).select("node", "name", "offset", "md5")
 
 
 def largest(spark: SparkSession, spec) -> int:
@@ -210,21 +234,21 @@ def _run_stream(spark, path, out, ck, **options) -> None:
 
 
 def stream_drain(spark, sf_dir):
-    """Snapshot 1 drained by a stream under the cap (the files are only read)."""
+    """The last snapshot drained by a stream under the cap (the files are only read)."""
     root, _ = corpus(spark, sf_dir)
     base = scratch_dir(spark, "stream-drain")
-    _run_stream(spark, f"{root}/s1/{{node}}/{PATTERN}", f"{base}/out", f"{base}/ck",
-                **{"bytes.max": _stream_cap(spark, _spec(root, 1))})
+    spec = _spec(root, SNAPSHOTS[-1])
+    _run_stream(spark, spec.path, f"{base}/out", f"{base}/ck", **{"bytes.max": _stream_cap(spark, spec)})
     return spark.read.parquet(f"{base}/out")
 
 
 def stream_backup(spark, sf_dir):
-    """Snapshot 1 drained with offsets backed up by the query listener (table
+    """The last snapshot drained with offsets backed up by the query listener (table
     provider); the newest backed-up offset, read back, sums to the file sizes."""
     root, _ = corpus(spark, sf_dir)
     base = scratch_dir(spark, "stream-backup")
-    path = f"{root}/s1/{{node}}/{PATTERN}"
-    opts = {"md5.sample.length": SAMPLE, "bytes.max": _stream_cap(spark, _spec(root, 1)),
+    path = _spec(root, SNAPSHOTS[-1]).path
+    opts = {"md5.sample.length": SAMPLE, "bytes.max": _stream_cap(spark, _spec(root, SNAPSHOTS[-1])),
             "offset.backup.path": f"{base}/backup"}
     q = start_stream(spark, path, output=f"{base}/out", checkpoint=f"{base}/ck", trigger="0 seconds", **opts)
     try:
@@ -270,6 +294,89 @@ def batch_increment(spark, sf_dir):
     return read_output(spark, f"{base}/out", f"{base}/state")
 
 
+def stream_log_backup(spark, sf_dir):
+    """All snapshots through one stream with the log provider: after each
+    batch the rows of the files that it moved; read back, they are the positions."""
+    backup = {}
+
+    def step(path, base, **o):
+        backup["store"] = LogBackup(spark, f"{base}/backup")
+        backup["stream"] = path
+        q = start_stream(spark, path, output=f"{base}/out", checkpoint=f"{base}/ck", trigger="0 seconds",
+                         **{"md5.sample.length": SAMPLE, "offset.backup.provider": "log",
+                            "offset.backup.path": f"{base}/backup", **o})
+        try:
+            q.processAllAvailable()
+        finally:
+            stop_stream(q)
+
+    _grown(spark, sf_dir, "stream-log-backup", step)
+    rows = backup["store"].rows(spark, backup["stream"])
+    return rows.where(~F.col("gone") & (F.col("name") != "")).select("node", "name", "offset", "md5")
+
+
+def _run_manifest(spark, path, base, **options) -> None:
+    q = start_stream(spark, path, output=f"{base}/out", checkpoint=f"{base}/ck", backup=False, trigger="0 seconds",
+                     **{"md5.sample.length": SAMPLE, "offset.backup.provider": "none", "catalog": "manifest",
+                        "catalog.path": f"{base}/manifest", **options})
+    try:
+        drain(q)
+    finally:
+        stop_stream(q)
+    if q.exception() is not None:
+        raise q.exception()
+
+
+def manifest_stream(spark, sf_dir):
+    """The stream_increment scenario with the listing and planning done by Spark
+    jobs over the manifest: the stream's offset is a version number."""
+    base = _grown(spark, sf_dir, "manifest-stream", lambda path, base, **o: _run_manifest(spark, path, base, **o))
+    return spark.read.parquet(f"{base}/out")
+
+
+def manifest_offsets(spark, sf_dir):
+    """Positions in the manifest after incremental batches over all snapshots."""
+    base = _grown(spark, sf_dir, "manifest-offsets", lambda path, base, **o: settle(
+        spark, path, f"{base}/state", f"{base}/out", **o), **{"md5.sample.length": SAMPLE})
+    return offset_log(f"{base}/state").rows(spark).where(F.col("name") != NODE_ROW).select("node", "name", "offset", "md5")
+
+
+def offset_delta(spark, sf_dir):
+    """Which files the manifest wrote rows for between the snapshots: all but the unchanged ones."""
+    parts = []
+
+    def step(path, base, **o):
+        log = offset_log(f"{base}/state")
+        before = log.version()
+        settle(spark, path, f"{base}/state", f"{base}/out", **{**o, "bytes.max": 1 << 30})
+        if before >= 0:
+            parts.append(log.changes(spark, before, log.version()).where(F.col("name") != NODE_ROW).select(
+                F.lit(len(parts) + 1).alias("v"), "node", "name", "gone"))
+
+    _grown(spark, sf_dir, "offset-delta", step, **{"md5.sample.length": SAMPLE})
+    return parts[0].unionByName(parts[1])
+
+
+def batch_budget(spark, sf_dir):
+    """First step over the last snapshot under a byte budget of a quarter of it,
+    shared by all files: the planned ranges, and what each file keeps of its share."""
+    root, _ = corpus(spark, sf_dir)
+    spec = _spec(root, SNAPSHOTS[-1])
+    total = list_files(spark, spec).agg(F.sum("size")).first()[0] or 0
+    cfg = ReadConfig.from_options({"path": spec.path, "md5.sample.length": SAMPLE, "bytes.batch": max(1, total // 4)})
+    step = plan_step(spark, cfg, offset_log(scratch_dir(spark, "batch-budget")))
+    return step.planned.where(F.col("name") != NODE_ROW).select("node", "name", "start_offset", "end_offset", "credit")
+
+
+def stream_available(spark, sf_dir):
+    """All snapshots through bounded runs: each freezes its end, reads up to it in
+    capped batches and ends by itself."""
+    base = _grown(spark, sf_dir, "stream-available", lambda path, base, **o: run_available(
+        spark, path, output=f"{base}/out", checkpoint=f"{base}/ck", backup=False,
+        **{"md5.sample.length": SAMPLE, "offset.backup.provider": "none", **o}))
+    return spark.read.parquet(f"{base}/out")
+
+
 DOC_NAME = "documents.log"
 DOC_SPLIT = 1 << 18  # small sub-ranges so that every file is read by several tasks
 
@@ -342,7 +449,14 @@ CHECKS = {
     "stream_increment": stream_increment,
     "stream_latest": stream_latest,
     "stream_backup": stream_backup,
+    "stream_log_backup": stream_log_backup,
+    "stream_available": stream_available,
     "batch_increment": batch_increment,
+    "batch_budget": batch_budget,
+    "manifest_stream": manifest_stream,
+    "manifest_offsets": manifest_offsets,
+    "offset_delta": offset_delta,
+    "offset_merge": offset_merge,
     "document_lines": document_lines,
     "document_stream": document_stream,
 }

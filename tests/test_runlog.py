@@ -112,5 +112,24 @@ def test_tombstones_hide_older_rows_until_they_merge_with_them(spark, tmp):
     put(spark, log, {"a": None})
     assert state(spark, log) == {"b": 1, "c": 1}
     assert [r.gone for r in log.stamped(spark).where(F.col("k") == "a").collect()] == [True]
+    log.compact(spark)  # a version from before the deletion is kept: changes since then name it
+    assert {r.k: r.gone for r in log.changes(spark, 1).collect()} == {"a": True}
+    log.expire(1)
+    put(spark, log, {"d": 1})
     log.compact(spark)
-    assert log.stamped(spark).where("gone").count() == 0 and state(spark, log) == {"b": 1, "c": 1}
+    assert log.stamped(spark).where("gone").count() == 0 and state(spark, log) == {"b": 1, "c": 1, "d": 1}
+
+
+def test_sync_commits_the_difference(spark, tmp):
+    log = log_at(tmp, fanout=10)
+
+    def sync(rows):
+        return log.sync(spark, spark.createDataFrame(list(rows.items()), "k string, v bigint"))
+
+    sync({"a": 1, "b": 2, "c": None})
+    sync({"a": 1, "b": 3, "c": None, "d": 4})
+    assert state(spark, log) == {"a": 1, "b": 3, "c": None, "d": 4} and log.runs(1)[-1].rows == 2
+    sync({"d": 4})
+    assert state(spark, log) == {"d": 4} and log.runs(2)[-1].rows == 3
+    sync({"d": 4})
+    assert len(log.runs(3)) == 3
