@@ -6,7 +6,8 @@ Three passes, each over all rows it concerns:
    Spark (a table of fixed size, whatever the input).
 2. ``fit``: document frequencies of words and word beginnings among labelled
    training rows, by label; features that mark toxic documents become a lexicon
-   of log-odds weights (at most ``MAX_FEATURES``).
+   of log-odds weights (those whose log-odds is surely high by its standard
+   error, however rare; ``MAX_FEATURES`` bounds the classifier's size).
 3. ``score``: a text's words and the restored forms of its odd tokens look up
    the lexicon; weights of distinct words add up to a log-odds.
 
@@ -39,21 +40,25 @@ from pyspark.sql import functions as F
 from appendlog.llm.common import pinned, sized
 from appendlog.session import ship_package
 
-MAX_FEATURES = 5000
-#: Share of toxic training texts that a feature must occur in, and at least so many of them.
-MIN_SHARE, MIN_TEXTS = 0.01, 5
+#: Toxic training texts that a feature must occur in, and standard errors that
+#: its log-odds must lie above ``MIN_WEIGHT`` by.
+MIN_TEXTS, SURE = 5, 1.0
+#: Features of the classifier, the surest first: its size bound (it is broadcast).
+MAX_FEATURES = 200_000
 MIN_WEIGHT, MAX_WEIGHT = 2.0, 7.0
 BASE = -4.0
 THRESHOLD = 0.3
 READINGS = 4
 BEGINNINGS = (4, 5)
-MEMORY = 200_000
+#: Tokens remembered per Python worker, and odd ones with their readings.
+MEMORY = 400_000
 
 # Letters that a digit or symbol resembles.
 LOOKS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
          "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "*": "aeiou", "#": "h", "&": "a"}
 _LETTER = re.compile(r"[^\W\d_]+")
 _DOUBLED = re.compile(r"([^\W\d_])\1")
+_RUN = re.compile(r"(.)\1+")
 _SIGNS = "@$!|+(#&"
 # spelled words: "*" is a separator, or a letter among other separators
 _SPELLED = [(re.compile(rf"(?<![^\W_]){u}(?:{gap}{{1,2}}{u}){{2,}}(?![^\W_])"), re.compile(u))
@@ -151,37 +156,68 @@ def restore(token: str, model: np.ndarray, letters_at_edges: bool = False) -> li
 
 
 class Reader:
-    """Words of a text: its letter runs, and readings of its odd tokens."""
+    """Words of a text: its letter runs, and readings of its odd tokens.  What
+    has been found for a token stays remembered."""
 
     def __init__(self, model: np.ndarray):
         self.model = model
-        self.memory: dict[str, list[str]] = {}
+        self.memory: dict[str, tuple[str, ...]] = {}
 
-    def _read(self, token: str) -> list[str]:
+    def read(self, token: str) -> tuple[str, ...]:
         """Readings of a token, the likeliest first; none for a plain word."""
         got = self.memory.get(token)
         if got is None:
             if len(self.memory) > MEMORY:
                 self.memory.clear()
             core, whole = token.strip(_EDGES), token.strip(_BLANK_EDGES)
-            got = []
+            found = []
             for form in dict.fromkeys((core, whole, whole.rstrip(_EDGES), whole.lstrip(_EDGES))):
                 if _is_odd(form):
-                    got += restore(form, self.model)
+                    found += restore(form, self.model)
                     if form != core:  # the core covers the case that its edges mean nothing
-                        got += restore(form, self.model, True)
-            if got and core.isalpha():
-                got.append(core)
-            got = self.memory[token] = list(dict.fromkeys(got))
+                        found += restore(form, self.model, True)
+            if found and core.isalpha():
+                found.append(core)
+            got = self.memory[token] = tuple(dict.fromkeys(found))
         return got
 
-    def words(self, text: str | None) -> tuple[set[str], list[list[str]]]:
+    def words(self, text: str | None) -> tuple[set[str], list[tuple[str, ...]]]:
         """The plain words, and the readings of each odd token."""
         low = (text or "").lower()
-        tokens = set(low.split())
-        spelled = {"".join(unit.findall(m.group())) for pattern, unit in _SPELLED for m in pattern.finditer(low)}
-        odd = [r for t in tokens - spelled if (r := self._read(t))]
-        return set(_LETTER.findall(low)), odd + [self._read(t) or [t] for t in spelled]
+        tokens, words = set(low.split()), spelled(low)
+        odd = [r for t in tokens - words if (r := self.read(t))]
+        return set(_LETTER.findall(low)), odd + [self.read(t) or (t,) for t in words]
+
+
+# for the quick test of ``spelled``: letters, signs, gaps and all else of a Latin-1 text
+_KINDS = bytes(ord("x") if chr(c).isalnum() else ord("s") if chr(c) in _SIGNS else ord(" ") if chr(c) in " ._-" else ord(".")
+               for c in range(256))
+_APART = re.compile(rb"[ .s][xs] [xs] [xs]")
+
+
+def spelled(low: str) -> set[str]:
+    """Words that a lower-cased text spells in single characters."""
+    if "*" not in low:  # a star is a separator or a letter: no quick test
+        try:
+            kinds = b"." + low.encode("latin-1").translate(_KINDS).replace(b"  ", b" ")
+        except UnicodeEncodeError:
+            kinds = b""
+        # two characters apart and a third beginning, which every spelled word has
+        if kinds and (b" x x x" not in kinds and b".x x x" not in kinds if b"s" not in kinds else not _APART.search(kinds)):
+            return set()
+    return {"".join(unit.findall(m.group())) for pattern, unit in _SPELLED for m in pattern.finditer(low)}
+
+
+_SHARED: dict[int, Reader] = {}
+
+
+def shared_reader(model: np.ndarray) -> Reader:
+    """The Python worker's reader under ``model``; tasks of one worker share it."""
+    key = zlib.crc32(model.tobytes())
+    if key not in _SHARED:
+        _SHARED.clear()  # one model at a time
+        _SHARED[key] = Reader(model)
+    return _SHARED[key]
 
 
 def _is_odd(token: str) -> bool:
@@ -213,7 +249,7 @@ def fit(df: DataFrame, labels: DataFrame, model: np.ndarray, key: str = "doc_id"
         F.first(text).alias("t")).select("t", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(model)
+        reader = shared_reader(model)
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 b = whole.slice(at, 256)
@@ -234,28 +270,85 @@ def fit(df: DataFrame, labels: DataFrame, model: np.ndarray, key: str = "doc_id"
         return {}
     n_bad, n_fine = total["bad"], total["fine"]
     weight = F.log((F.col("bad") + 0.1) / (n_bad + 1.0)) - F.log((F.col("fine") + 0.5) / (n_fine + 1.0))
-    best = counts.where((F.col("f") != "") & (F.col("bad") >= max(MIN_TEXTS, MIN_SHARE * n_bad))).select(
-        "f", F.least(weight, F.lit(MAX_WEIGHT)).alias("w"), "bad").where(F.col("w") >= MIN_WEIGHT)
+    error = F.sqrt(1 / (F.col("bad") + 0.1) + 1 / (F.col("fine") + 0.5))
+    best = counts.where((F.col("f") != "") & (F.col("bad") >= MIN_TEXTS) & (weight - SURE * error >= MIN_WEIGHT)).select(
+        "f", F.least(weight, F.lit(MAX_WEIGHT)).alias("w"), "bad")
     best = best.orderBy(F.col("w") * F.sqrt("bad"), "f", ascending=[False, True]).limit(MAX_FEATURES)
     return {r["f"]: r["w"] for r in best.collect()}
 
 
-def _weight(word: str, lexicon: dict[str, float]) -> float:
-    return max(lexicon.get(word, 0.0), *(lexicon.get(word[:k] + "-", 0.0) if len(word) > k else 0.0 for k in BEGINNINGS))
+class Scorer:
+    """Scores texts by a lexicon.  A token is looked at once: its words and its
+    readings that have a weight stay remembered; most tokens have none."""
+
+    def __init__(self, reader: Reader, lexicon: dict[str, float]):
+        self.reader, self.lexicon = reader, lexicon
+        self.memory: dict[str, tuple | None] = {}
+        # words and beginnings with every run of a letter as one: what no
+        # reading of a plain word can reach needs no Viterbi
+        self.beginnings = {f[:-1]: w for f, w in lexicon.items() if f.endswith("-")}
+        self.words = {_once(f) for f in lexicon if not f.endswith("-")}
+        self.starts = {_once(f[:-1]) for f in lexicon if f.endswith("-")}
+
+    def weight(self, word: str) -> float:
+        best = self.lexicon.get(word, 0.0)
+        for k in BEGINNINGS:
+            if len(word) > k and word[:k] in self.beginnings:
+                best = max(best, self.beginnings[word[:k]])
+        return best
+
+    def _reaches(self, word: str) -> bool:
+        """Some lexicon entry fits a word up to the lengths of its letters' runs."""
+        low = _once(word)
+        return low in self.words or any(low[:k] in self.starts for k in range(1, max(BEGINNINGS) + 1))
+
+    def weighed(self, readings: tuple[str, ...]) -> tuple | None:
+        """(reading, weight) of the readings that have one, None if none has."""
+        return tuple((r, w) for r in readings if (w := self.weight(r))) or None
+
+    def look(self, token: str) -> tuple | None:
+        """(words with their weights, weighed readings or None) of a token; None if there is neither."""
+        if len(self.memory) > MEMORY:
+            self.memory.clear()
+        core = token if token.isalpha() else token.strip(_EDGES)
+        if core.isalpha() and (core is token or token.strip(_BLANK_EDGES) == core):  # a plain word
+            hot = ((core, x),) if (x := self.weight(core)) else ()
+            odd = _DOUBLED.search(core) is not None and self._reaches(core)
+        else:
+            hot = tuple((w, x) for w in _LETTER.findall(token) if (x := self.weight(w)))
+            odd = True
+        readings = self.weighed(self.reader.read(token)) if odd else None
+        got = self.memory[token] = (hot, readings) if hot or readings else None
+        return got
+
+    def score(self, text: str | None) -> float:
+        """Probability that a text is toxic."""
+        low = (text or "").lower()
+        apart = spelled(low)
+        tokens = set(low.split())
+        words: dict[str, float] = {}
+        odd = [self.weighed(self.reader.read(t) or (t,)) for t in apart]
+        known, look = self.memory, self.look
+        for t in tokens:
+            got = known[t] if t in known else look(t)
+            if got is not None:
+                words.update(got[0])
+                if t not in apart:
+                    odd.append(got[1])
+        # what a reading has beyond the words that the text holds as they are
+        more = [max(w for _, w in r) - max((w for x, w in r if x in words), default=0.0) for r in odd if r]
+        total = BASE + math.fsum([*words.values(), *more])
+        return 1 / (1 + math.exp(-min(50.0, total)))
+
+
+def _once(word: str) -> str:
+    """``word`` with each run of one letter as a single letter."""
+    return _RUN.sub(r"\1", word)
 
 
 def text_score(text: str | None, reader: Reader, lexicon: dict[str, float]) -> float:
     """Probability that a text is toxic."""
-    plain, odd = reader.words(text)
-    marks = features(plain).intersection(lexicon)
-    total = 0.0
-    if marks:
-        total = sum(_weight(w, lexicon) for w in plain if w in marks or any(w[:k] + "-" in marks for k in BEGINNINGS))
-    for readings in odd:
-        # what a reading has beyond the words that the text holds as they are
-        best = max(_weight(r, lexicon) for r in readings)
-        total += best - max((_weight(r, lexicon) for r in readings if r in plain), default=0.0)
-    return 1 / (1 + math.exp(-min(50.0, BASE + total)))
+    return Scorer(reader, lexicon).score(text)
 
 
 def score(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -265,9 +358,9 @@ def score(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     shared = df.sparkSession.sparkContext.broadcast((model, lexicon))  # both of bounded size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, lex = Reader(shared.value[0]), shared.value[1]
+        scorer = Scorer(shared_reader(shared.value[0]), shared.value[1])
         for b in batches:
-            s = [text_score(t.as_py(), reader, lex) for t in b.column(1)]
+            s = [scorer.score(t.as_py()) for t in b.column(1)]
             held = [zlib.crc32(str(d).encode()) % 4 == 2 if d is not None else None for d in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(held, pa.bool_()), pa.array(s, pa.float64()),

@@ -338,3 +338,54 @@ def test_fingerprints_of_few_shingles(spark):
     for size in (1, 2, 5, 20):
         errors = [abs(r.near - exact[r.k]) for r in near if r.size == size]
         assert sum(errors) / len(errors) < 0.06, (size, sum(errors) / len(errors))
+
+
+def test_viterbi_equals_exhaustive_paths(toxic):
+    """The best reading of a token is the cheapest of all paths through its lattice."""
+    import itertools
+
+    _, _, docs, _ = toxic
+    model = toxicity.language_model(docs)
+
+    def cost(word, channel):
+        x = y = 0
+        c = channel
+        for ch in word + "\0":
+            code = int(toxicity._CODE[ord(ch)]) if 0 < ord(ch) < 256 else 0
+            c -= float(model[(x * toxicity.SIDE + y) * toxicity.SIDE + code])
+            x, y = y, code
+        return c
+
+    for token in ("p4th3t1c", "w0rthle$$", "i.d.i.o.t", "lett3r", "ss++1", "st*ne", "a@b", "77", "iidiott", "br3@d!"):
+        paths = [("".join(r[0] for r in p), sum(r[1] for r in p)) for p in itertools.product(*toxicity._lattice(token))]
+        best = min(cost(w, c) for w, c in paths if w)
+        got = toxicity.restore(token, model)[0]
+        assert min(cost(w, c) for w, c in paths if w == got) == pytest.approx(best, abs=1e-3), token
+
+
+def test_plain_words_are_skipped_without_loss(toxic):
+    """A scorer that restores every odd token gives the same scores."""
+    rows, _, docs, frame = toxic
+    model = toxicity.language_model(docs)
+    lexicon = toxicity.fit(docs, frame, model)
+    lexicon.update({"leter": 3.0, "pas-": 4.0, "coffe-": 3.0})
+    reader = toxicity.Reader(model)
+
+    class Every(toxicity.Scorer):
+        def _reaches(self, word):
+            return True
+
+    rng = random.Random(3)
+    texts = [t for _, t in rows[:80]]
+    texts += [" ".join(rng.choice(["letter", "leetter", "passs", "coffee,", "bookkeeper", "pathhetic", "p4th3tic", "i d i o t", "a.b.c"])
+                       for _ in range(12)) for _ in range(60)]
+    quick, every = toxicity.Scorer(reader, lexicon), Every(reader, lexicon)
+    assert [quick.score(t) for t in texts] == [every.score(t) for t in texts]
+
+
+def test_quick_test_of_spelled_words():
+    rng = random.Random(6)
+    for _ in range(20_000):
+        low = "".join(rng.choice("ab1é  ..-_*@!x?\n") for _ in range(rng.randint(0, 24)))
+        want = {"".join(unit.findall(m.group())) for pattern, unit in toxicity._SPELLED for m in pattern.finditer(low)}
+        assert toxicity.spelled(low) == want, repr(low)
