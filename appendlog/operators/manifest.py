@@ -1,8 +1,8 @@
 """The file catalog and the offsets as one versioned manifest (S4, T6-T9).
 
 The manifest is a ``RunLog`` with one row per file: how far it is read, its
-head checksum, the size and time at which that was taken, and its credit under
-a byte budget.  Node folders have a row of their own (an empty name), so a
+head checksum, the size and time at which that was taken, its credit under a
+byte budget, and the digest of its last committed block where that is asked for (``prefix``).  Node folders have a row of their own (an empty name), so a
 folder without files is known too.
 
 ``plan_step`` lists, checks and plans on executors against the newest version
@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from appendlog.operators.prefix import marked, rewritten, with_tails
 from appendlog.operators.ranges import RANGES_PER_TASK, planned_bytes, split_ranges
 from appendlog.operators.runlog import RunLog
 from appendlog.plans import rules as R
@@ -31,7 +32,7 @@ from appendlog.sources.catalog import LISTED_PER_TASK, list_files, listing_tasks
 from appendlog.sources.options import ReadConfig
 
 KEYS = ["node", "name"]
-VALUES = "offset bigint, md5 string, size bigint, mtime timestamp, credit bigint"
+VALUES = "offset bigint, md5 string, size bigint, mtime timestamp, credit bigint, tail string"
 NODE_ROW = ""  # name of a node folder's own row
 FILES_PER_SCAN = 32  # small files that one scan partition of a listing holds (about)
 
@@ -92,12 +93,15 @@ class Step:
     bytes: int  # to read
     ranges: int
     table: DataFrame  # the pinned table behind ``planned``
+    prefix_block: int | None = None
 
     def delta(self) -> DataFrame:
         """Rows to commit on top of ``base``."""
-        return self.planned.where(changes()).select(
-            "node", "name", F.col("end_offset").alias("offset"), "md5", "size", "mtime", "credit",
+        rows = self.planned.where(changes()).select(
+            "node", "name", "path", F.col("end_offset").alias("offset"), "md5", "size", "mtime", "credit",
             (F.col("status") == R.DELETED).alias("gone"))
+        rows = with_tails(rows, self.prefix_block) if self.prefix_block else rows.withColumn("tail", F.lit(""))
+        return rows.drop("path")
 
     def drop(self) -> None:
         unpin(self.table)
@@ -115,7 +119,10 @@ def plan_step(spark: SparkSession, cfg: ReadConfig, log: RunLog, target: DataFra
     if target is not None:
         listing = within(listing, target)
     nodes = node_frame(spark, node_names(cfg.spec))
-    planned = align(plan(listing, state_rows(known), nodes, policy=cfg.starting_offsets, cap=cfg.max_bytes,
+    state = state_rows(known)
+    if cfg.prefix_block and cfg.md5_check and base >= 0:
+        state = marked(state, rewritten(listing, known.where(F.col("name") != NODE_ROW), cfg.prefix_block))
+    planned = align(plan(listing, state, nodes, policy=cfg.starting_offsets, cap=cfg.max_bytes,
                          check=cfg.md5_check, first_run=base < 0), files=few)
     fresh = nodes.join(known.where(F.col("name") == NODE_ROW).select("node"), "node", "left_anti")
     table = planned = pin(planned.unionByName(_node_rows(fresh)), "plan")
@@ -132,7 +139,7 @@ def plan_step(spark: SparkSession, cfg: ReadConfig, log: RunLog, target: DataFra
     if not row.moved:
         unpin(table)
         return None
-    return Step(base, planned, row.changed, row.bytes or 0, row.ranges, table)
+    return Step(base, planned, row.changed, row.bytes or 0, row.ranges, table, cfg.prefix_block)
 
 
 def _node_rows(nodes: DataFrame) -> DataFrame:

@@ -27,6 +27,7 @@ EXTRA_DEFAULTS = {
     "bytes.batch": "0",  # byte budget of a whole batch, shared fairly by its files; 0: none
     "catalog": "driver",  # who lists and plans for a stream: its driver process, or Spark jobs ("manifest")
     "catalog.path": "",  # folder of the manifest; default under spark.checkpoint.dir
+    "prefix.check.block": "0",  # bytes of the last committed block that is compared too; 0: heads only
     "target.path": "",  # frozen end of a bounded run (set by run_available)
     "initial.offset.json": "",  # offset to start from when there is no checkpoint (set by read_stream)
 }
@@ -81,6 +82,7 @@ class ReadConfig:
     catalog: str = "driver"
     catalog_path: str = ""
     target_path: str = ""
+    prefix_block: int | None = None
 
     @property
     def path(self) -> str:
@@ -114,6 +116,7 @@ class ReadConfig:
             catalog=catalog,
             catalog_path=get("catalog.path"),
             target_path=get("target.path"),
+            prefix_block=_int("prefix.check.block", get("prefix.check.block"), 0) or None,
         )
 
     def as_rows(self) -> list[tuple[str, str]]:

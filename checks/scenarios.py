@@ -368,6 +368,33 @@ def batch_budget(spark, sf_dir):
     return step.planned.where(F.col("name") != NODE_ROW).select("node", "name", "start_offset", "end_offset", "credit")
 
 
+def prefix_check(spark, sf_dir):
+    """All files of the last snapshot read, then the ``click`` files rewritten behind
+    their heads without changing size: what the next step makes of each file."""
+    base = scratch_dir(spark, "prefix-check")
+    spec = parse_path(f"{base}/logs/{{node}}/{PATTERN}")
+    write_snapshot(spark, _events(spark, sf_dir), f"{base}/logs", SNAPSHOTS[-1], n_events=_n_events(spark, sf_dir))
+    options = {"md5.sample.length": SAMPLE, "prefix.check.block": 256}
+    settle(spark, spec.path, f"{base}/state", f"{base}/out", **options)
+
+    def overwrite(it):
+        import os
+
+        for pdf in it:
+            for path, size in zip(pdf["path"], pdf["size"]):
+                fd = os.open(path, os.O_WRONLY)
+                os.pwrite(fd, b"#", int(size) - 2)
+                os.close(fd)
+                os.utime(path, (1, 1))
+            yield pdf
+
+    list_files(spark, spec).where("name like '%click'").select("path", "size").mapInPandas(
+        overwrite, "path string, size bigint").write.format("noop").mode("overwrite").save()
+    cfg = ReadConfig.from_options({"path": spec.path, **options})
+    step = plan_step(spark, cfg, offset_log(f"{base}/state"))
+    return step.planned.where(F.col("name") != NODE_ROW).select("node", "name", "status", "end_offset")
+
+
 def stream_available(spark, sf_dir):
     """All snapshots through bounded runs: each freezes its end, reads up to it in
     capped batches and ends by itself."""
@@ -457,6 +484,7 @@ CHECKS = {
     "manifest_offsets": manifest_offsets,
     "offset_delta": offset_delta,
     "offset_merge": offset_merge,
+    "prefix_check": prefix_check,
     "document_lines": document_lines,
     "document_stream": document_stream,
 }
