@@ -2,13 +2,15 @@
 
 A shard holds the ids of documents with neighbouring keys, in ascending key
 order, as one wavelet matrix: per bit (highest first) a packed bit-plane, the
-number of zeros, and a rank directory of one count per 512 bits.  Access, count
-(rank) and occurrence lookup (select) work on the planes without decoding them.
+number of zeros, and a rank directory of one count per 512 bits, which selects
+are looked up in too.  Access, count (rank) and occurrence lookup (select) work on
+the planes without decoding them.
 
 ``write`` makes one compressed file set through Spark's writer (so a retried
 task leaves no half file, and any file system works): a row per shard, its
 planes as binary columns.  A shard closes once it holds ``SHARD_TOKENS`` ids; a
 document is never cut, so a row is bounded by that plus the longest document.
+``count``, ``occurrences`` and ``access`` answer from the files, a task per few shards.
 
 Null texts are empty (the end id alone).  Rows with equal keys stay, ordered by
 text.  An empty table gives an empty file set.
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from appendlog.llm.common import bucket_of, range_bounds
+from appendlog.llm.common import bucket_of, pinned, range_bounds, sized
 from appendlog.llm.tokenizers_io import ByteBpe
 from appendlog.session import ship_package
 
@@ -86,18 +88,54 @@ class WaveletMatrix:
                 lo, hi = lo - a, hi - b
         return hi - lo
 
+    def interval(self, value: int) -> list[tuple[int, int]]:
+        """Where the occurrences of ``value`` lie in front of each plane and
+        behind the last; it ends early once there are none."""
+        out, bits = [(0, self.n)], len(self.planes)
+        for k in range(bits):
+            lo, hi = out[-1]
+            if lo == hi:
+                break
+            a, b = self._rank1(k, lo), self._rank1(k, hi)
+            out.append((self.zeros[k] + a, self.zeros[k] + b) if value >> (bits - 1 - k) & 1 else (lo - a, hi - b))
+        return out
+
+    def _select(self, k: int, bit: int, at: np.ndarray) -> np.ndarray:
+        """Positions in plane ``k`` of the bits ``bit`` with the numbers ``at``
+        (from 0, ascending): by the counts of whole blocks, then inside the block."""
+        ones = self.ranks[k].astype(np.int64)
+        before = ones if bit else np.arange(len(ones), dtype=np.int64) * BLOCK - ones
+        block = np.searchsorted(before, at, side="right") - 1
+        out = np.empty(len(at), np.int64)
+        starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]) if len(at) else []
+        for lo, hi in zip(starts, [*starts[1:], len(at)]):
+            b = int(block[lo])
+            part = np.unpackbits(self.planes[k][b * (BLOCK // 8):(b + 1) * (BLOCK // 8)])
+            out[lo:hi] = b * BLOCK + np.flatnonzero(part == bit)[at[lo:hi] - before[b]]
+        return out
+
+    def occurrences(self, value: int) -> np.ndarray:
+        """Ascending positions of ``value``."""
+        levels = self.interval(value)
+        lo, hi = levels[-1]
+        if lo == hi:
+            return np.empty(0, np.int64)
+        return self._up(value, np.arange(lo, hi, dtype=np.int64))
+
+    def _up(self, value: int, at: np.ndarray) -> np.ndarray:
+        """Places behind the last plane back to positions in the sequence."""
+        bits = len(self.planes)
+        for k in reversed(range(bits)):
+            bit = value >> (bits - 1 - k) & 1
+            at = self._select(k, bit, at - (self.zeros[k] if bit else 0))
+        return at
+
     def select(self, value: int, j: int) -> int:
         """Position of the ``j``-th (from 0) occurrence, or -1."""
-        if j < 0 or j >= self.rank(value, self.n):
+        lo, hi = self.interval(value)[-1]
+        if j < 0 or j >= hi - lo:
             return -1
-        lo, hi = 0, self.n
-        while lo < hi:
-            mid = (lo + hi) // 2
-            if self.rank(value, mid + 1) > j:
-                hi = mid
-            else:
-                lo = mid + 1
-        return lo
+        return int(self._up(value, np.array([lo + j], np.int64))[0])
 
     def decode(self) -> np.ndarray:
         """All items in order: the planes' partitions undone, lowest bit first."""
@@ -190,13 +228,82 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     ["bucket", "shard", "doc_id", "at", "n_tokens", "ids_crc32"])
 
     files = spark.read.schema(SHARD_SCHEMA).parquet(path)
-    # ids before each bucket (their number is bounded by range_bounds), then before each shard of a bucket
-    sizes = files.select("bucket", "shard", "n")
-    by_bucket = sizes.groupBy("bucket").agg(F.sum("n").alias("n")).select(
-        "bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("before"))
-    in_bucket = Window.partitionBy("bucket").orderBy("shard")
-    bases = sizes.withColumn("inside", F.sum("n").over(in_bucket) - F.col("n")).join(by_bucket, "bucket").select(
-        "bucket", "shard", (F.col("before") + F.col("inside")).alias("base"))
     docs = files.mapInArrow(run, "bucket int, shard int, doc_id long, at long, n_tokens long, ids_crc32 long")
-    return docs.join(bases, ["bucket", "shard"]).select(
+    return docs.join(_bases(files), ["bucket", "shard"]).select(
         "doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+
+
+def _bases(files: DataFrame) -> DataFrame:
+    """``bucket, shard, n, base``: ids before each shard.  Buckets first (their
+    number is bounded by ``range_bounds``), then the shards of a bucket."""
+    sizes = files.select("bucket", "shard", "n")
+    by_bucket = sizes.groupBy("bucket").agg(F.sum("n").alias("total")).select(
+        "bucket", (F.sum("total").over(Window.orderBy("bucket")) - F.col("total")).alias("before"))
+    in_bucket = Window.partitionBy("bucket").orderBy("shard")
+    return sizes.withColumn("inside", F.sum("n").over(in_bucket) - F.col("n")).join(by_bucket, "bucket").select(
+        "bucket", "shard", "n", (F.col("before") + F.col("inside")).alias("base"))
+
+
+_PLANES = ("bucket", "shard", "n", "zeros", "planes", "ranks")
+
+
+def count(spark: SparkSession, path: str, tokens: list[int]) -> DataFrame:
+    """``token, n``: occurrences of each of ``tokens`` in the files, as ranks in
+    each shard's planes (document lists are not read, no plane is decoded)."""
+    ship_package(spark)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in b.to_pylist():
+                wm = _matrix(row)
+                spans = [wm.interval(t)[-1] if 0 <= t < 1 << len(wm.planes) else (0, 0) for t in tokens]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tokens, pa.int64()), pa.array([hi - lo for lo, hi in spans], pa.int64())], ["token", "n"])
+
+    asked = spark.createDataFrame([(t, 0) for t in dict.fromkeys(tokens)], "token long, n long")
+    found = spark.read.schema(SHARD_SCHEMA).parquet(path).select(*_PLANES).mapInArrow(run, "token long, n long")
+    return asked.union(found).groupBy("token").agg(F.sum("n").alias("n"))
+
+
+def occurrences(spark: SparkSession, path: str, token: int) -> DataFrame:
+    """``position``: where ``token`` stands in the whole sequence, as selects in
+    each shard's planes plus the ids before the shard."""
+    ship_package(spark)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in b.to_pylist():
+                wm = _matrix(row)
+                at = wm.occurrences(token) if 0 <= token < 1 << len(wm.planes) else np.empty(0, np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["bucket"]] * len(at), pa.int32()), pa.array([row["shard"]] * len(at), pa.int32()), pa.array(at)],
+                    ["bucket", "shard", "at"])
+
+    files = spark.read.schema(SHARD_SCHEMA).parquet(path)
+    found = files.select(*_PLANES).mapInArrow(run, "bucket int, shard int, at long")
+    return found.join(_bases(files), ["bucket", "shard"]).select((F.col("base") + F.col("at")).alias("position"))
+
+
+def access(spark: SparkSession, path: str, positions: DataFrame) -> DataFrame:
+    """``position, token`` of the ``positions`` (column ``position``; those
+    outside the sequence are left out).  Only shards that hold one are read."""
+    ship_package(spark)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in b.to_pylist():
+                wm = _matrix(row)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row["asked"], pa.int64()), pa.array([wm.access(p - row["base"]) for p in row["asked"]], pa.int64())],
+                    ["position", "token"])
+
+    files = spark.read.schema(SHARD_SCHEMA).parquet(path)
+    bases = _bases(files)
+    starts = sorted(tuple(r) for r in bases.groupBy("bucket").agg(F.min("base")).select("min(base)", "bucket").collect())  # a few thousand at most
+    if not starts:
+        return spark.createDataFrame([], "position long, token long")
+    asked = positions.select(F.col("position").cast("long").alias("position")).where("position >= 0").distinct()
+    bucket = F.element_at(F.array(*[F.lit(b) for _, b in starts]), bucket_of(F.col("position"), [s for s, _ in starts[1:]]) + 1)
+    met = asked.withColumn("bucket", bucket).join(bases, "bucket").where("position >= base and position < base + n")
+    per = pinned(met.groupBy("bucket", "shard", "base").agg(F.collect_list("position").alias("asked")), "wavelet-asked")
+    return files.select(*_PLANES).join(sized(per), ["bucket", "shard"]).mapInArrow(run, "position long, token long")

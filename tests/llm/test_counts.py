@@ -1,6 +1,7 @@
 """Token counts, SentencePiece, packing and token files against the libraries."""
 
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -120,6 +121,46 @@ def test_token_files(spark, table, tmp, monkeypatch, rows):
     assert sorted(r.doc_id for r in got) == sorted(i for i, _ in rows)
 
 
+def test_selects_by_the_rank_directory():
+    rng = np.random.default_rng(7)
+    for n, top in ((1, 2), (512, 3), (5000, 9), (2049, 60_000)):
+        v = rng.integers(0, top, n).astype(np.uint16)
+        v[: n // 3] = 1  # a hot token
+        wm = wavelet.WaveletMatrix.build(v)
+        for x in {0, 1, int(v[-1]), 7, 65_535}:
+            places = np.flatnonzero(v == x)
+            assert (wm.occurrences(x) == places).all()
+            assert [wm.select(x, j) for j in range(0, len(places), 97)] == places[::97].tolist()
+            assert wm.select(x, len(places)) == wm.select(x, -1) == -1
+
+
+def test_queries_over_files(spark, table, tmp, monkeypatch):
+    """Counts, occurrences and single positions equal the plain sequence, over several shards."""
+    monkeypatch.setattr(wavelet, "BUCKET_BYTES", 4000)
+    wavelet.write(table(ROWS), f"{tmp}/ids", vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"), shard_tokens=700)
+    want = want_ids("byte_bpe_50k.json", 2)
+    whole = np.concatenate([want[i] for i in sorted(want)])
+    assert spark.read.schema(wavelet.SHARD_SCHEMA).parquet(f"{tmp}/ids").count() > 5
+    some = [2, int(whole[0]), int(whole[len(whole) // 2]), 50_255, 99_999, -1]
+    got = {r.token: r.n for r in wavelet.count(spark, f"{tmp}/ids", some).collect()}
+    assert got == {t: int((whole == t).sum()) for t in some}
+    for t in some:
+        found = sorted(r.position for r in wavelet.occurrences(spark, f"{tmp}/ids", t).collect())
+        assert found == np.flatnonzero(whole == t).tolist()
+    rng = random.Random(3)
+    at = [rng.randrange(len(whole)) for _ in range(60)] + [0, len(whole) - 1, len(whole), -1, 10**12]
+    asked = spark.createDataFrame([(p,) for p in at], "position long")
+    got = {r.position: r.token for r in wavelet.access(spark, f"{tmp}/ids", asked).collect()}
+    assert got == {p: int(whole[p]) for p in at if 0 <= p < len(whole)}
+
+
+def test_queries_over_empty_files(spark, table, tmp):
+    wavelet.write(table([]), f"{tmp}/ids", vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"))
+    assert [(r.token, r.n) for r in wavelet.count(spark, f"{tmp}/ids", [5]).collect()] == [(5, 0)]
+    assert wavelet.occurrences(spark, f"{tmp}/ids", 5).count() == 0
+    assert wavelet.access(spark, f"{tmp}/ids", spark.createDataFrame([(0,)], "position long")).count() == 0
+
+
 def test_empty_tables(table):
     none = table(ROWS).where("false")
     assert tokencount.count_tokens(none, vocabulary("word_bpe_49k.json")).count() == 0
