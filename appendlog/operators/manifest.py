@@ -32,7 +32,7 @@ from appendlog.sources.catalog import LISTED_PER_TASK, list_files, listing_tasks
 from appendlog.sources.options import ReadConfig
 
 KEYS = ["node", "name"]
-VALUES = "offset bigint, md5 string, size bigint, mtime timestamp, credit bigint, tail string"
+VALUES = "offset bigint, md5 string, size bigint, mtime timestamp, credit bigint, tail string, inode bigint"
 NODE_ROW = ""  # name of a node folder's own row
 FILES_PER_SCAN = 32  # small files that one scan partition of a listing holds (about)
 
@@ -98,7 +98,7 @@ class Step:
     def delta(self) -> DataFrame:
         """Rows to commit on top of ``base``."""
         rows = self.planned.where(changes()).select(
-            "node", "name", "path", F.col("end_offset").alias("offset"), "md5", "size", "mtime", "credit",
+            "node", "name", "path", F.col("end_offset").alias("offset"), "md5", "size", "mtime", "credit", "inode",
             (F.col("status") == R.DELETED).alias("gone"))
         rows = with_tails(rows, self.prefix_block) if self.prefix_block else rows.withColumn("tail", F.lit(""))
         return rows.drop("path")
@@ -122,10 +122,26 @@ def plan_step(spark: SparkSession, cfg: ReadConfig, log: RunLog, target: DataFra
     state = state_rows(known)
     if cfg.prefix_block and cfg.md5_check and base >= 0:
         state = marked(state, rewritten(listing, known.where(F.col("name") != NODE_ROW), cfg.prefix_block))
+    moved = None
+    if cfg.identity and cfg.md5_check and base >= 0:
+        listing = pin(listing, "listing")  # read for the renames and for the plan
+        moved = pin(renames(listing, known), "renames")
+        state = renamed(state, moved)
     planned = align(plan(listing, state, nodes, policy=cfg.starting_offsets, cap=cfg.max_bytes,
                          check=cfg.md5_check, first_run=base < 0), files=few)
     fresh = nodes.join(known.where(F.col("name") == NODE_ROW).select("node"), "node", "left_anti")
-    table = planned = pin(planned.unionByName(_node_rows(fresh)), "plan")
+    planned = planned.unionByName(_node_rows(fresh))
+    if moved is not None:  # names that a file has left and no other has taken
+        left = moved.join(listing.select("node", "name"), ["node", "name"], "left_anti").select("node", "name")
+        planned = planned.unionByName(_node_rows(left).withColumn("status", F.lit(R.DELETED)))
+        # a position under a new name has to be written, whether it moves or not
+        taken = moved.select("node", F.col("now").alias("name"), F.lit(1).alias("_taken")).distinct()
+        planned = planned.join(taken, ["node", "name"], "left").withColumn(
+            "credit_before", F.col("credit_before") - F.coalesce("_taken", F.lit(0))).drop("_taken")
+    table = planned = pin(planned, "plan")
+    if moved is not None:
+        unpin(moved)
+        unpin(listing)
     cut = admit(planned, cfg.batch_bytes) if cfg.batch_bytes else None
     if cut is not None:
         planned = pin(align(cut, files=few), "plan")
@@ -142,15 +158,41 @@ def plan_step(spark: SparkSession, cfg: ReadConfig, log: RunLog, target: DataFra
     return Step(base, planned, row.changed, row.bytes or 0, row.ranges, table, cfg.prefix_block)
 
 
+def renames(listing: DataFrame, known: DataFrame) -> DataFrame:
+    """``node, name, now``: files that go on under another name (rotation by
+    rename).  A listed file is the one that the manifest has under ``name`` if
+    inode and head checksum are equal, it is no smaller than what is committed,
+    and the old name is gone or another file's.  Files shorter than the checksum
+    sample have neither and are not followed."""
+    old = known.where((F.col("name") != NODE_ROW) & F.col("inode").isNotNull() & (F.col("md5") != "")).select(
+        "node", "inode", "md5", "name", "offset")
+    new = listing.where(F.col("inode").isNotNull() & (F.col("md5") != "")).select(
+        "node", "inode", "md5", F.col("name").alias("now"), "size")
+    same = listing.select("node", "name", F.col("inode").alias("_at"))
+    return (new.join(old, ["node", "inode", "md5"]).where("now <> name and size >= offset")
+            .join(same, ["node", "name"], "left").where("_at is null or _at <> inode")
+            # hard links: one name goes on
+            .groupBy("node", "name").agg(F.min("now").alias("now")))
+
+
+def renamed(state: DataFrame, moved: DataFrame) -> DataFrame:
+    """Planner state with the positions of ``moved`` files under their names of
+    now; what was kept under a name that another file has taken is dropped."""
+    taken = moved.select("node", F.col("now").alias("name")).distinct()
+    stay = state.join(moved, ["node", "name"], "left_anti").join(taken, ["node", "name"], "left_anti")
+    return stay.unionByName(state.join(moved, ["node", "name"]).withColumn("name", F.col("now")).drop("now"))
+
+
 def _node_rows(nodes: DataFrame) -> DataFrame:
     """Plan rows that make node folders known."""
     zero = F.lit(0).cast("bigint")
     null = F.lit(None)
+    name = F.col("name") if "name" in nodes.columns else F.lit(NODE_ROW)
     return nodes.select(
-        "node", F.lit(NODE_ROW).alias("name"), null.cast("string").alias("path"), F.lit(R.NEW).alias("status"),
+        "node", name.alias("name"), null.cast("string").alias("path"), F.lit(R.NEW).alias("status"),
         zero.alias("size"), null.cast("bigint").alias("known"), zero.alias("start_offset"), zero.alias("end_offset"),
         F.lit("").alias("md5"), F.lit(R.ALIGN_NONE).alias("align"), zero.alias("credit"), zero.alias("credit_before"),
-        null.cast("timestamp").alias("mtime"))
+        null.cast("timestamp").alias("mtime"), null.cast("bigint").alias("inode"))
 
 
 RANGES = "ranges"  # folder of the written ranges, beside the manifest's own

@@ -25,7 +25,7 @@ FILES_PER_TASK = 64  # files whose ends one task aligns
 PLAN_SCHEMA = (
     "node string, name string, path string, status string, size bigint, "
     "known bigint, start_offset bigint, end_offset bigint, md5 string, align int, credit bigint, credit_before bigint, "
-    "mtime timestamp"
+    "mtime timestamp, inode bigint"
 )
 
 
@@ -48,7 +48,7 @@ def plan(
 ) -> DataFrame:
     """Unaligned plan, one row per (node, file) of listing or state.
 
-    ``listing``: node, name, size, md5 [, path, mtime]; ``state``: node, name, offset,
+    ``listing``: node, name, size, md5 [, path, mtime, inode]; ``state``: node, name, offset,
     md5 [, credit] (a node with an empty map has one row with a null name);
     ``nodes``: the nodes listed now.  ``first_run`` defaults to "state has no
     row".  Credits (``admission``) stay with files that go on from their position.
@@ -60,9 +60,10 @@ def plan(
         first_run = state_rows == 0 if state_rows is not None else state.limit(1).count() == 0
     if "path" not in listing.columns:
         listing = listing.withColumn("path", F.lit(None).cast("string"))
-    if "mtime" not in listing.columns:
-        listing = listing.withColumn("mtime", F.lit(None).cast("timestamp"))
-    l = listing.select("node", "name", "path", "size", "mtime", F.col("md5").alias("cur_md5"))
+    for column, kind in (("mtime", "timestamp"), ("inode", "bigint")):
+        if column not in listing.columns:
+            listing = listing.withColumn(column, F.lit(None).cast(kind))
+    l = listing.select("node", "name", "path", "size", "mtime", "inode", F.col("md5").alias("cur_md5"))
     # A listed file proves that its node is listed, so only saved files without
     # a listing look for their node; the others get keys of their own (their
     # names behind a NUL), so a node holding a third of all files stays spread.
@@ -130,6 +131,7 @@ def plan(
         F.when(not_listed | (known <= size) & ~replaced, F.coalesce("credit", F.lit(0))).otherwise(0).cast("bigint").alias("credit"),
         F.coalesce("credit", F.lit(0)).cast("bigint").alias("credit_before"),
         "mtime",
+        "inode",
     )
 
 
@@ -166,6 +168,7 @@ def _align_fn(it):
                              zip(pdf.pop("share"), pdf.pop("demand"), sent, pdf["credit"], pdf["status"])]
         pdf["start_offset"] = starts
         pdf["end_offset"] = ends
+        pdf["inode"] = pdf["inode"].astype("Int64")
         yield pdf
 
 

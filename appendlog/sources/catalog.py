@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from appendlog.session import local_frame, ship_package
 from appendlog.sources.pathspec import LOCAL_NODE, PathSpec
 
 LISTING_SCHEMA = "node string, name string, path string, size bigint, mtime timestamp"
-SNAPSHOT_SCHEMA = "node string, name string, path string, size bigint, mtime timestamp, md5 string"
+SNAPSHOT_SCHEMA = "node string, name string, path string, size bigint, mtime timestamp, md5 string, inode bigint"
 NODES_SCHEMA = "node string"
 LISTED_PER_TASK = 8  # partitions of the listing whose heads one task reads
 
@@ -87,33 +88,31 @@ def list_files(spark: SparkSession, spec: PathSpec) -> DataFrame:
     )
 
 
-def _head_md5_fn(sample: int, check: bool):
+def _head_md5_fn(sample: int):
+    def look(path: str, size: int) -> tuple[str | None, int | None]:
+        # a file that cannot be read now (gone, shrunk, I/O error, a host
+        # without the mount) keeps its row with a null checksum and is
+        # planned as carried; only a file missing from a listing is deleted
+        try:
+            if size < sample:
+                return "", None
+            fd = os.open(path, os.O_RDONLY)
+            try:
+                return head_md5(fd, size, sample, path), os.fstat(fd).st_ino
+            finally:
+                os.close(fd)
+        except OSError:
+            return None, None
+
     def fn(it):
         for pdf in it:
-            old = pdf.pop("old_md5") if "old_md5" in pdf.columns else [None] * len(pdf)
-            sums = []
-            for path, size, known in zip(pdf["path"], pdf["size"], old):
-                if known is not None:  # unchanged since an earlier snapshot
-                    sums.append(known)
-                    continue
-                if not check or size < sample:
-                    sums.append("")
-                    continue
-                # a file that cannot be read now (gone, shrunk, I/O error, a host
-                # without the mount) keeps its row with a null checksum and is
-                # planned as carried; only a file missing from a listing is deleted
-                try:
-                    fd = os.open(path, os.O_RDONLY)
-                except OSError:
-                    sums.append(None)
-                    continue
-                try:
-                    sums.append(head_md5(fd, int(size), sample, path))
-                except OSError:
-                    sums.append(None)
-                finally:
-                    os.close(fd)
-            pdf["md5"] = sums
+            if "old_md5" in pdf.columns:  # unchanged since an earlier snapshot: not opened
+                old = zip(pdf.pop("old_md5"), pdf.pop("old_inode"))
+            else:
+                old = [(None, None)] * len(pdf)
+            rows = [(m, i) if m is not None else look(p, int(n)) for p, n, (m, i) in zip(pdf["path"], pdf["size"], old)]
+            pdf["md5"] = pd.Series([m for m, _ in rows], index=pdf.index, dtype=object)
+            pdf["inode"] = pd.Series([i for _, i in rows], index=pdf.index, dtype="Int64")
             yield pdf
 
     return fn
@@ -134,8 +133,8 @@ def snapshot(
     previous: DataFrame | None = None,
     files: DataFrame | None = None,
 ) -> DataFrame:
-    """``node, name, path, size, mtime, md5`` for every matching file (md5 null
-    where its head could not be read now).
+    """``node, name, path, size, mtime, md5, inode`` for every matching file
+    (md5 null where its head could not be read now; inode null where it was not opened).
 
     With ``previous`` (an earlier snapshot), files whose size and modification
     time did not change keep their checksum and are not opened again.
@@ -145,13 +144,14 @@ def snapshot(
     files = list_files(spark, spec) if files is None else files
     if not check:
         # no checksums: no Python pass, no file opened
-        return files.withColumn("md5", F.lit(""))
+        return files.withColumn("md5", F.lit("")).withColumn("inode", F.lit(None).cast("bigint"))
     n = listing_tasks(files)
     if previous is None:
         # head reads run on the listing's own partitions (no shuffle)
-        return files.coalesce(n).mapInPandas(_head_md5_fn(sample, check), SNAPSHOT_SCHEMA)
-    keep = previous.where(F.col("md5").isNotNull()).select("node", "name", "size", "mtime", F.col("md5").alias("old_md5"))
+        return files.coalesce(n).mapInPandas(_head_md5_fn(sample), SNAPSHOT_SCHEMA)
+    inode = F.col("inode") if "inode" in previous.columns else F.lit(None).cast("bigint")
+    keep = previous.where(F.col("md5").isNotNull()).select("node", "name", "size", "mtime", F.col("md5").alias("old_md5"), inode.alias("old_inode"))
     files = files.join(keep, ["node", "name", "size", "mtime"], "left").select(
-        "node", "name", "path", "size", "mtime", "old_md5")
+        "node", "name", "path", "size", "mtime", "old_md5", "old_inode")
     # the join may have left the rows in few partitions
-    return files.repartition(n).mapInPandas(_head_md5_fn(sample, check), SNAPSHOT_SCHEMA)
+    return files.repartition(n).mapInPandas(_head_md5_fn(sample), SNAPSHOT_SCHEMA)

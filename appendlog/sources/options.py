@@ -28,6 +28,7 @@ EXTRA_DEFAULTS = {
     "catalog": "driver",  # who lists and plans for a stream: its driver process, or Spark jobs ("manifest")
     "catalog.path": "",  # folder of the manifest; default under spark.checkpoint.dir
     "prefix.check.block": "0",  # bytes of the last committed block that is compared too; 0: heads only
+    "identity.check": "false",  # follow renamed files by inode and head checksum
     "target.path": "",  # frozen end of a bounded run (set by run_available)
     "initial.offset.json": "",  # offset to start from when there is no checkpoint (set by read_stream)
 }
@@ -83,6 +84,7 @@ class ReadConfig:
     catalog_path: str = ""
     target_path: str = ""
     prefix_block: int | None = None
+    identity: bool = False
 
     @property
     def path(self) -> str:
@@ -116,6 +118,7 @@ class ReadConfig:
             catalog=catalog,
             catalog_path=get("catalog.path"),
             target_path=get("target.path"),
+            identity=_bool("identity.check", get("identity.check")),
             prefix_block=_int("prefix.check.block", get("prefix.check.block"), 0) or None,
         )
 

@@ -29,7 +29,7 @@ from appendlog.operators.state import (
 )
 from appendlog.plans import rules as R
 from appendlog.plans.planner import align, plan
-from appendlog.session import scratch_dir, ship_package
+from appendlog.session import materialize, scratch_dir, ship_package
 from appendlog.sources.catalog import list_files, list_nodes, snapshot
 from appendlog.sources.options import ReadConfig
 from appendlog.sources.pathspec import parse_path
@@ -395,6 +395,32 @@ def prefix_check(spark, sf_dir):
     return step.planned.where(F.col("name") != NODE_ROW).select("node", "name", "status", "end_offset")
 
 
+def rotation(spark, sf_dir):
+    """The second snapshot read, then every file renamed (``x`` appended): positions
+    follow the files, and no line is read again."""
+    base = scratch_dir(spark, "rotation")
+    spec = parse_path(f"{base}/logs/{{node}}/{PATTERN}")
+    events, n = _events(spark, sf_dir), _n_events(spark, sf_dir)
+    options = {"md5.sample.length": SAMPLE, "identity.check": "true"}
+    write_snapshot(spark, events, f"{base}/logs", 1, n_events=n)
+    settle(spark, spec.path, f"{base}/state", f"{base}/out", **options)
+
+    def rename(it):
+        import os
+
+        for pdf in it:
+            for path in pdf["path"]:
+                os.rename(path, path + "x")
+            yield pdf
+
+    pinned, _ = materialize(list_files(spark, spec).select("path"))
+    pinned.mapInPandas(rename, "path string").write.format("noop").mode("overwrite").save()
+    settle(spark, spec.path, f"{base}/state", f"{base}/out", **options)
+    rows = offset_log(f"{base}/state").rows(spark).where(F.col("name") != NODE_ROW)
+    lines = read_output(spark, f"{base}/out", f"{base}/state").count()
+    return rows.select("node", "name", "offset", "md5", F.lit(lines).cast("bigint").alias("lines_read"))
+
+
 def stream_available(spark, sf_dir):
     """All snapshots through bounded runs: each freezes its end, reads up to it in
     capped batches and ends by itself."""
@@ -485,6 +511,7 @@ CHECKS = {
     "offset_delta": offset_delta,
     "offset_merge": offset_merge,
     "prefix_check": prefix_check,
+    "rotation": rotation,
     "document_lines": document_lines,
     "document_stream": document_stream,
 }
