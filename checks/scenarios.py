@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from appendlog.operators.increment import read_output, settle
+from appendlog.operators.lineindex import extend, index_log, read_numbered
 from appendlog.operators.manifest import NODE_ROW, offset_log, plan_step
 from appendlog.operators.ranges import read_ranges
 from appendlog.operators.runlog import RunLog
@@ -421,6 +422,21 @@ def rotation(spark, sf_dir):
     return rows.select("node", "name", "offset", "md5", F.lit(lines).cast("bigint").alias("lines_read"))
 
 
+def line_ranges(spark, sf_dir):
+    """Lines asked for by number, the middle third of every file of the last
+    snapshot, read through the newline index of 512-byte blocks."""
+    base = scratch_dir(spark, "line-ranges")
+    root, _ = corpus(spark, sf_dir)
+    spec = _spec(root, SNAPSHOTS[-1])
+    options = {"md5.sample.length": SAMPLE}
+    settle(spark, spec.path, f"{base}/state", f"{base}/out", **options)
+    cfg, log, index = ReadConfig.from_options({"path": spec.path, **options}), offset_log(f"{base}/state"), index_log(f"{base}/index")
+    extend(spark, cfg, log, index, 512)
+    counts = line_counts_at(spark, f"{root}/s{SNAPSHOTS[-1]}")
+    third = F.floor(F.col("lines") / 3).cast("bigint")
+    return read_numbered(spark, cfg, log, index, counts.select("node", "name", third.alias("first"), (2 * third).alias("last")))
+
+
 def stream_available(spark, sf_dir):
     """All snapshots through bounded runs: each freezes its end, reads up to it in
     capped batches and ends by itself."""
@@ -512,6 +528,7 @@ CHECKS = {
     "offset_merge": offset_merge,
     "prefix_check": prefix_check,
     "rotation": rotation,
+    "line_ranges": line_ranges,
     "document_lines": document_lines,
     "document_stream": document_stream,
 }
