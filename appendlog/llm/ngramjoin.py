@@ -7,10 +7,10 @@ at least ``percent`` / 100.  The steps:
    shows that no two texts of the table share one; else the seed changes), so
    exact copies are never compared or expanded.
 2. Candidates without loss: sets of similar size that link differ in at most D
-   shingles.  Cutting the hash range into D + 1 + k parts leaves k + 1 parts
-   equal at least; a set with at most k empty parts therefore shares the hash
-   of a non-empty part with each set that it links with (a set with more is
-   cut anew under the next seed, see ``block_keys``).  Such a key takes an
+   shingles.  Cutting the hash range into m parts leaves m - D of them equal at
+   least; a set with fewer empty parts therefore shares the hash of a
+   non-empty part with each set that it links with (one with more is cut anew
+   under the next seed, see ``block_keys``).  Such a key takes an
    equal handful of shingles and nothing else in their part, which unrelated
    documents with a common passage do not have.  Every task replaces the equal
    keys of its own documents by links to the smallest of them before the
@@ -20,10 +20,10 @@ at least ``percent`` / 100.  The steps:
    ``UNIT`` documents, each with inverted lists of its own.  A query's lists are
    merged by a heap where they are short; DivideSkip binary-probes the long
    ones for documents that reached ``T - L``, and those with the required
-   overlap are links.  First the smallest document of each key searches the units that hold
-   the key's others.
+   overlap are links.  First the least document of a cluster searches all of it.
 4. Links make components.  Where a cluster's documents fell into several, all
-   but those of its largest component search every unit of the cluster, which
+   but those of its largest component (of the first one, where the cluster is a
+   single unit and its task goes on by itself) search the whole cluster, which
    leaves no pair of different components unexamined.
 
 Words are runs without ASCII white space, A-Z lower-cased; a text with fewer
@@ -85,17 +85,17 @@ def shingles(text: str | None, size: int) -> np.ndarray:
 
 
 @lru_cache(maxsize=None)
-def _levels(percent: int) -> tuple[list[int], list[tuple[int, int]]]:
-    """Upper sizes of the size classes, and (parts, empty parts allowed) of each (0 parts: equal sets only)."""
+def _levels(percent: int) -> tuple[list[int], list[int]]:
+    """Upper sizes of the size classes, and the parts of each (0: only equal sets link)."""
     tops = [1]
     while tops[-1] < 1 << 40:
         tops.append(max(tops[-1] + 1, tops[-1] * 100 // percent))
-    parts = []
-    for u in tops:
-        d = 2 * u * (100 - percent) // (100 + percent)
-        k = 1 + 3 * d // 100
-        parts.append((d + 1 + k, k) if d else (0, 0))
-    return tops, parts
+    return tops, [d + 2 + 3 * d // 100 if (d := _differ(u, u, percent)) else 0 for u in tops]
+
+
+def _differ(n: int, m: int, percent: int) -> int:
+    """Shingles that linked sets of ``n`` and ``m`` differ in, at most."""
+    return (n + m) * (100 - percent) // (100 + percent)
 
 
 @lru_cache(maxsize=256)
@@ -106,22 +106,25 @@ def _edges(parts: int) -> np.ndarray:
 def block_keys(s: np.ndarray, percent: int) -> np.ndarray:
     """Keys of the whole set and of the parts of it, for its size class and the next one.
 
-    Under a seed where one of two linked sets has no more empty parts than
-    allowed, they share the key of a non-empty part.  A set goes through the
-    seeds up to the first such one, so both have cut themselves under the
-    smaller of their last seeds.
+    Of m parts, linked sets have all but D equal at least, D being the most
+    that this set and any set of the class can differ in.  If fewer than m - D
+    of its parts are empty, they share the key of a non-empty one.  Else the set is
+    cut anew under the next seed, up to the first where that holds, so two
+    linked sets have both cut themselves under the smaller of their last seeds.
     """
-    if not len(s):
+    n = len(s)
+    if not n:
         return np.empty(0, np.uint64)
     tops, parts = _levels(percent)
-    level = bisect_left(tops, len(s))
-    out = [_mix(s.sum(dtype=np.uint64, keepdims=True) + _mix(np.array([len(s)], np.uint64)))]
+    level = bisect_left(tops, n)
+    out = [_mix(s.sum(dtype=np.uint64, keepdims=True) + _mix(np.array([n], np.uint64)))]
     for lv in (level, level + 1):
-        m, allowed = parts[lv]
+        m = parts[lv]
+        allowed = m - 1 - _differ(n, min(tops[lv], n * 100 // percent), percent)
         for seed in range(SEEDS if m else 0):
             turned = s if not seed else np.sort(_mix(s + np.uint64(seed)))
             total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(turned), dtype=np.uint64)])
-            cut = np.concatenate([[0], np.searchsorted(turned, _edges(m)), [len(turned)]])
+            cut = np.concatenate([[0], np.searchsorted(turned, _edges(m)), [n]])
             full = np.flatnonzero(cut[1:] > cut[:-1])
             sums = total[cut[full + 1]] - total[cut[full]]
             out.append(_mix(sums + _mix(full.astype(np.uint64) + np.uint64((lv << 38) + (seed << 32)))))
@@ -273,79 +276,119 @@ def _meetings(df: DataFrame, size: int, percent: int, text: str, seed: int) -> D
         pairs_of, "a long, b long").distinct()
 
 
-def _sets(df: DataFrame, size: int) -> DataFrame:
-    """``id, items`` of the rows ``id, text``."""
+def _sets(df: DataFrame, size: int, text: str, seed: int, placed: DataFrame) -> DataFrame:
+    """``cluster, unit, alone, id, items`` of the texts whose nodes are ``placed``.
+    A task passes a text of several rows on once, so a text of very many rows
+    comes once per task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([shingles(t.as_py(), size).tobytes() for t in b.column(1)], pa.binary())],
-                ["id", "items"])
-
-    return df.mapInArrow(run, "id long, items binary")
-
-
-def _search(routes: DataFrame, placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links ``a, b`` of the queries ``q`` that ``routes`` sends to units
-    (``cluster, unit``), with the units' documents ``placed`` there."""
-    asked = pinned(routes.groupBy("cluster", "unit").agg(
-        F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("parts")), "join-asked")
-    held = placed.join(asked, ["cluster", "unit"]).select(
-        "cluster", "unit", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("side"), F.col("node").alias("id"))
-    queries = routes.join(asked, ["cluster", "unit"]).select(
-        "cluster", "unit", F.pmod(F.xxhash64("q"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("side"), F.col("q").alias("id"))
-    rows = held.union(queries).join(sets, "id").select("cluster", "unit", "part", "side", "id", "items")
+        seen: set[int] = set()
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                b = whole.slice(at, 512)
+                ids, new = b.column(3).to_pylist(), []
+                for i, node in enumerate(ids):
+                    if node not in seen:
+                        seen.add(node)
+                        new.append(i)
+                b = b.take(pa.array(new, pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [*b.columns[:4], pa.array([shingles(t.as_py(), size).tobytes() for t in b.column(4)], pa.binary())],
+                    ["cluster", "unit", "alone", "id", "items"])
+
+    texts = df.where(F.col(text).isNotNull()).select(_node(text, seed).alias("node"), F.col(text).alias("text"))
+    return texts.join(sized(placed), "node").select("cluster", "unit", "alone", F.col("node").alias("id"), "text").mapInArrow(
+        run, "cluster long, unit long, alone boolean, id long, items binary")
+
+
+def _solve(ids: list[int], sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
+    """Links that join a whole cluster's documents to their components: the first
+    searches, then all that it and its links don't reach."""
+    if len(ids) < 2:
+        return
+    lists = Lists(sets)
+    first = set(lists.search(sets[0], percent)) - {0}
+    yield from ((ids[0], ids[i]) for i in first)
+    for k in range(1, len(ids)):
+        if k not in first:
+            yield from ((ids[k], ids[i]) for i in lists.search(sets[k], percent) if i != k)
+
+
+def _search(held: DataFrame, queries: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b``: of the ``queries`` (``cluster, unit, part, id, items``) with the
+    documents ``held`` in their units (the same columns and ``alone``); a
+    cluster of one unit (``alone``) is solved as it stands."""
+    rows = held.select("cluster", "unit", "part", F.lit(0).alias("side"), "alone", "id", "items").union(
+        queries.select("cluster", "unit", "part", F.lit(1), F.lit(False), "id", "items"))
     rows = rows.repartition("cluster", "unit", "part").sortWithinPartitions("cluster", "unit", "part", "side", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, lists, ids, held = None, None, [], []
+        group, alone, lists, ids, held = None, False, None, [], []
         for b in batches:
-            a, found = [], []
-            for cluster, unit, part, side, doc, items in zip(*[c.to_pylist() for c in b.columns], strict=True):
+            found: list[tuple[int, int]] = []
+            for cluster, unit, part, side, own, doc, items in zip(*[c.to_pylist() for c in b.columns], strict=True):
                 if (cluster, unit, part) != group:
-                    group, lists, ids, held = (cluster, unit, part), None, [], []
+                    if alone:
+                        found += _solve(ids, held, percent)
+                    group, alone, lists, ids, held = (cluster, unit, part), own, None, [], []
+                if side == 0 and ids and ids[-1] == doc:
+                    continue
                 s = np.frombuffer(items, np.uint64)
                 if side == 0:
                     ids.append(doc)
                     held.append(s)
                     continue
                 lists = lists or Lists(held)
-                got = [ids[i] for i in lists.search(s, percent) if ids[i] != doc]
-                a += [doc] * len(got)
-                found += got
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(found, pa.int64())], ["a", "b"])
+                found += [(doc, ids[i]) for i in lists.search(s, percent) if ids[i] != doc]
+            yield _links(found)
+        if alone:
+            yield _links(list(_solve(ids, held, percent)))
 
     return rows.mapInArrow(run, "a long, b long")
 
 
+def _links(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+
 def _linked(df: DataFrame, size: int, percent: int, text: str, seed: int) -> tuple[DataFrame, DataFrame]:
     """Links ``a, b`` and components ``node, component`` of the texts' nodes."""
     ship_package(df.sparkSession)
     met = pinned(_meetings(df, size, percent, text, seed), "join-met")
     clusters = components(met, "join-clusters")
+    dropped(met)
     sizes = clusters.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / UNIT).alias("units"))
     placed = pinned(clusters.join(sizes, "component").select(
-        "node", F.col("component").alias("cluster"), F.pmod(F.xxhash64("node"), F.col("units")).alias("unit")), "join-placed")
-    # rows of one node have equal texts
-    texts = df.where(F.col(text).isNotNull()).select(_node(text, seed).alias("id"), F.col(text).alias("text"))
-    texts = texts.join(sized(placed).select(F.col("node").alias("id")), "id", "left_semi").dropDuplicates(["id"])
-    sets = pinned(_sets(texts, size), "join-sets")
-    first = pinned(met.join(placed, F.col("b") == F.col("node")).select(F.col("a").alias("q"), "cluster", "unit").distinct(), "join-first")
-    dropped(clusters, met)
-    links = pinned(_search(first, placed, sets, percent), "join-links")
+        "node", F.col("component").alias("cluster"), F.pmod(F.xxhash64("node"), F.col("units")).alias("unit"),
+        (F.col("units") == 1).alias("alone")), "join-placed")
+    dropped(clusters)
+    large = pinned(placed.where("not alone"), "join-large")
+    units = pinned(large.select("cluster", "unit").distinct(), "join-units")
+    # a cluster's least document searches its units; one of a single unit is solved there
+    sets = _sets(df, size, text, seed, placed).withColumn("part", F.lit(0))
+    roots = pinned(large.where("node = cluster"), "join-roots")
+    asking = _sets(df, size, text, seed, roots).select("cluster", "id", "items").dropDuplicates(["id"])
+    first = asking.join(sized(units), "cluster").withColumn("part", F.lit(0))
+    links = pinned(_search(sets, first, percent), "join-links")
+    dropped(roots)
     found = components(links)
-    # clusters that still hold several components: all outside the largest one search the whole cluster
-    parted = pinned(placed.join(found, "node", "left").select("node", "cluster", "unit", F.coalesce("component", "node").alias("c")), "join-parted")
+    # large clusters that still hold several components: all outside the largest one search the whole cluster
+    parted = pinned(large.join(found, "node", "left").select("node", "cluster", F.coalesce("component", "node").alias("c")), "join-parted")
     counts = parted.groupBy("cluster", "c").count()
     mixed = counts.groupBy("cluster").agg(F.count(F.lit(1)).alias("k"), F.max_by("c", F.struct("count", "c")).alias("main")).where("k > 1")
     mixed = pinned(mixed.select("cluster", "main"), "join-mixed")
-    units = placed.select("cluster", "unit").distinct()
-    more = parted.join(mixed, "cluster").where("c <> main").select("cluster", F.col("node").alias("q")).join(units, "cluster")
-    more = pinned(more.select("q", "cluster", "unit").join(first, ["q", "cluster", "unit"], "left_anti"), "join-more")
-    if not more.isEmpty():
-        links = links.union(pinned(_search(more, placed, sets, percent), "join-links"))
-        dropped(found)
+    open_ = pinned(parted.join(sized(mixed), "cluster").where("c <> main").select("node", "cluster"), "join-open")
+    if not open_.isEmpty():
+        parts = pinned(open_.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("parts")), "join-parts")
+        again = pinned(large.join(sized(parts), "cluster"), "join-again")
+        sets = pinned(_sets(df, size, text, seed, again.select("node", "cluster", "unit", "alone")), "join-sets")
+        held = sets.join(sized(parts), "cluster").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        asking = sets.join(sized(open_).select(F.col("node").alias("id")), "id", "left_semi").dropDuplicates(["id"]).join(
+            sized(parts), "cluster").select("cluster", "id", "items", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"))
+        links = links.union(pinned(_search(held, asking.join(sized(units), "cluster"), percent), "join-links"))
+        dropped(found, parts, again, sets)
         found = components(links)
-    dropped(placed, sets, first, parted, mixed, more)
+    dropped(placed, large, units, parted, mixed, open_)
     return links, found
 
 
