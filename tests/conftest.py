@@ -15,7 +15,7 @@ def spark():
         SparkSession.builder.master("local[4]")
         .appName("appendlog-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
