@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 import weakref
 
@@ -45,6 +46,13 @@ def dropped(*tables: DataFrame | None) -> None:
             at.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def released(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished jobs: Spark deletes them when the
+    driver's garbage collector finds their plans unused, which may be much later."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def range_bounds(df: DataFrame, key: str, text: str, bytes_per_bucket: int) -> list[int]:
     """Ascending values of ``key`` that cut ``df`` into buckets of about
     ``bytes_per_bucket`` bytes of ``text``; no bound for a small table.

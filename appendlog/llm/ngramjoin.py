@@ -20,7 +20,7 @@ at least ``percent`` / 100.  The steps:
    ``UNIT`` documents, each with inverted lists of its own.  A query's lists are
    merged by a heap where they are short; DivideSkip binary-probes the long
    ones for documents that reached ``T - L``, and those with the required
-   overlap are links.  First the least document of a cluster searches all of it.
+   overlap are links.  First the least document of each unit searches its whole cluster.
 4. Links make components.  Where a cluster's documents fell into several, all
    but those of its largest component (of the first one, where the cluster is a
    single unit and its task goes on by itself) search the whole cluster, which
@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from appendlog.llm.common import components, dropped, pinned, sized
+from appendlog.llm.common import components, dropped, pinned, released, sized
 from appendlog.session import ship_package
 
 #: Documents of a unit, and queries of one unit that go to one task (about).
@@ -323,21 +323,23 @@ def _search(held: DataFrame, queries: DataFrame, percent: int) -> DataFrame:
     rows = rows.repartition("cluster", "unit", "part").sortWithinPartitions("cluster", "unit", "part", "side", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, alone, lists, ids, held = None, False, None, [], []
+        group, alone, lists, ids, held, asked = None, False, None, [], [], None
         for b in batches:
             found: list[tuple[int, int]] = []
             for cluster, unit, part, side, own, doc, items in zip(*[c.to_pylist() for c in b.columns], strict=True):
                 if (cluster, unit, part) != group:
                     if alone:
                         found += _solve(ids, held, percent)
-                    group, alone, lists, ids, held = (cluster, unit, part), own, None, [], []
-                if side == 0 and ids and ids[-1] == doc:
+                    group, alone, lists, ids, held, asked = (cluster, unit, part), own, None, [], [], None
+                # a text that several tasks have passed on
+                if doc == (asked if side else ids[-1] if ids else None):
                     continue
                 s = np.frombuffer(items, np.uint64)
                 if side == 0:
                     ids.append(doc)
                     held.append(s)
                     continue
+                asked = doc
                 lists = lists or Lists(held)
                 found += [(doc, ids[i]) for i in lists.search(s, percent) if ids[i] != doc]
             yield _links(found)
@@ -355,6 +357,7 @@ def _linked(df: DataFrame, size: int, percent: int, text: str, seed: int) -> tup
     """Links ``a, b`` and components ``node, component`` of the texts' nodes."""
     ship_package(df.sparkSession)
     met = pinned(_meetings(df, size, percent, text, seed), "join-met")
+    released(df.sparkSession)  # the keys' shuffle is the largest one
     clusters = components(met, "join-clusters")
     dropped(met)
     sizes = clusters.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / UNIT).alias("units"))
@@ -364,13 +367,15 @@ def _linked(df: DataFrame, size: int, percent: int, text: str, seed: int) -> tup
     dropped(clusters)
     large = pinned(placed.where("not alone"), "join-large")
     units = pinned(large.select("cluster", "unit").distinct(), "join-units")
-    # a cluster's least document searches its units; one of a single unit is solved there
+    # the least document of each unit searches the whole cluster; a cluster of a single unit is solved there
     sets = _sets(df, size, text, seed, placed).withColumn("part", F.lit(0))
-    roots = pinned(large.where("node = cluster"), "join-roots")
-    asking = _sets(df, size, text, seed, roots).select("cluster", "id", "items").dropDuplicates(["id"])
+    least = large.groupBy("cluster", "unit").agg(F.min("node").alias("node"))
+    roots = pinned(least.withColumn("alone", F.lit(False)).select("node", "cluster", "unit", "alone"), "join-roots")
+    asking = _sets(df, size, text, seed, roots).select("cluster", "id", "items")
     first = asking.join(sized(units), "cluster").withColumn("part", F.lit(0))
     links = pinned(_search(sets, first, percent), "join-links")
     dropped(roots)
+    released(df.sparkSession)
     found = components(links)
     # large clusters that still hold several components: all outside the largest one search the whole cluster
     parted = pinned(large.join(found, "node", "left").select("node", "cluster", F.coalesce("component", "node").alias("c")), "join-parted")
@@ -383,7 +388,7 @@ def _linked(df: DataFrame, size: int, percent: int, text: str, seed: int) -> tup
         again = pinned(large.join(sized(parts), "cluster"), "join-again")
         sets = pinned(_sets(df, size, text, seed, again.select("node", "cluster", "unit", "alone")), "join-sets")
         held = sets.join(sized(parts), "cluster").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        asking = sets.join(sized(open_).select(F.col("node").alias("id")), "id", "left_semi").dropDuplicates(["id"]).join(
+        asking = sets.join(sized(open_).select(F.col("node").alias("id")), "id", "left_semi").join(
             sized(parts), "cluster").select("cluster", "id", "items", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"))
         links = links.union(pinned(_search(held, asking.join(sized(units), "cluster"), percent), "join-links"))
         dropped(found, parts, again, sets)
