@@ -139,11 +139,14 @@ def range_plan_first(spark, sf_dir):
 
 
 def range_lines(spark, sf_dir):
-    """Every line of the last snapshot, whole files as ranges of one plan."""
+    """Every line of the last snapshot, whole files as ranges of one plan, and
+    every line that snapshot 1 appended since snapshot 0, ranges that start
+    inside their files."""
     root, _ = corpus(spark, sf_dir)
     spec = _spec(root, SNAPSHOTS[-1])
     p = align(plan(snapshot(spark, spec, SAMPLE), empty_state(spark), list_nodes(spark, spec), first_run=True))
-    return read_ranges(p, verify_sample=SAMPLE)
+    grown = _planned(spark, sf_dir, cap=largest(spark, _spec(root, 1)))
+    return read_ranges(p, verify_sample=SAMPLE).unionByName(read_ranges(grown, verify_sample=SAMPLE))
 
 
 def bytes_behind(spark, sf_dir):
