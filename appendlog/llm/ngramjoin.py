@@ -10,7 +10,8 @@ at least ``percent`` / 100.  The steps:
    shingles.  Cutting the hash range into m parts leaves m - D of them equal at
    least; a set with fewer empty parts therefore shares the hash of a
    non-empty part with each set that it links with (one with more is cut anew
-   under the next seed, see ``block_keys``).  Such a key takes an
+   under the next seed; parts of few shingles are left out, see
+   ``block_keys``).  Such a key takes an
    equal handful of shingles and nothing else in their part, which unrelated
    documents with a common passage do not have.  Every task replaces the equal
    keys of its own documents by links to the smallest of them before the
@@ -20,11 +21,13 @@ at least ``percent`` / 100.  The steps:
    ``UNIT`` documents, each with inverted lists of its own.  A query's lists are
    merged by a heap where they are short; DivideSkip binary-probes the long
    ones for documents that reached ``T - L``, and those with the required
-   overlap are links.  First the least document of each unit searches its whole cluster.
+   overlap are links.  A query goes to the units that hold a document with one of
+   its keys.  First the least document of each unit searches its cluster.
 4. Links make components.  Where a cluster's documents fell into several, all
    but those of its largest component (of the first one, where the cluster is a
-   single unit and its task goes on by itself) search the whole cluster, which
-   leaves no pair of different components unexamined.
+   single unit and its task goes on by itself) search the units that hold a
+   document with one of their keys and of another component, which leaves no
+   pair of different components with a common key unexamined.
 
 Words are runs without ASCII white space, A-Z lower-cased; a text with fewer
 words than a shingle is one shingle; null, empty and blank texts have an empty
@@ -90,7 +93,7 @@ def _levels(percent: int) -> tuple[list[int], list[int]]:
     tops = [1]
     while tops[-1] < 1 << 40:
         tops.append(max(tops[-1] + 1, tops[-1] * 100 // percent))
-    return tops, [d + 2 + 3 * d // 100 if (d := _differ(u, u, percent)) else 0 for u in tops]
+    return tops, [d + 2 + d // 6 if (d := _differ(u, u, percent)) else 0 for u in tops]
 
 
 def _differ(n: int, m: int, percent: int) -> int:
@@ -111,6 +114,10 @@ def block_keys(s: np.ndarray, percent: int) -> np.ndarray:
     of its parts are empty, they share the key of a non-empty one.  Else the set is
     cut anew under the next seed, up to the first where that holds, so two
     linked sets have both cut themselves under the smaller of their last seeds.
+
+    There a set leaves out its parts of the fewest shingles, which unrelated texts
+    share the most: all below the largest size that fewer than m - D parts stay
+    below.  The equal part with the most shingles is among those that either set keeps.
     """
     n = len(s)
     if not n:
@@ -125,10 +132,13 @@ def block_keys(s: np.ndarray, percent: int) -> np.ndarray:
             turned = s if not seed else np.sort(_mix(s + np.uint64(seed)))
             total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(turned), dtype=np.uint64)])
             cut = np.concatenate([[0], np.searchsorted(turned, _edges(m)), [n]])
-            full = np.flatnonzero(cut[1:] > cut[:-1])
+            count = cut[1:] - cut[:-1]
+            empty = m - np.count_nonzero(count)
+            # the part after the ``allowed`` lightest ones is kept, with all of its size
+            full = np.flatnonzero(count >= (np.partition(count, allowed)[allowed] if empty <= allowed else 1))
             sums = total[cut[full + 1]] - total[cut[full]]
             out.append(_mix(sums + _mix(full.astype(np.uint64) + np.uint64((lv << 38) + (seed << 32)))))
-            if m - len(full) <= allowed:
+            if empty <= allowed:
                 break
         else:
             if m:  # practically never: meets all others that are left
@@ -301,6 +311,30 @@ def _sets(df: DataFrame, size: int, text: str, seed: int, placed: DataFrame) ->
         run, "cluster long, unit long, alone boolean, id long, items binary")
 
 
+def _keys(sets: DataFrame, percent: int) -> DataFrame:
+    """``cluster, unit, id, key``: the block keys of the ``sets``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                b = whole.slice(at, 512)
+                keys = [block_keys(np.frombuffer(s, np.uint64), percent) for s in b.column(3).to_pylist()]
+                rows = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
+                yield pa.RecordBatch.from_arrays(
+                    [*(b.column(i).take(rows) for i in range(3)), pa.array(np.concatenate(keys).view(np.int64))],
+                    ["cluster", "unit", "id", "key"])
+
+    return sets.select("cluster", "unit", "id", "items").mapInArrow(run, "cluster long, unit long, id long, key long")
+
+
+def _routes(keyed: DataFrame, asking: DataFrame) -> DataFrame:
+    """``cluster, unit, id``: the units that hold a text with a key of the
+    ``asking`` one (``id``) and of another component ``c``."""
+    places = keyed.groupBy("cluster", "key", "unit").agg(F.min("c").alias("low"), F.max("c").alias("high"))
+    own = keyed.join(sized(asking), "id", "left_semi").select("cluster", "key", "id", "c")
+    return own.join(places, ["cluster", "key"]).where("low <> c or high <> c").select("cluster", "unit", "id").distinct()
+
+
 def _solve(ids: list[int], sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
     """Links that join a whole cluster's documents to their components: the first
     searches, then all that it and its links don't reach."""
@@ -357,43 +391,45 @@ def _linked(df: DataFrame, size: int, percent: int, text: str, seed: int) -> tup
     """Links ``a, b`` and components ``node, component`` of the texts' nodes."""
     ship_package(df.sparkSession)
     met = pinned(_meetings(df, size, percent, text, seed), "join-met")
-    released(df.sparkSession)  # the keys' shuffle is the largest one
     clusters = components(met, "join-clusters")
     dropped(met)
+    released(df.sparkSession)  # the keys' shuffle is the largest one
     sizes = clusters.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / UNIT).alias("units"))
     placed = pinned(clusters.join(sizes, "component").select(
         "node", F.col("component").alias("cluster"), F.pmod(F.xxhash64("node"), F.col("units")).alias("unit"),
         (F.col("units") == 1).alias("alone")), "join-placed")
     dropped(clusters)
     large = pinned(placed.where("not alone"), "join-large")
-    units = pinned(large.select("cluster", "unit").distinct(), "join-units")
-    # the least document of each unit searches the whole cluster; a cluster of a single unit is solved there
+    keyed = pinned(_keys(_sets(df, size, text, seed, large), percent), "join-keys")
+    # the least document of each unit searches its cluster; a cluster of a single unit is solved there
     sets = _sets(df, size, text, seed, placed).withColumn("part", F.lit(0))
     least = large.groupBy("cluster", "unit").agg(F.min("node").alias("node"))
     roots = pinned(least.withColumn("alone", F.lit(False)).select("node", "cluster", "unit", "alone"), "join-roots")
-    asking = _sets(df, size, text, seed, roots).select("cluster", "id", "items")
-    first = asking.join(sized(units), "cluster").withColumn("part", F.lit(0))
-    links = pinned(_search(sets, first, percent), "join-links")
-    dropped(roots)
+    routes = pinned(_routes(keyed.withColumn("c", F.col("id")), roots.select(F.col("node").alias("id"))), "join-routes")
+    asking = _sets(df, size, text, seed, roots).select("id", "items")
+    links = pinned(_search(sets, asking.join(sized(routes), "id").withColumn("part", F.lit(0)), percent), "join-links")
+    dropped(roots, routes)
     released(df.sparkSession)
     found = components(links)
-    # large clusters that still hold several components: all outside the largest one search the whole cluster
+    # large clusters that still hold several components: all outside the largest one search where they share keys
     parted = pinned(large.join(found, "node", "left").select("node", "cluster", F.coalesce("component", "node").alias("c")), "join-parted")
     counts = parted.groupBy("cluster", "c").count()
     mixed = counts.groupBy("cluster").agg(F.count(F.lit(1)).alias("k"), F.max_by("c", F.struct("count", "c")).alias("main")).where("k > 1")
     mixed = pinned(mixed.select("cluster", "main"), "join-mixed")
-    open_ = pinned(parted.join(sized(mixed), "cluster").where("c <> main").select("node", "cluster"), "join-open")
+    open_ = pinned(parted.join(sized(mixed), "cluster").where("c <> main").select(F.col("node").alias("id")), "join-open")
     if not open_.isEmpty():
-        parts = pinned(open_.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("parts")), "join-parts")
-        again = pinned(large.join(sized(parts), "cluster"), "join-again")
-        sets = pinned(_sets(df, size, text, seed, again.select("node", "cluster", "unit", "alone")), "join-sets")
-        held = sets.join(sized(parts), "cluster").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        asking = sets.join(sized(open_).select(F.col("node").alias("id")), "id", "left_semi").join(
-            sized(parts), "cluster").select("cluster", "id", "items", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"))
-        links = links.union(pinned(_search(held, asking.join(sized(units), "cluster"), percent), "join-links"))
-        dropped(found, parts, again, sets)
+        told = keyed.join(sized(mixed), "cluster", "left_semi").join(parted.select(F.col("node").alias("id"), "c"), "id")
+        routes = pinned(_routes(told, open_), "join-routes")
+        parts = pinned(routes.groupBy("cluster", "unit").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("parts")), "join-parts")
+        again = pinned(large.join(sized(mixed), "cluster", "left_semi").select("node", "cluster", "unit", "alone"), "join-again")
+        sets = pinned(_sets(df, size, text, seed, again), "join-sets")
+        held = sets.join(sized(parts), ["cluster", "unit"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        asking = sets.select("id", "items").join(sized(routes), "id").join(sized(parts), ["cluster", "unit"]).select(
+            "cluster", "unit", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), "id", "items")
+        links = links.union(pinned(_search(held, asking, percent), "join-links"))
+        dropped(found, routes, parts, again, sets)
         found = components(links)
-    dropped(placed, large, units, parted, mixed, open_)
+    dropped(placed, large, keyed, parted, mixed, open_)
     return links, found
 
 

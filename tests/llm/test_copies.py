@@ -64,6 +64,26 @@ def test_components_equal_brute_force(table, monkeypatch, size, percent, rows):
     assert len(got) == len(rows)
 
 
+def test_light_parts_are_no_keys():
+    """Texts with single shingles in common meet by none of them; the keys are still enough (see below)."""
+    rng = random.Random(16)
+    met = 0
+    for _ in range(60):
+        common = {rng.getrandbits(64) for _ in range(40)}
+        a, b = (common | {rng.getrandbits(64) for _ in range(440)} for _ in range(2))
+        met += np.intersect1d(*(ngramjoin.block_keys(np.array(sorted(s), np.uint64), 80) for s in (a, b))).size > 0
+    assert met < 8  # 14 with all parts that hold any
+
+
+def test_queries_go_where_they_share_keys(table):
+    """Unit 2 holds no key of text 1, unit 3 only those of its own component."""
+    keyed = table([], []).sparkSession.createDataFrame(
+        [(9, 1, 1, 5, 1), (9, 1, 2, 5, 1), (9, 2, 3, 6, 3), (9, 3, 4, 5, 1), (9, 4, 7, 5, 7), (8, 5, 8, 5, 8)],
+        "cluster long, unit long, id long, key long, c long")
+    asking = keyed.where("id = 1").select("id")
+    assert [tuple(r) for r in ngramjoin._routes(keyed, asking).collect()] == [(9, 4, 1)]
+
+
 def test_blocks_lose_no_link():
     rng = random.Random(6)
     for percent in (80, 90):
