@@ -25,8 +25,10 @@ FILES_PER_TASK = 64  # files whose ends one task aligns
 PLAN_SCHEMA = (
     "node string, name string, path string, status string, size bigint, "
     "known bigint, start_offset bigint, end_offset bigint, md5 string, align int, credit bigint, credit_before bigint, "
-    "mtime timestamp, inode bigint"
+    "mtime timestamp"
 )
+#: A plan's columns with the files' inodes, as ``align`` returns them.
+ALIGNED_SCHEMA = PLAN_SCHEMA + ", inode bigint"
 
 
 def _when_chain(pairs: list[tuple[Column, Column]], otherwise: Column) -> Column:
@@ -184,4 +186,4 @@ def align(planned: DataFrame, files: int | None = None) -> DataFrame:
         planned, rows = materialize(planned)
     # the plan is tiny in bytes: an explicit count keeps AQE from folding the
     # per-file reads into one task
-    return planned.repartition(max(1, -(-rows // FILES_PER_TASK))).mapInPandas(_align_fn, PLAN_SCHEMA)
+    return planned.repartition(max(1, -(-rows // FILES_PER_TASK))).mapInPandas(_align_fn, ALIGNED_SCHEMA)
