@@ -35,8 +35,8 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages of 400 bytes or more that occur elsewhere too."""
-    return _recounted(docs, suffixdedup.without_repeats(docs))
+    """Texts without the passages of 400 bytes or more, or of over 50 words, that occur elsewhere too."""
+    return _recounted(docs, suffixdedup.without_repeats(docs, words=51))
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -176,6 +177,59 @@ def test_removed_bytes_equal_brute_force(table, monkeypatch, length, rows, hot,
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == brute_removed(rows, length)
 
 
+def brute_cut(rows, length, words):
+    """Texts without repeated windows of ``length`` bytes and of ``words`` words."""
+    places = [[(m.start(), m.end(), m.group()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())] for _, t in rows]
+    seen = Counter((t or "").encode()[i:i + length] for _, t in rows for i in range(len((t or "").encode()) - length + 1))
+    met = Counter(tuple(x[2] for x in w[i:i + words]) for w in places for i in range(len(w) - words + 1))
+    out = []
+    for (_, t), w in zip(rows, places, strict=True):
+        data = (t or "").encode()
+        gone = [False] * len(data)
+        for i in range(len(data) - length + 1):
+            if seen[data[i:i + length]] > 1:
+                gone[i:i + length] = [True] * length
+        for i in range(len(w) - words + 1):
+            if met[tuple(x[2] for x in w[i:i + words])] > 1:
+                lo, hi = w[i][0], w[i + words - 1][1]
+                gone[lo:hi] = [True] * (hi - lo)
+        at = 0
+        for ch in (t or ""):  # a character that goes in part stays
+            n = len(ch.encode())
+            gone[at:at + n] = [all(gone[at:at + n])] * n
+            at += n
+        out.append(None if t is None else bytes(b for b, g in zip(data, gone, strict=True) if not g).decode())
+    return out
+
+
+def worded(seed, words):
+    """Texts that share runs of about ``words`` short words, with other blanks between them, and short copies."""
+    rng = random.Random(seed)
+    pool = [[rng.choice(["a", "of", "é", "stone", "river"]) + rng.choice("xyz") for _ in range(4 * words)] for _ in range(4)] + [["na"] * 3 * words]
+    rows = []
+    for _ in range(40):
+        parts = []
+        for _ in range(rng.randint(1, 4)):
+            p = rng.choice(pool)
+            at = rng.randrange(len(p))
+            parts.append(rng.choice([" ", "\n", "  "]).join(p[at:at + rng.randint(words - 2, words + 6)]))
+            parts.append(prose(rng, rng.randint(1, 12)))
+        rows.append(rng.choice([" ", "\t"]).join(parts))
+    return list(enumerate(rows + rows[:3] + [None, "", " ", "one two"], 3))
+
+
+@pytest.mark.parametrize("length,words,rows,hot,size", [
+    (400, 51, ROWS, 400, 1 << 20), (400, 51, worded(3, 51), 400, 1 << 20), (150, 12, worded(4, 12), 400, 3000), (150, 12, worded(5, 12), 2, 3000)])
+def test_passages_by_words_equal_brute_force(table, monkeypatch, length, words, rows, hot, size):
+    monkeypatch.setattr(suffixdedup, "HOT", hot)
+    monkeypatch.setattr(suffixdedup, "SEARCH_BYTES", size)
+    got = suffixdedup.without_repeats(table(rows, ["spans"]), length=length, words=words).collect()
+    want = brute_cut(rows, length, words)
+    assert {r.doc_id: r.text for r in got} == {i: t for (i, _), t in zip(rows, want, strict=True)} and len(got) == len(rows)
+    if rows is not ROWS:
+        assert want != brute_cut(rows, length, 10 ** 6)
+
+
 def test_bounded_interval_expansion():
     rng = random.Random(12)
     for _ in range(60):

@@ -59,6 +59,18 @@ def test_stages(spark, table):
     assert out.groupBy("sequence_id").agg(F.sum("length").alias("n")).agg(F.max("n")).first()[0] <= packing.SIZE
 
 
+def test_short_passages_of_many_words(spark, table):
+    """Over 50 words go although they have fewer than 400 bytes; 50 words stay."""
+    rng = random.Random(34)
+    short = lambda n: " ".join(rng.choice("ab of ti re on st".split()) + rng.choice("klmnop") for _ in range(n))
+    many, few = short(51), short(50)
+    assert len(many.encode()) < 400
+    rows = [(k, f"{prose(rng, 40)} {p} {prose(rng, 40)}") for k, p in enumerate([many, many.replace(" ", "\n"), few, few])]
+    out = {r.doc_id: r.text for r in corpus_pipeline.cut_repeated_passages(spark, table(rows), "").collect()}
+    assert [out[k] for k in (2, 3)] == [t for _, t in rows[2:]]
+    assert out[0] == rows[0][1].replace(many, "") and out[1] == rows[1][1].replace(many.replace(" ", "\n"), "")
+
+
 def test_run_and_queries(spark, folder):
     path = folder(planted(), [(i, int(i % 3 == 0)) for i, _ in planted()])
     assert corpus_pipeline.run(spark, path).count() >= 64
